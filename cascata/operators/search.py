@@ -188,3 +188,21 @@ def profile_neighbours(
         query = list(row["vetor"])
     hits = describe_hits(nearest(open_vectors, {"perfil": query}, k), contents)
     return hits.select("posicao", "conteudo_id", "titulo", "categoria", F.col("similaridade").alias("ivis"))
+
+
+def hashing_encoder(dimension: int) -> Callable[[], Encoder]:
+    """Default encoder: counts of hashed words. Any trained model with this signature can take its place."""
+
+    def make() -> Encoder:
+        import zlib
+
+        def encode(texts: list[str]) -> np.ndarray:
+            out = np.zeros((len(texts), dimension))
+            for row, text in enumerate(texts):
+                for word in text.lower().split():
+                    out[row, zlib.crc32(word.encode()) % dimension] += 1.0
+            return out
+
+        return encode
+
+    return make

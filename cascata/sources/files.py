@@ -95,7 +95,8 @@ def bronze_json(
     spark: SparkSession, path: str, source: str, columns: list[str], run_id: str, instant: str | None = None
 ) -> DataFrame:
     rows = _json_rows(spark, path, columns)
-    return with_audit(rows.where(F.col(CORRUPT).isNull()), source, run_id, instant).drop(CORRUPT)
+    readable = F.col(CORRUPT).isNull() | F.col(columns[0]).isNotNull()
+    return with_audit(rows.where(readable), source, run_id, instant).drop(CORRUPT)
 
 
 def bronze_interactions(spark: SparkSession, path: str, run_id: str, instant: str | None = None) -> DataFrame:
