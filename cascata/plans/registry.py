@@ -18,7 +18,7 @@ from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMN
 from cascata.session import materialize, new_folder
 from cascata.sources import driver_tables as given, files, writers
 
-USER, CONTENT = 7, 92
+USER, CONTENT = 13, 92
 QUERY_VECTORS = (100, 200, 300)
 SALT = "sal-de-exemplo-0001"
 
@@ -186,7 +186,7 @@ def _(L):
 def month_folder(L: Layers) -> DataFrame:
     path = new_folder(L.spark, "interacao_mes")
     writers.write_month_partitions(L.interactions, path)
-    return writers.read_month_partitions(L.spark, path, T.StructType(L.interactions.schema.fields))
+    return writers.read_month_partitions(L.spark, path, L.interactions.schema)
 
 
 @query("sink_parquet_ym", "SELECT strftime(data_hora, '%Y') AS ano, strftime(data_hora, '%m') AS mes, count(*) AS linhas, "
@@ -272,7 +272,7 @@ def _(L):
 
 
 UPSERTED = """SELECT usuario_id, conteudo_id, strftime({key}, {fmt}) AS {key}, {value} FROM (
-    SELECT *, row_number() OVER (PARTITION BY usuario_id, conteudo_id, {key} ORDER BY ordem DESC) AS vez FROM {table} WHERE {ok}) WHERE vez = 1"""
+    SELECT *, row_number() OVER (PARTITION BY usuario_id, conteudo_id, {key} ORDER BY ordem DESC) AS escolha FROM {table} WHERE {ok}) WHERE escolha = 1"""
 
 
 @query("sink_upsert_interactions", UPSERTED.format(

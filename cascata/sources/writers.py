@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -51,8 +51,8 @@ def write_month_partitions(interactions: DataFrame, path: str) -> None:
 
 def read_month_partitions(spark: SparkSession, path: str, schema) -> DataFrame:
     """The declared schema keeps ``ano`` and ``mes`` text, so ``mes = '01'`` prunes folders."""
-    full = schema.add("ano", "string").add("mes", "string") if "ano" not in schema.fieldNames() else schema
-    return spark.read.schema(full).parquet(path)
+    folders = [T.StructField("ano", T.StringType()), T.StructField("mes", T.StringType())]
+    return spark.read.schema(T.StructType([*schema.fields, *folders])).parquet(path)
 
 
 def month_slice(partitioned: DataFrame, month: str) -> DataFrame:
