@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 DECIMAL_TEXT = r"^-?\d+(\.\d+)?$"
+# decimal text that is not negative once rounded to a whole number
+ROUNDS_TO_POSITIVE = r"^(\d+(\.\d+)?|-0+(\.[0-4]\d*)?)$"
 WIDE = "decimal(38,10)"
 
 
@@ -14,8 +16,8 @@ def digits_to_long(c: Column) -> Column:
 
 
 def positive_id(c: Column) -> Column:
-    number = digits_to_long(c)
-    return F.when(number > 0, number)
+    text = F.trim(c)
+    return F.when(text.rlike(r"^0*[1-9]\d*$"), text.try_cast("bigint"))
 
 
 def rounded_decimal(c: Column, places: int) -> Column:
@@ -27,6 +29,11 @@ def rounded_long(c: Column) -> Column:
     return rounded_decimal(c, 0).try_cast("bigint")
 
 
+def rounded_not_negative(c: Column) -> Column:
+    """Decimal text rounded to a whole number; unreadable or negative text is null."""
+    return F.when(c.rlike(ROUNDS_TO_POSITIVE), F.round(c.try_cast(WIDE), 0).try_cast("bigint"))
+
+
 def iso_date(c: Column) -> Column:
     return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), c.try_cast("date"))
 
@@ -52,8 +59,7 @@ def matches_timestamp_format(c: Column) -> Column:
 
 def whole_number(c: Column) -> Column:
     """Integral numeric text such as ``7``, ``-7`` or ``7.0``; a fraction is null."""
-    number = F.trim(c).try_cast("double")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    return F.when(F.trim(c).rlike(r"^[+-]?\d+(\.0*)?$"), F.trim(c).try_cast(WIDE).try_cast("bigint"))
 
 
 def truncated_number(c: Column) -> Column:

@@ -6,9 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from cascata.schemas import ACCENTED, UNACCENTED
 
-STRIP_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+BLANKS = r"[\s\x1c-\x1f]"
+STRIP_ENDS = rf"(?U)^{BLANKS}+|{BLANKS}+$"
 # Texts that stand for a missing value.
-NULL_TEXTS = ["", "nan", "None", "<NA>"]
+NULL_TEXTS = ["nan", "None", "<NA>"]
+NULL_TEXT_OR_ENDS = rf"(?U)^{BLANKS}*(?:{'|'.join(NULL_TEXTS)}){BLANKS}*$|^{BLANKS}+|{BLANKS}+$"
 
 
 def strip(c: Column) -> Column:
@@ -17,8 +19,8 @@ def strip(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    text = strip(c)
-    return F.when(~text.isin(NULL_TEXTS), text)
+    """Stripped text; blank text and the texts that mean nothing become null, in one pass."""
+    return F.nullif(F.regexp_replace(c, NULL_TEXT_OR_ENDS, ""), F.lit(""))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -31,17 +33,21 @@ def strip_accents(c: Column) -> Column:
 
 def canonical_label(c: Column, domain: list[str]) -> Column:
     """Official spelling of a label, ignoring case only; unknown labels stay as they are."""
-    text = clean_text(c)
-    return F.coalesce(*[F.when(F.lower(text) == label.lower(), F.lit(label)) for label in domain], text)
+    return _from_map(clean_text(c), {label.lower(): label for label in domain})
 
 
 def official_label(c: Column, domain: list[str]) -> Column:
     """Official spelling ignoring case and accents, for text that carries all or none of them."""
-    matches = []
-    for label in domain:
-        spellings = {label.lower(), label.lower().translate(str.maketrans(ACCENTED, UNACCENTED))}
-        matches.append(F.when(F.lower(c).isin(sorted(spellings)), F.lit(label)))
-    return F.coalesce(*matches, c)
+    plain = str.maketrans(ACCENTED, UNACCENTED)
+    spellings = {label.lower(): label for label in domain}
+    spellings |= {label.lower().translate(plain): label for label in domain}
+    return _from_map(c, spellings)
+
+
+def _from_map(c: Column, spellings: dict[str, str]) -> Column:
+    """Look a lower-cased text up in a constant map; text that is not there stays as it is."""
+    table = F.create_map(*[F.lit(t) for pair in spellings.items() for t in pair])
+    return F.coalesce(F.element_at(table, F.lower(c)), c)
 
 
 def normalize_tags(tags_json: Column) -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -18,10 +18,19 @@ def norm(v: Column) -> Column:
     return F.sqrt(dot(v, v))
 
 
-def unit(v: Column) -> Column:
-    """The vector scaled to length one; null when its length is zero."""
-    length = norm(v)
-    return F.when(length > 0, F.transform(v, lambda x: x.cast("double") / length))
+def scaled_to_unit(rows: DataFrame, column: str) -> DataFrame:
+    """Scale a vector column to length one and drop the rows whose length is zero or null.
+
+    The length is a column of its own: inside the lambda it would be computed per element.
+    """
+    measured = rows.withColumn("_norma", norm(F.col(column))).where(F.col("_norma") > 0)
+    unit = F.transform(column, lambda x: x.cast("double") / F.col("_norma"))
+    return measured.withColumn(column, unit).drop("_norma")
+
+
+def round_places(c: Column, places: int) -> Column:
+    """Round a double on its binary value, ties to even."""
+    return F.rint(c * 10**places) / 10**places
 
 
 def weighted_mean(v: Column, weight: Column) -> Column:

@@ -21,8 +21,12 @@ from cascata.schemas import (
 ORDER = "ordem"
 
 
-def text_changed(before: str, after: Column) -> Column:
-    return ~text.strip(F.col(before)).eqNullSafe(text.strip(after.cast("string")))
+NEW = "_novo_"
+
+
+def text_changed(column: str) -> Column:
+    """The raw text, ends stripped, differs from the treated value as text."""
+    return ~text.strip(F.col(column)).eqNullSafe(F.col(NEW + column).cast("string"))
 
 
 def any_of(flags: list[Column]) -> Column:
@@ -30,9 +34,13 @@ def any_of(flags: list[Column]) -> Column:
 
 
 def _treated(raw: DataFrame, new: dict[str, Column], changed: list[Column], keys: list[str]) -> DataFrame:
-    """Treated columns plus ``alterado``; rows after the first of a key are marked ``repetida``."""
-    judged = raw.withColumn("alterado", any_of(changed)).withColumns(new)
-    return mark_repeats(judged, keys, ORDER)
+    """Treated columns plus ``alterado``; rows after the first of a key are marked ``repetida``.
+
+    Treated values are computed once, under names of their own, and then compared.
+    """
+    staged = raw.withColumns({NEW + c: e for c, e in new.items()})
+    judged = staged.withColumn("alterado", any_of(changed)).withColumns({c: F.col(NEW + c) for c in new})
+    return mark_repeats(judged.drop(*[NEW + c for c in new]), keys, ORDER)
 
 
 def treat_catalog(raw: DataFrame) -> DataFrame:
@@ -44,13 +52,12 @@ def treat_catalog(raw: DataFrame) -> DataFrame:
         "carga_horaria_min": casts.whole_number(F.col("carga_horaria_min")),
         "data_publicacao": F.trim("data_publicacao").try_cast("date"),
     }
-    changed = [text_changed(c, expression) for c, expression in new.items()]
-    return _treated(raw, new, changed, ["conteudo_id"])
+    return _treated(raw, new, [text_changed(c) for c in new], ["conteudo_id"])
 
 
 def treat_interactions(raw: DataFrame) -> DataFrame:
     when = F.date_format(F.trim("data_hora").try_cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss")
-    percent = F.trim("percentual_conclusao").try_cast(casts.WIDE)
+    percent, rounded = F.trim("percentual_conclusao").try_cast(casts.WIDE), F.col(NEW + "percentual_conclusao")
     new = {
         "tipo_interacao": text.canonical_label(F.col("tipo_interacao"), INTERACTION_TYPES),
         "data_hora": when,
@@ -58,8 +65,8 @@ def treat_interactions(raw: DataFrame) -> DataFrame:
         "percentual_conclusao": F.round(percent, 2),
         "avaliacao_atribuida": casts.whole_number(F.col("avaliacao_atribuida")),
     }
-    changed = [text_changed(c, expression) for c, expression in new.items() if c != "percentual_conclusao"]
-    changed.append(~percent.eqNullSafe(F.round(percent, 2)) | (percent.isNull() & F.col("percentual_conclusao").isNotNull()))
+    changed = [text_changed(c) for c in new if c != "percentual_conclusao"]
+    changed.append(~percent.eqNullSafe(rounded) | (rounded.isNull() & F.col("percentual_conclusao").isNotNull()))
     return _treated(raw, new, changed, ["usuario_id", "conteudo_id", "data_hora"])
 
 
@@ -69,10 +76,10 @@ def treat_comments(raw: DataFrame) -> DataFrame:
         "avaliacao": casts.whole_number(F.col("avaliacao")),
         "data": F.trim("data").try_cast("date"),
     }
-    changed = [text_changed(c, expression) for c, expression in new.items()]
-    tags = text.normalize_tags(F.col("tags"))
-    changed.append(~F.from_json("tags", "array<string>").eqNullSafe(tags))
-    return _treated(raw, new | {"tags": tags}, changed, ["usuario_id", "conteudo_id", "data"])
+    changed = [text_changed(c) for c in new]
+    changed.append(~F.from_json("tags", "array<string>").eqNullSafe(F.col(NEW + "tags")))
+    new["tags"] = text.normalize_tags(F.col("tags"))
+    return _treated(raw, new, changed, ["usuario_id", "conteudo_id", "data"])
 
 
 def kept(treated: DataFrame, columns: list[str]) -> DataFrame:

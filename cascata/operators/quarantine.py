@@ -21,6 +21,7 @@ from cascata.schemas import (
     INTERACTION_TYPES,
     text_schema,
 )
+from cascata.session import materialize
 
 
 def status_counts(quarantine: DataFrame) -> DataFrame:
@@ -74,6 +75,7 @@ def reprocess_catalog(quarantine: DataFrame, contents: DataFrame, run_id: str) -
         *content_domain_rules(),
     ]
     judged = rules.apply_rules(salted_lookup(typed, known, ["conteudo_id"], F.col("quarentena_id")), ordered)
+    judged = materialize(judged, "rejulgados")
     accepted = only_first(rules.approved(judged), ["conteudo_id"])
     renewed = rules.rejected(judged).select(
         "registro_id", F.lit("catalogo").alias("origem"), "regra_violada", "mensagem",
@@ -90,13 +92,12 @@ def lowered_label(c: Column) -> Column:
 
 def pending_interactions(quarantine: DataFrame) -> DataFrame:
     raw = pending_payloads(quarantine, "interacoes", INTERACTION_COLUMNS)
-    minutes = casts.rounded_long(F.trim("tempo_consumido"))
     return raw.withColumns({
         "usuario_id": casts.positive_id(F.col("usuario_id")),
         "conteudo_id": casts.digits_to_long(F.col("conteudo_id")),
         "tipo_interacao": lowered_label(F.col("tipo_interacao")),
         "data_hora": casts.iso_timestamp(F.trim("data_hora")),
-        "tempo_consumido": F.when(minutes >= 0, minutes),
+        "tempo_consumido": casts.rounded_not_negative(F.trim("tempo_consumido")),
         "percentual_conclusao": casts.rounded_decimal(F.trim("percentual_conclusao"), 2),
         "avaliacao_atribuida": casts.rounded_long(F.trim("avaliacao_atribuida")),
     })
@@ -114,7 +115,7 @@ def reprocess_interactions(
         & F.col("percentual_conclusao").between(0, 100)
         & (F.col("avaliacao_atribuida").isNull() | F.col("avaliacao_atribuida").between(1, 5))
     )
-    fresh = absent_from(referenced(fit, contents), interactions, keys)
+    fresh = materialize(absent_from(referenced(fit, contents), interactions, keys), "candidatos")
     accepted = only_first(fresh, keys).withColumn("execucao_id", F.lit(run_id))
     return accepted, mark_reprocessed(quarantine, "interacoes", accepted)
 
@@ -127,7 +128,7 @@ def reprocess_comments(
     fit = typed.where(
         F.col("usuario_id").isNotNull() & F.col("data").isNotNull() & ~F.coalesce(bad_comment_rating(), F.lit(False))
     )
-    fresh = absent_from(referenced(fit, contents), comments, keys)
+    fresh = materialize(absent_from(referenced(fit, contents), comments, keys), "candidatos")
     accepted = only_first(fresh, keys).withColumn("execucao_id", F.lit(run_id))
     return accepted, mark_reprocessed(quarantine, "comentarios", accepted)
 

@@ -52,8 +52,8 @@ def signals(interactions: DataFrame, minimum_rating: int = 4) -> DataFrame:
 
 
 def unit_vectors(store: DataFrame, model: str) -> DataFrame:
-    kept = store.where(F.col("modelo") == model)
-    return kept.select("conteudo_id", vectors.unit(F.col("vetor")).alias("vetor")).where(F.col("vetor").isNotNull())
+    kept = store.where(F.col("modelo") == model).select("conteudo_id", "vetor")
+    return vectors.scaled_to_unit(kept, "vetor")
 
 
 def with_vectors(pairs: DataFrame, units: DataFrame) -> DataFrame:
@@ -64,13 +64,13 @@ def with_vectors(pairs: DataFrame, units: DataFrame) -> DataFrame:
 def centroid_views(pairs: DataFrame, units: DataFrame) -> DataFrame:
     used = with_vectors(pairs.where(F.col("peso").isNotNull()), units)
     mean = vectors.weighted_mean(F.col("vetor"), F.col("peso").cast("double"))
-    return used.groupBy("usuario_id").agg(mean.alias("vis")).select("usuario_id", vectors.unit(F.col("vis")).alias("vis"))
+    return vectors.scaled_to_unit(used.groupBy("usuario_id").agg(mean.alias("vis")), "vis")
 
 
 def centroid_likes(pairs: DataFrame, units: DataFrame) -> DataFrame:
     used = with_vectors(pairs.where("positivo"), units)
     mean = vectors.weighted_mean(F.col("vetor"), F.lit(1.0))
-    return used.groupBy("usuario_id").agg(mean.alias("cur")).select("usuario_id", vectors.unit(F.col("cur")).alias("cur"))
+    return vectors.scaled_to_unit(used.groupBy("usuario_id").agg(mean.alias("cur")), "cur")
 
 
 def category_shares(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -257,7 +257,7 @@ def top_n(blocks: DataFrame, contents: DataFrame, n: int, batch: str) -> DataFra
         "usuario_id", "conteudo_id", "titulo", "categoria", "tipo",
         F.col("pontuacao").cast("decimal(5,2)").alias("pontuacao"),
         classify(F.col("pontuacao"), F.lit(1)).alias("classificacao"),
-        F.round("ivis", 4).alias("ivis"), F.round("icur", 4).alias("icur"),
+        vectors.round_places(F.col("ivis"), 4).alias("ivis"), vectors.round_places(F.col("icur"), 4).alias("icur"),
         F.lit(1).alias("iconc"), "posicao",
         F.lit(batch).cast("timestamp_ntz").alias("gerado_em"),
     )
@@ -307,10 +307,10 @@ def score_pairs(pairs: DataFrame, profiles: DataFrame, catalogue: DataFrame) ->
 
     scored = rows.withColumns({"ivis": index("vis", "parte_tempo"), "icur": index("cur", "parte_positivos")})
     open_flag = F.when(F.col("concluido"), 0).otherwise(1)
-    points = F.bround((F.col("ivis") + F.col("icur")) / 2 * 100 * open_flag, 2)
+    points = vectors.round_places((F.col("ivis") + F.col("icur")) / 2 * 100 * open_flag, 2)
     return scored.select(
-        "usuario_id", "conteudo_id", points.alias("pontuacao"), F.round("ivis", 4).alias("ivis"),
-        F.round("icur", 4).alias("icur"), open_flag.alias("iconc"),
+        "usuario_id", "conteudo_id", points.alias("pontuacao"),
+        vectors.round_places(F.col("ivis"), 4).alias("ivis"), vectors.round_places(F.col("icur"), 4).alias("icur"), open_flag.alias("iconc"),
     ).withColumn("classificacao", classify(F.col("pontuacao"), F.col("iconc")))
 
 

@@ -52,7 +52,6 @@ def content_domain_rules() -> list[Rule]:
 def typed_content(raw: DataFrame) -> DataFrame:
     """Catalogue text to typed columns; an unreadable or negative workload becomes null."""
     field = {c: text.blank_to_null(F.col(c)) for c in CATALOG_COLUMNS}
-    workload = casts.rounded_long(field["carga_horaria_min"])
     return raw.withColumns({
         "_id_bruto": F.col("conteudo_id"),
         "payload_original": rules.raw_payload(CATALOG_COLUMNS + AUDIT_COLUMNS),
@@ -61,7 +60,7 @@ def typed_content(raw: DataFrame) -> DataFrame:
         "tipo": text.official_label(field["tipo"], CONTENT_TYPES),
         "categoria": text.official_label(field["categoria"], CATEGORIES),
         "nivel": text.official_label(field["nivel"], LEVELS),
-        "carga_horaria_min": F.when(workload >= 0, workload),
+        "carga_horaria_min": casts.rounded_not_negative(field["carga_horaria_min"]),
         "data_publicacao": casts.iso_date(field["data_publicacao"]),
         "descricao": field["descricao"],
         "autor": field["autor"],
@@ -83,7 +82,6 @@ def judge_content(raw: DataFrame) -> DataFrame:
 
 def typed_interaction(raw: DataFrame) -> DataFrame:
     field = {c: text.blank_to_null(F.col(c)) for c in INTERACTION_COLUMNS}
-    minutes = casts.rounded_long(field["tempo_consumido"])
     return raw.withColumns({
         "_usuario_bruto": F.col("usuario_id"),
         "_conteudo_bruto": F.col("conteudo_id"),
@@ -93,7 +91,7 @@ def typed_interaction(raw: DataFrame) -> DataFrame:
         "conteudo_id": casts.digits_to_long(F.col("conteudo_id")),
         "tipo_interacao": text.official_label(field["tipo_interacao"], INTERACTION_TYPES),
         "data_hora": casts.iso_timestamp(field["data_hora"]),
-        "tempo_consumido": F.when(minutes >= 0, minutes),
+        "tempo_consumido": casts.rounded_not_negative(field["tempo_consumido"]),
         "percentual_conclusao": casts.rounded_decimal(field["percentual_conclusao"], 2),
         "avaliacao_atribuida": casts.rounded_long(field["avaliacao_atribuida"]),
     })

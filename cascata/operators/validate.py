@@ -57,16 +57,15 @@ def classify(
 
 
 def validate_catalog(raw: DataFrame) -> DataFrame:
-    marked = mark_repeats(raw, ["conteudo_id"], ORDER)
     required = ["conteudo_id", "titulo", "tipo", "categoria", "nivel", "carga_horaria_min", "data_publicacao"]
-    workload = F.when(
-        F.col("carga_horaria_min").rlike(r"^\s*[+-]?\d+\s*$"), F.trim("carga_horaria_min").try_cast("bigint")
-    )
+    whole = F.col("carga_horaria_min").rlike(r"^\s*[+-]?\d+\s*$")
+    read = raw.withColumn("_carga", F.when(whole, F.trim("carga_horaria_min").try_cast("bigint")))
+    marked = mark_repeats(read, ["conteudo_id"], ORDER)
     complaints = [
         complaint(~F.col("tipo").isin(CONTENT_TYPES), "tipo invalido", F.col("tipo")),
         complaint(~F.col("categoria").isin(CATEGORIES), "categoria invalida", F.col("categoria")),
         complaint(~F.col("nivel").isin(LEVELS), "nivel invalido", F.col("nivel")),
-        *whole_number_complaints(workload, F.col("carga_horaria_min"), 0, None,
+        *whole_number_complaints(F.col("_carga"), F.col("carga_horaria_min"), 0, None,
                                  "carga_horaria nao-numerica", "carga_horaria negativa"),
         F.when(
             ~casts.matches_date_format(F.col("data_publicacao")),
@@ -89,18 +88,23 @@ def with_known(rows: DataFrame, ids: DataFrame, key: str, flag: str) -> DataFram
 
 def validate_interactions(raw: DataFrame, catalog: DataFrame) -> DataFrame:
     """Users are known by definition here: the known users are those of this same file."""
-    marked = mark_repeats(raw, ["usuario_id", "conteudo_id", "data_hora"], ORDER)
+    read = raw.withColumns({
+        "_tempo": casts.truncated_number(F.col("tempo_consumido")),
+        "_nota": casts.truncated_number(F.col("avaliacao_atribuida")),
+        "_percentual": F.trim("percentual_conclusao").try_cast("double"),
+    })
+    marked = mark_repeats(read, ["usuario_id", "conteudo_id", "data_hora"], ORDER)
     marked = with_known(marked, catalog, "conteudo_id", "_conteudo")
     required = ["usuario_id", "conteudo_id", "tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao"]
-    percent = F.trim("percentual_conclusao").try_cast("double")
+    percent = F.col("_percentual")
     complaints = [
         complaint(~F.col("tipo_interacao").isin(INTERACTION_TYPES), "tipo_interacao invalido", F.col("tipo_interacao")),
         complaint(F.col("_conteudo").isNull(), "conteudo_id inexistente", F.col("conteudo_id")),
-        *whole_number_complaints(casts.truncated_number(F.col("tempo_consumido")), F.col("tempo_consumido"), 0, None,
+        *whole_number_complaints(F.col("_tempo"), F.col("tempo_consumido"), 0, None,
                                  "tempo_consumido nao-numerico", "tempo_consumido negativo"),
         complaint((percent < 0) | (percent > 100), "percentual fora de 0-100", percent.cast("string")),
         complaint(percent.isNull(), "percentual nao-numerico", F.col("percentual_conclusao")),
-        *whole_number_complaints(casts.truncated_number(F.col("avaliacao_atribuida")), F.col("avaliacao_atribuida"), 1, 5,
+        *whole_number_complaints(F.col("_nota"), F.col("avaliacao_atribuida"), 1, 5,
                                  "avaliacao nao-numerica", "avaliacao fora de 1-5"),
         F.when(
             ~casts.matches_timestamp_format(F.col("data_hora")),
@@ -112,13 +116,17 @@ def validate_interactions(raw: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def validate_comments(raw: DataFrame, catalog: DataFrame, interactions: DataFrame) -> DataFrame:
-    marked = mark_repeats(raw, ["usuario_id", "conteudo_id", "data"], ORDER)
+    read = raw.withColumns({
+        "_nota": casts.truncated_number(F.col("avaliacao")),
+        "_lista": F.from_json("tags", "array<string>").isNotNull(),
+    })
+    marked = mark_repeats(read, ["usuario_id", "conteudo_id", "data"], ORDER)
     marked = with_known(marked, interactions, "usuario_id", "_usuario")
     marked = with_known(marked, catalog, "conteudo_id", "_conteudo")
     required = ["usuario_id", "conteudo_id", "avaliacao", "comentario", "data"]
-    not_a_list = F.col("tags").isNotNull() & F.from_json("tags", "array<string>").isNull()
+    not_a_list = F.col("tags").isNotNull() & ~F.col("_lista")
     complaints = [
-        *whole_number_complaints(casts.truncated_number(F.col("avaliacao")), F.col("avaliacao"), 1, 5,
+        *whole_number_complaints(F.col("_nota"), F.col("avaliacao"), 1, 5,
                                  "avaliacao nao-numerica", "avaliacao fora de 1-5"),
         complaint(F.col("_usuario").isNull(), "usuario_id inexistente", F.col("usuario_id")),
         complaint(F.col("_conteudo").isNull(), "conteudo_id inexistente", F.col("conteudo_id")),

@@ -1098,7 +1098,7 @@ query("rec_category_share", "SELECT usuario_id, categoria, round(parte_tempo, 9)
         "usuario_id", "categoria", F.round("parte_tempo", 9).alias("parte_tempo"), F.round("parte_positivos", 9).alias("parte_positivos")))
 
 
-@query("rec_score", "SELECT usuario_id, conteudo_id, CAST(pontuacao AS DOUBLE) AS pontuacao, round(ivis, 4) AS ivis, round(icur, 4) AS icur, iconc, classificacao FROM classes WHERE tocado")
+@query("rec_score", "SELECT usuario_id, conteudo_id, CAST(pontuacao AS DOUBLE) AS pontuacao, round_even(ivis, 4) AS ivis, round_even(icur, 4) AS icur, iconc, classificacao FROM classes WHERE tocado")
 def _(L):
     pairs = materialize(recommend.signals(L.interactions), "sinais")
     units = recommend.unit_vectors(L.store, MODEL)
@@ -1110,7 +1110,7 @@ query("rec_classify", "SELECT event_id AS ordem, CASE WHEN event_id % 11 = 0 OR
     lambda L: given.table(L.spark, L.sf_dir, "events").select(
         F.col("event_id").alias("ordem"),
         recommend.classify(F.col("value") / 5, F.when(F.col("event_id") % 11 == 0, 0).otherwise(1)).alias("classificacao")))
-TOP = (f"SELECT usuario_id, conteudo_id, titulo, categoria, tipo, CAST(pontuacao AS DOUBLE) AS pontuacao, classificacao, round(ivis, 4) AS ivis, round(icur, 4) AS icur, "
+TOP = (f"SELECT usuario_id, conteudo_id, titulo, categoria, tipo, CAST(pontuacao AS DOUBLE) AS pontuacao, classificacao, round_even(ivis, 4) AS ivis, round_even(icur, 4) AS icur, "
        f"iconc, posicao, '{BATCH}' AS gerado_em FROM melhores")
 query("rec_top_n", TOP)(lambda L: recommend.top_n(L.blocks, L.contents, 5, BATCH))
 query("rec_summary", "SELECT * FROM resumo_rec")(lambda L: recommend.summary(L.blocks, 5))
