@@ -149,6 +149,23 @@ def _index_scores(centroids, have, shares, items, has_vector, slots) -> np.ndarr
     return np.clip(scores, 0.0, 1.0)
 
 
+def _best_per_row(ranked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``n`` best positive entries of each row, ties by column.
+
+    Entries under a row's ``n``-th best are cut first, so that only a few are sorted.
+    """
+    if ranked.shape[1] > n:
+        floor = np.partition(ranked, -n, axis=1)[:, -n][:, None]
+        rows, columns = np.nonzero((ranked > 0) & (ranked >= floor))
+    else:
+        rows, columns = np.nonzero(ranked > 0)
+    order = np.lexsort((columns, -ranked[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    starts = np.searchsorted(rows, rows)
+    kept = np.arange(len(rows)) - starts < n
+    return rows[kept], columns[kept]
+
+
 def _score_block(n: int, dimension: int):
     def score(users: pa.Table, contents: pa.Table) -> pa.Table:
         if users.num_rows == 0 or contents.num_rows == 0:
@@ -172,10 +189,7 @@ def _score_block(n: int, dimension: int):
         completed[owner, place] = True
 
         negative = completed | (points <= 40)
-        ranked = np.where(negative, -1.0, points)
-        top = np.argsort(-ranked, axis=1, kind="stable")[:, :n]
-        rows, columns = np.nonzero(np.take_along_axis(ranked, top, axis=1) > 0)
-        chosen = top[rows, columns]
+        rows, chosen = _best_per_row(np.where(negative, -1.0, points), n)
         offsets = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(points))))).astype(np.int32)
         fields = {
             "conteudo_id": pa.array(ids[chosen]), "pontuacao": pa.array(points[rows, chosen]),

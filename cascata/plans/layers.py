@@ -16,8 +16,14 @@ RUN = given.RUN
 BATCH = "2024-03-01 00:00:00"
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores on a source too small to be split by itself; a large one is left alone."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, "ordem") if rows.rdd.getNumPartitions() < cores else rows
+
+
 class Layers:
-    """Bronze is a view of the given tables; Silver and what builds on it are stored tables."""
+    """Bronze, treated and Silver tables, each stored at its first use and read from then on."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -32,15 +38,27 @@ class Layers:
 
     @property
     def catalog(self) -> DataFrame:
-        return given.bronze_catalog(self.spark, self.sf_dir)
+        return self._once("bronze_catalogo", lambda: spread(given.bronze_catalog(self.spark, self.sf_dir)))
 
     @property
     def raw_interactions(self) -> DataFrame:
-        return given.bronze_interactions(self.spark, self.sf_dir)
+        return self._once("bronze_interacoes", lambda: spread(given.bronze_interactions(self.spark, self.sf_dir)))
 
     @property
     def raw_comments(self) -> DataFrame:
-        return given.bronze_comments(self.spark, self.sf_dir)
+        return self._once("bronze_comentarios", lambda: spread(given.bronze_comments(self.spark, self.sf_dir)))
+
+    @property
+    def clean_catalog(self) -> DataFrame:
+        return self._once("tratado_catalogo", lambda: clean.clean_catalog(self.catalog))
+
+    @property
+    def clean_interactions(self) -> DataFrame:
+        return self._once("tratado_interacoes", lambda: clean.clean_interactions(self.raw_interactions))
+
+    @property
+    def clean_comments(self) -> DataFrame:
+        return self._once("tratado_comentarios", lambda: clean.clean_comments(self.raw_comments))
 
     @property
     def contents(self) -> DataFrame:
@@ -105,7 +123,7 @@ class Layers:
 
     @property
     def documents(self) -> DataFrame:
-        return load.comment_documents(clean.clean_comments(self.raw_comments), clean.clean_catalog(self.catalog))
+        return self._once("documentos", lambda: load.comment_documents(self.clean_comments, self.clean_catalog))
 
 
 _layers: dict[tuple[str, str], Layers] = {}

@@ -493,7 +493,7 @@ query("count_corrected", CORRECTED)(corrected)
     f"SELECT 'interacoes' AS fonte, '{c}' AS coluna, count(*) - count({c}) AS ausentes FROM limpo_interacoes WHERE vez = 1"
     for c in ("tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida")))
 def _(L):
-    return clean.count_missing(clean.clean_interactions(L.raw_interactions), "interacoes",
+    return clean.count_missing(L.clean_interactions, "interacoes",
                                ["tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida"])
 
 
@@ -510,7 +510,7 @@ FIT_CATALOG = (f"vez = 1 AND TRY_CAST(conteudo_id AS BIGINT) IS NOT NULL AND tit
 
 
 def loadable(L: Layers) -> DataFrame:
-    return load.loadable_catalog(clean.clean_catalog(L.catalog))
+    return load.loadable_catalog(L.clean_catalog)
 
 
 query("load_filter_catalog", f"SELECT CAST(conteudo_id AS BIGINT) AS conteudo_id, titulo, tipo, categoria, nivel, carga AS carga_horaria_min "
@@ -521,9 +521,10 @@ query("load_filter_interactions", f"""SELECT i.ordem, CAST(i.usuario_id AS BIGIN
     JOIN (SELECT conteudo_id FROM limpo_catalogo WHERE {FIT_CATALOG}) k ON k.conteudo_id = i.conteudo_id
     WHERE i.vez = 1 AND i.tipo_interacao IN {KIND_LIST} AND i.data_hora IS NOT NULL AND i.tempo_consumido >= 0
       AND i.percentual_conclusao BETWEEN 0 AND 100 AND (i.avaliacao_atribuida IS NULL OR i.avaliacao_atribuida BETWEEN 1 AND 5)""")(
-    lambda L: load.loadable_interactions(clean.clean_interactions(L.raw_interactions), loadable(L)).select(
+    lambda L: load.loadable_interactions(L.clean_interactions, loadable(L)).select(
         "ordem", "usuario_id", "conteudo_id", "tipo_interacao", "tempo_consumido", "avaliacao_atribuida"))
-query("build_comment_docs", f"SELECT ordem, {S_COMMENT}, categoria FROM documentos")(lambda L: L.documents)
+query("build_comment_docs", f"SELECT ordem, {S_COMMENT}, categoria FROM documentos")(
+    lambda L: load.comment_documents(L.clean_comments, L.clean_catalog))
 query("category_dim", f"SELECT list_position([{CAT_LIST[1:-1]}], categoria) AS categoria_id, categoria AS nome FROM silver_conteudo GROUP BY ALL")(
     lambda L: load.category_dimension(L.contents))
 
