@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -18,14 +21,34 @@ def norm(v: Column) -> Column:
     return F.sqrt(dot(v, v))
 
 
-def scaled_to_unit(rows: DataFrame, column: str) -> DataFrame:
-    """Scale a vector column to length one and drop the rows whose length is zero or null.
+def with_norm(rows: DataFrame, column: str, name: str = "norma") -> DataFrame:
+    """Add the length of a vector as a column and drop vectors without one.
 
-    The length is a column of its own: inside the lambda it would be computed per element.
+    The length stays a column of its own: used inside a lambda it would be computed again
+    for every element.
     """
-    measured = rows.withColumn("_norma", norm(F.col(column))).where(F.col("_norma") > 0)
-    unit = F.transform(column, lambda x: x.cast("double") / F.col("_norma"))
-    return measured.withColumn(column, unit).drop("_norma")
+    return rows.withColumn(name, norm(F.col(column))).where(F.col(name) > 0)
+
+
+def scaled_to_unit(rows: DataFrame, column: str) -> DataFrame:
+    """Scale a vector column to length one, a batch at a time; vectors of length zero are dropped."""
+    fields = [T.StructField(column, T.ArrayType(T.DoubleType())) if f.name == column else f for f in rows.schema.fields]
+
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in batches:
+            block = block.filter(pc.fill_null(pc.greater(pc.list_value_length(block.column(column)), 0), False))
+            if block.num_rows == 0:
+                continue
+            found = matrix(block.column(column), len(block.column(column)[0]))
+            length = np.linalg.norm(found, axis=1)
+            usable = length > 0
+            found = found[usable] / length[usable, None]
+            offsets = np.arange(0, found.size + 1, found.shape[1], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
+            place = block.schema.get_field_index(column)
+            yield block.filter(pa.array(usable)).set_column(place, column, lists)
+
+    return rows.mapInArrow(scale, T.StructType(fields))
 
 
 def round_places(c: Column, places: int) -> Column:

@@ -51,72 +51,83 @@ def signals(interactions: DataFrame, minimum_rating: int = 4) -> DataFrame:
     )
 
 
-def unit_vectors(store: DataFrame, model: str) -> DataFrame:
+def measured_vectors(store: DataFrame, model: str) -> DataFrame:
+    """Vectors of one model with their length; cosines divide by it instead of scaling the vector."""
     kept = store.where(F.col("modelo") == model).select("conteudo_id", "vetor")
-    return vectors.scaled_to_unit(kept, "vetor")
+    return vectors.with_norm(kept, "vetor")
 
 
-def with_vectors(pairs: DataFrame, units: DataFrame) -> DataFrame:
+def with_vectors(pairs: DataFrame, measured: DataFrame) -> DataFrame:
     """Signals of contents that have a vector; a popular content is spread over salts."""
-    return salted_lookup(pairs, units, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"), "inner")
+    return salted_lookup(pairs, measured, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"), "inner")
 
 
-def centroid_views(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    used = with_vectors(pairs.where(F.col("peso").isNotNull()), units)
-    mean = vectors.weighted_mean(F.col("vetor"), F.col("peso").cast("double"))
-    return vectors.scaled_to_unit(used.groupBy("usuario_id").agg(mean.alias("vis")), "vis")
+def centroid_views(pairs: DataFrame, measured: DataFrame) -> DataFrame:
+    """Direction of what a user consumed: unit vectors weighted by minutes (the length is left free)."""
+    used = with_vectors(pairs.where(F.col("peso").isNotNull()), measured)
+    mean = vectors.weighted_mean(F.col("vetor"), F.col("peso") / F.col("norma"))
+    return used.groupBy("usuario_id").agg(mean.alias("vis"))
 
 
-def centroid_likes(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    used = with_vectors(pairs.where("positivo"), units)
-    mean = vectors.weighted_mean(F.col("vetor"), F.lit(1.0))
-    return vectors.scaled_to_unit(used.groupBy("usuario_id").agg(mean.alias("cur")), "cur")
+def centroid_likes(pairs: DataFrame, measured: DataFrame) -> DataFrame:
+    """Direction of what a user liked: each distinct content counts once."""
+    used = with_vectors(pairs.where("positivo"), measured)
+    mean = vectors.weighted_mean(F.col("vetor"), F.lit(1.0) / F.col("norma"))
+    return used.groupBy("usuario_id").agg(mean.alias("cur"))
+
+
+def with_category(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    known = contents.select("conteudo_id", "categoria")
+    return salted_lookup(pairs, known, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"))
 
 
 def category_shares(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """Per user and category: share of consumed minutes and of liked contents.
 
-    Contents outside the catalogue count in the totals and belong to no category.
+    Contents outside the catalogue count in the totals and belong to no category. The
+    window sees at most one row per category and user.
     """
-    known = contents.select("conteudo_id", "categoria")
-    joined = salted_lookup(pairs, known, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"))
-    per_category = joined.groupBy("usuario_id", "categoria").agg(
+    per_category = with_category(pairs, contents).groupBy("usuario_id", "categoria").agg(
         F.coalesce(F.sum("peso"), F.lit(0)).alias("_tempo"), F.count_if("positivo").alias("_positivos")
     )
-    totals = per_category.groupBy("usuario_id").agg(
-        F.sum("_tempo").alias("_tempo_total"), F.sum("_positivos").alias("_positivos_total")
-    )
-    return per_category.join(totals, "usuario_id").where(F.col("categoria").isNotNull()).select(
-        "usuario_id", "categoria",
-        F.coalesce(F.try_divide("_tempo", "_tempo_total"), F.lit(0.0)).alias("parte_tempo"),
-        F.coalesce(F.try_divide("_positivos", "_positivos_total"), F.lit(0.0)).alias("parte_positivos"),
+    of_user = Window.partitionBy("usuario_id")
+    shared = per_category.withColumns({
+        "parte_tempo": F.try_divide("_tempo", F.sum("_tempo").over(of_user)),
+        "parte_positivos": F.try_divide("_positivos", F.sum("_positivos").over(of_user)),
+    })
+    return shared.where(F.col("categoria").isNotNull()).select(
+        "usuario_id", "categoria", F.coalesce("parte_tempo", F.lit(0.0)).alias("parte_tempo"),
+        F.coalesce("parte_positivos", F.lit(0.0)).alias("parte_positivos"),
     )
 
 
-def share_vectors(shares: DataFrame) -> DataFrame:
-    """The shares of a user as two arrays in the order of the category domain."""
-    def spread(column: str) -> Column:
-        slots = [F.coalesce(F.sum(F.when(F.col("categoria") == c, F.col(column))), F.lit(0.0)) for c in CATEGORIES]
-        return F.array(*slots).alias(column)
+def share_vectors(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    """The same shares as two arrays per user, in the order of the category domain."""
+    def spread(amount: Column, name: str) -> Column:
+        total = F.sum(amount)
+        parts = [F.sum(F.when(F.col("categoria") == c, amount)) for c in CATEGORIES]
+        return F.array(*[F.coalesce(F.try_divide(p, total), F.lit(0.0)) for p in parts]).alias(name)
 
-    return shares.groupBy("usuario_id").agg(spread("parte_tempo"), spread("parte_positivos"))
+    liked = F.when(F.col("positivo"), 1).otherwise(0)
+    return with_category(pairs, contents).groupBy("usuario_id").agg(
+        spread(F.coalesce("peso", F.lit(0)), "parte_tempo"), spread(liked, "parte_positivos")
+    )
 
 
-def user_profiles(pairs: DataFrame, contents: DataFrame, units: DataFrame) -> DataFrame:
-    """Everything scoring needs of a user, one row each."""
-    users = pairs.select("usuario_id").distinct()
+def user_profiles(pairs: DataFrame, contents: DataFrame, measured: DataFrame) -> DataFrame:
+    """Everything scoring needs of a user, one row each; every user has a row of shares."""
     return (
-        users.join(centroid_views(pairs, units), "usuario_id", "left")
-        .join(centroid_likes(pairs, units), "usuario_id", "left")
-        .join(share_vectors(category_shares(pairs, contents)), "usuario_id", "left")
+        share_vectors(pairs, contents)
+        .join(centroid_views(pairs, measured), "usuario_id", "left")
+        .join(centroid_likes(pairs, measured), "usuario_id", "left")
     )
 
 
-def content_matrix(contents: DataFrame, units: DataFrame) -> DataFrame:
+def content_matrix(contents: DataFrame, measured: DataFrame) -> DataFrame:
     """Catalogue rows with the position of their category and, if any, their vector."""
     labels = F.array(*[F.lit(c) for c in CATEGORIES])
     slot = (F.array_position(labels, F.col("categoria")) - 1).cast("int")
-    return contents.select("conteudo_id", slot.alias("categoria_pos")).join(units, "conteudo_id", "left")
+    return contents.select("conteudo_id", slot.alias("categoria_pos")).join(measured, "conteudo_id", "left")
 
 
 def round_half_even(values: np.ndarray) -> np.ndarray:
@@ -132,21 +143,28 @@ ITEM = "struct<conteudo_id:bigint,pontuacao:double,ivis:double,icur:double>"
 BLOCK_SCHEMA = f"usuario_id bigint, negativas bigint, concluidas bigint, itens array<{ITEM}>"
 
 
-def _centroid_matrix(column: pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+def _rows_or_zeros(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a nullable list column, zeros where null, and which rows are there."""
+    column = column.combine_chunks()
     present = column.is_valid().to_numpy(zero_copy_only=False)
-    full = np.zeros((len(column), dimension))
+    full = np.zeros((len(column), width))
     if present.any():
-        full[present] = vectors.matrix(column.drop_null(), dimension)
+        full[present] = vectors.matrix(column.drop_null(), width)
     return full, present
 
 
+def _unit_rows(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with every row scaled to length one; a row of length zero counts as absent."""
+    full, _present = _rows_or_zeros(column, width)
+    length = np.linalg.norm(full, axis=1)
+    return full / np.where(length > 0, length, 1.0)[:, None], length > 0
+
+
 def _index_scores(centroids, have, shares, items, has_vector, slots) -> np.ndarray:
     scores = shares[:, slots]
     if has_vector.any() and have.any():
-        close = np.clip(centroids[have] @ items[has_vector].T, 0.0, 1.0)
-        scores[np.ix_(have, has_vector)] = close
-    return np.clip(scores, 0.0, 1.0)
+        scores[np.ix_(have, has_vector)] = centroids[have] @ items[has_vector].T
+    return np.clip(scores, 0.0, 1.0, out=scores)
 
 
 def _best_per_row(ranked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,11 +191,11 @@ def _score_block(n: int, dimension: int):
         contents = contents.sort_by("conteudo_id")
         ids = contents["conteudo_id"].to_numpy()
         slots = contents["categoria_pos"].to_numpy()
-        items, has_vector = _centroid_matrix(contents["vetor"].combine_chunks(), dimension)
-        vis, have_vis = _centroid_matrix(users["vis"].combine_chunks(), dimension)
-        cur, have_cur = _centroid_matrix(users["cur"].combine_chunks(), dimension)
-        time_share, _ = _centroid_matrix(users["parte_tempo"].combine_chunks(), len(CATEGORIES))
-        like_share, _ = _centroid_matrix(users["parte_positivos"].combine_chunks(), len(CATEGORIES))
+        items, has_vector = _unit_rows(contents["vetor"], dimension)
+        vis, have_vis = _unit_rows(users["vis"], dimension)
+        cur, have_cur = _unit_rows(users["cur"], dimension)
+        time_share, _ = _rows_or_zeros(users["parte_tempo"], len(CATEGORIES))
+        like_share, _ = _rows_or_zeros(users["parte_positivos"], len(CATEGORIES))
         ivis = _index_scores(vis, have_vis, time_share, items, has_vector, slots)
         icur = _index_scores(cur, have_cur, like_share, items, has_vector, slots)
         points = round_half_even((ivis + icur) / 2.0 * 100.0)
@@ -232,8 +250,8 @@ def score_blocks(
     short lists. Which contents a user completed arrives per block, hence bounded as well.
     """
     pairs = materialize(signals(interactions, minimum_rating), "sinais")
-    units = unit_vectors(store, model)
-    catalogue = content_matrix(contents, units)
+    measured = measured_vectors(store, model)
+    catalogue = content_matrix(contents, measured)
     sizes = contents.count(), pairs.select("usuario_id").distinct().count()
     content_blocks = max(1, math.ceil(sizes[0] / block_contents))
     user_blocks = max(1, math.ceil(sizes[1] / block_users))
@@ -250,7 +268,7 @@ def score_blocks(
         .withColumn("bloco", block("conteudo_id", content_blocks))
         .groupBy("usuario_id", "bloco").agg(F.collect_list("conteudo_id").alias("concluidos"))
     )
-    profiles = user_profiles(pairs, contents, units).withColumns({
+    profiles = user_profiles(pairs, contents, measured).withColumns({
         "bloco": F.explode(F.sequence(F.lit(0), F.lit(content_blocks - 1))),
         "grupo": block("usuario_id", user_blocks),
     })
@@ -311,15 +329,19 @@ def batch_log(summed: DataFrame, batch: str) -> DataFrame:
 
 def score_pairs(pairs: DataFrame, profiles: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Score given (user, content) pairs with column expressions; ``concluido`` closes a pair."""
+    users = profiles.withColumns({"_vis": vectors.norm(F.col("vis")), "_cur": vectors.norm(F.col("cur"))})
     rows = salted_lookup(pairs, catalogue, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"), "inner")
-    rows = salted_lookup(rows, profiles, ["usuario_id"], F.struct("usuario_id", "conteudo_id"), "inner")
+    rows = salted_lookup(rows, users, ["usuario_id"], F.struct("usuario_id", "conteudo_id"), "inner")
 
-    def index(centroid: str, shares: str) -> Column:
+    def index(centroid: str, length: str, shares: str) -> Column:
         share = F.coalesce(F.get(shares, F.col("categoria_pos")), F.lit(0.0))
-        close = F.when(F.col(centroid).isNotNull() & F.col("vetor").isNotNull(), vectors.dot(F.col(centroid), F.col("vetor")))
+        both = F.col(length) * F.col("norma")
+        close = F.when(both > 0, vectors.dot(F.col(centroid), F.col("vetor")) / both)
         return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(close, share)))
 
-    scored = rows.withColumns({"ivis": index("vis", "parte_tempo"), "icur": index("cur", "parte_positivos")})
+    scored = rows.withColumns({
+        "ivis": index("vis", "_vis", "parte_tempo"), "icur": index("cur", "_cur", "parte_positivos"),
+    })
     open_flag = F.when(F.col("concluido"), 0).otherwise(1)
     points = vectors.round_places((F.col("ivis") + F.col("icur")) / 2 * 100 * open_flag, 2)
     return scored.select(

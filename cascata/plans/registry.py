@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cascata.functions import casts, text
+from cascata.functions.vectors import scaled_to_unit
 from cascata.operators import (
     audit, clean, governance, gold, kpi, load, lookups, master_data, merge, privacy, quality, quarantine,
     recommend, search, silver, validate,
@@ -421,9 +422,9 @@ def validated(L: Layers) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
-query("validate_catalog", V_CATALOG)(lambda L: validated(L)[0])
-query("validate_interactions", V_INTERACTION)(lambda L: validated(L)[1])
-query("validate_comments", V_COMMENT)(lambda L: validated(L)[2])
+query("validate_catalog", V_CATALOG)(lambda L: validate.validate_catalog(L.catalog))
+query("validate_interactions", V_INTERACTION)(lambda L: validate.validate_interactions(L.raw_interactions, L.catalog))
+query("validate_comments", V_COMMENT)(lambda L: validate.validate_comments(L.raw_comments, L.catalog, L.raw_interactions))
 V_ALL = f"SELECT * FROM ({V_CATALOG}) UNION ALL SELECT * FROM ({V_INTERACTION}) UNION ALL SELECT * FROM ({V_COMMENT})"
 query("validation_report", f"SELECT fonte, classificacao, count(*) AS total FROM ({V_ALL}) GROUP BY ALL")(
     lambda L: validate.report_counts(*validated(L)))
@@ -1085,9 +1086,9 @@ def centroid_query(name: str, column: str):
     sql = f"""SELECT usuario_id, generate_subscripts({column}, 1) - 1 AS pos, round(unnest({column}) / sqrt(list_dot_product({column}, {column})), 6) AS valor FROM centroide_{column}"""
 
     def run(L: Layers) -> DataFrame:
-        pairs, units = recommend.signals(L.interactions), recommend.unit_vectors(L.store, MODEL)
-        made = recommend.centroid_views(pairs, units) if column == "vis" else recommend.centroid_likes(pairs, units)
-        return made.select("usuario_id", F.posexplode(column).alias("pos", "valor")).withColumn("valor", F.round("valor", 6))
+        pairs, measured = recommend.signals(L.interactions), recommend.measured_vectors(L.store, MODEL)
+        made = recommend.centroid_views(pairs, measured) if column == "vis" else recommend.centroid_likes(pairs, measured)
+        return scaled_to_unit(made, column).select("usuario_id", F.posexplode(column).alias("pos", "valor")).withColumn("valor", F.round("valor", 6))
 
     query(name, sql)(run)
 
@@ -1102,9 +1103,9 @@ query("rec_category_share", "SELECT usuario_id, categoria, round(parte_tempo, 9)
 @query("rec_score", "SELECT usuario_id, conteudo_id, CAST(pontuacao AS DOUBLE) AS pontuacao, round_even(ivis, 4) AS ivis, round_even(icur, 4) AS icur, iconc, classificacao FROM classes WHERE tocado")
 def _(L):
     pairs = materialize(recommend.signals(L.interactions), "sinais")
-    units = recommend.unit_vectors(L.store, MODEL)
-    return recommend.score_pairs(pairs.select("usuario_id", "conteudo_id", "concluido"), recommend.user_profiles(pairs, L.contents, units),
-                                 recommend.content_matrix(L.contents, units))
+    measured = recommend.measured_vectors(L.store, MODEL)
+    return recommend.score_pairs(pairs.select("usuario_id", "conteudo_id", "concluido"), recommend.user_profiles(pairs, L.contents, measured),
+                                 recommend.content_matrix(L.contents, measured))
 
 
 query("rec_classify", "SELECT event_id AS ordem, CASE WHEN event_id % 11 = 0 OR value / 5 <= 40 THEN 'Negativo' WHEN value / 5 >= 70 THEN 'Positivo' ELSE 'Estável' END AS classificacao FROM events")(
