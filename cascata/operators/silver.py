@@ -23,9 +23,6 @@ from cascata.schemas import (
 )
 
 ORDER = "ordem"
-QUARANTINE_COLUMNS = [
-    "registro_id", "origem", "regra_violada", "mensagem", "execucao_id", "payload_original", "status",
-]
 
 
 def outside(column: str, domain: list[str]) -> Column:

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SALTS = 16
+
+def salt_count(spark: SparkSession) -> int:
+    """Copies of a dimension row: more on a larger cluster, between 16 and 128.
+
+    What is left of a hot key in one (key, salt) is split further by Spark's own skew join,
+    which only has to cut a shuffle partition here, not rescue the whole stage.
+    """
+    return max(16, min(128, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
 
 
 def salted_lookup(
@@ -13,7 +20,7 @@ def salted_lookup(
     on: list[str],
     row_id: Column,
     how: str = "left",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join many facts to a dimension that has one row per key.
 
@@ -22,6 +29,7 @@ def salted_lookup(
     dimension when its measured size is under ``autoBroadcastJoinThreshold`` and shuffles
     both sides by (key, salt) beyond it.
     """
+    salts = salts or salt_count(facts.sparkSession)
     spread = facts.withColumn("_sal", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
     copies = dimension.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*on, "_sal"], how).drop("_sal")

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.operators import audit, gold, lookups, quality, quarantine, silver
 from cascata.sources import files, writers
-from cascata.schemas import COMMENT_COLUMNS, INTERACTION_COLUMNS
+from cascata.schemas import (
+    CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, QUALITY_RESULT, QUARANTINE_COLUMNS, bronze_schema, text_schema,
+)
+
+BRONZE_COLUMNS = {"catalogo": CATALOG_COLUMNS, "interacoes": INTERACTION_COLUMNS, "comentarios": COMMENT_COLUMNS}
 
 
 @dataclass(frozen=True)
@@ -45,11 +49,16 @@ class Run:
             raise
         self.log(name, "fim", result)
 
-    def read(self, layer: str) -> DataFrame:
-        return self.spark.read.parquet(self.paths.layer(layer))
+    def read(self, layer: str, schema=None) -> DataFrame:
+        """A stored layer; run-partitioned ones are read by schema, so ids stay text and an empty one can be read."""
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.parquet(self.paths.layer(layer))
+
+    def read_bronze(self, name: str) -> DataFrame:
+        return files.latest_batch(self.read(f"bronze/{name}", bronze_schema(BRONZE_COLUMNS[name])))
 
-    def of_run(self, layer: str) -> DataFrame:
-        return self.read(layer).where(f"execucao_id = '{self.run_id}'")
+    def read_results(self) -> DataFrame:
+        return self.read("qualidade", QUALITY_RESULT)
 
     def bronze(self) -> str:
         p, s, run = self.paths, self.spark, self.run_id
@@ -66,14 +75,14 @@ class Run:
     def silver(self) -> str:
         """Contents first: interactions and comments refer to them."""
         p = self.paths
-        judged_contents = silver.judge_content(files.latest_batch(self.read("bronze/catalogo")))
+        judged_contents = silver.judge_content(self.read_bronze("catalogo"))
         self._split(judged_contents, silver.SILVER_CONTENT, "catalogo", "conteudo")
         contents = self.read("silver/conteudo")
         for name, table, judge, schema in (
             ("interacoes", "interacao", silver.judge_interactions, silver.SILVER_INTERACTION),
             ("comentarios", "comentario", silver.judge_comments, silver.SILVER_COMMENT),
         ):
-            judged = judge(files.latest_batch(self.read(f"bronze/{name}")), contents)
+            judged = judge(self.read_bronze(name), contents)
             self._split(judged, schema, name, table)
         return "sucesso"
 
@@ -83,7 +92,7 @@ class Run:
         judged.write.mode("overwrite").parquet(staged)
         stored = self.spark.read.parquet(staged)
         silver.to_contract(stored, schema).write.mode("overwrite").parquet(self.paths.layer(f"silver/{table}"))
-        rejected = silver.to_quarantine(stored, source).withColumn("execucao_id", silver.F.lit(self.run_id))
+        rejected = silver.to_quarantine(stored, source).withColumn("execucao_id", F.lit(self.run_id))
         writers.append_run(rejected, self.paths.layer(f"quarentena/{source}"))
 
     def silver_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -92,14 +101,14 @@ class Run:
     def quality(self) -> str:
         results = quality.run_tests(*self.silver_tables(), self.run_id)
         writers.append_run(results, self.paths.layer("qualidade"))
-        return quality.verdict(self.of_run("qualidade")).first()["resultado"]
+        return quality.verdict(self.read_results().where(F.col("execucao_id") == self.run_id)).first()["resultado"]
 
     def gate(self) -> str:
-        quality.enforce_gate(self.read("qualidade"), self.run_id)
+        quality.enforce_gate(self.read_results(), self.run_id)
         return "sucesso"
 
     def gold(self, recommendations: DataFrame) -> str:
-        quality.enforce_gate(self.read("qualidade"), self.run_id)
+        quality.enforce_gate(self.read_results(), self.run_id)
         writers.publish_version(
             gold_tables(*self.silver_tables()[:2], recommendations, self.run_id), self.paths.layer("gold"), self.run_id
         )
@@ -115,8 +124,8 @@ class Run:
         return "sucesso"
 
     def quarantined(self) -> DataFrame:
-        columns = silver.QUARANTINE_COLUMNS
-        parts = [self.read(f"quarentena/{n}").select(columns) for n in ("catalogo", "interacoes", "comentarios", "arquivos")]
+        stored = text_schema(QUARANTINE_COLUMNS)
+        parts = [self.read(f"quarentena/{n}", stored).select(QUARANTINE_COLUMNS) for n in ("catalogo", "interacoes", "comentarios", "arquivos")]
         return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
     def summary(self) -> DataFrame:

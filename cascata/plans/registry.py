@@ -11,7 +11,7 @@ from cascata.functions import casts, text
 from cascata.functions.vectors import scaled_to_unit
 from cascata.operators import (
     audit, clean, governance, gold, kpi, load, lookups, master_data, merge, privacy, quality, quarantine,
-    recommend, search, silver, validate,
+    recommend, search, silver, validate, vector_index,
 )
 from cascata.plans.layers import BATCH, DIMENSION, MODEL, RUN, Layers, layers
 from cascata.plans.oracle import DAY, INSTANT, pct, ratio, with_ctes
@@ -1068,6 +1068,16 @@ query("semantic_search_batch", " UNION ALL ".join(
     f"SELECT 'q{v}' AS consulta, {FOUND} FROM ({hits_sql(vector_sql(v), chr(39).join(['v.modelo = ', 'base', '']), 5)}) h JOIN silver_conteudo c USING (conteudo_id)"
     for v in QUERY_VECTORS))(
     lambda L: search.semantic_search_batch(L.store, L.contents, {f"q{v}": query_vector(L, v) for v in QUERY_VECTORS}, 5, MODEL))
+
+
+@query("ann_search", f"SELECT {FOUND} FROM ({hits_sql(vector_sql(QUERY_VECTORS[1]), chr(39).join(['v.modelo = ', 'base', '']), 5)}) h JOIN silver_conteudo c USING (conteudo_id)")
+def _(L):
+    path = new_folder(L.spark, "indice")
+    known = L.store.join(L.contents.select("conteudo_id"), "conteudo_id", "left_semi")
+    vector_index.build_index(known, MODEL, DIMENSION, path, cells=32)
+    return vector_index.indexed_search(L.spark, path, L.contents, query_vector(L, QUERY_VECTORS[1]), 5)
+
+
 query("similar_contents", f"SELECT {FOUND} FROM ({hits_sql(vector_sql(CONTENT), 'true', 5)}) h JOIN silver_conteudo c USING (conteudo_id)")(
     lambda L: search.similar_contents(L.store, L.contents, CONTENT, 5))
 PROFILE = f"""(SELECT list(m ORDER BY d) FROM (SELECT t.d, avg(v.vetor[t.d]) AS m FROM silver_interacao i JOIN vetores v USING (conteudo_id),

@@ -45,6 +45,15 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+QUARANTINE_COLUMNS = [
+    "registro_id", "origem", "regra_violada", "mensagem", "execucao_id", "payload_original", "status",
+]
+
+
+def bronze_schema(columns: list[str]) -> T.StructType:
+    return text_schema([*columns, *AUDIT_COLUMNS]).add("ordem", T.LongType())
+
+
 SILVER_CONTENT = T.StructType([
     T.StructField("conteudo_id", T.LongType()),
     T.StructField("titulo", T.StringType()),
