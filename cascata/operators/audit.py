@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cascata.operators.onerow import side_by_side
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("execucao_id", T.StringType()),
     T.StructField("etapa", T.StringType()),
@@ -36,16 +38,17 @@ def stage_summary(events: DataFrame, quarantine: DataFrame, run_id: str) -> Data
     waiting = quarantine.where((F.col("execucao_id") == run_id) & (F.col("status") == "pendente")).agg(
         F.count(F.lit(1)).alias("_pendentes")
     )
-    final = worst.crossJoin(waiting).select(
+    final = side_by_side(worst, waiting).select(
+        F.lit(run_id).alias("execucao_id"),
         F.when(F.col("_falhas") > 0, "falha")
         .when((F.col("_ressalvas") > 0) | (F.col("_pendentes") > 0), "sucesso com ressalvas")
-        .otherwise("sucesso").alias("resultado_final")
+        .otherwise("sucesso").alias("resultado_final"),
     )
     seconds = (F.unix_micros(F.col("fim").cast("timestamp")) - F.unix_micros(F.col("inicio").cast("timestamp"))) / 1e6
-    return stages.crossJoin(F.broadcast(final)).select(
+    return stages.withColumn("execucao_id", F.lit(run_id)).join(final, "execucao_id").select(
         "etapa",
         F.date_format("inicio", "yyyy-MM-dd HH:mm:ss").alias("inicio"),
         F.date_format("fim", "yyyy-MM-dd HH:mm:ss").alias("fim"),
         F.round(seconds, 3).alias("duracao_segundos"),
-        "resultado", "resultado_final", F.lit(run_id).alias("execucao_id"),
+        "resultado", "resultado_final", "execucao_id",
     ).orderBy("inicio")

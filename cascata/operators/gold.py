@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cascata.functions import metrics
+from cascata.operators.onerow import side_by_side
 from cascata.schemas import AUDIT_COLUMNS
 
 CONVERTING_TYPES = ["visualização", "início", "conclusão", "curtida"]
@@ -146,7 +147,7 @@ def overall_counts(interactions: DataFrame) -> DataFrame:
 def kpi_overall(
     contents: DataFrame, interactions: DataFrame, conversion: DataFrame, run_id: str
 ) -> DataFrame:
-    """One row; the three inputs joined here have exactly one row each."""
+    """One row of headline numbers."""
     measured = overall_counts(interactions).select(
         "usuarios_ativos", "total_interacoes",
         metrics.completion_rate().alias("taxa_conclusao_pct"),
@@ -157,7 +158,7 @@ def kpi_overall(
     conversion = conversion.select(
         "total_recomendacoes", F.col("taxa_conversao_pct").alias("taxa_conversao_recomendacao_pct")
     )
-    return measured.crossJoin(catalogue).crossJoin(conversion).withColumn("execucao_id", F.lit(run_id))
+    return side_by_side(measured, catalogue, conversion).withColumn("execucao_id", F.lit(run_id))
 
 
 def engines_agree(left: DataFrame, right: DataFrame) -> DataFrame:

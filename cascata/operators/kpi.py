@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cascata.functions import metrics
 from cascata.operators import gold
+from cascata.operators.onerow import side_by_side
 
 
 def metrics_overall(contents: DataFrame, interactions: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """One row of headline numbers; each joined side has exactly one row."""
+    """One row of headline numbers."""
     measured = gold.overall_counts(interactions).select(
         F.col("usuarios_ativos").alias("total_usuarios"),
         "total_interacoes",
@@ -25,7 +26,7 @@ def metrics_overall(contents: DataFrame, interactions: DataFrame, recommendation
         metrics.rate_pct(F.count_if(F.col("classificacao") == "Positivo"), F.count(F.lit(1)))
         .alias("taxa_recomendacoes_positivas_pct"),
     )
-    return measured.crossJoin(catalogue).crossJoin(batch)
+    return side_by_side(measured, catalogue, batch)
 
 
 def category_performance(contents: DataFrame, interactions: DataFrame) -> DataFrame:
@@ -226,9 +227,8 @@ def format_ranking(kpi_format: DataFrame) -> DataFrame:
 
 
 def conversion_status(kpi_conversion: DataFrame, kpi_overall: DataFrame, goal: float = 8) -> DataFrame:
-    """Text of the conversion goal; two one-row tables side by side."""
-    users = kpi_overall.select("usuarios_ativos")
-    return kpi_conversion.crossJoin(users).select(
+    """Text of the conversion goal beside the number of active users."""
+    return side_by_side(kpi_conversion, kpi_overall.select("usuarios_ativos")).select(
         "total_recomendacoes", "recomendacoes_com_interacao", "taxa_conversao_pct", "usuarios_ativos",
         F.when(F.col("taxa_conversao_pct") < goal, "dispara alerta").otherwise("dentro da meta").alias("situacao"),
         F.date_format("lote_gerado_em", "yyyy-MM-dd HH:mm").alias("lote_recomendacao"),

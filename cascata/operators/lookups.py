@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cascata.functions import metrics
 from cascata.operators.gold import last_batch
+from cascata.operators.onerow import side_by_side
 from cascata.operators.skew import salted_lookup
 
 
@@ -39,7 +40,7 @@ def embedding_totals(store: DataFrame) -> DataFrame:
                                                    F.max("modelo").alias("_maior"))
     sizes = per_content.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_embeddings"), F.count(F.lit(1)).alias("conteudos"))
     models = store.select("modelo").distinct().agg(F.count("modelo").alias("modelos"))
-    return sizes.crossJoin(models).select("total_embeddings", "modelos", "conteudos")
+    return side_by_side(sizes, models).select("total_embeddings", "modelos", "conteudos")
 
 
 def orphan_interactions(interactions: DataFrame, users: DataFrame, contents: DataFrame, row_id: str) -> DataFrame:

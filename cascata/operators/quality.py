@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.functions import metrics
+from cascata.operators.onerow import side_by_side
 from cascata.schemas import QUALITY_RESULT
 
 
@@ -109,12 +110,10 @@ def describe_results(measures: DataFrame, run_id: str) -> DataFrame:
 
 
 def run_tests(contents: DataFrame, interactions: DataFrame, comments: DataFrame, run_id: str) -> DataFrame:
-    """The five tests of one run; the three joined frames have one row each."""
+    """The five tests of one run, each table read once."""
     check_run_id(run_id)
-    measures = (
-        title_completeness(contents)
-        .crossJoin(interaction_measures(interactions))
-        .crossJoin(comment_integrity(comments, contents))
+    measures = side_by_side(
+        title_completeness(contents), interaction_measures(interactions), comment_integrity(comments, contents)
     )
     return describe_results(measures, run_id)
 
