@@ -144,6 +144,7 @@ def reprocess_report(quarantine: DataFrame) -> DataFrame:
 def corrupt_file_entries(corrupt: DataFrame, run_id: str) -> DataFrame:
     """One entry per unreadable file; an empty file list is not a fault."""
     return corrupt.select(
+        F.monotonically_increasing_id().alias("id"),
         F.concat(F.lit("arquivo:"), F.col("arquivo")).alias("registro_id"),
         F.col("origem"), F.lit("ARQUIVO_CORROMPIDO").alias("regra_violada"),
         F.col("erro").alias("mensagem"), F.lit(run_id).alias("execucao_id"),

@@ -162,16 +162,21 @@ def judge_comments(raw: DataFrame, contents: DataFrame) -> DataFrame:
     )
 
 
-def to_contract(judged: DataFrame, schema) -> DataFrame:
-    """Approved rows under the Silver schema, audit columns kept."""
+def under_contract(rows: DataFrame, schema) -> DataFrame:
+    """Rows under the Silver schema, audit columns kept."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return rules.approved(judged).select(*typed, *AUDIT_COLUMNS)
+    return rows.select(*typed, *AUDIT_COLUMNS)
+
+
+def to_contract(judged: DataFrame, schema) -> DataFrame:
+    return under_contract(rules.approved(judged), schema)
 
 
-def to_quarantine(judged: DataFrame, source: str) -> DataFrame:
+def to_quarantine(judged: DataFrame, source: str, first_id: int = 0) -> DataFrame:
+    """Rejected rows as entries numbered after ``first_id`` in the order of Bronze."""
     return rules.rejected(judged).select(
-        "registro_id", F.lit(source).alias("origem"), "regra_violada", "mensagem",
-        "execucao_id", "payload_original", F.lit("pendente").alias("status"),
+        (F.col(ORDER) + first_id).alias("id"), "registro_id", F.lit(source).alias("origem"), "regra_violada",
+        "mensagem", "execucao_id", "payload_original", F.lit("pendente").alias("status"),
     )
 
 

@@ -81,13 +81,7 @@ class Layers:
                 (silver.judge_interactions(self.raw_interactions, self.contents), "interacoes"),
                 (silver.judge_comments(self.raw_comments, self.contents), "comentarios"),
             ]
-            frames = [
-                silver.rules.rejected(judged).select(
-                    F.col("ordem").alias("id"), "registro_id", F.lit(source).alias("origem"), "regra_violada",
-                    "mensagem", "execucao_id", "payload_original", F.lit("pendente").alias("status"),
-                )
-                for judged, source in parts
-            ]
+            frames = [silver.to_quarantine(judged, source) for judged, source in parts]
             return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
         return self._once("quarentena", build)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.operators import audit, gold, lookups, quality, quarantine, silver
+from cascata.session import materialize
 from cascata.sources import files, writers
 from cascata.schemas import (
-    CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, QUALITY_RESULT, QUARANTINE_COLUMNS, bronze_schema, text_schema,
+    CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, QUALITY_RESULT, QUARANTINE_COLUMNS, bronze_schema, quarantine_schema,
 )
 
 BRONZE_COLUMNS = {"catalogo": CATALOG_COLUMNS, "interacoes": INTERACTION_COLUMNS, "comentarios": COMMENT_COLUMNS}
@@ -92,8 +94,10 @@ class Run:
         judged.write.mode("overwrite").parquet(staged)
         stored = self.spark.read.parquet(staged)
         silver.to_contract(stored, schema).write.mode("overwrite").parquet(self.paths.layer(f"silver/{table}"))
-        rejected = silver.to_quarantine(stored, source).withColumn("execucao_id", F.lit(self.run_id))
-        writers.append_run(rejected, self.paths.layer(f"quarentena/{source}"))
+        rejected = silver.to_quarantine(stored, source, self.next_id(source))
+        writers.append_run(
+            rejected.withColumn("execucao_id", F.lit(self.run_id)), self.paths.layer(f"quarentena/{source}")
+        )
 
     def silver_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.read("silver/conteudo"), self.read("silver/interacao"), self.read("silver/comentario")
@@ -123,11 +127,52 @@ class Run:
         writers.append_run(lookups.table_snapshot(tables, self.run_id), self.paths.layer("metadados"))
         return "sucesso"
 
+    def queue(self, source: str) -> DataFrame:
+        return self.read(f"quarentena/{source}", quarantine_schema()).select(QUARANTINE_COLUMNS)
+
+    def next_id(self, source: str) -> int:
+        """Number after the last entry of a source's quarantine that belongs to an earlier run."""
+        try:
+            earlier = self.queue(source).where(F.col("execucao_id") != self.run_id)
+        except AnalysisException:  # nothing was ever written there
+            return 0
+        return (earlier.agg(F.max("id")).first()[0] or 0) + 1
+
     def quarantined(self) -> DataFrame:
-        stored = text_schema(QUARANTINE_COLUMNS)
-        parts = [self.read(f"quarentena/{n}", stored).select(QUARANTINE_COLUMNS) for n in ("catalogo", "interacoes", "comentarios", "arquivos")]
+        parts = [self.queue(name) for name in (*BRONZE_COLUMNS, "arquivos")]
         return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
+    def reprocess(self) -> DataFrame:
+        """Give pending entries another chance against Silver as it is now; contents first."""
+        contents = self.read("silver/conteudo")
+        accepted, status, renewed = quarantine.reprocess_catalog(self.queue("catalogo"), contents, self.run_id)
+        renewed = materialize(renewed, "renovados")
+        self._enter(accepted, silver.SILVER_CONTENT, "conteudo")
+        self._restate("catalogo", status)
+        numbered = renewed.withColumn("id", F.monotonically_increasing_id() + self.next_id("catalogo"))
+        writers.append_run(numbered.select(QUARANTINE_COLUMNS), self.paths.layer("quarentena/catalogo"))
+        for source, table, again, schema in (
+            ("interacoes", "interacao", quarantine.reprocess_interactions, silver.SILVER_INTERACTION),
+            ("comentarios", "comentario", quarantine.reprocess_comments, silver.SILVER_COMMENT),
+        ):
+            accepted, status = again(
+                self.queue(source), self.read("silver/conteudo"), self.read(f"silver/{table}"), self.run_id
+            )
+            self._enter(accepted, schema, table)
+            self._restate(source, status)
+        return quarantine.reprocess_report(self.quarantined())
+
+    def _enter(self, accepted: DataFrame, schema, table: str) -> None:
+        stored = materialize(silver.under_contract(accepted, schema), "aceitos")
+        stored.write.mode("append").parquet(self.paths.layer(f"silver/{table}"))
+
+    def _restate(self, source: str, status: DataFrame) -> None:
+        """Rewrite the entries whose run has a changed status; other run folders stay as they are."""
+        updated = materialize(status, "situacao")
+        changed = updated.where("status = 'reprocessado'").select("execucao_id").distinct()
+        rewritten = materialize(updated.join(changed, "execucao_id", "left_semi"), "situacao_nova")
+        writers.append_run(rewritten.select(QUARANTINE_COLUMNS), self.paths.layer(f"quarentena/{source}"))
+
     def summary(self) -> DataFrame:
         return audit.stage_summary(self.read("auditoria"), self.quarantined(), self.run_id)
 

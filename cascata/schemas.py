@@ -46,10 +46,17 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 QUARANTINE_COLUMNS = [
-    "registro_id", "origem", "regra_violada", "mensagem", "execucao_id", "payload_original", "status",
+    "id", "registro_id", "origem", "regra_violada", "mensagem", "execucao_id", "payload_original", "status",
 ]
 
 
+def quarantine_schema() -> T.StructType:
+    """``id`` grows with every entry; the payload is the raw row as JSON text."""
+    return T.StructType([
+        T.StructField(c, T.LongType() if c == "id" else T.StringType()) for c in QUARANTINE_COLUMNS
+    ])
+
+
 def bronze_schema(columns: list[str]) -> T.StructType:
     return text_schema([*columns, *AUDIT_COLUMNS]).add("ordem", T.LongType())
 

@@ -238,6 +238,21 @@ def test_whole_run(spark, paths):
     assert spark.read.parquet(paths.layer("metadados")).count() == 10
 
 
+def test_pending_rows_enter_silver_once_their_content_exists(spark, paths):
+    run_medallion(spark, paths, recommendations(spark), "carga-1")
+    known = spark.read.parquet(paths.layer("silver/conteudo"))
+    known.limit(1).withColumn("conteudo_id", F.lit(9).cast("bigint")).write.mode("append").parquet(paths.layer("silver/conteudo"))
+    for run_id in ("reproc-1", "reproc-2"):  # the unreadable file keeps waiting
+        report = {r["origem"]: (r["reprocessados"], r["ainda_pendentes"]) for r in Run(spark, paths, run_id).reprocess().collect()}
+        assert report == {"interacoes": (1, 1)}
+    stored = spark.read.parquet(paths.layer("silver/interacao"))
+    assert stored.where("conteudo_id = 9").select("usuario_id", "execucao_id").collect() == [(2, "reproc-1")]
+    catalog = Run(spark, paths, "x").queue("catalogo")
+    assert sorted((r["execucao_id"], r["status"]) for r in catalog.collect()) == [
+        ("carga-1", "pendente"), ("reproc-1", "pendente"), ("reproc-2", "pendente")]
+    assert catalog.select("id").distinct().count() == 3
+
+
 def test_a_blocked_gate_leaves_gold_untouched(spark, paths, monkeypatch):
     run_medallion(spark, paths, recommendations(spark), "carga-1")
     monkeypatch.setattr(quality, "comment_integrity", lambda *_: spark.sql("select 3D as integridade_comentario_conteudo"))
