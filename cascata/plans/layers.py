@@ -7,7 +7,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.operators import gold, load, clean, recommend, silver
-from cascata.session import materialize
+from cascata.session import materialize, ship_package
 from cascata.sources import driver_tables as given
 
 DIMENSION = 64
@@ -128,5 +128,6 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
     key = (spark.sparkContext.applicationId, sf_dir)
     with _layers_lock:
         if key not in _layers:
+            ship_package(spark)
             _layers[key] = Layers(spark, sf_dir)
         return _layers[key]

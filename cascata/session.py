@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -52,3 +53,21 @@ def materialize(rows: DataFrame, label: str) -> DataFrame:
     path = new_folder(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python tasks import it; once per application.
+
+    Not needed when the job was submitted with the package in ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "cascata")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
