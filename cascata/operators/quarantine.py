@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cascata.functions import casts, text
 from cascata.operators import rules
-from cascata.operators.rules import Rule
-from cascata.operators.silver import ID_MESSAGE, bad_comment_rating, content_domain_rules, typed_comment, typed_content
+from cascata.operators.silver import CONTENT_MESSAGES, bad_comment_rating, content_rules, typed_comment, typed_content
 from cascata.operators.skew import newest_per_key, salted_lookup
 from cascata.schemas import (
     AUDIT_COLUMNS,
@@ -23,6 +22,9 @@ from cascata.schemas import (
 )
 from cascata.session import materialize
 
+# Fixed value: a pending catalogue row is a duplicate when Silver already has its content.
+REPROCESS_MESSAGES = CONTENT_MESSAGES | {"DUPLICADO": "conteudo_id ja existe em silver.conteudo; nada a reprocessar"}
+
 
 def status_counts(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("origem", "status").agg(F.count(F.lit(1)).alias("total"))
@@ -68,12 +70,7 @@ def reprocess_catalog(quarantine: DataFrame, contents: DataFrame, run_id: str) -
     """(rows for Silver, quarantine with new status, new quarantine entries)."""
     typed = typed_content(pending_payloads(quarantine, "catalogo", CATALOG_COLUMNS))
     known = contents.select("conteudo_id").withColumn("_existe", F.lit(True))
-    ordered = [
-        Rule("ID_INVALIDO", F.col("conteudo_id").isNull(), ID_MESSAGE),
-        Rule("DUPLICADO", F.col("_existe").isNotNull(),
-             "conteudo_id ja existe em silver.conteudo; nada a reprocessar"),
-        *content_domain_rules(),
-    ]
+    ordered = content_rules(REPROCESS_MESSAGES, F.col("_existe").isNotNull())
     judged = rules.apply_rules(salted_lookup(typed, known, ["conteudo_id"], F.col("quarentena_id")), ordered)
     judged = materialize(judged, "rejulgados")
     accepted = only_first(rules.approved(judged), ["conteudo_id"])

@@ -19,7 +19,10 @@ from cascata.operators.skew import salted_lookup
 from cascata.schemas import CATEGORIES
 from cascata.session import materialize
 
+# What counts as consumption, and the score limits of the classes.
 CONSUMING_TYPES = ["visualização", "início", "conclusão"]
+NEGATIVE_UP_TO, POSITIVE_FROM = 40, 70
+
 BLOCK_CONTENTS = 4096
 BLOCK_USERS = 2048
 
@@ -27,7 +30,7 @@ BLOCK_USERS = 2048
 def classify(score: Column, open_flag: Column) -> Column:
     """On the rounded score: up to 40 or completed is negative, from 70 positive, else stable."""
     return (
-        F.when((open_flag == 0) | (score <= 40), "Negativo").when(score >= 70, "Positivo").otherwise("Estável")
+        F.when((open_flag == 0) | (score <= NEGATIVE_UP_TO), "Negativo").when(score >= POSITIVE_FROM, "Positivo").otherwise("Estável")
     )
 
 
@@ -206,7 +209,7 @@ def _score_block(n: int, dimension: int):
         completed = np.zeros(points.shape, dtype=bool)
         completed[owner, place] = True
 
-        negative = completed | (points <= 40)
+        negative = completed | (points <= NEGATIVE_UP_TO)
         rows, chosen = _best_per_row(np.where(negative, -1.0, points), n)
         offsets = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(points))))).astype(np.int32)
         fields = {
@@ -297,7 +300,7 @@ def top_n(blocks: DataFrame, contents: DataFrame, n: int, batch: str) -> DataFra
 
 def summary(blocks: DataFrame, n: int) -> DataFrame:
     """Counters of a batch. A block keeps its best ``n`` per user, enough to count the kept ones."""
-    positive = F.size(F.filter("itens", lambda i: i["pontuacao"] >= 70))
+    positive = F.size(F.filter("itens", lambda i: i["pontuacao"] >= POSITIVE_FROM))
     per_user = blocks.groupBy("usuario_id").agg(
         F.sum("negativas").alias("negativas"), F.sum("concluidas").alias("concluidas"),
         F.sum(F.size("itens")).alias("_itens"), F.sum(positive).alias("_positivos"),

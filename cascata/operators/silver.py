@@ -29,21 +29,45 @@ def outside(column: str, domain: list[str]) -> Column:
     return F.col(column).isNull() | ~F.col(column).isin(domain)
 
 
-# Messages that go with each rule.
-USER_MESSAGE = "usuario_id ausente, nao numerico ou nao positivo na origem"
-REFERENCE_MESSAGE = "conteudo_id ausente, nao numerico ou sem correspondencia em silver.conteudo"
-TYPE_MESSAGE = "tipo fora do dominio oficial (Artigo, Curso, Podcast, Video)"
-CATEGORY_MESSAGE = "categoria fora do dominio oficial das 8 categorias"
-LEVEL_MESSAGE = "nivel fora do dominio oficial (Basico, Intermediario, Avancado)"
-ID_MESSAGE = "conteudo_id ausente ou nao numerico na origem"
-
-
-def content_domain_rules() -> list[Rule]:
-    return [
-        Rule("TIPO_FORA_DO_DOMINIO", outside("tipo", CONTENT_TYPES), TYPE_MESSAGE),
-        Rule("CATEGORIA_FORA_DO_DOMINIO", outside("categoria", CATEGORIES), CATEGORY_MESSAGE),
-        Rule("NIVEL_FORA_DO_DOMINIO", outside("nivel", LEVELS), LEVEL_MESSAGE),
-    ]
+# Rule codes in the order they are tried, with the message of each.
+CONTENT_MESSAGES = {
+    "ID_INVALIDO": "conteudo_id ausente ou nao numerico na origem",
+    "DUPLICADO": "conteudo_id duplicado no Bronze; mantida apenas a primeira ocorrencia",
+    "TIPO_FORA_DO_DOMINIO": "tipo fora do dominio oficial (Artigo, Curso, Podcast, Video)",
+    "CATEGORIA_FORA_DO_DOMINIO": "categoria fora do dominio oficial das 8 categorias",
+    "NIVEL_FORA_DO_DOMINIO": "nivel fora do dominio oficial (Basico, Intermediario, Avancado)",
+}
+INTERACTION_MESSAGES = {
+    "USUARIO_INVALIDO": "usuario_id ausente, nao numerico ou nao positivo na origem",
+    "REFERENCIA_INEXISTENTE": "conteudo_id ausente, nao numerico ou sem correspondencia em silver.conteudo",
+    "DUPLICADO": "chave de negocio (usuario_id, conteudo_id, data_hora) duplicada no Bronze; mantida apenas a primeira ocorrencia",
+    "TIPO_INTERACAO_FORA_DO_DOMINIO": "tipo_interacao fora do dominio oficial",
+    "DATA_INVALIDA": "data_hora ilegivel ou fora do formato esperado",
+    "PERCENTUAL_FORA_DA_FAIXA": "percentual_conclusao ilegivel ou fora da faixa 0-100",
+    "AVALIACAO_FORA_DA_FAIXA": "avaliacao_atribuida fora da faixa 1-5",
+}
+COMMENT_MESSAGES = {
+    "USUARIO_INVALIDO": "usuario_id ausente, nao numerico ou nao positivo na origem",
+    "REFERENCIA_INEXISTENTE": "conteudo_id ausente, nao numerico ou sem correspondencia em silver.conteudo",
+    "DUPLICADO": "chave de negocio (usuario_id, conteudo_id, data) duplicada no Bronze; mantida apenas a primeira ocorrencia",
+    "DATA_INVALIDA": "data ilegivel ou fora do formato esperado",
+    "AVALIACAO_FORA_DA_FAIXA": "avaliacao ilegivel ou fora da faixa 1-5",
+}
+
+
+def with_messages(broken: dict[str, Column], messages: dict[str, str]) -> list[Rule]:
+    """Rules in the order of their messages."""
+    return [Rule(code, broken[code], message) for code, message in messages.items()]
+
+
+def content_rules(messages: dict[str, str], repeated: Column) -> list[Rule]:
+    return with_messages({
+        "ID_INVALIDO": F.col("conteudo_id").isNull(),
+        "DUPLICADO": repeated,
+        "TIPO_FORA_DO_DOMINIO": outside("tipo", CONTENT_TYPES),
+        "CATEGORIA_FORA_DO_DOMINIO": outside("categoria", CATEGORIES),
+        "NIVEL_FORA_DO_DOMINIO": outside("nivel", LEVELS),
+    }, messages)
 
 
 def typed_content(raw: DataFrame) -> DataFrame:
@@ -66,12 +90,7 @@ def typed_content(raw: DataFrame) -> DataFrame:
 
 def judge_content(raw: DataFrame) -> DataFrame:
     marked = mark_repeats(typed_content(raw), ["conteudo_id"], ORDER)
-    ordered = [
-        Rule("ID_INVALIDO", F.col("conteudo_id").isNull(), ID_MESSAGE),
-        Rule("DUPLICADO", F.col("repetida"),
-             "conteudo_id duplicado no Bronze; mantida apenas a primeira ocorrencia"),
-        *content_domain_rules(),
-    ]
+    ordered = content_rules(CONTENT_MESSAGES, F.col("repetida"))
     return rules.apply_rules(marked, ordered).withColumn(
         "registro_id", rules.record_id("catalogo", {"conteudo_id": "_id_bruto"})
     )
@@ -103,20 +122,15 @@ def with_reference(rows: DataFrame, contents: DataFrame) -> DataFrame:
 def judge_interactions(raw: DataFrame, contents: DataFrame) -> DataFrame:
     marked = mark_repeats(typed_interaction(raw), ["usuario_id", "conteudo_id", "data_hora"], ORDER)
     percent, rating = F.col("percentual_conclusao"), F.col("avaliacao_atribuida")
-    ordered = [
-        Rule("USUARIO_INVALIDO", F.col("usuario_id").isNull(), USER_MESSAGE),
-        Rule("REFERENCIA_INEXISTENTE", F.col("_existe").isNull(), REFERENCE_MESSAGE),
-        Rule("DUPLICADO", F.col("repetida"),
-             "chave de negocio (usuario_id, conteudo_id, data_hora) duplicada no Bronze; "
-             "mantida apenas a primeira ocorrencia"),
-        Rule("TIPO_INTERACAO_FORA_DO_DOMINIO", outside("tipo_interacao", INTERACTION_TYPES),
-             "tipo_interacao fora do dominio oficial"),
-        Rule("DATA_INVALIDA", F.col("data_hora").isNull(), "data_hora ilegivel ou fora do formato esperado"),
-        Rule("PERCENTUAL_FORA_DA_FAIXA", percent.isNull() | (percent < 0) | (percent > 100),
-             "percentual_conclusao ilegivel ou fora da faixa 0-100"),
-        Rule("AVALIACAO_FORA_DA_FAIXA", (rating < 1) | (rating > 5),
-             "avaliacao_atribuida fora da faixa 1-5"),
-    ]
+    ordered = with_messages({
+        "USUARIO_INVALIDO": F.col("usuario_id").isNull(),
+        "REFERENCIA_INEXISTENTE": F.col("_existe").isNull(),
+        "DUPLICADO": F.col("repetida"),
+        "TIPO_INTERACAO_FORA_DO_DOMINIO": outside("tipo_interacao", INTERACTION_TYPES),
+        "DATA_INVALIDA": F.col("data_hora").isNull(),
+        "PERCENTUAL_FORA_DA_FAIXA": percent.isNull() | (percent < 0) | (percent > 100),
+        "AVALIACAO_FORA_DA_FAIXA": (rating < 1) | (rating > 5),
+    }, INTERACTION_MESSAGES)
     keys = {"usuario_id": "_usuario_bruto", "conteudo_id": "_conteudo_bruto", "data_hora": "_data_bruta"}
     return rules.apply_rules(with_reference(marked, contents), ordered).withColumn(
         "registro_id", rules.record_id("interacoes", keys)
@@ -147,15 +161,13 @@ def bad_comment_rating() -> Column:
 
 def judge_comments(raw: DataFrame, contents: DataFrame) -> DataFrame:
     marked = mark_repeats(typed_comment(raw), ["usuario_id", "conteudo_id", "data"], ORDER)
-    ordered = [
-        Rule("USUARIO_INVALIDO", F.col("usuario_id").isNull(), USER_MESSAGE),
-        Rule("REFERENCIA_INEXISTENTE", F.col("_existe").isNull(), REFERENCE_MESSAGE),
-        Rule("DUPLICADO", F.col("repetida"),
-             "chave de negocio (usuario_id, conteudo_id, data) duplicada no Bronze; "
-             "mantida apenas a primeira ocorrencia"),
-        Rule("DATA_INVALIDA", F.col("data").isNull(), "data ilegivel ou fora do formato esperado"),
-        Rule("AVALIACAO_FORA_DA_FAIXA", bad_comment_rating(), "avaliacao ilegivel ou fora da faixa 1-5"),
-    ]
+    ordered = with_messages({
+        "USUARIO_INVALIDO": F.col("usuario_id").isNull(),
+        "REFERENCIA_INEXISTENTE": F.col("_existe").isNull(),
+        "DUPLICADO": F.col("repetida"),
+        "DATA_INVALIDA": F.col("data").isNull(),
+        "AVALIACAO_FORA_DA_FAIXA": bad_comment_rating(),
+    }, COMMENT_MESSAGES)
     keys = {"usuario_id": "_usuario_bruto", "conteudo_id": "_conteudo_bruto", "data": "_data_bruta"}
     return rules.apply_rules(with_reference(marked, contents), ordered).withColumn(
         "registro_id", rules.record_id("comentarios", keys)
