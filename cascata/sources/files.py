@@ -118,6 +118,10 @@ def corrupt_files(spark: SparkSession, path: str, source: str, columns: list[str
 
 
 def latest_batch(bronze: DataFrame) -> DataFrame:
-    """Rows of the newest batch: one row names it, and partitioned Bronze is then pruned to it."""
-    newest = bronze.agg(F.max_by("execucao_id", "data_hora_ingestao").alias("execucao_id"))
-    return bronze.join(F.broadcast(newest), "execucao_id", "left_semi")
+    """Rows of the newest batch.
+
+    Its id, one value, is looked up first: as a constant it prunes the folders of a Bronze
+    partitioned by run, which a join on the id would not.
+    """
+    newest = bronze.agg(F.max_by("execucao_id", "data_hora_ingestao")).first()[0]
+    return bronze.where(F.col("execucao_id") == F.lit(newest).cast("string"))

@@ -238,6 +238,17 @@ def test_whole_run(spark, paths):
     assert spark.read.parquet(paths.layer("metadados")).count() == 10
 
 
+def test_latest_batch_prunes_folders(spark):
+    path = new_folder(spark, "lotes")
+    rows = spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("b", "2024-01-02", 3)],
+                                 "execucao_id string, data_hora_ingestao string, ordem int")
+    writers.append_run(rows, path)
+    newest = files.latest_batch(spark.read.parquet(path))
+    assert sorted(r["ordem"] for r in newest.collect()) == [2, 3]
+    assert "(execucao_id#" in newest._jdf.queryExecution().toString().split("PartitionFilters: ")[1]
+    assert files.latest_batch(spark.read.parquet(path).where("ordem > 9")).count() == 0
+
+
 def test_pending_rows_enter_silver_once_their_content_exists(spark, paths):
     run_medallion(spark, paths, recommendations(spark), "carga-1")
     known = spark.read.parquet(paths.layer("silver/conteudo"))
