@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import bpe, packing
+from cascata.llm import bpe, packing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     crc = packing.Digest("ids_crc32", T.LongType(), pa.int64(), lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
     return packing.pack(docs, vocabulary_path("byte_bpe_50k.json"), digest=crc)
@@ -50,6 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
     "op10_bpe": op10_bpe,
 }
