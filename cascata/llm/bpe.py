@@ -304,8 +304,8 @@ def encode_blocks(blocks: Iterator[pa.RecordBatch], encoder: Encoder, column: st
         texts = byte_texts(block.column(place))
         for a, b in slices([len(t) for t in texts], most):
             flat, lengths = encoder.encode([t.decode("utf-8", "replace") for t in texts[a:b]])
-            offsets = np.r_[0, np.cumsum(lengths)].astype(np.int64)
-            lists = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             part = block.slice(a, b - a)
             yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids])
 
@@ -318,7 +318,7 @@ def decode_blocks(blocks: Iterator[pa.RecordBatch], pieces: list[bytes], ids: st
         ends = np.asarray(lists.offsets).tolist()
         base = ends[0]
         texts = [b"".join(map(pieces.__getitem__, flat[a - base : b - base].tolist())).decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
-        yield pa.RecordBatch.from_arrays([*block.columns, pa.array(texts, pa.large_string())], names=[*block.schema.names, column])
+        yield pa.RecordBatch.from_arrays([*block.columns, pa.array(texts, pa.string())], names=[*block.schema.names, column])
 
 
 def share(docs: DataFrame, path: str):

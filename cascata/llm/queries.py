@@ -8,11 +8,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import bpe, packing, simhash
+from cascata.llm import bpe, packing, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,51 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+# The rules of the contract, and the host names whose pages make up the list.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+LISTED_HOSTS = ["ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets"]
+LISTED_PATTERN = f"(^|[.])({'|'.join(LISTED_HOSTS)})[.]"
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list is every canonical URL met on one of the listed hosts."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+    listed = pages.where(host.rlike(LISTED_PATTERN)).select(url_filter.canonical(host, path).alias("canonical_url"))
+    return url_filter.judge(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP8_SQL = f"""
+WITH parsed AS (
+    SELECT page_id,
+           coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), named AS (
+    SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '')
+                || regexp_replace(regexp_replace(path, '\\.html$', ''), '/+$', '') END AS canonical_url
+    FROM parsed
+), listed AS (
+    SELECT DISTINCT canonical_url AS u FROM named WHERE regexp_matches(host, '{LISTED_PATTERN}') AND canonical_url IS NOT NULL
+), ruled AS (
+    SELECT *, CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                   WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                   WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                   WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM named
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN u IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN listed ON canonical_url = u
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = vocabulary_path("byte_bpe_50k.json")
@@ -56,7 +101,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
+    "op8_url_filter": op8_url_filter,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_url_filter": OP8_SQL,
+}
