@@ -92,3 +92,56 @@ def slices(sizes: list[int], most: int, rows: int = 1 << 30) -> Iterator[tuple[i
         total += size
     if begin < len(sizes):
         yield begin, len(sizes)
+
+
+def whole_groups(blocks: Iterator[pa.RecordBatch], keys: list[str], least: int = 8192) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of sorted rows that hold whole groups, with the row at which each group starts.
+
+    A table has at least ``least`` rows, except the last, and ends with a group.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def starts_of(table: pa.Table) -> np.ndarray:
+        change = np.zeros(table.num_rows, bool)
+        change[0] = True
+        for key in keys:
+            values = table.column(key).to_numpy()
+            change[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(change)
+
+    for block in blocks:
+        if not block.num_rows:
+            continue
+        held.append(block)
+        if sum(b.num_rows for b in held) < least:
+            continue
+        table = pa.Table.from_batches(held)
+        starts = starts_of(table)
+        if len(starts) > 1:
+            cut = int(starts[-1])
+            yield table.slice(0, cut), starts[:-1]
+            held = pa.table(table.slice(cut)).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, starts_of(table)
+
+
+def vectors_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All components as doubles, where each row's begin, and how many it has; a null row has none, a null component is NaN."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = column.flatten()
+    values = flat.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
+    return values, np.cumsum(lengths) - lengths, lengths
+
+
+def usable(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Rows that have components, all of them finite and not all zero."""
+    good = np.zeros(len(lengths), bool)
+    full = np.flatnonzero(lengths > 0)
+    if full.size:
+        finite = np.minimum.reduceat(np.isfinite(values), starts[full])
+        nonzero = np.maximum.reduceat(values != 0, starts[full])
+        good[full] = finite & nonzero
+    return good

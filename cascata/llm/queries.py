@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import bpe, packing, simhash, url_filter
+from cascata.llm import bpe, cap_filters, packing, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ FROM ruled LEFT JOIN listed ON canonical_url = u
 """
 
 
+def op9_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = vocabulary_path("byte_bpe_50k.json")
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_neardup": op9_embedding_neardup,
     "op10_bpe": op10_bpe,
 }
 
