@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import bpe, cap_filters, packing, simhash, url_filter
+from cascata.llm import ann, bpe, cap_filters, packing, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 # The rules of the contract, and the host names whose pages make up the list.
 URL_RULES = [
     url_filter.Rule("block", "net", "/"),
@@ -105,6 +109,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
+    "op7_ann": op7_ann,
     "op8_url_filter": op8_url_filter,
     "op9_embedding_neardup": op9_embedding_neardup,
     "op10_bpe": op10_bpe,
