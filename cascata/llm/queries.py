@@ -12,13 +12,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import ann, bpe, cap_filters, packing, simhash, url_filter
+from cascata.llm import ann, bpe, cap_filters, lang_id, packing, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def id_remainder(column: str, divisor: int):
+    """crc32 of the id written as text, modulo a number."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+def language_model(docs: DataFrame) -> lang_id.LanguageModel:
+    return lang_id.fit(docs, id_remainder("doc_id", 4) != 2)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = lang_id.predict(docs.select("doc_id", "text"), language_model(docs))
+    held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -107,6 +123,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
     "op7_ann": op7_ann,
