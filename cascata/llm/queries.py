@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import ann, bpe, cap_filters, lang_id, packing, simhash, url_filter
+from cascata.llm import ann, bpe, cap_filters, lang_id, packing, quality, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.fit(docs)).drop("text")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     crc = packing.Digest("ids_crc32", T.LongType(), pa.int64(), lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))
     return packing.pack(docs, vocabulary_path("byte_bpe_50k.json"), digest=crc)
@@ -125,6 +130,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op7_ann": op7_ann,
     "op8_url_filter": op8_url_filter,
