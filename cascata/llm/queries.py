@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import ann, bpe, cap_filters, lang_id, packing, quality, simhash, url_filter
+from cascata.llm import ann, bpe, cap_filters, lang_id, packing, quality, simhash, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.grade(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
 
@@ -132,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_ann": op7_ann,
     "op8_url_filter": op8_url_filter,
     "op9_embedding_neardup": op9_embedding_neardup,
