@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import ann, bpe, cap_filters, lang_id, packing, quality, simhash, toxicity, url_filter
+from cascata.llm import ann, bpe, cap_filters, ctw, lang_id, packing, quality, simhash, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) == 0)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.score(docs, quality.fit(docs)).drop("text")
@@ -135,6 +139,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
+    "op3_lm_score": op3_lm_score,
     "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
