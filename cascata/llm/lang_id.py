@@ -71,12 +71,18 @@ def document_frequencies(docs: DataFrame, text_column: str, ngrams: Ngrams) -> t
     return total[:-1], int(total[-1])
 
 
-def sampled(rows: DataFrame, group: str, id_column: str, most: int) -> DataFrame:
-    """At most ``most`` rows of each group, by a hash of the id; the ids are chosen before the other columns are read."""
-    order = Window.partitionBy(group).orderBy("_h", id_column)
-    hashed = rows.select(id_column, group, F.xxhash64(id_column, F.lit(5)).alias("_h"))
-    chosen = hashed.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= most).select(id_column).distinct()
-    return rows.join(chosen, id_column, "left_semi")
+def sampled(rows: DataFrame, group: str, id_column: str, most: int, in_all: int = 20_000) -> DataFrame:
+    """About ``most`` rows of each group at most, ``in_all`` in all, by a hash of the id.
+
+    Ids are chosen before the other columns are read: each group is dealt into 16 parts by the hash,
+    and each part gives its first rows, which Spark limits before the shuffle. The chosen ids are
+    bounded by ``in_all`` and so can be broadcast.
+    """
+    order = Window.partitionBy(group, "_part").orderBy("_h", id_column)
+    hashed = rows.where(F.col(id_column).isNotNull()).select(id_column, group, F.xxhash64(id_column, F.lit(5)).alias("_h"))
+    placed = hashed.withColumn("_part", F.pmod("_h", F.lit(16))).withColumn("_place", F.row_number().over(order))
+    chosen = placed.where(F.col("_place") <= -(-most // 16)).orderBy("_place", "_h", id_column).limit(in_all).select(id_column).distinct()
+    return rows.join(F.broadcast(chosen), id_column, "left_semi")
 
 
 def sparse_rows(rows: DataFrame, text_column: str, target_column: str, ngrams: Ngrams) -> pa.Table:
