@@ -7,6 +7,10 @@ many blocks loses no pair. Within a group the bit planes lie vertically, 64 fing
 machine word; carry-save counters add up the differing planes of all of them at once, and words
 in which every count has passed the radius are abandoned.
 
+``keep_first`` looks for a similarity rather than a few bits: its fingerprints have 256 bits, and as
+no choice of blocks is sure to agree at the larger radius, groups are made of sampled bits, of which
+there are enough for a pair at the wanted similarity to be missed once in a hundred times.
+
 Cases: null text counts as empty; a text without words has the fingerprint zero and is linked
 like any other; fewer words than a shingle make one shingle; equal texts have equal fingerprints
 and one comparison; a null id has a fingerprint but links nothing; extra columns are ignored; an
@@ -15,13 +19,14 @@ empty table gives an empty result; very long texts are hashed whole, a slice at
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain, combinations, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cascata.llm.arrays import byte_texts, slices
 from cascata.llm.components import Forest, connected
@@ -56,12 +61,24 @@ def shingle_hashes(text: bytes, words: int) -> Iterator[np.ndarray]:
         yield np.array([xxhash.xxh64_intdigest(b" ".join(carried), SEED)], np.uint64)
 
 
+def widened(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """The hashes, and further words of bits mixed from them, one column each."""
+    columns = [hashes]
+    for lane in range(1, lanes):
+        x = hashes + np.uint64(lane * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        columns.append(x ^ (x >> np.uint64(31)))
+    return np.stack(columns, axis=1)
+
+
 def majority_bits(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Per text, the bits that are set in more than half of its hashes.
+    """Per text and lane, the bits that are set in more than half of its hashes (one column a lane).
 
     Eight counters share a machine word, so a run of at most 255 hashes is summed at once.
     """
-    texts = np.zeros(len(lengths), np.uint64)
+    lanes = hashes.shape[1]
+    texts = np.zeros((len(lengths), lanes), np.uint64)
     full = lengths > 0
     starts = (np.cumsum(lengths) - lengths)[full]
     if not starts.size:
@@ -69,51 +86,58 @@ def majority_bits(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     runs = -(-lengths[full] // 255)
     first = np.cumsum(runs) - runs
     run_starts = np.repeat(starts, runs) + 255 * (np.arange(runs.sum()) - np.repeat(first, runs))
-    lanes = _BIT_LANES[np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)]
-    counts = np.add.reduceat(lanes, run_starts, axis=0).view(np.uint8).astype(np.int64)
-    counts = np.add.reduceat(counts, first, axis=0)
-    set_ = 2 * counts > lengths[full][:, None]
-    texts[full] = np.packbits(set_, axis=1, bitorder="little").view(np.uint64).ravel()
+    for lane in range(lanes):
+        spread = _BIT_LANES[np.ascontiguousarray(hashes[:, lane]).view(np.uint8).reshape(-1, 8)]
+        counts = np.add.reduceat(spread, run_starts, axis=0).view(np.uint8).astype(np.int64)
+        counts = np.add.reduceat(counts, first, axis=0)
+        set_ = 2 * counts > lengths[full][:, None]
+        texts[full, lane] = np.packbits(set_, axis=1, bitorder="little").view(np.uint64).ravel()
     return texts
 
 
-def fingerprint(texts: list[bytes], words: int = 3) -> np.ndarray:
-    """64-bit fingerprints of texts."""
-    made = np.zeros(len(texts), np.uint64)
+def fingerprint(texts: list[bytes], words: int = 3, lanes: int = 1) -> np.ndarray:
+    """Fingerprints of 64 bits a lane, one row a text."""
+    made = np.zeros((len(texts), lanes), np.uint64)
     for a, b in slices([len(t) for t in texts], SLICE_BYTES):
         if b - a == 1 and len(texts[a]) > SLICE_BYTES:
-            total, lanes = 0, np.zeros(64, np.int64)
+            total, counts = 0, np.zeros((lanes, 64), np.int64)
             for part in shingle_hashes(texts[a], words):
                 total += len(part)
                 for c in range(0, len(part), 1 << 16):
-                    lanes += np.unpackbits(part[c : c + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            made[a] = np.packbits(2 * lanes > total, bitorder="little").view(np.uint64)[0]
+                    wide = np.ascontiguousarray(widened(part[c : c + (1 << 16)], lanes).T)
+                    counts += np.unpackbits(wide.view(np.uint8).reshape(lanes, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+            made[a] = np.packbits(2 * counts > total, axis=1, bitorder="little").view(np.uint64).ravel()
             continue
         each = [list(shingle_hashes(t, words)) for t in texts[a:b]]
         lengths = np.array([sum(map(len, parts)) for parts in each], np.int64)
-        made[a:b] = majority_bits(np.concatenate([np.empty(0, np.uint64), *chain.from_iterable(each)]), lengths)
+        hashes = np.concatenate([np.empty(0, np.uint64), *chain.from_iterable(each)])
+        made[a:b] = majority_bits(widened(hashes, lanes), lengths)
     return made
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3) -> DataFrame:
-    """(id, ``bits``): the fingerprint of every row as a signed long."""
+def lane_names(lanes: int) -> list[str]:
+    return [f"bits{k}" if k else "bits" for k in range(lanes)]
+
+
+def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, lanes: int = 1) -> DataFrame:
+    """(id, ``bits``, ``bits1``, ...): the fingerprint of every row as signed longs."""
     ship_package(docs.sparkSession)
-    kind = docs.schema[id_column].dataType.simpleString()
+    schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), *(T.StructField(n, T.LongType()) for n in lane_names(lanes))])
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
-            bits = fingerprint(byte_texts(block.column(1)), words).view(np.int64)
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(bits)], names=[id_column, "bits"])
+            bits = fingerprint(byte_texts(block.column(1)), words, lanes).view(np.int64)
+            yield pa.RecordBatch.from_arrays([block.column(0), *(pa.array(b) for b in bits.T)], names=[id_column, *lane_names(lanes)])
 
-    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, bits long")
+    return docs.select(id_column, text_column).mapInArrow(run, schema)
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
-    """64 rows, one per bit; 64 values to a word. Unused lanes hold zeros."""
+    """One row per bit of the values; 64 values to a word. Unused places hold zeros."""
     width = -(-len(values) // 64)
-    padded = np.zeros(64 * width, np.uint64)
+    padded = np.zeros((64 * width, values.shape[1]), np.uint64)
     padded[: len(values)] = values
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(padded.view(np.uint8), axis=1, bitorder="little")
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
@@ -124,20 +148,20 @@ def near(queries: np.ndarray, planes: np.ndarray, n: int, radius: int) -> tuple[
     """
     width = planes.shape[1]
     rows, words = np.divmod(np.arange(len(queries) * width), width)
-    wanted = [np.where((queries >> np.uint64(k)) & np.uint64(1), _FULL, np.uint64(0)) for k in range(64)]
+    wanted = [np.where((queries[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1), _FULL, np.uint64(0)) for k in range(len(planes))]
     size = max(1, radius.bit_length())
     offset = (1 << size) - 1 - radius
     counters = [np.full(len(rows), _FULL if offset >> b & 1 else 0, np.uint64) for b in range(size)]
     passed = np.zeros(len(rows), np.uint64)
     passed[words == width - 1] = _FULL << np.uint64(n - 64 * (width - 1)) if n % 64 else np.uint64(0)
-    for k in range(64):
+    for k in range(len(planes)):
         carry = planes[k][words] ^ wanted[k][rows] if len(rows) < len(queries) * width else (planes[k][None, :] ^ wanted[k][:, None]).ravel()
         for b in range(size):
             over = counters[b] & carry
             counters[b] ^= carry
             carry = over
         passed |= carry
-        if k >= 11 and k % 4 == 3:
+        if k >= max(11, 2 * radius) and k % 4 == 3:
             alive = np.flatnonzero(passed != _FULL)
             if 4 * len(alive) < 3 * len(rows):
                 rows, words, passed = rows[alive], words[alive], passed[alive]
@@ -182,14 +206,12 @@ def _group_keys(count: int, radius: int, group_rows: int) -> Column:
     return F.array(*keys)
 
 
-def links(distinct: DataFrame, radius: int = 3, group_rows: int = 2048, tile_rows: int = 4096) -> DataFrame:
-    """Links ``a``, ``b`` that connect the nodes of (``node``, ``bits``) whose bits are near, over distinct bits."""
-    count = distinct.count()
-    spread = distinct.withColumn("_key", F.explode(_group_keys(count, radius, group_rows)))
-    spread = spread.select("node", "bits", F.col("_key.choice").alias("choice"), F.col("_key.bucket").alias("bucket"))
+def _linked(spread: DataFrame, radius: int, lanes: int, tile_rows: int) -> DataFrame:
+    """Links ``a``, ``b`` that connect what is near within each (choice, bucket) of (node, bits...)."""
+    names = lane_names(lanes)
 
     def run(tile: pa.Table) -> pa.Table:
-        values = tile.column("bits").to_numpy().view(np.uint64)
+        values = np.stack([tile.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
         nodes = tile.column("node").to_numpy()
         across = tile.column("_lo")[0].as_py() != tile.column("_hi")[0].as_py()
         a, b = link_tile(values, tile.column("_first").to_numpy() if across else None, radius)
@@ -199,6 +221,37 @@ def links(distinct: DataFrame, radius: int = 3, group_rows: int = 2048, tile_row
     return tiles.groupBy("choice", "bucket", "_lo", "_hi").applyInArrow(run, "a long, b long")
 
 
+def _spread(distinct: DataFrame, keys: Column, lanes: int) -> DataFrame:
+    names = lane_names(lanes)
+    spread = distinct.withColumn("_key", F.explode(keys))
+    return spread.select("node", *names, F.col("_key.choice").alias("choice"), F.col("_key.bucket").alias("bucket"))
+
+
+def links(distinct: DataFrame, radius: int = 3, group_rows: int = 2048, tile_rows: int = 4096) -> DataFrame:
+    """Links that connect the nodes of (``node``, ``bits``) whose 64 bits are near, over distinct bits; none is missed."""
+    keys = _group_keys(distinct.count(), radius, group_rows)
+    return _linked(_spread(distinct, keys, 1), radius, 1, tile_rows)
+
+
+def sampled_links(distinct: DataFrame, radius: int, lanes: int, expected: float, missed: float = 0.01, group_rows: int = 512, tile_rows: int = 4096) -> DataFrame:
+    """The same for wide fingerprints: ``expected`` is the share of bits in which the pairs sought differ.
+
+    Each group agrees in some sampled bits, as many as it takes for groups of ``group_rows``; there
+    are enough samples for a pair to share none of them with probability ``missed``.
+    """
+    bits = max(1, (max(1, distinct.count() // group_rows)).bit_length())
+    choices = math.ceil(math.log(missed) / math.log(1 - (1 - expected) ** bits))
+    rng = np.random.default_rng(23)
+    keys = []
+    for number in range(choices):
+        masks = [0] * lanes
+        for bit in rng.choice(64 * lanes, min(bits, 64 * lanes), replace=False).tolist():
+            masks[bit // 64] |= 1 << (bit % 64)
+        agreed = [F.col(n).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for n, m in zip(lane_names(lanes), masks) if m]
+        keys.append(F.struct(F.lit(number).alias("choice"), F.xxhash64(*agreed).alias("bucket")))
+    return _linked(_spread(distinct, F.array(*keys), lanes), radius, lanes, tile_rows)
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
     """(id, ``fingerprint`` in hex, ``component_id``): the least id that links of near fingerprints reach.
 
@@ -212,11 +265,30 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return made.join(named, "bits").select(id_column, hexed, "component_id")
 
 
-def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the one whose id is least.
+def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, jaccard: float = 0.8, lanes: int = 4) -> DataFrame:
+    """(id, ``component_id``) of rows whose shingle sets are similar.
 
-    Rows of a null id stay, since nothing can be said of their group.
+    Sets of Jaccard similarity j have the cosine 2j / (1 + j), and their fingerprints differ in the
+    share acos(cosine) / pi of the bits; the radius lies one and a quarter standard deviations beyond
+    that. A row without words is similar to nothing but other such rows.
+    """
+    share = math.acos(2 * jaccard / (1 + jaccard)) / math.pi
+    bits = 64 * lanes
+    radius = round(bits * share + 1.25 * math.sqrt(bits * share * (1 - share)))
+    names = lane_names(lanes)
+    made = materialize(fingerprints(docs, id_column, text_column, words, lanes), "impressoes")
+    distinct = materialize(made.groupBy(*names).agg(F.min(id_column).cast("long").alias("node")), "distintas")
+    worded = " or ".join(f"{n} <> 0" for n in names)
+    found = connected(sampled_links(distinct.where("node is not null").where(worded), radius, lanes, share))
+    named = distinct.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
+    return made.join(named, names).select(id_column, "component_id")
+
+
+def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, jaccard: float = 0.8) -> DataFrame:
+    """``docs`` with one document of each group of similar ones: the one whose id is least.
+
+    Rows of a null id stay, since nothing can be said of their group; repeated rows of one id stay together.
     """
-    found = near_duplicates(docs, id_column, text_column, words, radius)
-    lost = found.where(F.col(id_column) != F.col("component_id")).select(id_column)
-    return docs.join(lost, id_column, "left_anti")
+    found = similar(docs, id_column, text_column, words, jaccard)
+    lost = found.where(F.col(id_column) != F.col("component_id")).select(id_column).distinct()
+    return docs.join(lost, id_column, "left_anti").select(*docs.columns)
