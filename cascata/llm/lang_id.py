@@ -145,20 +145,20 @@ def fit(
     return LanguageModel(languages, idf, weights.astype(np.float32), fit_temperature(logits, targets[aside]))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its calibrated probability, as ``lang_pred`` and ``score`` or under other names."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # features times languages
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop(*names)
     place = kept.columns.index(text_column)
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
             for a, b, texts in text_parts(block, place):
-                names, scores = shared.value.predict(texts)
+                found, scores = shared.value.predict(texts)
                 part = block.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores)], names=[*part.schema.names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(scores)], names=[*part.schema.names, *names])
 
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*kept.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return kept.mapInArrow(run, schema)

@@ -244,12 +244,12 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", p
     return QualityModel(weak, (weights[:, 1] - weights[:, 0]).astype(np.float32))
 
 
-def score(docs: DataFrame, model: QualityModel, text_column: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` with ``posterior``, ``quality`` (the scorer's probability) and ``keep`` (quality of at least ``least``)."""
+def score(docs: DataFrame, model: QualityModel, text_column: str = "text", least: float = 0.5, names: tuple[str, str, str] = ("posterior", "quality", "keep")) -> DataFrame:
+    """``docs`` with the votes' posterior, the scorer's probability and whether that is at least ``least``."""
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # a weight for each feature
-    kept = docs.drop("posterior", "quality", "keep")
+    kept = docs.drop(*names)
     place = kept.columns.index(text_column)
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +258,7 @@ def score(docs: DataFrame, model: QualityModel, text_column: str = "text", least
                 posterior, quality = shared.value.score(texts)
                 part = block.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(posterior), pa.array(quality), pa.array(quality >= least)],
-                                                 names=[*part.schema.names, "posterior", "quality", "keep"])
+                                                 names=[*part.schema.names, *names])
 
-    schema = T.StructType([*kept.schema.fields, T.StructField("posterior", T.DoubleType()), T.StructField("quality", T.DoubleType()), T.StructField("keep", T.BooleanType())])
+    schema = T.StructType([*kept.schema.fields, *(T.StructField(n, t) for n, t in zip(names, (T.DoubleType(), T.DoubleType(), T.BooleanType())))])
     return kept.mapInArrow(run, schema)
