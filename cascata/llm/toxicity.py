@@ -1,11 +1,11 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Features are hashed character n-grams of length four to six. Over all labelled rows, the number of
-toxic and of clean rows that hold each feature is counted, and the features that tell toxic
+Features are hashed character n-grams of length four to six. Over a bounded sample of the labelled
+rows, the number of toxic and of clean rows that hold each feature is counted, and the features that tell toxic
 rows from clean ones are selected. Grade 0 is a clean row; the toxic rows are graded by how many of these
 features they hold, cut at equal numbers of rows (two grades unless asked otherwise). The
 regression has one weight a feature, shared by all thresholds, and ordered thresholds; it learns
-from a bounded sample, and its expected grade is the severity.
+from the same sample, and its expected grade is the severity.
 
 Cases: a null or empty text has severity 0; rows whose label is null are not learnt from, nor are
 labels without a row; without toxic or without clean labels every severity is 0; repeated labels
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from cascata.llm.features import Ngrams, text_parts
 from cascata.llm.lang_id import lists_of, sampled
-from cascata.session import ship_package
+from cascata.session import materialize, ship_package
 
 PARTS = Ngrams((4, 5, 6), bits=20)
 
@@ -88,7 +88,7 @@ class SeverityModel:
         return found
 
 
-def train_ordinal(rows: list[np.ndarray], grades: np.ndarray, size: int, grade_count: int, ridge: float = 1e-4, steps: int = 800, rate: float = 0.05):
+def train_ordinal(rows: list[np.ndarray], grades: np.ndarray, size: int, grade_count: int, ridge: float = 1e-4, steps: int = 400, rate: float = 0.07):
     """Weights shared by all thresholds, and the thresholds, by gradient steps with adaptive rates on the mean log loss.
 
     P(grade >= k) = sigmoid(sum of weights - threshold k); the thresholds stay in order since each
@@ -139,12 +139,18 @@ def fit(
     most_features: int = 1 << 16,
     least_strength: float = 4.0,
 ) -> SeverityModel:
-    """Select features over all labelled rows; learn from at most ``per_label`` rows of either label."""
+    """Learn from the texts of at most ``per_label`` rows of either label, chosen by a hash of the id.
+
+    Only ids and labels are looked at for that; the chosen ones are broadcast, so that no text but
+    theirs is shuffled.
+    """
     ship_package(docs.sparkSession)
     marks = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column).agg(
         (F.max(F.col(label_column).cast("int")) > 0).cast("int").alias("_toxic"))
-    labelled = docs.select(id_column, text_column).where(F.col(text_column).isNotNull()).join(marks, id_column)
-    counts, rows = label_counts(labelled.select(text_column, "_toxic"))
+    ids = F.broadcast(sampled(marks, "_toxic", id_column, per_label))  # about twice per_label at most
+    labelled = docs.select(id_column, text_column).where(F.col(text_column).isNotNull()).join(ids, id_column)
+    labelled = materialize(labelled.select(text_column, "_toxic").repartition(8), "rotulados")
+    counts, rows = label_counts(labelled)
     place = np.zeros(PARTS.size, np.int32)
     if not rows.all():
         return SeverityModel(place, np.zeros(0), np.zeros(0))
@@ -161,8 +167,7 @@ def fit(
                 lists = pa.ListArray.from_arrays(offsets, pa.array(feature.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([block.column(1).slice(a, b - a), lists], names=["toxic", "features"])
 
-    sample = sampled(labelled, "_toxic", id_column, per_label).select(text_column, "_toxic").mapInArrow(
-        run, "toxic int, features array<int>").toArrow()
+    sample = labelled.mapInArrow(run, "toxic int, features array<int>").toArrow()
     features, toxic = lists_of(sample.column("features")), sample.column("toxic").to_numpy()
     order = sorted(range(len(features)), key=lambda i: (toxic[i], features[i].tobytes()))
     held = np.array([len(features[i]) for i in order])
