@@ -62,8 +62,10 @@ def weighted_mean(v: Column, weight: Column) -> Column:
 
 
 def matrix(column: pa.Array, dimension: int) -> np.ndarray:
-    """An Arrow column of equal-length lists as a two-dimensional array, without a Python loop."""
+    """An Arrow column of lists of ``dimension`` numbers as a two-dimensional array, without a Python loop."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if pc.any(pc.not_equal(pc.fill_null(pc.list_value_length(column), -1), dimension)).as_py():
+        raise ValueError(f"every vector must have {dimension} numbers")
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.astype(np.float64, copy=False).reshape(-1, dimension)

@@ -1,73 +1,63 @@
-"""Catalogue metadata published with a run: column tags, lineage edges and glossary terms."""
+"""Catalogue metadata of published tables: tags of their columns and the tables they are read from."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
 
-# Sensitivity of columns.
-COLUMN_TAGS = [
-    ("bronze", "interacoes", "usuario_id", "IdentificadorIndireto"),
-    ("bronze", "comentarios", "usuario_id", "IdentificadorIndireto"),
-    ("bronze", "comentarios", "comentario", "Sensivel"),
-    ("bronze", "catalogo", "autor", "DadoPessoal"),
-    ("silver", "interacao", "usuario_id", "IdentificadorIndireto"),
-    ("silver", "comentario", "usuario_id", "IdentificadorIndireto"),
-    ("silver", "comentario", "comentario", "Sensivel"),
-    ("silver", "conteudo", "autor", "DadoPessoal"),
-    ("gold", "dim_conteudo", "autor", "DadoPessoal"),
-    ("privacidade", "interacao_pseudonimizada", "pseudo_id", "Pseudonimizado"),
-    ("privacidade", "comentario_mascarado", "comentario_mascarado", "Mascarado"),
-    ("privacidade", "conteudo_publico", "autor_mascarado", "Mascarado"),
-    ("privacidade", "conteudo_publico", "autor_hash", "HashComSalt"),
-]
+from pyspark.sql import DataFrame, functions as F
 
-# Which table feeds which.
-LINEAGE = [
-    ("bronze.catalogo", "silver.conteudo"),
-    ("bronze.interacoes", "silver.interacao"),
-    ("bronze.comentarios", "silver.comentario"),
-    ("bronze.catalogo", "quarentena.registro"),
-    ("bronze.interacoes", "quarentena.registro"),
-    ("bronze.comentarios", "quarentena.registro"),
-    ("silver.conteudo", "gold.dim_conteudo"),
-    ("silver.interacao", "gold.fato_engajamento_dia"),
-    ("silver.interacao", "gold.kpi_evolucao_dia"),
-    ("silver.interacao", "gold.kpi_geral"),
-    ("silver.interacao", "gold.kpi_desempenho_categoria"),
-    ("silver.conteudo", "gold.kpi_desempenho_categoria"),
-    ("silver.interacao", "gold.kpi_engajamento_formato"),
-    ("silver.conteudo", "gold.kpi_engajamento_formato"),
-    ("public.recomendacao", "gold.kpi_conversao_recomendacao"),
-    ("silver.interacao", "gold.kpi_conversao_recomendacao"),
-    ("gold.kpi_conversao_recomendacao", "gold.kpi_geral"),
-    ("silver.conteudo", "mestres.conteudo_mestre"),
-    ("silver.conteudo", "mestres.correspondencia_conteudo"),
-    ("silver.interacao", "privacidade.interacao_pseudonimizada"),
-    ("silver.comentario", "privacidade.comentario_mascarado"),
-    ("gold.dim_conteudo", "privacidade.conteudo_publico"),
-]
+# The tags of the contract.
+INDIRECT, SENSITIVE, PERSONAL = "IdentificadorIndireto", "Sensivel", "DadoPessoal"
+PSEUDONYM, MASKED, HASHED = "Pseudonimizado", "Mascarado", "HashComSalt"
 
-# Business terms and how they are computed.
-TERMS = [
-    ("UsuarioAtivo", "gold.kpi_geral.usuarios_ativos", "usuarios distintos com interacao aprovada"),
-    ("TaxaConclusao", "gold.kpi_geral.taxa_conclusao_pct", "100 * conclusoes / (inicios + visualizacoes)"),
-    ("ConversaoRecomendacao", "gold.kpi_conversao_recomendacao.taxa_conversao_pct",
-     "100 * recomendacoes do ultimo lote com interacao / recomendacoes do lote"),
-    ("Engajamento", "gold.fato_engajamento_dia.total_interacoes", "interacoes por conteudo e dia"),
-    ("RegistroMestre", "mestres.conteudo_mestre.mestre_id", "titulo normalizado + tipo + autor"),
-]
 
+def tag_of(column: str) -> str | None:
+    """Sensitivity of a column by what its name says it holds; none for the others."""
+    if column.endswith("_mascarado"):
+        return MASKED
+    if column.endswith("_hash"):
+        return HASHED
+    return {"usuario_id": INDIRECT, "comentario": SENSITIVE, "autor": PERSONAL, "pseudo_id": PSEUDONYM}.get(column)
 
-def column_classification(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COLUMN_TAGS, "esquema string, tabela string, coluna string, classificacao string")
 
-
-def lineage_edges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LINEAGE, "origem string, destino string")
-
-
-def glossary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TERMS, "termo string, campo string, regra string")
+def classified_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tags of the columns that the named tables (``schema.table``) really have, with their filled rows."""
+    parts = []
+    for name, rows in tables.items():
+        schema, table = name.split(".")
+        tagged = [c for c in rows.columns if tag_of(c)]
+        if not tagged:
+            continue
+        counted = rows.agg(*[F.count(c).alias(c) for c in tagged])
+        pairs = [F.struct(F.lit(c).alias("coluna"), F.col(c).alias("preenchidos"), F.lit(tag_of(c)).alias("classificacao")) for c in tagged]
+        parts.append(counted.select(F.lit(schema).alias("esquema"), F.lit(table).alias("tabela"), F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def folders_read(rows: DataFrame) -> list[str]:
+    """Root folders of the stored tables that a DataFrame's plan reads."""
+    leaves = rows._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith("LogicalRelation") or "Relation" in leaf.nodeName():
+            roots = leaf.relation().location().rootPaths()
+            found.update(str(roots.apply(k).toString()) for k in range(roots.size()))
+    return sorted(found)
+
+
+def lineage(made: dict[str, DataFrame], stored: dict[str, str]) -> DataFrame:
+    """(origem, destino) for every made table and every stored one that its plan reads.
+
+    ``stored`` names the folder of each table; the plans are looked at before they are written.
+    """
+    names = {folder.removeprefix("file:").rstrip("/"): name for name, folder in stored.items()}
+    edges = {
+        (names[folder], name)
+        for name, rows in made.items() for folder in (f.removeprefix("file:").rstrip("/") for f in folders_read(rows)) if folder in names
+    }
+    spark = next(iter(made.values())).sparkSession
+    return spark.createDataFrame(sorted(edges), "origem string, destino string")
 
 
 def upstream(edges: DataFrame, table: str, depth: int = 4) -> DataFrame:
@@ -81,18 +71,3 @@ def upstream(edges: DataFrame, table: str, depth: int = 4) -> DataFrame:
         )
         reached = reached.unionByName(level)
     return reached.groupBy("tabela").agg(F.min("distancia").alias("distancia"))
-
-
-def classified_columns(tables: dict[str, DataFrame], tags: DataFrame) -> DataFrame:
-    """Tags of the columns that published tables really have, with their filled rows."""
-    from functools import reduce
-
-    parts = []
-    for name, rows in tables.items():
-        schema, table = name.split(".")
-        present = [c for s, t, c, _ in COLUMN_TAGS if (s, t) == (schema, table) and c in rows.columns]
-        if present:
-            counted = rows.agg(*[F.count(c).alias(c) for c in present])
-            pairs = [F.struct(F.lit(c).alias("coluna"), F.col(c).alias("preenchidos")) for c in present]
-            parts.append(counted.select(F.lit(schema).alias("esquema"), F.lit(table).alias("tabela"), F.inline(F.array(*pairs))))
-    return reduce(DataFrame.unionByName, parts).join(tags, ["esquema", "tabela", "coluna"])

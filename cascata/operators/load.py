@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cascata.functions import casts, text
-from cascata.operators.skew import salted_lookup
+from cascata.operators.skew import lookup
 from cascata.schemas import CATEGORIES, CONTENT_TYPES, INTERACTION_TYPES, LEVELS
 
 
@@ -42,7 +42,7 @@ def loadable_interactions(treated: DataFrame, contents: DataFrame) -> DataFrame:
         & casts.matches_timestamp_format(F.col("data_hora"))
     )
     known = contents.select("conteudo_id")
-    return salted_lookup(fit, known, ["conteudo_id"], F.col("ordem"), "left_semi").withColumn(
+    return lookup(fit, known, ["conteudo_id"], "left_semi").withColumn(
         "data_hora", F.col("data_hora").try_cast("timestamp_ntz")
     )
 
@@ -61,7 +61,7 @@ def comment_documents(treated: DataFrame, catalog: DataFrame) -> DataFrame:
     categories = catalog.select(F.col("conteudo_id").try_cast("bigint").alias("conteudo_id"), "categoria").where(
         F.col("conteudo_id").isNotNull() & F.col("categoria").isin(CATEGORIES)
     )
-    joined = salted_lookup(fit, categories, ["conteudo_id"], F.col("ordem"), "inner")
+    joined = lookup(fit, categories, ["conteudo_id"], "inner")
     return joined.select("ordem", "usuario_id", "conteudo_id", "avaliacao", "comentario", "tags", "data", "categoria")
 
 

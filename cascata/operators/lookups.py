@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from cascata.functions import metrics
 from cascata.operators.gold import last_batch
 from cascata.operators.onerow import side_by_side
-from cascata.operators.skew import salted_lookup
+from cascata.operators.skew import lookup
 
 
 def count_entities(tables: dict[str, DataFrame]) -> DataFrame:
@@ -48,8 +48,8 @@ def orphan_interactions(interactions: DataFrame, users: DataFrame, contents: Dat
     known_user = users.select("usuario_id").withColumn("_usuario", F.lit(True))
     known_content = contents.select("conteudo_id").withColumn("_conteudo", F.lit(True))
     narrow = interactions.select(row_id, "usuario_id", "conteudo_id")
-    flagged = salted_lookup(narrow, known_user, ["usuario_id"], F.col(row_id))
-    flagged = salted_lookup(flagged, known_content, ["conteudo_id"], F.col(row_id))
+    flagged = lookup(narrow, known_user, ["usuario_id"])
+    flagged = lookup(flagged, known_content, ["conteudo_id"])
     return flagged.where(F.col("_usuario").isNull() | F.col("_conteudo").isNull()).select(row_id)
 
 

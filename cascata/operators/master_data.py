@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cascata.functions.text import match_text, padded_master_id
-from cascata.operators.skew import salted_lookup
+from cascata.operators.skew import lookup
 
 
 def category_crosswalk(raw_catalog: DataFrame, contents: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def keyed(contents: DataFrame) -> DataFrame:
 def groups(contents: DataFrame) -> DataFrame:
     """One row per match group with its first and its most recent record's values."""
     registered = F.col("conteudo_id")
-    recency = F.struct(F.coalesce("data_publicacao", F.lit("0001-01-01").cast("date")), F.col("conteudo_id"))
+    recency = F.struct(F.coalesce("data_publicacao", F.lit("0001-01-01").cast("date")))
     first = {c: F.min_by(c, registered).alias(c) for c in ["titulo", "tipo", "categoria"]}
     return keyed(contents).groupBy("_chave").agg(
         F.min("conteudo_id").alias("_primeiro"),
@@ -55,7 +55,7 @@ def master(contents: DataFrame) -> DataFrame:
 
 def _members(contents: DataFrame, group_columns: list[Column]) -> DataFrame:
     found = groups(contents).select("_chave", *group_columns)
-    return salted_lookup(keyed(contents), found, ["_chave"], F.col("conteudo_id"), "inner")
+    return lookup(keyed(contents), found, ["_chave"], "inner")
 
 
 def crosswalk(contents: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cascata.functions.text import mask_name, mask_text, salted_hash
-from cascata.operators.skew import salted_lookup
+from cascata.operators.skew import lookup
 
 FORBIDDEN_COLUMNS = {"usuario_id", "autor", "comentario"}
 
@@ -40,9 +40,8 @@ def public_content(dimension: DataFrame, salt: str) -> DataFrame:
 
 
 def interactions_pseudonymised(interactions: DataFrame, pseudonyms: DataFrame) -> DataFrame:
-    """A user may hold much of the rows, so the map is joined on (user, salt)."""
-    row = F.struct("conteudo_id", "data_hora")
-    joined = salted_lookup(interactions, pseudonyms.select("usuario_id", "pseudo_id"), ["usuario_id"], row, "inner")
+    """A user may hold much of the rows; the join leaves it to Spark to split them."""
+    joined = lookup(interactions, pseudonyms.select("usuario_id", "pseudo_id"), ["usuario_id"], "inner")
     return joined.select(
         "pseudo_id", "conteudo_id", "tipo_interacao", F.to_date("data_hora").alias("data"),
         "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida",
@@ -50,8 +49,7 @@ def interactions_pseudonymised(interactions: DataFrame, pseudonyms: DataFrame) -
 
 
 def comments_masked(comments: DataFrame, pseudonyms: DataFrame) -> DataFrame:
-    row = F.struct("conteudo_id", "data")
-    joined = salted_lookup(comments, pseudonyms.select("usuario_id", "pseudo_id"), ["usuario_id"], row, "inner")
+    joined = lookup(comments, pseudonyms.select("usuario_id", "pseudo_id"), ["usuario_id"], "inner")
     return joined.select(
         "pseudo_id", "conteudo_id", "avaliacao", mask_text(F.col("comentario")).alias("comentario_mascarado"), "data"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cascata.functions import casts, text
 from cascata.operators import rules
 from cascata.operators.silver import CONTENT_MESSAGES, bad_comment_rating, content_rules, typed_comment, typed_content
-from cascata.operators.skew import newest_per_key, salted_lookup
+from cascata.operators.skew import lookup, newest_per_key
 from cascata.schemas import (
     AUDIT_COLUMNS,
     CATALOG_COLUMNS,
@@ -52,14 +52,14 @@ def mark_reprocessed(quarantine: DataFrame, source: str, accepted: DataFrame) ->
     """All pending entries of an accepted record become ``reprocessado``."""
     done = accepted.select("registro_id").distinct().withColumn("_aceito", F.lit(True))
     turned = (F.col("origem") == source) & (F.col("status") == "pendente") & F.col("_aceito").isNotNull()
-    return salted_lookup(quarantine, done, ["registro_id"], F.col("id")).select(
+    return lookup(quarantine, done, ["registro_id"]).select(
         *[c for c in quarantine.columns if c != "status"],
         F.when(turned, "reprocessado").otherwise(F.col("status")).alias("status"),
     ).select(quarantine.columns)
 
 
 def referenced(rows: DataFrame, contents: DataFrame) -> DataFrame:
-    return salted_lookup(rows, contents.select("conteudo_id"), ["conteudo_id"], F.col("quarentena_id"), "left_semi")
+    return lookup(rows, contents.select("conteudo_id"), ["conteudo_id"], "left_semi")
 
 
 def absent_from(rows: DataFrame, silver: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,7 +71,7 @@ def reprocess_catalog(quarantine: DataFrame, contents: DataFrame, run_id: str) -
     typed = typed_content(pending_payloads(quarantine, "catalogo", CATALOG_COLUMNS))
     known = contents.select("conteudo_id").withColumn("_existe", F.lit(True))
     ordered = content_rules(REPROCESS_MESSAGES, F.col("_existe").isNotNull())
-    judged = rules.apply_rules(salted_lookup(typed, known, ["conteudo_id"], F.col("quarentena_id")), ordered)
+    judged = rules.apply_rules(lookup(typed, known, ["conteudo_id"]), ordered)
     judged = materialize(judged, "rejulgados")
     accepted = only_first(rules.approved(judged), ["conteudo_id"])
     renewed = rules.rejected(judged).select(

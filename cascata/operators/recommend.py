@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cascata.functions import vectors
 from cascata.functions.metrics import is_conclusion
-from cascata.operators.skew import salted_lookup
+from cascata.operators.skew import lookup
 from cascata.schemas import CATEGORIES
-from cascata.session import materialize
+from cascata.session import materialize, ship_package
 
 # What counts as consumption, and the score limits of the classes.
 CONSUMING_TYPES = ["visualização", "início", "conclusão"]
@@ -54,15 +54,19 @@ def signals(interactions: DataFrame, minimum_rating: int = 4) -> DataFrame:
     )
 
 
-def measured_vectors(store: DataFrame, model: str) -> DataFrame:
-    """Vectors of one model with their length; cosines divide by it instead of scaling the vector."""
+def measured_vectors(store: DataFrame, model: str, dimension: int | None = None) -> DataFrame:
+    """Vectors of one model with their length; cosines divide by it instead of scaling the vector.
+
+    With ``dimension`` only vectors of that size; without, a model is taken to have one size.
+    """
     kept = store.where(F.col("modelo") == model).select("conteudo_id", "vetor")
+    kept = kept if dimension is None else kept.where(F.size("vetor") == dimension)
     return vectors.with_norm(kept, "vetor")
 
 
 def with_vectors(pairs: DataFrame, measured: DataFrame) -> DataFrame:
-    """Signals of contents that have a vector; a popular content is spread over salts."""
-    return salted_lookup(pairs, measured, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"), "inner")
+    """Signals of contents that have a vector."""
+    return lookup(pairs, measured, ["conteudo_id"], "inner")
 
 
 def centroid_views(pairs: DataFrame, measured: DataFrame) -> DataFrame:
@@ -81,7 +85,7 @@ def centroid_likes(pairs: DataFrame, measured: DataFrame) -> DataFrame:
 
 def with_category(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     known = contents.select("conteudo_id", "categoria")
-    return salted_lookup(pairs, known, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"))
+    return lookup(pairs, known, ["conteudo_id"])
 
 
 def category_shares(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -253,7 +257,8 @@ def score_blocks(
     short lists. Which contents a user completed arrives per block, hence bounded as well.
     """
     pairs = materialize(signals(interactions, minimum_rating), "sinais")
-    measured = measured_vectors(store, model)
+    ship_package(interactions.sparkSession)
+    measured = measured_vectors(store, model, dimension)
     catalogue = content_matrix(contents, measured)
     sizes = contents.count(), pairs.select("usuario_id").distinct().count()
     content_blocks = max(1, math.ceil(sizes[0] / block_contents))
@@ -264,9 +269,9 @@ def score_blocks(
 
     placed = catalogue.withColumn("bloco", block("conteudo_id", content_blocks))
     done = (
-        salted_lookup(
+        lookup(
             pairs.where("concluido").select("usuario_id", "conteudo_id"), contents.select("conteudo_id"),
-            ["conteudo_id"], F.struct("usuario_id", "conteudo_id"), "left_semi",
+            ["conteudo_id"], "left_semi",
         )
         .withColumn("bloco", block("conteudo_id", content_blocks))
         .groupBy("usuario_id", "bloco").agg(F.collect_list("conteudo_id").alias("concluidos"))
@@ -284,9 +289,8 @@ def score_blocks(
 def top_n(blocks: DataFrame, contents: DataFrame, n: int, batch: str) -> DataFrame:
     """Ranked recommendations of a batch: best ``n`` per user over all blocks."""
     ranked = rank_and_keep(blocks.select("usuario_id", F.inline("itens")), n, ["usuario_id"])
-    described = salted_lookup(
-        ranked, contents.select("conteudo_id", "titulo", "categoria", "tipo"), ["conteudo_id"],
-        F.struct("usuario_id", "conteudo_id"), "inner",
+    described = lookup(
+        ranked, contents.select("conteudo_id", "titulo", "categoria", "tipo"), ["conteudo_id"], "inner",
     )
     return described.select(
         "usuario_id", "conteudo_id", "titulo", "categoria", "tipo",
@@ -333,8 +337,8 @@ def batch_log(summed: DataFrame, batch: str) -> DataFrame:
 def score_pairs(pairs: DataFrame, profiles: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Score given (user, content) pairs with column expressions; ``concluido`` closes a pair."""
     users = profiles.withColumns({"_vis": vectors.norm(F.col("vis")), "_cur": vectors.norm(F.col("cur"))})
-    rows = salted_lookup(pairs, catalogue, ["conteudo_id"], F.struct("usuario_id", "conteudo_id"), "inner")
-    rows = salted_lookup(rows, users, ["usuario_id"], F.struct("usuario_id", "conteudo_id"), "inner")
+    rows = lookup(pairs, catalogue, ["conteudo_id"], "inner")
+    rows = lookup(rows, users, ["usuario_id"], "inner")
 
     def index(centroid: str, length: str, shares: str) -> Column:
         share = F.coalesce(F.get(shares, F.col("categoria_pos")), F.lit(0.0))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cascata.functions import vectors
 from cascata.functions.text import text_representation
 from cascata.operators.lookups import completed_pairs
+from cascata.session import ship_package
 
 HITS = "consulta string, conteudo_id bigint, proximidade double"
 
@@ -41,6 +42,7 @@ Encoder = Callable[[list[str]], np.ndarray]
 
 def embed_pending(delta: DataFrame, make_encoder: Callable[[], Encoder], model: str, batch: int = 32) -> DataFrame:
     """Encode the pending texts; the encoder is made once per task and fed ``batch`` texts at a time."""
+    ship_package(delta.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make_encoder()
@@ -82,6 +84,7 @@ def nearest(vectors_df: DataFrame, queries: dict[str, list[float]], k: int) -> D
     none of the final ``k``; the window then merges those short lists.
     """
     k = check_top_k(k)
+    ship_package(vectors_df.sparkSession)
     names = list(queries)
     wanted = np.asarray([queries[n] for n in names], dtype=np.float64).reshape(len(names), -1)
     wanted = wanted / np.linalg.norm(wanted, axis=1, keepdims=True)
@@ -103,7 +106,8 @@ def nearest(vectors_df: DataFrame, queries: dict[str, list[float]], k: int) -> D
                     names=["consulta", "conteudo_id", "proximidade"],
                 )
 
-    hits = vectors_df.select("conteudo_id", "vetor").mapInArrow(score, HITS)
+    sized = vectors_df.where(F.size("vetor") == dimension)  # vectors of another size cannot be compared
+    hits = sized.select("conteudo_id", "vetor").mapInArrow(score, HITS)
     by_query = Window.partitionBy("consulta").orderBy(F.desc("proximidade"), "conteudo_id")
     return hits.withColumn("posicao", F.row_number().over(by_query)).where(F.col("posicao") <= k)
 
@@ -165,12 +169,18 @@ def similar_contents(store: DataFrame, contents: DataFrame, content: int, k: int
 
 
 def user_profile(interactions: DataFrame, store: DataFrame, user: int) -> DataFrame:
-    """Mean of the vectors of what one user consumed, a content counted once per interaction."""
+    """Mean of the vectors of what one user consumed, a content counted once per interaction.
+
+    Vectors of different sizes have no mean: those of the size that most of the contents have count,
+    the larger size on a tie.
+    """
     consumed = interactions.where(
         (F.col("usuario_id") == user) & F.col("tipo_interacao").isin("visualização", "início", "conclusão")
     )
     weights = consumed.groupBy("conteudo_id").agg(F.count(F.lit(1)).cast("double").alias("peso"))
-    return weights.join(store, "conteudo_id").agg(vectors.weighted_mean(F.col("vetor"), F.col("peso")).alias("vetor"))
+    used = weights.join(store, "conteudo_id").withColumn("_tamanho", F.size("vetor"))
+    sizes = used.groupBy("_tamanho").count().orderBy(F.desc("count"), F.desc("_tamanho")).limit(1)
+    return used.join(sizes, "_tamanho", "left_semi").agg(vectors.weighted_mean(F.col("vetor"), F.col("peso")).alias("vetor"))
 
 
 def profile_neighbours(

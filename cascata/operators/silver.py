@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cascata.functions import casts, text
 from cascata.operators import rules
 from cascata.operators.rules import Rule
-from cascata.operators.skew import mark_repeats, salted_lookup
+from cascata.operators.skew import lookup, mark_repeats
 from cascata.schemas import (
     AUDIT_COLUMNS,
     CATALOG_COLUMNS,
@@ -116,7 +116,7 @@ def typed_interaction(raw: DataFrame) -> DataFrame:
 def with_reference(rows: DataFrame, contents: DataFrame) -> DataFrame:
     """Mark rows whose content exists in Silver."""
     known = contents.select("conteudo_id").withColumn("_existe", F.lit(True))
-    return salted_lookup(rows, known, ["conteudo_id"], F.col(ORDER))
+    return lookup(rows, known, ["conteudo_id"])
 
 
 def judge_interactions(raw: DataFrame, contents: DataFrame) -> DataFrame:
@@ -174,10 +174,10 @@ def judge_comments(raw: DataFrame, contents: DataFrame) -> DataFrame:
     )
 
 
-def under_contract(rows: DataFrame, schema) -> DataFrame:
-    """Rows under the Silver schema, audit columns kept."""
+def under_contract(rows: DataFrame, schema, further: list[str] = []) -> DataFrame:
+    """Rows under the Silver schema, audit columns (and ``further`` ones) kept."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return rows.select(*typed, *AUDIT_COLUMNS)
+    return rows.select(*typed, *AUDIT_COLUMNS, *further)
 
 
 def to_contract(judged: DataFrame, schema) -> DataFrame:

@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
-def salt_count(spark: SparkSession) -> int:
-    """Copies of a dimension row: more on a larger cluster, between 16 and 128.
+def lookup(facts: DataFrame, dimension: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join many facts to a dimension that has one row per key: a plain equi-join, without a hint.
 
-    What is left of a hot key in one (key, salt) is split further by Spark's own skew join,
-    which only has to cut a shuffle partition here, not rescue the whole stage.
+    Spark broadcasts the dimension when its measured size is under ``autoBroadcastJoinThreshold``.
+    Beyond it both sides are shuffled, and the skew join splits the facts of a hot key over tasks
+    by their measured size, so that only hot keys cost more than one copy of their dimension row.
     """
-    return max(16, min(128, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
-
-
-def salted_lookup(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: list[str],
-    row_id: Column,
-    how: str = "left",
-    salts: int | None = None,
-) -> DataFrame:
-    """Join many facts to a dimension that has one row per key.
-
-    The rows of a hot key are spread over ``salts`` tasks by a hash of their own id and
-    the dimension is repeated once per salt. No hint is given: Spark broadcasts the
-    dimension when its measured size is under ``autoBroadcastJoinThreshold`` and shuffles
-    both sides by (key, salt) beyond it.
-    """
-    salts = salts or salt_count(facts.sparkSession)
-    spread = facts.withColumn("_sal", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
-    copies = dimension.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, "_sal"], how).drop("_sal")
+    return facts.join(dimension, on, how)
 
 
 def mark_repeats(rows: DataFrame, keys: list[str], order: str, name: str = "repetida") -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cascata.functions import casts
-from cascata.operators.skew import mark_repeats, salted_lookup
+from cascata.operators.skew import lookup, mark_repeats
 from cascata.schemas import CATEGORIES, CONTENT_TYPES, INTERACTION_TYPES, LEVELS
 
 VALID, INVALID, INCOMPLETE, DUPLICATE = "validos", "invalidos", "incompletos", "duplicados"
@@ -83,7 +83,7 @@ def pair_id() -> Column:
 
 def with_known(rows: DataFrame, ids: DataFrame, key: str, flag: str) -> DataFrame:
     known = ids.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    return salted_lookup(rows, known, [key], F.col(ORDER))
+    return lookup(rows, known, [key])
 
 
 def validate_interactions(raw: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ exact one, read from a part of the folders.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cascata.functions import vectors
 from cascata.operators.search import check_top_k, current_vectors, describe_hits, nearest
+from cascata.session import materialize, ship_package
 
 PLACED = "conteudo_id bigint, vetor array<float>, angulo double, celula int"
 SLACK = 1e-6
+#: Least and largest number of cells.
+CELLS = (16, 4096)
 
 
 def _angles(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -36,9 +40,15 @@ def choose_pivots(stored: DataFrame, cells: int) -> np.ndarray:
     return found[length > 0] / length[length > 0, None]
 
 
-def build_index(store: DataFrame, model: str, dimension: int, path: str, cells: int = 64) -> None:
-    """Write the vectors under ``vetores/celula=`` and one row per cell under ``celulas``."""
+def build_index(store: DataFrame, model: str, dimension: int, path: str, cells: int | None = None) -> None:
+    """Write the vectors under ``vetores/celula=`` and one row per cell under ``celulas``.
+
+    Unless ``cells`` is given, there are as many as the root of the number of vectors, so that
+    cells stay small as the store grows, within ``CELLS`` (the pivots travel with each task).
+    """
+    ship_package(store.sparkSession)
     stored = current_vectors(store, model, dimension)
+    cells = cells or min(max(math.isqrt(stored.count()), CELLS[0]), CELLS[1])
     pivots = choose_pivots(stored, cells)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +68,9 @@ def build_index(store: DataFrame, model: str, dimension: int, path: str, cells:
             )
 
     spark = store.sparkSession
-    stored.mapInArrow(place, PLACED).write.partitionBy("celula").parquet(f"{path}/vetores")
+    placed = stored.mapInArrow(place, PLACED)
+    dealt = placed.repartition("celula", F.pmod(F.xxhash64("conteudo_id"), F.lit(4)))  # four files to a cell at most
+    dealt.write.partitionBy("celula").parquet(f"{path}/vetores")
     sizes = spark.read.schema(PLACED).parquet(f"{path}/vetores").groupBy("celula").agg(
         F.max("angulo").alias("raio"), F.count(F.lit(1)).alias("total")
     )
@@ -89,7 +101,7 @@ def indexed_nearest(spark: SparkSession, path: str, query: list[float], k: int)
         numbers = [cells[i]["celula"] for i in chosen]
         return nearest(stored.where(F.col("celula").isin(numbers)), {"consulta": list(query)}, k)
 
-    found = of(first)
+    found = materialize(of(first), "vizinhos")
     worst = found.agg(F.min("proximidade")).first()[0]
     limit = float(np.arccos(np.clip(worst, -1.0, 1.0))) + SLACK
     rest = [i for i in range(len(cells)) if i not in first and bound[i] <= limit]

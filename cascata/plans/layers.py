@@ -16,12 +16,6 @@ RUN = given.RUN
 BATCH = "2024-03-01 00:00:00"
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores on a source too small to be split by itself; a large one is left alone."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, "ordem") if rows.rdd.getNumPartitions() < cores else rows
-
-
 class Layers:
     """Bronze, treated and Silver tables, each stored at its first use and read from then on."""
 
@@ -38,15 +32,15 @@ class Layers:
 
     @property
     def catalog(self) -> DataFrame:
-        return self._once("bronze_catalogo", lambda: spread(given.bronze_catalog(self.spark, self.sf_dir)))
+        return self._once("bronze_catalogo", lambda: given.bronze_catalog(self.spark, self.sf_dir))
 
     @property
     def raw_interactions(self) -> DataFrame:
-        return self._once("bronze_interacoes", lambda: spread(given.bronze_interactions(self.spark, self.sf_dir)))
+        return self._once("bronze_interacoes", lambda: given.bronze_interactions(self.spark, self.sf_dir))
 
     @property
     def raw_comments(self) -> DataFrame:
-        return self._once("bronze_comentarios", lambda: spread(given.bronze_comments(self.spark, self.sf_dir)))
+        return self._once("bronze_comentarios", lambda: given.bronze_comments(self.spark, self.sf_dir))
 
     @property
     def clean_catalog(self) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,6 +19,14 @@ from cascata.schemas import (
 BRONZE_COLUMNS = {"catalogo": CATALOG_COLUMNS, "interacoes": INTERACTION_COLUMNS, "comentarios": COMMENT_COLUMNS}
 
 
+#: Of each source: its Silver table, that table's columns, and the key under which a row enters once.
+REPROCESSED = {
+    "catalogo": ("conteudo", silver.SILVER_CONTENT, ["conteudo_id"]),
+    "interacoes": ("interacao", silver.SILVER_INTERACTION, ["usuario_id", "conteudo_id", "data_hora"]),
+    "comentarios": ("comentario", silver.SILVER_COMMENT, ["usuario_id", "conteudo_id", "data"]),
+}
+
+
 @dataclass(frozen=True)
 class Paths:
     """Input files and the folder the layers are written to."""
@@ -127,51 +136,108 @@ class Run:
         writers.append_run(lookups.table_snapshot(tables, self.run_id), self.paths.layer("metadados"))
         return "sucesso"
 
+    def _entries(self, layer: str) -> DataFrame | None:
+        """Quarantine entries of a layer; none if nothing was ever written there."""
+        try:
+            return self.read(layer, quarantine_schema()).select(QUARANTINE_COLUMNS)
+        except AnalysisException:
+            return None
+
+    def _located(self, source: str) -> DataFrame:
+        """All entries of a source with the layer that holds them: those of loads, and those of reprocessing."""
+        layers = (f"quarentena/{source}", f"quarentena/{source}_renovados")
+        found = [(layer, self._entries(layer)) for layer in layers]
+        parts = [rows.withColumn("_camada", F.lit(layer)) for layer, rows in found if rows is not None]
+        return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+
     def queue(self, source: str) -> DataFrame:
-        return self.read(f"quarentena/{source}", quarantine_schema()).select(QUARANTINE_COLUMNS)
+        return self._located(source).drop("_camada")
 
-    def next_id(self, source: str) -> int:
-        """Number after the last entry of a source's quarantine that belongs to an earlier run."""
-        try:
-            earlier = self.queue(source).where(F.col("execucao_id") != self.run_id)
-        except AnalysisException:  # nothing was ever written there
-            return 0
-        return (earlier.agg(F.max("id")).first()[0] or 0) + 1
+    def next_id(self, source: str, all_entries: bool = False) -> int:
+        """Number after the last entry of a source; a load leaves out its own, which it replaces when it runs again."""
+        loads, renewed = self._entries(f"quarentena/{source}"), self._entries(f"quarentena/{source}_renovados")
+        if loads is not None and not all_entries:
+            loads = loads.where(F.col("execucao_id") != self.run_id)
+        last = [rows.agg(F.max("id")).first()[0] for rows in (loads, renewed) if rows is not None]
+        return max([n for n in last if n is not None], default=-1) + 1
 
     def quarantined(self) -> DataFrame:
         parts = [self.queue(name) for name in (*BRONZE_COLUMNS, "arquivos")]
         return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
     def reprocess(self) -> DataFrame:
-        """Give pending entries another chance against Silver as it is now; contents first."""
+        """Give pending entries another chance against Silver as it is now; contents first.
+
+        What an attempt decides is stored before anything is changed, and carried out from there. An
+        attempt that broke off is carried out first: each of its steps leaves out what is done already.
+        """
+        self._carry_out()
         contents = self.read("silver/conteudo")
-        accepted, status, renewed = quarantine.reprocess_catalog(self.queue("catalogo"), contents, self.run_id)
-        renewed = materialize(renewed, "renovados")
-        self._enter(accepted, silver.SILVER_CONTENT, "conteudo")
-        self._restate("catalogo", status)
-        numbered = renewed.withColumn("id", F.monotonically_increasing_id() + self.next_id("catalogo"))
-        writers.append_run(numbered.select(QUARANTINE_COLUMNS), self.paths.layer("quarentena/catalogo"))
-        for source, table, again, schema in (
-            ("interacoes", "interacao", quarantine.reprocess_interactions, silver.SILVER_INTERACTION),
-            ("comentarios", "comentario", quarantine.reprocess_comments, silver.SILVER_COMMENT),
-        ):
-            accepted, status = again(
-                self.queue(source), self.read("silver/conteudo"), self.read(f"silver/{table}"), self.run_id
-            )
-            self._enter(accepted, schema, table)
-            self._restate(source, status)
+        accepted, _, renewed = quarantine.reprocess_catalog(self.queue("catalogo"), contents, self.run_id)
+        self._decide("catalogo", accepted, renewed)
+        self._carry_out()
+        for source, again in (("interacoes", quarantine.reprocess_interactions), ("comentarios", quarantine.reprocess_comments)):
+            table, _, _ = REPROCESSED[source]
+            accepted, _ = again(self.queue(source), self.read("silver/conteudo"), self.read(f"silver/{table}"), self.run_id)
+            self._decide(source, accepted)
+            self._carry_out()
         return quarantine.reprocess_report(self.quarantined())
 
-    def _enter(self, accepted: DataFrame, schema, table: str) -> None:
-        stored = materialize(silver.under_contract(accepted, schema), "aceitos")
-        stored.write.mode("append").parquet(self.paths.layer(f"silver/{table}"))
-
-    def _restate(self, source: str, status: DataFrame) -> None:
+    def _decide(self, source: str, accepted: DataFrame, renewed: DataFrame | None = None) -> None:
+        """Store the rows for Silver and the new entries of one attempt, then make the attempt known."""
+        attempt, (_, schema, _) = uuid.uuid4().hex, REPROCESSED[source]
+        folder = self.paths.layer(f"reprocessos/{attempt}")
+        entered = silver.under_contract(accepted.withColumn("_registro", F.col("registro_id")), schema, ["_registro"])
+        entered.write.parquet(f"{folder}/aceitos")
+        if renewed is not None:
+            numbered = renewed.withColumn("id", F.monotonically_increasing_id() + self.next_id(source, all_entries=True))
+            numbered.select(QUARANTINE_COLUMNS).write.parquet(f"{folder}/renovados")
+        self._note("tentativas_abertas", source, attempt)
+
+    def _note(self, layer: str, source: str, attempt: str) -> None:
+        named = self.spark.range(1).select(F.lit(source).alias("origem"), F.lit(attempt).alias("tentativa"))
+        named.coalesce(1).write.mode("append").parquet(self.paths.layer(layer))
+
+    def _carry_out(self) -> None:
+        """Append to Silver, restate and add entries for every attempt that is open; few ever are."""
+        kind = "origem string, tentativa string"
+        try:
+            known = self.read("tentativas_abertas", kind)
+        except AnalysisException:
+            return
+        try:
+            known = known.join(self.read("tentativas_feitas", kind), "tentativa", "left_anti")
+        except AnalysisException:
+            pass
+        for row in known.select("origem", "tentativa").distinct().collect():
+            source, folder = row["origem"], f"reprocessos/{row['tentativa']}"
+            table, _, keys = REPROCESSED[source]
+            accepted = self.read(f"{folder}/aceitos")
+            absent = quarantine.absent_from(accepted, self.read(f"silver/{table}"), keys).drop("_registro")
+            materialize(absent, "aceitos").write.mode("append").parquet(self.paths.layer(f"silver/{table}"))
+            done = accepted.select(F.col("_registro").alias("registro_id"))
+            self._restate(quarantine.mark_reprocessed(self._located(source), source, done))
+            if source == "catalogo":
+                self._add(f"quarentena/{source}_renovados", self.read(f"{folder}/renovados"))
+            self._note("tentativas_feitas", source, row["tentativa"])
+
+    def _restate(self, status: DataFrame) -> None:
         """Rewrite the entries whose run has a changed status; other run folders stay as they are."""
         updated = materialize(status, "situacao")
-        changed = updated.where("status = 'reprocessado'").select("execucao_id").distinct()
-        rewritten = materialize(updated.join(changed, "execucao_id", "left_semi"), "situacao_nova")
-        writers.append_run(rewritten.select(QUARANTINE_COLUMNS), self.paths.layer(f"quarentena/{source}"))
+        changed = updated.where("status = 'reprocessado'").select("_camada", "execucao_id").distinct()
+        rewritten = materialize(updated.join(changed, ["_camada", "execucao_id"], "left_semi"), "situacao_nova")
+        for (layer,) in changed.select("_camada").distinct().collect():  # two at most
+            rows = rewritten.where(F.col("_camada") == layer)
+            writers.append_run(rows.select(QUARANTINE_COLUMNS), self.paths.layer(layer))
+
+    def _add(self, layer: str, entries: DataFrame) -> None:
+        """Add entries to what is stored under their run; those already there are not added again."""
+        stored = self._entries(layer)
+        if stored is not None:
+            fresh = entries.join(stored.select("id"), "id", "left_anti")
+            touched = stored.join(fresh.select("execucao_id").distinct(), "execucao_id", "left_semi")
+            entries = fresh.select(QUARANTINE_COLUMNS).unionByName(touched.select(QUARANTINE_COLUMNS))
+        writers.append_run(materialize(entries, "renovados").select(QUARANTINE_COLUMNS), self.paths.layer(layer))
 
     def summary(self) -> DataFrame:
         return audit.stage_summary(self.read("auditoria"), self.quarantined(), self.run_id)

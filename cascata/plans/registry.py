@@ -944,7 +944,7 @@ def _(L):
 def _(L):
     tables = {"silver.interacao": L.interactions, "silver.comentario": L.comments, "silver.conteudo": L.contents,
               "gold.dim_conteudo": L.dimension}
-    return governance.classified_columns(tables, governance.column_classification(L.spark))
+    return governance.classified_columns(tables)
 
 
 # --------------------------------------------------------------- master data
@@ -1074,7 +1074,7 @@ query("semantic_search_batch", " UNION ALL ".join(
 def _(L):
     path = new_folder(L.spark, "indice")
     known = L.store.join(L.contents.select("conteudo_id"), "conteudo_id", "left_semi")
-    vector_index.build_index(known, MODEL, DIMENSION, path, cells=32)
+    vector_index.build_index(known, MODEL, DIMENSION, path)
     return vector_index.indexed_search(L.spark, path, L.contents, query_vector(L, QUERY_VECTORS[1]), 5)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -28,11 +29,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, one machine) is a local one set.
+    Only where the master is local and none is named (tests, one machine) is a folder of this
+    machine set; elsewhere that is an error, as each executor would write to a disk of its own.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)

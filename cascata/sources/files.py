@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, text_schema
 
 CORRUPT = "_corrompido"
+UNREADABLE = "JSON malformado"
 
 CATALOG_SCHEMA = T.StructType([
     T.StructField(c, T.LongType() if c == "conteudo_id" else T.StringType()) for c in CATALOG_COLUMNS
@@ -83,6 +84,11 @@ def bronze_catalog(spark: SparkSession, path: str, run_id: str, instant: str | N
     return with_audit(raw, "catalogo", run_id, instant)
 
 
+def unreadable(columns: list[str]) -> Column:
+    """Whether a row stands for a file that could not be parsed."""
+    return F.col(CORRUPT).isNotNull() & F.col(columns[0]).isNull()
+
+
 def _json_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """All-text read of JSON arrays; a missing leaf is null, a nested list keeps its JSON text."""
     schema = text_schema(columns).add(CORRUPT, T.StringType())
@@ -95,8 +101,7 @@ def bronze_json(
     spark: SparkSession, path: str, source: str, columns: list[str], run_id: str, instant: str | None = None
 ) -> DataFrame:
     rows = _json_rows(spark, path, columns)
-    readable = F.col(CORRUPT).isNull() | F.col(columns[0]).isNotNull()
-    return with_audit(rows.where(readable), source, run_id, instant).drop(CORRUPT)
+    return with_audit(rows.where(~unreadable(columns)), source, run_id, instant).drop(CORRUPT)
 
 
 def bronze_interactions(spark: SparkSession, path: str, run_id: str, instant: str | None = None) -> DataFrame:
@@ -109,11 +114,11 @@ def bronze_comments(spark: SparkSession, path: str, run_id: str, instant: str |
 
 def corrupt_files(spark: SparkSession, path: str, source: str, columns: list[str]) -> DataFrame:
     """One row per file whose JSON cannot be parsed."""
-    rows = _json_rows(spark, path, columns).where(F.col(CORRUPT).isNotNull() & F.col(columns[0]).isNull())
+    rows = _json_rows(spark, path, columns).where(unreadable(columns))
     return rows.select(
         F.col("_metadata.file_path").alias("arquivo"),
         F.lit(source).alias("origem"),
-        F.lit("JSON malformado").alias("erro"),
+        F.lit(UNREADABLE).alias("erro"),
     ).distinct()
 
 

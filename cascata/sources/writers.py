@@ -41,12 +41,13 @@ def append_run(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("execucao_id").parquet(path)
 
 
-def write_month_partitions(interactions: DataFrame, path: str) -> None:
-    """Interactions under ``ano=/mes=``; rows of a month are spread over tasks by content."""
+def write_month_partitions(interactions: DataFrame, path: str, per_month: int = 8) -> None:
+    """Interactions under ``ano=/mes=``; the rows of a month go to ``per_month`` tasks by content, one file each."""
     dated = interactions.withColumns({
         "ano": F.date_format("data_hora", "yyyy"), "mes": F.date_format("data_hora", "MM"),
     })
-    dated.write.mode("overwrite").partitionBy("ano", "mes").parquet(path)
+    part = F.pmod(F.xxhash64("conteudo_id"), F.lit(per_month))
+    dated.repartition("ano", "mes", part).write.mode("overwrite").partitionBy("ano", "mes").parquet(path)
 
 
 def read_month_partitions(spark: SparkSession, path: str, schema) -> DataFrame:

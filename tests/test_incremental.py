@@ -28,6 +28,11 @@ def test_each_file_is_taken_once(spark, tmp_path):
     arrive("b.json", [3])
     assert sorted(r["usuario_id"] for r in run().collect()) == ["1", "2", "3"]
     assert run().select("execucao_id").distinct().count() == 2
+    (folder / "c.json").write_text('[{"usuario_id": 4, "conteudo_id"')
+    arrive("d.json", [5])
+    assert sorted(r["usuario_id"] for r in run().collect()) == ["1", "2", "3", "5"]
+    (entry,) = spark.read.parquet(bronze + "_ilegiveis").collect()
+    assert (entry["registro_id"], entry["regra_violada"]) == ("arquivo:c.json", "ARQUIVO_CORROMPIDO")
 
 
 @pytest.mark.parametrize("spread", [0.2, 3.0])

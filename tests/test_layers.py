@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cascata.operators import audit, gold, governance, kpi, master_data, merge, privacy, quality, quarantine, silver
+from cascata.operators.skew import lookup
 from cascata.plans.medallion import GOLD_TABLES, Paths, Run, run_medallion
 from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS
 from cascata.session import new_folder
@@ -188,10 +189,22 @@ def test_alert_and_tier(spark):
 
 
 def test_governance(spark):
-    edges = governance.lineage_edges(spark)
-    reached = {r["tabela"]: r["distancia"] for r in governance.upstream(edges, "gold.kpi_geral").collect()}
-    assert reached == {"silver.interacao": 1, "gold.kpi_conversao_recomendacao": 1, "public.recomendacao": 2, "bronze.interacoes": 2}
-    assert governance.column_classification(spark).count() == 13 and governance.glossary(spark).count() == 5
+    base = new_folder(spark, "linhagem")
+    folders = {name: f"{base}/{name}" for name in ("bronze.interacoes", "silver.interacao", "silver.conteudo")}
+    raw = spark.createDataFrame([(1, 2, "Ana")], "usuario_id bigint, conteudo_id bigint, autor string")
+    raw.write.parquet(folders["bronze.interacoes"])
+    raw.select("conteudo_id", "autor").write.parquet(folders["silver.conteudo"])
+    interactions = spark.read.parquet(folders["bronze.interacoes"]).drop("autor")
+    edges = governance.lineage({"silver.interacao": interactions}, folders)
+    interactions.write.parquet(folders["silver.interacao"])
+    fact = spark.read.parquet(folders["silver.interacao"]).join(spark.read.parquet(folders["silver.conteudo"]), "conteudo_id").groupBy("autor").count()
+    edges = edges.unionByName(governance.lineage({"gold.fato": fact}, folders))
+    assert {tuple(r) for r in edges.collect()} == {
+        ("bronze.interacoes", "silver.interacao"), ("silver.interacao", "gold.fato"), ("silver.conteudo", "gold.fato")}
+    reached = {r["tabela"]: r["distancia"] for r in governance.upstream(edges, "gold.fato").collect()}
+    assert reached == {"silver.interacao": 1, "silver.conteudo": 1, "bronze.interacoes": 2}
+    tags = {(r["tabela"], r["coluna"]): (r["classificacao"], r["preenchidos"]) for r in governance.classified_columns({"bronze.interacoes": raw}).collect()}
+    assert tags == {("interacoes", "usuario_id"): ("IdentificadorIndireto", 1), ("interacoes", "autor"): ("DadoPessoal", 1)}
 
 
 RAW_CATALOG = """conteudo_id,titulo,tipo,categoria,nivel,carga_horaria_min,data_publicacao,descricao,autor
@@ -279,3 +292,52 @@ def test_run_verdict(spark):
     events = spark.createDataFrame(rows, "execucao_id string, etapa string, evento string, resultado string, instante timestamp_ntz")
     made = {r["etapa"]: r for r in audit.stage_summary(events, queue(spark, []), "r").collect()}
     assert made["a"]["duracao_segundos"] == 1.5 and made["b"]["resultado_final"] == "falha"
+
+
+def test_reprocessing_keeps_entries_and_resumes(spark, tmp_path, monkeypatch):
+    (tmp_path / "c.csv").write_text(RAW_CATALOG)
+    for name in ("interacoes", "comentarios"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.json").write_text("[]")
+    (tmp_path / "interacoes" / "a.json").write_text(
+        '[{"usuario_id": 1, "conteudo_id": 9, "tipo_interacao": "início", "data_hora": "2024-01-01T10:00:00", "tempo_consumido": 1, "percentual_conclusao": 5}]')
+    paths = Paths(str(tmp_path / "c.csv"), str(tmp_path / "interacoes"), str(tmp_path / "comentarios"), str(tmp_path / "lago"))
+    load = Run(spark, paths, "carga-1")
+    load.bronze()
+    load.silver()
+    before = {r["id"]: r["regra_violada"] for r in load.queue("catalogo").collect()}
+    assert before
+    for run_id in ("carga-1", "reproc-1", "reproc-1"):  # the load's own id, another, and a retry
+        Run(spark, paths, run_id).reprocess()
+        rows = load.queue("catalogo").collect()
+        after = {r["id"]: r["regra_violada"] for r in rows}
+        assert len(after) == len(rows) and before.items() <= after.items() and len(after) > len(before)
+        before = after
+    # the missing content arrives; the attempt breaks off between Silver and the status, and is carried out by the next
+    contents = spark.read.parquet(str(tmp_path / "lago/silver/conteudo"))
+    contents.limit(1).withColumn("conteudo_id", F.lit(9).cast("bigint")).write.mode("append").parquet(str(tmp_path / "lago/silver/conteudo"))
+    broken = Run(spark, paths, "reproc-2")
+    monkeypatch.setattr(broken, "_restate", lambda status: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        broken._decide("interacoes", quarantine.reprocess_interactions(
+            broken.queue("interacoes"), broken.read("silver/conteudo"), broken.read("silver/interacao"), "reproc-2")[0])
+        broken._carry_out()
+    assert load.read("silver/interacao").count() == 1 and load.queue("interacoes").where("status = 'pendente'").count() == 1
+    Run(spark, paths, "reproc-3").reprocess()
+    assert load.read("silver/interacao").count() == 1 and load.queue("interacoes").where("status = 'pendente'").count() == 0
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from cascata import session
+
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError):
+        session.shared_dir(fake)
+
+
+def test_no_dimension_is_repeated(spark):
+    big = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("nome"))
+    plan = lookup(spark.range(10).select(F.col("id").alias("k")), big, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan

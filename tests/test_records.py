@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cascata.functions import casts, text
 from cascata.operators import clean, silver, validate
-from cascata.operators.skew import mark_repeats, salted_lookup
+from cascata.operators.skew import lookup, mark_repeats
 from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS
 
 AUDIT = ("fonte", "arquivo", "2024-01-01T00:00:00", "run-1")
@@ -137,6 +137,6 @@ def test_repeats_and_lookup_survive_a_hot_key(spark):
     assert marked.where("not repetida").count() == rows.select("k").distinct().count()
     assert marked.where("k = 7 and not repetida").collect()[0]["ordem"] == 0
     dim = spark.createDataFrame([(7, "sete")], "k bigint, nome string")
-    joined = salted_lookup(rows, dim, ["k"], F.col("ordem"))
+    joined = lookup(rows, dim, ["k"])
     assert joined.count() == 3000
     assert joined.where("nome = 'sete'").count() == rows.where("k = 7").count()
