@@ -98,6 +98,11 @@ def interactions_file(L: Layers) -> str:
     return path
 
 
+def as_given(contents):
+    """Contents with the day of publication as text, as the SQL has it."""
+    return contents.withColumn("data_publicacao", F.date_format("data_publicacao", "yyyy-MM-dd"))
+
+
 def comments_file(L: Layers) -> str:
     path = new_folder(L.spark, "comentarios_json")
     tags = F.from_json("tags", "array<string>").alias("tags")
@@ -150,9 +155,14 @@ def _(L):
     return rows.select(*COMMENT_COLUMNS, "origem", "data_hora_ingestao", "execucao_id")
 
 
-@query("audit_columns", "SELECT origem, execucao_id, count(*) AS linhas, 1 AS instantes, count(*) AS com_arquivo FROM bronze_interacoes GROUP BY ALL")
+@query("audit_columns", " UNION ALL ".join(
+    f"SELECT origem, execucao_id, count(*) AS linhas, 1 AS instantes, count(*) AS com_arquivo FROM bronze_{t} GROUP BY ALL"
+    for t in ("catalogo", "interacoes", "comentarios")))
 def _(L):
-    rows = files.bronze_interactions(L.spark, interactions_file(L), RUN)
+    audited = ["origem", "execucao_id", "data_hora_ingestao", "arquivo_origem"]
+    rows = files.bronze_interactions(L.spark, interactions_file(L), RUN).select(audited).unionByName(
+        files.bronze_catalog(L.spark, catalog_file(L), RUN).select(audited)).unionByName(
+        files.bronze_comments(L.spark, comments_file(L), RUN).select(audited))
     return rows.groupBy("origem", "execucao_id").agg(
         F.count(F.lit(1)).alias("linhas"), F.count_distinct("data_hora_ingestao").alias("instantes"),
         F.count("arquivo_origem").alias("com_arquivo"),
@@ -263,13 +273,15 @@ def _(L):
     return merge.insert_absent(stored, L.interactions.select("usuario_id").distinct(), ["usuario_id"])
 
 
-@query("sink_upsert_contents", "SELECT conteudo_id, CASE WHEN data_publicacao >= DATE '2024-07-01' THEN upper(titulo) ELSE titulo END AS titulo, "
-       "nivel FROM silver_conteudo")
+@query("sink_upsert_contents", f"SELECT {S_CONTENT} FROM (SELECT * REPLACE (CASE WHEN data_publicacao >= DATE '2024-07-01' THEN upper(titulo) "
+       "ELSE titulo END AS titulo) FROM silver_conteudo)")
 def _(L):
-    stored = L.contents.select("conteudo_id", "titulo", "nivel")
-    newer = L.contents.where("data_publicacao >= date'2024-07-01'")
-    updates = newer.select("conteudo_id", F.upper("titulo").alias("titulo"), "nivel")
-    return merge.upsert(stored, updates, ["conteudo_id"])
+    """Two versions: the contents, and the contents after an upsert that is written beside them and then named current."""
+    base, stored = new_folder(L.spark, "conteudos"), L.contents.select(*CATALOG_COLUMNS)
+    writers.publish_version({"conteudo": stored}, base, "v1")
+    updates = stored.where("data_publicacao >= date'2024-07-01'").withColumn("titulo", F.upper("titulo"))
+    merge.upsert_stored(L.spark, base, "conteudo", updates, ["conteudo_id"], "v2")
+    return as_given(writers.read_current(L.spark, base, "conteudo"))
 
 
 UPSERTED = """SELECT usuario_id, conteudo_id, strftime({key}, {fmt}) AS {key}, {value} FROM (
@@ -433,12 +445,15 @@ query("validation_reasons", f"SELECT fonte, registro_id, classificacao, motivo F
 
 
 @query("strict_date_format", """SELECT 'interacoes' AS fonte, ordem, coalesce(TRY_CAST(data_hora AS TIMESTAMP) IS NOT NULL AND data_hora LIKE '%T%', false) AS valida
-    FROM bronze_interacoes UNION ALL SELECT 'catalogo', ordem, coalesce(TRY_CAST(data_publicacao AS DATE) IS NOT NULL, false) FROM bronze_catalogo""")
+    FROM bronze_interacoes UNION ALL SELECT 'catalogo', ordem, coalesce(TRY_CAST(data_publicacao AS DATE) IS NOT NULL, false) FROM bronze_catalogo
+    UNION ALL SELECT 'comentarios', ordem, coalesce(TRY_CAST(data AS DATE) IS NOT NULL, false) FROM bronze_comentarios""")
 def _(L):
     times = L.raw_interactions.select(F.lit("interacoes").alias("fonte"), "ordem",
                                       casts.matches_timestamp_format(F.col("data_hora")).alias("valida"))
-    return times.unionByName(L.catalog.select(F.lit("catalogo").alias("fonte"), "ordem",
-                                              casts.matches_date_format(F.col("data_publicacao")).alias("valida")))
+    days = [(L.catalog, "catalogo", "data_publicacao"), (L.raw_comments, "comentarios", "data")]
+    for rows, source, column in days:
+        times = times.unionByName(rows.select(F.lit(source).alias("fonte"), "ordem", casts.matches_date_format(F.col(column)).alias("valida")))
+    return times
 
 
 query("clean_catalog", f"SELECT {CLEAN_CATALOG} FROM limpo_catalogo WHERE vez = 1")(lambda L: clean.clean_catalog(L.catalog))
@@ -518,12 +533,14 @@ query("load_filter_catalog", f"SELECT CAST(conteudo_id AS BIGINT) AS conteudo_id
       f"FROM limpo_catalogo WHERE {FIT_CATALOG}")(
     lambda L: loadable(L).select("conteudo_id", "titulo", "tipo", "categoria", "nivel", "carga_horaria_min"))
 query("load_filter_interactions", f"""SELECT i.ordem, CAST(i.usuario_id AS BIGINT) AS usuario_id, CAST(i.conteudo_id AS BIGINT) AS conteudo_id,
-    i.tipo_interacao, i.tempo_consumido, i.avaliacao_atribuida FROM limpo_interacoes i
+    i.tipo_interacao, strftime(CAST(i.data_hora AS TIMESTAMP), {INSTANT}) AS data_hora, i.tempo_consumido,
+    CAST(i.percentual_conclusao AS DOUBLE) AS percentual_conclusao, i.avaliacao_atribuida FROM limpo_interacoes i
     JOIN (SELECT conteudo_id FROM limpo_catalogo WHERE {FIT_CATALOG}) k ON k.conteudo_id = i.conteudo_id
     WHERE i.vez = 1 AND i.tipo_interacao IN {KIND_LIST} AND i.data_hora IS NOT NULL AND i.tempo_consumido >= 0
       AND i.percentual_conclusao BETWEEN 0 AND 100 AND (i.avaliacao_atribuida IS NULL OR i.avaliacao_atribuida BETWEEN 1 AND 5)""")(
     lambda L: load.loadable_interactions(L.clean_interactions, loadable(L)).select(
-        "ordem", "usuario_id", "conteudo_id", "tipo_interacao", "tempo_consumido", "avaliacao_atribuida"))
+        "ordem", "usuario_id", "conteudo_id", "tipo_interacao", F.date_format("data_hora", "yyyy-MM-dd HH:mm:ss").alias("data_hora"),
+        "tempo_consumido", F.col("percentual_conclusao").cast("double").alias("percentual_conclusao"), "avaliacao_atribuida"))
 query("build_comment_docs", f"SELECT ordem, {S_COMMENT}, categoria FROM documentos")(
     lambda L: load.comment_documents(L.clean_comments, L.clean_catalog))
 query("category_dim", f"SELECT list_position([{CAT_LIST[1:-1]}], categoria) AS categoria_id, categoria AS nome FROM silver_conteudo GROUP BY ALL")(
