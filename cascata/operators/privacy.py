@@ -60,11 +60,11 @@ def leak_check(public: DataFrame, dimension: DataFrame, published: dict[str, Dat
     pairs = public.join(dimension.select("conteudo_id", "autor"), "conteudo_id")
     same = (F.col("autor_mascarado") == F.col("autor")) | (F.col("autor_hash") == F.col("autor"))
     values = pairs.agg(F.count_if(same).alias("violacoes")).select(
-        F.lit("autor original igual ao valor exposto").alias("verificacao"), "violacoes"
+        F.lit("nome do autor visivel no valor publicado").alias("verificacao"), "violacoes"
     )
     exposed = sum(len(FORBIDDEN_COLUMNS & set(df.columns)) for df in published.values())
     columns = values.select(
-        F.lit("colunas usuario_id, autor ou comentario publicadas").alias("verificacao"),
+        F.lit("coluna identificadora em tabela publicada").alias("verificacao"),
         F.lit(exposed).cast("bigint").alias("violacoes"),
     )
     return values.unionByName(columns)

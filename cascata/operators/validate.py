@@ -56,6 +56,9 @@ def classify(
     )
 
 
+# The messages of the three validators below are fixed values: contract texts, given as they are.
+
+
 def validate_catalog(raw: DataFrame) -> DataFrame:
     required = ["conteudo_id", "titulo", "tipo", "categoria", "nivel", "carga_horaria_min", "data_publicacao"]
     whole = F.col("carga_horaria_min").rlike(r"^\s*[+-]?\d+\s*$")

@@ -1030,9 +1030,9 @@ query("mask_text", "SELECT ordem, CASE WHEN length(comentario) <= 20 THEN coment
     lambda L: L.raw_comments.select("ordem", text.mask_text(F.col("comentario")).alias("comentario")))
 
 
-@query("privacy_check", "SELECT 'autor original igual ao valor exposto' AS verificacao, count(*) FILTER (WHERE autor_mascarado = autor) AS violacoes "
+@query("privacy_check", "SELECT 'nome do autor visivel no valor publicado' AS verificacao, count(*) FILTER (WHERE autor_mascarado = autor) AS violacoes "
        f"FROM ({PUBLIC}) JOIN (SELECT conteudo_id, autor FROM silver_conteudo) USING (conteudo_id) "
-       "UNION ALL SELECT 'colunas usuario_id, autor ou comentario publicadas', 0")
+       "UNION ALL SELECT 'coluna identificadora em tabela publicada', 0")
 def _(L):
     public, names = privacy.public_content(L.dimension, SALT), pseudonyms(L)
     published = {"conteudo_publico": public, "interacoes": privacy.interactions_pseudonymised(L.interactions, names),
