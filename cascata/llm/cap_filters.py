@@ -29,6 +29,7 @@ from cascata.session import materialize, ship_package
 
 SMALL_GROUP = 48
 PAIRS_AT_ONCE = 1 << 17
+FILTERS_AT_ONCE = 1 << 22
 ROWS_AT_ONCE = 1024
 
 
@@ -36,9 +37,11 @@ class CapFilters:
     """The product code for vectors of one length."""
 
     def __init__(self, dimension: int, directions: int, height: float = 0.0, seed: int = 7) -> None:
+        """``directions`` is for long vectors: there are no more than two for each sign pattern of half a vector."""
         rng = np.random.default_rng([seed, dimension, directions])
         self.dimension, self.height = dimension, height
-        self.half, self.directions = -(-dimension // 2), directions
+        self.half = -(-dimension // 2)
+        self.directions = directions = min(directions, 2 ** min(self.half, 30))
         width = 2 * self.half
         self.rotation = np.linalg.qr(rng.normal(size=(width, width)))[0][:dimension].astype(np.float32)
         codes = rng.normal(size=(2, directions, self.half))
@@ -118,6 +121,11 @@ def _checked(vectors: DataFrame, id_column: str, vector_column: str) -> DataFram
 def _first_common(pairs: tuple[np.ndarray, np.ndarray], filters: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The least filter that both rows of each pair exceed."""
     left, right = pairs
+    found = [_first_of_some(left[a:b], right[a:b], filters, starts, lengths) for a, b in slices((lengths[left] + lengths[right]).tolist(), FILTERS_AT_ONCE)]
+    return np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int64)
+
+
+def _first_of_some(left: np.ndarray, right: np.ndarray, filters: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     number = np.arange(len(left))
     pair = np.concatenate([np.repeat(number, lengths[left]), np.repeat(number, lengths[right])])
     held = np.concatenate([filters[ragged(starts[left], lengths[left])], filters[ragged(starts[right], lengths[right])]])

@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cascata.llm.features import Ngrams, scaled, softmax, text_parts, train_ftrl
-from cascata.llm.lang_id import lists_of
+from cascata.llm.lang_id import lists_of, sampled
 from cascata.session import materialize, ship_package
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
@@ -215,7 +215,7 @@ def _sample(rows: DataFrame, text_column: str) -> pa.Table:
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", per_pattern: int = 400, most: int = 6000) -> QualityModel:
-    """Votes of all rows; the scorer learns from at most ``per_pattern`` rows a vote pattern and ``most`` in all."""
+    """Votes of all rows; the scorer learns from about ``per_pattern`` rows a vote pattern at most, of at most ``most`` ids in all."""
     ship_package(docs.sparkSession)
     schema = T.StructType([T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("pattern", T.LongType())])
 
@@ -230,11 +230,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", p
     counted = voted.groupBy("pattern").count().toArrow()  # at most 3 ** labellers rows
     pattern, count = counted.column("pattern").to_numpy(), counted.column("count").to_numpy()
     weak = estimate(votes_of(pattern), count.astype(float)) if len(pattern) else WeakLabels(0.5, np.full((2, len(LABELLERS), 2), 0.5))
-    order = Window.partitionBy("pattern").orderBy("_h", id_column)
-    known = voted.where(F.col(id_column).isNotNull()).distinct()
-    placed = known.withColumn("_h", F.xxhash64(id_column, F.lit(9))).withColumn("_place", F.row_number().over(order))
-    # The first rows of every pattern come before the further rows of any.
-    chosen = placed.where(F.col("_place") <= per_pattern).orderBy("_place", "_h").limit(most).select(id_column, "pattern")
+    chosen = sampled(voted, "pattern", id_column, per_pattern, most)
     sample = _sample(given.join(F.broadcast(chosen), id_column), text_column)  # at most ``most`` rows
     features, values = lists_of(sample.column("features")), lists_of(sample.column("values"))
     # Rows arrive in any order; sorted by their content, the same sample gives the same weights.

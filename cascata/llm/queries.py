@@ -40,7 +40,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) == 0)
+    return ctw.score(table(spark, sf_dir, "documents"), id_remainder("doc_id", 10) == 0, stored=True)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from cascata.llm.hot_groups import in_tiles
 from cascata.session import materialize, ship_package
 
 SEED = 42
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 QUERIES_AT_ONCE = 256
 _BIT_LANES = np.array([sum(((byte >> k) & 1) << (8 * k) for k in range(8)) for byte in range(256)], np.uint64)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
