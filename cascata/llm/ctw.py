@@ -5,10 +5,11 @@ own. A node's Krichevsky-Trofimov estimate is mixed with what its children say,
 the weights follow from the training counts, after which the model stays as it is and gives every
 text a probability (and so a code length). An end mark closes each text and stands before it.
 
-Documents are dealt into blocks of bounded size by a hash of their id. Each block asks for the
-byte strings of ``DEPTH + 1`` and the words that occur in it; their counts are added up over all
-training documents, the trees are weighted in shards of two context bytes (only the counts of the
-top two levels, at most 65,536 nodes, meet on the driver), and the answers go back to the blocks.
+Documents lie in blocks of bounded size by their place in the files. Each block asks for the byte
+strings of ``DEPTH + 1`` and the words that occur in it; their counts are added up over all
+training documents, the trees are weighted in shards, each of which holds all that ends in certain
+two context bytes (only the counts of the top two levels, at most 65,536 nodes, meet on the driver),
+and the answers go back to the blocks.
 
 Cases: a null text counts as empty and is scored as such (the end mark alone); a row with a null
 id is scored and never learnt from; repeated rows count and are scored each; with nothing to learn
@@ -23,14 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cascata.llm.arrays import byte_texts, slices
+from cascata.llm.arrays import byte_texts, slices, whole_groups
 from cascata.session import materialize, ship_package
 
 DEPTH = 5
 MARK = 0xFF  # no byte of UTF-8
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 END_TOKEN = " "  # no word holds a blank
 _HALF = np.log(0.5)
 
@@ -159,67 +161,82 @@ class Roots:
         return np.log10(chance).sum(axis=1)
 
 
-def _requests(table: pa.Table, schema: pa.Schema) -> pa.Table:
+def _parts(column: pa.ChunkedArray, rows: int = 1 << 30) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Row ranges of about a megabyte and their texts, made one after another."""
+    sizes = pc.fill_null(pc.binary_length(column.cast(pa.large_binary())), 0).to_pylist()
+    for a, b in slices([n + DEPTH + 1 for n in sizes], PART_BYTES, rows):
+        yield a, b, byte_texts(column.slice(a, b - a))
+
+
+def _requests(table: pa.Table) -> pa.RecordBatch:
     """What a block of documents asks for, with how often its training documents hold it."""
-    texts = byte_texts(table.column("text"))
     learn = table.column("learn").to_numpy()
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    words: Counter = Counter()
-    for taught in (True, False):
-        chosen = [t for t, own in zip(texts, learn) if own == taught]
-        for a, b in slices([len(t) + DEPTH + 1 for t in chosen], PART_BYTES):
-            found, n = sorted_counts(grams(chosen[a:b])[0])
+    words, others = Counter(), set()
+    for a, b, texts in _parts(table.column("text")):
+        for taught in (True, False):
+            chosen = [t for t, own in zip(texts, learn[a:b]) if own == taught]
+            if not chosen:
+                continue
+            found, n = sorted_counts(grams(chosen)[0])
             keys.append(found)
             counts.append(n * taught)
-            if len(keys) > 16:
-                merged = counted(np.concatenate(keys), np.concatenate(counts))
-                keys, counts = [merged[0]], [merged[1]]
-        if taught:
             for text in chosen:
-                words.update(text.lower().split())
-        else:
-            for text in chosen:
-                for word in set(text.lower().split()).difference(words):
-                    words[word] = 0
-    found, n = counted(np.concatenate(keys), np.concatenate(counts))
+                words.update(text.lower().split()) if taught else others.update(text.lower().split())
+        if len(keys) > 12:
+            merged = counted(np.concatenate(keys), np.concatenate(counts))
+            keys, counts = [merged[0]], [merged[1]]
+    words.update({word: 0 for word in others if word not in words})
     words[END_TOKEN.encode()] = int(learn.sum())
+    found, n = counted(np.concatenate(keys), np.concatenate(counts))
     size = len(found) + len(words)
-    return pa.table([
+    return pa.RecordBatch.from_arrays([
         pa.array(np.full(size, table.column("block")[0].as_py(), np.int64)),
         pa.array(np.r_[found.astype(np.int64), np.zeros(len(words), np.int64)], mask=np.r_[np.zeros(len(found), bool), np.ones(len(words), bool)]),
         pa.concat_arrays([pa.nulls(len(found), pa.binary()), pa.array(list(words), pa.binary())]),
         pa.array(np.r_[n, np.fromiter(words.values(), np.int64, len(words))]),
-    ], schema=schema)
+    ], names=["block", "gram", "word", "n"])
+
+
+def _ask(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Requests of every run of rows of one block; a block that two tasks share asks twice."""
+    for table, starts in whole_groups(blocks, ["block"], 1):
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+            made = _requests(table.slice(a, b - a))
+            for begin in range(0, made.num_rows, 1 << 16):
+                yield made.slice(begin, 1 << 16)
 
 
 def _score_block(docs: pa.Table, answers: pa.Table, total: int, distinct: int, schema: pa.Schema) -> pa.Table:
-    texts = byte_texts(docs.column("text"))
-    keys, words, value = answers.column("gram"), answers.column("word"), answers.column("value").to_numpy()
-    is_gram = keys.is_valid().to_numpy()
-    known = keys.filter(pa.array(is_gram)).to_numpy().astype(np.uint64)
-    order = np.argsort(known)
-    known, logs = known[order], value[is_gram][order]
+    words, value = answers.column("word"), answers.column("value").to_numpy()
+    is_gram = answers.column("gram").is_valid().to_numpy()
+    known = answers.column("gram").filter(pa.array(is_gram)).to_numpy().astype(np.uint64)
+    known, first = np.unique(known, return_index=True)  # a block that two tasks share has some twice
+    logs = value[is_gram][first]
     number = {w: i for i, w in enumerate(words.filter(pa.array(~is_gram)).to_pylist())}
     counts = value[~is_gram]
     log_word = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
     end = number[END_TOKEN.encode()] if number else -1
-    score, base = np.zeros(len(texts)), np.zeros(len(texts))
-    tokens, seen = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    for a, b in slices([len(t) + DEPTH + 1 for t in texts], PART_BYTES, 1 << (64 - 8 * (DEPTH + 1))):
-        found, owner = grams(texts[a:b])
-        shift = np.uint64(64 - 8 * (DEPTH + 1))
-        each, n = sorted_counts((found << shift) | owner.astype(np.uint64))
+    n = docs.num_rows
+    score, base, bytes_ = np.zeros(n), np.zeros(n), np.zeros(n)
+    tokens, seen = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    shift = np.uint64(64 - 8 * (DEPTH + 1))
+    for a, b, texts in _parts(docs.column("text"), 1 << int(shift)):
+        found, owner = grams(texts)
+        each, many = sorted_counts((found << shift) | owner.astype(np.uint64))
         gram, owner = each >> shift, (each & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
-        score[a:b] = np.bincount(owner, weights=n * logs[np.searchsorted(known, gram)], minlength=b - a)
-    for i, text in enumerate(texts):
-        found = text.lower().split()
-        at = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
-        tokens[i] = len(found) + 1
-        seen[i] = np.count_nonzero(counts[at] > 0) + (counts[end] > 0)
-        base[i] = log_word[at].sum() + log_word[end]
-    bytes_ = np.array([len(t) for t in texts])
-    return pa.table([docs.column("id"), docs.column("held_out"), pa.array(tokens), pa.array(seen), pa.array(np.full(len(texts), total, np.int64)),
-                     pa.array(base), pa.array(score), pa.array(-score / np.log10(2) / np.maximum(bytes_ + 1, 1))], schema=schema)
+        place = np.searchsorted(known, gram)
+        if len(known) == 0 or not np.array_equal(known[np.minimum(place, len(known) - 1)], gram):
+            raise ValueError("the rows of a block changed between two readings of the documents")
+        score[a:b] = np.bincount(owner, weights=many * logs[place], minlength=b - a)
+        for i, text in enumerate(texts, a):
+            held = text.lower().split()
+            at = np.fromiter(map(number.__getitem__, held), np.int64, len(held))
+            tokens[i], bytes_[i] = len(held) + 1, len(text)
+            seen[i] = np.count_nonzero(counts[at] > 0) + (counts[end] > 0)
+            base[i] = log_word[at].sum() + log_word[end]
+    return pa.table([docs.column("id"), docs.column("held_out"), pa.array(tokens), pa.array(seen), pa.array(np.full(n, total, np.int64)),
+                     pa.array(base), pa.array(score), pa.array(-score / np.log10(2) / (bytes_ + 1))], schema=schema)
 
 
 def score(
@@ -227,29 +244,36 @@ def score(
     held_out: Column,
     id_column: str = "doc_id",
     text_column: str = "text",
-    block_bytes: int = 32 << 20,
+    stored: bool = False,
+    block_bytes: int = 24 << 20,
+    shard_rows: int = 100_000,
 ) -> DataFrame:
     """One row per document, learning from those for which ``held_out`` (of the id column) is false.
 
     Columns: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of
-    the text with its end mark) and bits_per_byte (its code length).
+    the text with its end mark) and bits_per_byte (its code length). With ``stored``, ``docs`` is a table
+    as it was read from files, which is read twice; otherwise a copy is stored first.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    dealt = docs.select(
-        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        F.coalesce(~held_out, F.lit(False)).alias("learn"), F.pmod(F.xxhash64(id_column), F.lit(blocks)).alias("block"))
-    asked_schema = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
-    asked = materialize(dealt.groupBy("block").applyInArrow(
-        lambda table: _requests(table.select(["text", "learn", "block"]), asked_schema), "block long, gram long, word binary, n long"), "pedidos")
+    given = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                        F.coalesce(~held_out, F.lit(False)).alias("learn"), *([F.col("_metadata").alias("_place")] if stored else []))
+    if not stored:
+        given = materialize(given, "documentos")
+        given = given.select("*", F.col("_metadata").alias("_place"))
+    size, count = given.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    rows = max(1, block_bytes * count // max(1, size or 0))
+    # Rows lie in a block by their place in the files, so that asking needs no shuffle of texts.
+    block = F.xxhash64("_place.file_path", F.floor(F.col("_place.row_index") / rows))
+    dealt = given.withColumn("block", block).drop("_place")
+    asked = materialize(dealt.select("text", "learn", "block").mapInArrow(_ask, "block long, gram long, word binary, n long"), "pedidos")
 
     words = materialize(asked.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "palavras")
     total, distinct = words.agg(F.sum("n"), F.sum((F.col("n") > 0).cast("long"))).first()
     total, distinct = total or 0, distinct or 0
-    shard = F.shiftright("gram", 8 * (DEPTH - 1))
-    trained = materialize(asked.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).withColumn("shard", shard), "contextos")
+    trained = materialize(asked.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "contextos")
+    shards = max(1, trained.count() // shard_rows)
+    trained = trained.withColumn("shard", F.pmod(F.xxhash64(F.shiftright("gram", 8 * (DEPTH - 1))), F.lit(shards)))
 
     def tops(table: pa.Table) -> pa.Table:
         level = shard_levels(*_sorted(table), 2)[0]
