@@ -19,8 +19,9 @@ empty table gives an empty result; very long texts are hashed whole, a slice at
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, combinations, repeat
 
 import numpy as np
@@ -95,18 +96,23 @@ def majority_bits(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return texts
 
 
+def long_majority(parts: Iterable[np.ndarray], lanes: int) -> np.ndarray:
+    """``majority_bits`` of one text whose hashes come in parts, in bounded memory."""
+    total, counts = 0, np.zeros((lanes, 64), np.int64)
+    for part in parts:
+        total += len(part)
+        for c in range(0, len(part), 1 << 16):
+            wide = np.ascontiguousarray(widened(part[c : c + (1 << 16)], lanes).T)
+            counts += np.unpackbits(wide.view(np.uint8).reshape(lanes, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+    return np.packbits(2 * counts > total, axis=1, bitorder="little").view(np.uint64).ravel()
+
+
 def fingerprint(texts: list[bytes], words: int = 3, lanes: int = 1) -> np.ndarray:
     """Fingerprints of 64 bits a lane, one row a text."""
     made = np.zeros((len(texts), lanes), np.uint64)
     for a, b in slices([len(t) for t in texts], SLICE_BYTES):
         if b - a == 1 and len(texts[a]) > SLICE_BYTES:
-            total, counts = 0, np.zeros((lanes, 64), np.int64)
-            for part in shingle_hashes(texts[a], words):
-                total += len(part)
-                for c in range(0, len(part), 1 << 16):
-                    wide = np.ascontiguousarray(widened(part[c : c + (1 << 16)], lanes).T)
-                    counts += np.unpackbits(wide.view(np.uint8).reshape(lanes, -1, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
-            made[a] = np.packbits(2 * counts > total, axis=1, bitorder="little").view(np.uint64).ravel()
+            made[a] = long_majority(shingle_hashes(texts[a], words), lanes)
             continue
         each = [list(shingle_hashes(t, words)) for t in texts[a:b]]
         lengths = np.array([sum(map(len, parts)) for parts in each], np.int64)
@@ -115,6 +121,16 @@ def fingerprint(texts: list[bytes], words: int = 3, lanes: int = 1) -> np.ndarra
     return made
 
 
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct shingle hashes of a text in ascending order."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, words)]))
+
+
+def set_digest(hashes: np.ndarray) -> bytes:
+    """By which equal shingle sets meet."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=20).digest()
+
+
 def lane_names(lanes: int) -> list[str]:
     return [f"bits{k}" if k else "bits" for k in range(lanes)]
 
@@ -132,6 +148,30 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return docs.select(id_column, text_column).mapInArrow(run, schema)
 
 
+def set_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int, lanes: int) -> DataFrame:
+    """(id, ``digest``, ``shingles``, ``bits``, ...): the shingle set's digest, size and fingerprint; a repeated shingle counts once."""
+    ship_package(docs.sparkSession)
+    fields = [T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("digest", T.BinaryType()), T.StructField("shingles", T.LongType())]
+    schema = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in lane_names(lanes))])
+
+    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks:
+            texts = byte_texts(block.column(1))
+            bits, digests, sizes = np.zeros((len(texts), lanes), np.uint64), [], np.zeros(len(texts), np.int64)
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
+                sets = [shingle_set(t, words) for t in texts[a:b]]
+                digests += map(set_digest, sets)
+                sizes[a:b] = [len(x) for x in sets]
+                if b - a == 1 and len(texts[a]) > SLICE_BYTES:
+                    bits[a] = long_majority(sets, lanes)
+                else:
+                    bits[a:b] = majority_bits(widened(np.concatenate(sets), lanes), sizes[a:b])
+            columns = [block.column(0), pa.array(digests, pa.binary()), pa.array(sizes), *(pa.array(x) for x in bits.view(np.int64).T)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select(id_column, text_column).mapInArrow(run, schema)
+
+
 def bit_planes(values: np.ndarray) -> np.ndarray:
     """One row per bit of the values; 64 values to a word. Unused places hold zeros."""
     width = -(-len(values) // 64)
@@ -266,7 +306,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, jaccard: float = 0.8, lanes: int = 4) -> DataFrame:
-    """(id, ``component_id``) of rows whose shingle sets are similar.
+    """(id, ``component_id``) of rows whose shingle sets are similar; how often a text repeats a shingle does not matter.
 
     Sets of Jaccard similarity j have the cosine 2j / (1 + j), and their fingerprints differ in the
     share acos(cosine) / pi of the bits; the radius lies one and a quarter standard deviations beyond
@@ -276,12 +316,13 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     bits = 64 * lanes
     radius = round(bits * share + 1.25 * math.sqrt(bits * share * (1 - share)))
     names = lane_names(lanes)
-    made = materialize(fingerprints(docs, id_column, text_column, words, lanes), "impressoes")
-    distinct = materialize(made.groupBy(*names).agg(F.min(id_column).cast("long").alias("node")), "distintas")
-    worded = " or ".join(f"{n} <> 0" for n in names)
-    found = connected(sampled_links(distinct.where("node is not null").where(worded), radius, lanes, share))
-    named = distinct.join(found, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
-    return made.join(named, names).select(id_column, "component_id")
+    made = materialize(set_fingerprints(docs, id_column, text_column, words, lanes), "impressoes")
+    classes = materialize(
+        made.groupBy("digest").agg(F.min(id_column).cast("long").alias("node"), F.any_value("shingles").alias("shingles"), *(F.any_value(n).alias(n) for n in names)), "distintas")
+    worded = classes.where("node is not null and shingles > 0")
+    found = connected(sampled_links(worded, radius, lanes, share))
+    named = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    return made.join(named, "digest").select(id_column, "component_id")
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, jaccard: float = 0.8) -> DataFrame:

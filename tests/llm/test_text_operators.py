@@ -229,6 +229,18 @@ def test_near_copies_of_the_pipeline(spark, empty):
     assert simhash.keep_first(empty).count() == 0
 
 
+def test_repeated_passages_do_not_make_copies(spark):
+    """Near copies are told by shingle sets: a passage repeated often neither joins texts nor parts copies."""
+    rng = random.Random(4)
+    words = ["w%d" % k for k in range(5000)]
+    passage = " ".join(rng.choices(words, k=10))
+    apart = [" ".join(rng.choices(words, k=100)) + " " + " ".join([passage] * 40) for _ in range(6)]
+    text = rng.choices(words, k=300)
+    copies = [" ".join(text + rng.choices(words, k=3)), " ".join(text) + " " + " ".join([passage] * 60)]
+    table = spark.createDataFrame(list(enumerate(apart + copies)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_first(table).collect()) == [0, 1, 2, 3, 4, 5, 6]
+
+
 def test_op1_is_right_on_held_out_rows(spark, docs):
     rows = queries.op1_language_id(spark, SF).join(docs.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
