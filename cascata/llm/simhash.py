@@ -8,8 +8,9 @@ machine word; carry-save counters add up the differing planes of all of them at
 in which every count has passed the radius are abandoned.
 
 ``keep_first`` looks for a similarity rather than a few bits: its fingerprints have 256 bits, and as
-no choice of blocks is sure to agree at the larger radius, groups are made of sampled bits, of which
-there are enough for a pair at the wanted similarity to be missed once in a hundred times.
+no choice of blocks is sure to agree at the larger radius, groups are made of sampled bits. What is
+near by fingerprint is only a candidate: the candidates' shingle sets are compared, and a link needs
+the wanted Jaccard similarity.
 
 Cases: null text counts as empty; a text without words has the fingerprint zero and is linked
 like any other; fewer words than a shingle make one shingle; equal texts have equal fingerprints
@@ -29,13 +30,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cascata.llm.arrays import byte_texts, slices
+from cascata.llm.arrays import byte_texts, ragged, slices
 from cascata.llm.components import Forest, connected
 from cascata.llm.hot_groups import in_tiles
 from cascata.session import materialize, ship_package
 
 SEED = 42
 SLICE_BYTES = 2 << 20
+#: Hashes of the shingle sets that one side of a tile holds, and what each set counts for besides them.
+TILE_HASHES, SET_WEIGHT = 1 << 20, 256
 QUERIES_AT_ONCE = 256
 _BIT_LANES = np.array([sum(((byte >> k) & 1) << (8 * k) for k in range(8)) for byte in range(256)], np.uint64)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -292,6 +295,88 @@ def sampled_links(distinct: DataFrame, radius: int, lanes: int, expected: float,
     return _linked(_spread(distinct, F.array(*keys), lanes), radius, lanes, tile_rows)
 
 
+def link_sets(sets: list[np.ndarray], values: np.ndarray, first: np.ndarray | None, radius: int, jaccard: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between sets of distinct hashes whose Jaccard similarity is ``jaccard`` at least: each member with the root of its tree.
+
+    Pairs within the radius are candidates. Each set is compared with those candidates that no link has joined it
+    to yet, so that a group of near copies takes about one comparison a member.
+    """
+    forest = Forest(len(sets))
+    left = np.arange(len(sets)) if first is None else np.flatnonzero(first)
+    right = left if first is None else np.flatnonzero(~first)
+    if not (len(left) and len(right)):
+        return forest.edges()
+    lengths = np.array([len(x) for x in sets], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    known, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    marked = np.zeros(len(known), bool)
+    planes = bit_planes(values[right])
+    for a in range(0, len(left), QUERIES_AT_ONCE):
+        i, j = near(values[left[a : a + QUERIES_AT_ONCE]], planes, len(right), radius)
+        i, j = left[a + i], right[j]
+        low, high = np.minimum(lengths[i], lengths[j]), np.maximum(lengths[i], lengths[j])
+        likely = (low >= jaccard * high - 1e-9) & ((i < j) if first is None else True)
+        order = np.argsort(i[likely], kind="stable")
+        i, j = i[likely][order], j[likely][order]
+        begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
+        for begin, end in zip(begins, np.r_[begins[1:], len(i)]):
+            one, others = i[begin], j[begin:end]
+            others = others[forest.roots[others] != forest.roots[one]]
+            if not len(others):
+                continue
+            own = numbers[starts[one] : starts[one] + lengths[one]]
+            marked[own] = True
+            ends = np.cumsum(lengths[others])
+            common = np.add.reduceat(marked[numbers[ragged(starts[others], lengths[others])]], ends - lengths[others], dtype=np.int64)
+            marked[own] = False
+            similar_ = others[common >= jaccard * (lengths[one] + lengths[others] - common) - 1e-9]
+            if len(similar_):
+                forest.link(np.full(len(similar_), one), similar_)
+    return forest.edges()
+
+
+def verified_links(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str, words: int, lanes: int, radius: int, jaccard: float) -> DataFrame:
+    """Links ``a``, ``b`` that connect what is similar among the classes ``wanted`` (``component``, ``node``, ``digest``, bits).
+
+    Only members of the same component of candidates are compared. The texts are read once more for that; large
+    components are compared in tiles.
+    """
+    names = lane_names(lanes)
+    given = docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).alias("text")).join(
+        wanted.select("node", "component", F.col("digest").alias("_digest"), *names), "node")
+    fields = [T.StructField("component", T.LongType()), T.StructField("node", T.LongType()), T.StructField("digest", T.BinaryType()),
+              *(T.StructField(n, T.LongType()) for n in names), T.StructField("n", T.LongType()), T.StructField("hashes", T.BinaryType())]
+    schema = T.StructType(fields)
+
+    def read(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks:
+            texts = byte_texts(block.column("text"))
+            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
+                sets = [shingle_set(t, words) for t in texts[a:b]]
+                part = block.slice(a, b - a)
+                # an id may have rows of other texts
+                mine = [k for k, (x, digest) in enumerate(zip(sets, part.column("_digest").to_pylist())) if set_digest(x) == digest]
+                part = part.take(pa.array(mine, pa.int64()))
+                lists = [pa.array([len(sets[k]) for k in mine], pa.int64()), pa.array([sets[k].tobytes() for k in mine], pa.binary())]
+                columns = [part.column(c) for c in ("component", "node", "_digest", *names)]
+                yield pa.RecordBatch.from_arrays([*columns, *lists], names=schema.names)
+
+    order = ["component", "node", *names, "n", "hashes"]
+    sets = given.select("node", "text", "component", "_digest", *names).mapInArrow(read, schema)
+    sets = materialize(sets.groupBy("digest").agg(*(F.first(c).alias(c) for c in order)), "conjuntos")
+
+    def run(tile: pa.Table) -> pa.Table:
+        values = np.stack([tile.column(n).to_numpy() for n in names], axis=1).view(np.uint64)
+        nodes = tile.column("node").to_numpy()
+        held = [np.frombuffer(x, np.uint64) for x in tile.column("hashes").to_pylist()]
+        across = tile.column("_lo")[0].as_py() != tile.column("_hi")[0].as_py()
+        a, b = link_sets(held, values, tile.column("_first").to_numpy() if across else None, radius, jaccard)
+        return pa.table({"a": nodes[a], "b": nodes[b]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    tiles = in_tiles(sets, ["component"], "digest", TILE_HASHES, weight=f"n + {SET_WEIGHT}")
+    return tiles.groupBy("component", "_lo", "_hi").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
     """(id, ``fingerprint`` in hex, ``component_id``): the least id that links of near fingerprints reach.
 
@@ -320,7 +405,9 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     classes = materialize(
         made.groupBy("digest").agg(F.min(id_column).cast("long").alias("node"), F.any_value("shingles").alias("shingles"), *(F.any_value(n).alias(n) for n in names)), "distintas")
     worded = classes.where("node is not null and shingles > 0")
-    found = connected(sampled_links(worded, radius, lanes, share))
+    candidates = connected(sampled_links(worded, radius, lanes, share))
+    wanted = worded.join(candidates, "node")
+    found = connected(verified_links(docs, wanted, id_column, text_column, words, lanes, radius, jaccard))
     named = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     return made.join(named, "digest").select(id_column, "component_id")
 

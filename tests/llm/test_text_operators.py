@@ -241,6 +241,45 @@ def test_repeated_passages_do_not_make_copies(spark):
     assert sorted(r.doc_id for r in simhash.keep_first(table).collect()) == [0, 1, 2, 3, 4, 5, 6]
 
 
+def jaccard_pairs(texts, least):
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    return np.array([[len(x & y) >= least * len(x | y) for y in sets] for x in sets])
+
+
+def test_only_copies_of_the_wanted_similarity_are_joined(spark):
+    """Pairs from 0.6 to 0.79 all stay, also in chains and in tiles; pairs from 0.8 on are joined."""
+    rng = random.Random(6)
+    words = ["w%d" % k for k in range(5000)]
+    texts = []
+    for shared in (320, 330, 340, 345, 350, 380, 390):
+        for _ in range(4):
+            text = rng.choices(words, k=shared)
+            texts += [" ".join(text + rng.choices(words, k=400 - shared)) for _ in range(3)]
+    labels = components(jaccard_pairs(texts, 0.8))
+    assert 0 < (labels != np.arange(len(texts))).sum() < 0.5 * len(texts)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.component_id for r in simhash.similar(table).orderBy("doc_id").collect()] == labels.tolist()
+
+
+def test_sets_are_linked_within_and_across_tiles():
+    rng = np.random.default_rng(7)
+    sets = []
+    for _ in range(12):
+        base = rng.integers(1, 1 << 62, 100).astype(np.uint64)
+        sets += [np.unique(np.r_[base[: 100 - k], rng.integers(1, 1 << 62, k).astype(np.uint64)]) for k in (0, 5, 9, 12, 30, 50)]
+    wanted = np.array([[len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)) for y in sets] for x in sets])
+    values = np.zeros((len(sets), 4), np.uint64)  # every pair is a candidate
+    items, roots = simhash.link_sets(sets, values, None, 3, 0.8)
+    labels = np.arange(len(sets))
+    labels[items] = roots
+    assert labels.tolist() == components(wanted).tolist()
+    first = np.arange(len(sets)) % 2 == 0
+    items, roots = simhash.link_sets(sets, values, first, 3, 0.8)
+    labels = np.arange(len(sets))
+    labels[items] = roots
+    assert labels.tolist() == components(wanted & (first[:, None] != first[None]) | np.eye(len(sets), dtype=bool)).tolist()
+
+
 def test_op1_is_right_on_held_out_rows(spark, docs):
     rows = queries.op1_language_id(spark, SF).join(docs.select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
