@@ -217,6 +217,17 @@ def near(queries: np.ndarray, planes: np.ndarray, n: int, radius: int) -> tuple[
     return rows[hits][where], 64 * words[hits][where] + lane
 
 
+def near_wide(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """``near`` for several lanes: at a large radius counting whole words is faster than counting planes. The last lane is counted for what is left."""
+    last = values.shape[1] - 1
+    counts = np.zeros((len(queries), len(values)), np.uint16)
+    for lane in range(last):
+        counts += np.bitwise_count(queries[:, lane, None] ^ values[None, :, lane])
+    i, j = np.nonzero(counts <= radius)
+    within = counts[i, j] + np.bitwise_count(queries[i, last] ^ values[j, last]) <= radius
+    return i[within], j[within]
+
+
 def link_tile(values: np.ndarray, first: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what is near within a tile: each member with the root of its tree.
 
@@ -226,9 +237,11 @@ def link_tile(values: np.ndarray, first: np.ndarray | None, radius: int) -> tupl
     left = np.arange(len(values)) if first is None else np.flatnonzero(first)
     right = left if first is None else np.flatnonzero(~first)
     if len(left) and len(right):
-        planes = bit_planes(values[right])
+        wide = values.shape[1] > 1
+        planes = values[right] if wide else bit_planes(values[right])
         for a in range(0, len(left), QUERIES_AT_ONCE):
-            i, j = near(values[left[a : a + QUERIES_AT_ONCE]], planes, len(right), radius)
+            asked = values[left[a : a + QUERIES_AT_ONCE]]
+            i, j = near_wide(asked, planes, radius) if wide else near(asked, planes, len(right), radius)
             forest.link(left[a + i], right[j])
     return forest.edges()
 
@@ -276,14 +289,14 @@ def links(distinct: DataFrame, radius: int = 3, group_rows: int = 2048, tile_row
     return _linked(_spread(distinct, keys, 1), radius, 1, tile_rows)
 
 
-def sampled_links(distinct: DataFrame, radius: int, lanes: int, expected: float, missed: float = 0.01, group_rows: int = 512, tile_rows: int = 4096) -> DataFrame:
-    """The same for wide fingerprints: ``expected`` is the share of bits in which the pairs sought differ.
+def sampled_links(distinct: DataFrame, radius: int, lanes: int, missed: float = 0.01, group_rows: int = 512, tile_rows: int = 4096) -> DataFrame:
+    """The same for wide fingerprints, of which a pair just at the radius is missed with probability ``missed``, a nearer one less often.
 
-    Each group agrees in some sampled bits, as many as it takes for groups of ``group_rows``; there
-    are enough samples for a pair to share none of them with probability ``missed``.
+    Each group agrees in some sampled bits, as many as it takes for groups of ``group_rows``; how many
+    samples there are follows from the radius, so that ``missed`` holds for a table of any size.
     """
     bits = max(1, (max(1, distinct.count() // group_rows)).bit_length())
-    choices = math.ceil(math.log(missed) / math.log(1 - (1 - expected) ** bits))
+    choices = math.ceil(math.log(missed) / math.log(1 - (1 - radius / (64 * lanes)) ** bits))
     rng = np.random.default_rng(23)
     keys = []
     for number in range(choices):
@@ -310,9 +323,8 @@ def link_sets(sets: list[np.ndarray], values: np.ndarray, first: np.ndarray | No
     starts = np.cumsum(lengths) - lengths
     known, numbers = np.unique(np.concatenate(sets), return_inverse=True)
     marked = np.zeros(len(known), bool)
-    planes = bit_planes(values[right])
     for a in range(0, len(left), QUERIES_AT_ONCE):
-        i, j = near(values[left[a : a + QUERIES_AT_ONCE]], planes, len(right), radius)
+        i, j = near_wide(values[left[a : a + QUERIES_AT_ONCE]], values[right], radius)
         i, j = left[a + i], right[j]
         low, high = np.minimum(lengths[i], lengths[j]), np.maximum(lengths[i], lengths[j])
         likely = (low >= jaccard * high - 1e-9) & ((i < j) if first is None else True)
@@ -394,18 +406,18 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """(id, ``component_id``) of rows whose shingle sets are similar; how often a text repeats a shingle does not matter.
 
     Sets of Jaccard similarity j have the cosine 2j / (1 + j), and their fingerprints differ in the
-    share acos(cosine) / pi of the bits; the radius lies one and a quarter standard deviations beyond
-    that. A row without words is similar to nothing but other such rows.
+    share acos(cosine) / pi of the bits. Candidates lie within a radius of four and a half standard deviations beyond
+    that, which leaves room for sets of few shingles (four of five: 3 / 16 of the bits); links are verified. A row without words is similar to nothing but other such rows.
     """
     share = math.acos(2 * jaccard / (1 + jaccard)) / math.pi
     bits = 64 * lanes
-    radius = round(bits * share + 1.25 * math.sqrt(bits * share * (1 - share)))
+    radius = round(bits * share + 4.5 * math.sqrt(bits * share * (1 - share)))
     names = lane_names(lanes)
     made = materialize(set_fingerprints(docs, id_column, text_column, words, lanes), "impressoes")
     classes = materialize(
         made.groupBy("digest").agg(F.min(id_column).cast("long").alias("node"), F.any_value("shingles").alias("shingles"), *(F.any_value(n).alias(n) for n in names)), "distintas")
     worded = classes.where("node is not null and shingles > 0")
-    candidates = connected(sampled_links(worded, radius, lanes, share))
+    candidates = connected(sampled_links(worded, radius, lanes))
     wanted = worded.join(candidates, "node")
     found = connected(verified_links(docs, wanted, id_column, text_column, words, lanes, radius, jaccard))
     named = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))

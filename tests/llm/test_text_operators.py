@@ -261,6 +261,32 @@ def test_only_copies_of_the_wanted_similarity_are_joined(spark):
     assert [r.component_id for r in simhash.similar(table).orderBy("doc_id").collect()] == labels.tolist()
 
 
+def test_pairs_just_at_the_similarity_are_found(spark):
+    """Pairs of Jaccard 0.8 against brute force, of long texts and of texts of few shingles."""
+    rng = random.Random(8)
+    words = ["w%d" % k for k in range(5000)]
+    texts = []
+    for length, changed in [(400, 44)] * 60 + [(9, 1)] * 60:
+        text = rng.choices(words, k=length)
+        texts += [" ".join(text), " ".join(text[:-changed] + (rng.choices(words, k=changed) if length > 9 else []))]
+    near = jaccard_pairs(texts, 0.8)
+    assert near.sum() == 2 * len(texts)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [r.component_id for r in simhash.similar(table).orderBy("doc_id").collect()]
+    assert found == components(near).tolist()
+
+
+@pytest.mark.parametrize("radius", (0, 3, 65))
+def test_counting_words_and_planes_finds_the_same(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, (100, 4)).astype(np.uint64)
+    flips = np.packbits(rng.random((100, 256)) < 0.25, axis=1).view(np.uint64)
+    values = np.concatenate([base, base, base ^ flips, base ^ np.uint64(1)])
+    found = [set(zip(*map(np.ndarray.tolist, pair))) for pair in (
+        simhash.near(values, simhash.bit_planes(values), len(values), radius), simhash.near_wide(values, values, radius))]
+    assert found[0] == found[1] and len(found[0]) > len(values)
+
+
 def test_sets_are_linked_within_and_across_tiles():
     rng = np.random.default_rng(7)
     sets = []
