@@ -91,6 +91,17 @@ def test_recall_of_pairs_at_the_threshold():
     assert len(set(a[np.isin(a * 2**20 + f, b * 2**20 + g)])) > 0.93 * 400
 
 
+def test_op9_finds_pairs_at_the_threshold_as_registered(spark):
+    rng = np.random.default_rng(12)
+    one, other = rng.normal(size=(2, 1500, 64))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(axis=1, keepdims=True) * one
+    other = 0.902 * one + np.sqrt(1 - 0.902**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([one, other]))]
+    found = cap_filters.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sum(r.n_links for r in found) >= 0.99 * len(rows)
+
+
 def test_op9_on_the_given_table(spark):
     rows = queries.op9_embedding_neardup(spark, SF).collect()
     assert len(rows) == spark.read.parquet(f"{SF}/embeddings.parquet").count()
