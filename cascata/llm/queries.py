@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from public_tokenizers import path as vocabulary_path
 
-from cascata.llm import ann, bpe, cap_filters, ctw, lang_id, packing, quality, simhash, toxicity, url_filter
+from cascata.llm import (
+    ann, bpe, cap_filters, ctw, filter_audit, hybrid_search, lang_id, packing, perfect_dedup, quality, simhash, toxicity, url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +138,96 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = hybrid_search.build_index(table(spark, sf_dir, "documents"))
+    return hybrid_search.rank(index, table(spark, sf_dir, "benchmark"), 50)
+
+
+OP11_SQL = r"""
+WITH found AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), corpus AS (
+    SELECT count(*) FILTER (WHERE len(terms) > 0) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM found
+), posting AS (
+    SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM found) GROUP BY ALL
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM posting, corpus GROUP BY term
+), scored AS (
+    SELECT item_id, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // words))))) AS BIGINT) AS score
+    FROM asked JOIN posting USING (term) JOIN weight USING (term), corpus GROUP BY item_id, doc_id
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.masked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+OP12_SQL = r"""
+WITH typed AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), judged AS (
+    SELECT part, doc_id,
+           (len(words) < 50)::INT
+           + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+           + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+           + 8 * regexp_matches(t, '[#$%&*|]')::INT
+           + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+    FROM typed
+), known AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), counted AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+    FROM judged LEFT JOIN known USING (doc_id) GROUP BY ALL
+), letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a JOIN letter b ON b.x <> a.x JOIN letter c ON c.x NOT IN (a.x, b.x)
+    JOIN letter d ON d.x NOT IN (a.x, b.x, c.x) JOIN letter e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), steps AS (
+    SELECT *, CAST(1 << (ascii(substr(filter_order, step, 1)) - 65) AS INT) AS bit,
+           CAST(coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, CAST(i AS INT), 1)) - 65))), 0) AS INT) AS before
+    FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INT) AS step FROM orders)
+), walked AS (
+    SELECT part, filter_order, step, bit,
+           CAST(sum(n) FILTER (WHERE mask & (bit | before) = 0) AS BIGINT) AS kept,
+           CAST(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS BIGINT) AS removed,
+           CAST(sum(n) FILTER (WHERE mask & bit > 0 AND mask & before > 0) AS BIGINT) AS redundant,
+           CAST(sum(n) FILTER (WHERE mask = bit) AS BIGINT) AS unique_fails,
+           CAST(sum(good) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS BIGINT) AS good_lost,
+           CAST(sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & before = 0) AS BIGINT) AS toxic_lost
+    FROM counted JOIN steps ON mask >= 0 GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant,
+       coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM walked
+"""
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents, by the checksum of their ids, count as loaded before."""
+    return perfect_dedup.deduplicate(table(spark, sf_dir, "documents"), id_remainder("doc_id", 2) == 0)
+
+
+OP13_SQL = r"""
+WITH named AS (
+    SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM (
+    SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size FROM named)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_simhash": op2_simhash,
@@ -147,8 +239,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_neardup": op9_embedding_neardup,
     "op10_bpe": op10_bpe,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_url_filter": OP8_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_exact_dedup": OP13_SQL,
 }
