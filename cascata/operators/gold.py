@@ -23,12 +23,8 @@ def dim_content(contents: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def fact_engagement_day(interactions: DataFrame, run_id: str) -> DataFrame:
-    counted = (
-        interactions.withColumn("data", F.to_date("data_hora"))
-        .groupBy("conteudo_id", "data")
-        .agg(*metrics.engagement_counts())
-    )
+def fact_rows(counted: DataFrame, run_id: str) -> DataFrame:
+    """The fact from sums by content and day."""
     return counted.select(
         "conteudo_id", "data", "total_interacoes", "visualizacoes", "inicios", "conclusoes", "curtidas",
         "avaliacoes",
@@ -38,6 +34,11 @@ def fact_engagement_day(interactions: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def fact_engagement_day(interactions: DataFrame, run_id: str) -> DataFrame:
+    dated = interactions.withColumn("data", F.to_date("data_hora"))
+    return fact_rows(dated.groupBy("conteudo_id", "data").agg(*metrics.engagement_counts()), run_id)
+
+
 def counts_per_content(interactions: DataFrame) -> DataFrame:
     return interactions.groupBy("conteudo_id").agg(*metrics.engagement_counts())
 
@@ -47,12 +48,29 @@ def contents_with_counts(contents: DataFrame, interactions: DataFrame) -> DataFr
     return contents.join(counts_per_content(interactions), "conteudo_id", "left")
 
 
-def kpi_category(contents: DataFrame, interactions: DataFrame, run_id: str) -> DataFrame:
-    grouped = (
-        contents_with_counts(contents, interactions)
-        .groupBy("categoria", "tipo")
-        .agg(F.count(F.lit(1)).alias("qtd_conteudos"), *metrics.merged_counts())
+def group_counts(joined: DataFrame, *keys: str) -> DataFrame:
+    """Sums by category and type, or by other columns, over contents with their counts.
+
+    The mean workload weighs a content by its joined rows, one at least.
+    """
+    weight = F.greatest(F.coalesce("total_interacoes", F.lit(0)), F.lit(1))
+    weighed = joined.withColumns({
+        "_carga": F.col("carga_horaria_min") * weight,
+        "_peso": F.when(F.col("carga_horaria_min").isNotNull(), weight),
+    })
+    return weighed.groupBy(*(keys or ("categoria", "tipo"))).agg(
+        F.count(F.lit(1)).alias("qtd_conteudos"), *metrics.merged_counts(),
+        F.sum("_carga").alias("soma_carga"), F.sum("_peso").alias("peso_carga"),
     )
+
+
+def merge_groups(grouped: DataFrame, *keys: str) -> DataFrame:
+    """Sums by fewer columns from sums by more."""
+    sums = ["qtd_conteudos", *metrics.COUNT_NAMES, "soma_carga", "peso_carga"]
+    return grouped.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def category_rows(grouped: DataFrame, run_id: str) -> DataFrame:
     return grouped.select(
         "categoria", "tipo", "qtd_conteudos", "total_interacoes", "visualizacoes", "inicios", "conclusoes",
         metrics.completion_rate().alias("taxa_conclusao_pct"),
@@ -62,23 +80,16 @@ def kpi_category(contents: DataFrame, interactions: DataFrame, run_id: str) -> D
     )
 
 
+def kpi_category(contents: DataFrame, interactions: DataFrame, run_id: str) -> DataFrame:
+    return category_rows(group_counts(contents_with_counts(contents, interactions)), run_id)
+
+
 def format_counts(contents: DataFrame, interactions: DataFrame) -> DataFrame:
-    """Per content type; the mean workload weighs a content by its joined rows, one at least."""
-    weight = F.greatest(F.coalesce("total_interacoes", F.lit(0)), F.lit(1))
-    joined = contents_with_counts(contents, interactions).withColumns({
-        "_carga": F.col("carga_horaria_min") * weight,
-        "_peso": F.when(F.col("carga_horaria_min").isNotNull(), weight),
-    })
-    return joined.groupBy("tipo").agg(
-        F.count(F.lit(1)).alias("qtd_conteudos"),
-        *metrics.merged_counts(),
-        F.sum("_carga").alias("soma_carga"),
-        F.sum("_peso").alias("peso_carga"),
-    )
+    return group_counts(contents_with_counts(contents, interactions), "tipo")
 
 
-def kpi_format(contents: DataFrame, interactions: DataFrame, run_id: str) -> DataFrame:
-    return format_counts(contents, interactions).select(
+def format_rows(grouped: DataFrame, run_id: str) -> DataFrame:
+    return grouped.select(
         F.col("tipo").alias("formato"), "qtd_conteudos", "total_interacoes", "visualizacoes", "inicios",
         "conclusoes",
         metrics.completion_rate().alias("taxa_conclusao_pct"),
@@ -89,19 +100,24 @@ def kpi_format(contents: DataFrame, interactions: DataFrame, run_id: str) -> Dat
     )
 
 
-def day_counts(interactions: DataFrame) -> DataFrame:
-    """Per day; distinct users are counted over (day, user) partial counts, in two steps."""
-    per_user = (
-        interactions.withColumn("data", F.to_date("data_hora"))
-        .groupBy("data", "usuario_id")
-        .agg(*metrics.engagement_counts())
-    )
+def kpi_format(contents: DataFrame, interactions: DataFrame, run_id: str) -> DataFrame:
+    return format_rows(format_counts(contents, interactions), run_id)
+
+
+def merged_days(per_user: DataFrame) -> DataFrame:
+    """Sums per day and its distinct users, from sums by day and user."""
     sums = [F.sum(c).alias(c) for c in metrics.COUNT_NAMES]
     return per_user.groupBy("data").agg(F.count("usuario_id").alias("usuarios_ativos"), *sums)
 
 
-def kpi_day(interactions: DataFrame, run_id: str) -> DataFrame:
-    return day_counts(interactions).select(
+def day_counts(interactions: DataFrame) -> DataFrame:
+    """Per day; distinct users are counted over (day, user) partial counts, in two steps."""
+    dated = interactions.withColumn("data", F.to_date("data_hora"))
+    return merged_days(dated.groupBy("data", "usuario_id").agg(*metrics.engagement_counts()))
+
+
+def day_rows(days: DataFrame, run_id: str) -> DataFrame:
+    return days.select(
         "data", "total_interacoes", "usuarios_ativos", "conclusoes",
         metrics.mean_rating().alias("avaliacao_media"),
         F.coalesce("tempo_total_min", F.lit(0)).alias("tempo_total_min"),
@@ -109,6 +125,10 @@ def kpi_day(interactions: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def kpi_day(interactions: DataFrame, run_id: str) -> DataFrame:
+    return day_rows(day_counts(interactions), run_id)
+
+
 def last_batch(recommendations: DataFrame) -> DataFrame:
     newest = recommendations.agg(F.max("gerado_em").alias("gerado_em"))
     return recommendations.join(F.broadcast(newest), "gerado_em")
@@ -119,11 +139,11 @@ def converting_pairs(interactions: DataFrame) -> DataFrame:
     return kept.select("usuario_id", "conteudo_id").distinct()
 
 
-def kpi_rec_conversion(recommendations: DataFrame, interactions: DataFrame, run_id: str) -> DataFrame:
-    pairs = converting_pairs(interactions).withColumn("_convertida", F.lit(1))
+def conversion_rows(recommendations: DataFrame, pairs: DataFrame, run_id: str) -> DataFrame:
+    """Conversion of the last batch, given the distinct pairs that converted."""
     counted = (
         last_batch(recommendations)
-        .join(pairs, ["usuario_id", "conteudo_id"], "left")
+        .join(pairs.withColumn("_convertida", F.lit(1)), ["usuario_id", "conteudo_id"], "left")
         .agg(
             F.count(F.lit(1)).alias("total_recomendacoes"),
             F.count("_convertida").alias("recomendacoes_com_interacao"),
@@ -137,18 +157,24 @@ def kpi_rec_conversion(recommendations: DataFrame, interactions: DataFrame, run_
     )
 
 
-def overall_counts(interactions: DataFrame) -> DataFrame:
-    """One row over all interactions; users are counted from per-user partial counts."""
+def kpi_rec_conversion(recommendations: DataFrame, interactions: DataFrame, run_id: str) -> DataFrame:
+    return conversion_rows(recommendations, converting_pairs(interactions), run_id)
+
+
+def merged_users(per_user: DataFrame) -> DataFrame:
+    """One row of sums and distinct users, from sums by user."""
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in metrics.COUNT_NAMES]
-    per_user = interactions.groupBy("usuario_id").agg(*metrics.engagement_counts())
     return per_user.agg(F.count("usuario_id").alias("usuarios_ativos"), *sums)
 
 
-def kpi_overall(
-    contents: DataFrame, interactions: DataFrame, conversion: DataFrame, run_id: str
-) -> DataFrame:
-    """One row of headline numbers."""
-    measured = overall_counts(interactions).select(
+def overall_counts(interactions: DataFrame) -> DataFrame:
+    """One row over all interactions; users are counted from per-user partial counts."""
+    return merged_users(interactions.groupBy("usuario_id").agg(*metrics.engagement_counts()))
+
+
+def overall_rows(measured: DataFrame, contents: DataFrame, conversion: DataFrame, run_id: str) -> DataFrame:
+    """One row of headline numbers from one row of sums."""
+    measured = measured.select(
         "usuarios_ativos", "total_interacoes",
         metrics.completion_rate().alias("taxa_conclusao_pct"),
         metrics.mean_rating().alias("avaliacao_media"),
@@ -161,6 +187,12 @@ def kpi_overall(
     return side_by_side(measured, catalogue, conversion).withColumn("execucao_id", F.lit(run_id))
 
 
+def kpi_overall(
+    contents: DataFrame, interactions: DataFrame, conversion: DataFrame, run_id: str
+) -> DataFrame:
+    return overall_rows(overall_counts(interactions), contents, conversion, run_id)
+
+
 def engines_agree(left: DataFrame, right: DataFrame) -> DataFrame:
     """Compare a fact computed two ways, as sets of whole rows with their multiplicity.
 

@@ -1,10 +1,8 @@
-"""Insert-or-update and insert-or-ignore on a business key, as DataFrames and on stored tables."""
+"""Insert-or-update and insert-or-ignore on a business key, as DataFrames; ``sources.keyed`` does it on stored tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from cascata.sources.writers import publish_version, read_current
+from pyspark.sql import DataFrame, functions as F
 
 
 def last_per_key(updates: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -26,11 +24,3 @@ def insert_absent(target: DataFrame, updates: DataFrame, keys: list[str]) -> Dat
     """``target`` plus the rows of ``updates`` whose key it lacks."""
     fresh = updates.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh.select(target.columns))
-
-
-def upsert_stored(spark: SparkSession, base: str, name: str, updates: DataFrame, keys: list[str], version: str) -> None:
-    """Upsert into a stored table: the new version is written beside the current one and then named current.
-
-    A reader sees the former version until the last step; a run that fails before leaves it in place.
-    """
-    publish_version({name: upsert(read_current(spark, base, name), updates, keys)}, base, version)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.functions.text import mask_name, mask_text, salted_hash
 from cascata.operators.skew import lookup
+from cascata.session import materialize
+from cascata.sources import keyed, versions
+from cascata.sources.versions import CommitConflict, Version
 
 FORBIDDEN_COLUMNS = {"usuario_id", "autor", "comentario"}
 
@@ -24,6 +27,34 @@ def new_pseudonyms(users: DataFrame, existing: DataFrame | None = None) -> DataF
     return fresh.select("usuario_id", F.uuid().alias("pseudo_id"))
 
 
+PSEUDONYMS = "usuario_id long, pseudo_id string"
+
+
+def keep_pseudonyms(spark: SparkSession, base: str, users: DataFrame, run_id: str) -> Version:
+    """Give every user without a pseudonym one, for good.
+
+    A run draws for the users that the kept map lacks, stores what it drew, and inserts what is still
+    absent. If another run commits first, the map is read again and only what it still lacks is
+    inserted: the first committed value of a user stays, and a repeated run adds nothing.
+    """
+    table = "pseudonimos"
+    if table not in versions.newest(spark, base).tables:
+        try:
+            keyed.create(spark.createDataFrame([], PSEUDONYMS), base, table, ["usuario_id"], run_id)
+        except CommitConflict:
+            pass  # another run has begun the map
+    drawn = materialize(new_pseudonyms(users, kept_pseudonyms(spark, base)), table)
+    while True:
+        try:
+            return keyed.insert_absent(spark, base, table, drawn, run_id)
+        except CommitConflict:
+            continue
+
+
+def kept_pseudonyms(spark: SparkSession, base: str, version: Version | None = None) -> DataFrame:
+    return keyed.read(spark, base, "pseudonimos", version)
+
+
 def check_salt(salt: str | None) -> str:
     if salt is None or len(salt) < 16:
         raise ValueError("salt ausente ou curto (minimo 16 caracteres)")

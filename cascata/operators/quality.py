@@ -5,13 +5,17 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cascata.functions import metrics
 from cascata.operators.onerow import side_by_side
 from cascata.schemas import QUALITY_RESULT
 
 
+#: Counts taken while Silver was written.
+OBSERVED = "execucao_id string, tabela string, medida string, valor long"
+
+
 class GateBlocked(RuntimeError):
     """Publication to Gold was refused."""
 
@@ -109,8 +113,51 @@ def describe_results(measures: DataFrame, run_id: str) -> DataFrame:
     return measures.select(F.inline(F.array(*results)))
 
 
+def observations(table: str) -> dict[str, Column]:
+    """What the write of a Silver table counts on its way, over approved rows that still carry the marks of the rules."""
+    percent, concluded = F.col("percentual_conclusao"), F.col("tipo_interacao") == "conclusão"
+    rows = {"linhas": F.count(F.lit(1))}
+    return rows | {
+        "conteudo": lambda: {"com_titulo": F.count_if(F.trim("titulo") != "")},
+        "interacao": lambda: {
+            "fora_da_faixa": F.count_if((percent < 0) | (percent > 100)), "repetidas": F.count_if(F.col("repetida")),
+            "conclusoes": F.count_if(concluded), "completas": F.count_if(concluded & (percent >= 100)),
+        },
+        "comentario": lambda: {"sem_conteudo": F.count_if(F.col("_existe").isNull())},
+    }[table]()
+
+
+def observed(rows: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """Approved rows that are counted while some job writes them."""
+    watch = Observation(f"silver_{table}")
+    return rows.observe(watch, *[c.alias(name) for name, c in observations(table).items()]), watch
+
+
+def observed_rows(spark: SparkSession, table: str, watch: Observation, run_id: str) -> DataFrame:
+    """What a finished write counted, a row per measure."""
+    counted = [(run_id, table, name, int(value or 0)) for name, value in watch.get.items()]
+    return spark.createDataFrame(counted, OBSERVED)
+
+
+def measures_of(counted: DataFrame) -> DataFrame:
+    """One row with the value of each test, from the counts of one run's writes; Silver is not read."""
+    def of(table: str, name: str) -> Column:
+        picked = (F.col("tabela") == table) & (F.col("medida") == name)
+        return F.coalesce(F.sum(F.when(picked, F.col("valor"))), F.lit(0)).alias(f"{table}_{name}")
+
+    names = {t: list(observations(t)) for t in ("conteudo", "interacao", "comentario")}
+    row = counted.agg(*[of(t, n) for t in names for n in names[t]])
+    return row.select(
+        F.coalesce(metrics.rate_pct(F.col("conteudo_com_titulo"), F.col("conteudo_linhas")), F.lit(0)).cast("double").alias("completude_titulo"),
+        F.col("interacao_fora_da_faixa").cast("double").alias("validade_percentual"),
+        F.col("interacao_repetidas").cast("double").alias("unicidade_interacao"),
+        F.coalesce(metrics.rate_pct(F.col("interacao_completas"), F.col("interacao_conclusoes")), F.lit(100)).cast("double").alias("consistencia_conclusao"),
+        F.col("comentario_sem_conteudo").cast("double").alias("integridade_comentario_conteudo"),
+    )
+
+
 def run_tests(contents: DataFrame, interactions: DataFrame, comments: DataFrame, run_id: str) -> DataFrame:
-    """The five tests of one run, each table read once."""
+    """The five tests over stored tables, whoever wrote them; each table is read once."""
     check_run_id(run_id)
     measures = side_by_side(
         title_completeness(contents), interaction_measures(interactions), comment_integrity(comments, contents)
@@ -165,7 +212,3 @@ def enforce_gate(results: DataFrame, run_id: str) -> str:
 def history(results: DataFrame) -> DataFrame:
     kept = results.where(F.col("teste").isin("completude_titulo", "consistencia_conclusao"))
     return kept.select("execucao_id", "teste", "fonte", "valor", "limite", "aprovado")
-
-
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], QUALITY_RESULT)

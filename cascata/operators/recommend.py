@@ -8,6 +8,8 @@ category in what the user did.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cascata.functions import vectors
 from cascata.functions.metrics import is_conclusion
 from cascata.operators.skew import lookup
+from cascata.operators.vector_index import CELLS, choose_pivots
 from cascata.schemas import CATEGORIES
 from cascata.session import materialize, ship_package
 
@@ -25,6 +28,8 @@ NEGATIVE_UP_TO, POSITIVE_FROM = 40, 70
 
 BLOCK_CONTENTS = 4096
 BLOCK_USERS = 2048
+#: What a bound may be off by rounding, in points.
+BOUND_SLACK = 1e-6
 
 
 def classify(score: Column, open_flag: Column) -> Column:
@@ -141,18 +146,19 @@ def round_half_even(values: np.ndarray) -> np.ndarray:
     """Two decimals as Python's ``round`` gives them; only values next to a tie need it."""
     rounded = np.round(values, 2)
     scaled = values * 100
-    for i in np.flatnonzero(np.abs(scaled - np.floor(scaled) - 0.5) < 1e-7):
-        rounded.flat[i] = round(float(values.flat[i]), 2)
+    ties, which = np.unique(values[np.abs(scaled - np.floor(scaled) - 0.5) < 1e-7], return_inverse=True)
+    rounded[np.abs(scaled - np.floor(scaled) - 0.5) < 1e-7] = np.array([round(float(x), 2) for x in ties])[which] if len(ties) else 0
     return rounded
 
 
 ITEM = "struct<conteudo_id:bigint,pontuacao:double,ivis:double,icur:double>"
-BLOCK_SCHEMA = f"usuario_id bigint, negativas bigint, concluidas bigint, itens array<{ITEM}>"
+BLOCK_SCHEMA = f"usuario_id bigint, negativas bigint, concluidas bigint, itens array<{ITEM}>, pontuadas bigint"
+PLACED = "conteudo_id bigint, categoria_pos int, vetor array<double>, angulo double, celula int"
 
 
 def _rows_or_zeros(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a nullable list column, zeros where null, and which rows are there."""
-    column = column.combine_chunks()
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     present = column.is_valid().to_numpy(zero_copy_only=False)
     full = np.zeros((len(column), width))
     if present.any():
@@ -167,6 +173,73 @@ def _unit_rows(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndar
     return full / np.where(length > 0, length, 1.0)[:, None], length > 0
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Contents by angle to a pivot; those without a vector by category, after them.
+
+    A cell knows its radius, which categories it holds and the block it belongs to: blocks gather
+    neighbouring cells and have a bounded number of contents a part.
+    """
+
+    pivots: np.ndarray
+    radius: np.ndarray
+    categories: np.ndarray  # cell, category
+    block: np.ndarray
+    parts: dict[int, int]
+
+    def bounds(self, users: pa.Table | pa.RecordBatch, dimension: int) -> np.ndarray:
+        """What no score of a user with a content of a cell exceeds: a row per user, a column per cell."""
+        both = np.zeros((users.num_rows, len(self.block)))
+        for centroid, shares in (("vis", "parte_tempo"), ("cur", "parte_positivos")):
+            direction, have = _unit_rows(users.column(centroid), dimension)
+            share, _ = _rows_or_zeros(users.column(shares), len(CATEGORIES))
+            most = np.zeros(both.shape)
+            for category in range(len(CATEGORIES)):  # the largest share of the categories a cell holds
+                most = np.maximum(most, share[:, category, None] * self.categories[None, :, category])
+            if have.any() and len(self.pivots):
+                angle = np.arccos(np.clip(direction[have] @ self.pivots.T, -1.0, 1.0)) - self.radius[None, :]
+                most[np.ix_(have, np.arange(len(self.pivots)))] = np.cos(np.clip(angle, 0.0, np.pi))
+            both += np.clip(most, 0.0, 1.0)
+        return both / 2.0 * 100.0 + BOUND_SLACK
+
+
+def place_contents(catalogue: DataFrame, pivots: np.ndarray, dimension: int) -> DataFrame:
+    """Catalogue rows with unit vectors and the cell each belongs to."""
+    def place(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in blocks:
+            if rows.num_rows == 0:
+                continue
+            found, has = _unit_rows(rows.column("vetor"), dimension)
+            category = rows.column("categoria_pos").to_numpy(zero_copy_only=False)
+            cell, angle = len(pivots) + category, np.zeros(len(has))
+            if has.any():
+                angles = np.arccos(np.clip(found[has] @ pivots.T, -1.0, 1.0))
+                cell[has], angle[has] = angles.argmin(axis=1), angles.min(axis=1)
+            offsets = np.concatenate(([0], np.cumsum(np.where(has, dimension, 0)))).astype(np.int32)
+            unit = pa.ListArray.from_arrays(pa.array(offsets), pa.array(found[has].ravel()), mask=pa.array(~has))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("conteudo_id"), rows.column("categoria_pos"), unit, pa.array(angle), pa.array(cell.astype(np.int32))],
+                names=["conteudo_id", "categoria_pos", "vetor", "angulo", "celula"])
+
+    return catalogue.select("conteudo_id", "categoria_pos", "vetor").mapInArrow(place, PLACED)
+
+
+def cells_of(placed: DataFrame, pivots: np.ndarray, block_contents: int) -> Cells:
+    """The cells of placed contents; a few numbers for each of at most as many cells as there are pivots."""
+    rows = placed.groupBy("celula").agg(
+        F.max("angulo").alias("raio"), F.count(F.lit(1)).alias("total"), F.collect_set("categoria_pos").alias("categorias")).collect()
+    count = len(pivots) + len(CATEGORIES)
+    radius, total, categories = np.zeros(count), np.zeros(count, np.int64), np.zeros((count, len(CATEGORIES)))
+    for r in rows:
+        radius[r["celula"]], total[r["celula"]] = r["raio"], r["total"]
+        categories[r["celula"], r["categorias"]] = 1.0
+    gathered = max(1, -(-int(total[: len(pivots)].sum()) // block_contents))
+    near = (pivots @ pivots[:gathered].T).argmax(axis=1) if len(pivots) else np.zeros(0, int)
+    block = np.concatenate([near, np.full(len(CATEGORIES), gathered)])
+    sizes = np.bincount(block, weights=total)
+    return Cells(pivots, radius[: len(pivots)], categories, block, {i: max(1, math.ceil(n / block_contents)) for i, n in enumerate(sizes) if n})
+
+
 def _index_scores(centroids, have, shares, items, has_vector, slots) -> np.ndarray:
     scores = shares[:, slots]
     if has_vector.any() and have.any():
@@ -174,70 +247,95 @@ def _index_scores(centroids, have, shares, items, has_vector, slots) -> np.ndarr
     return np.clip(scores, 0.0, 1.0, out=scores)
 
 
-def _best_per_row(ranked: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column of the ``n`` best positive entries of each row, ties by column.
-
-    Entries under a row's ``n``-th best are cut first, so that only a few are sorted.
-    """
-    if ranked.shape[1] > n:
-        floor = np.partition(ranked, -n, axis=1)[:, -n][:, None]
-        rows, columns = np.nonzero((ranked > 0) & (ranked >= floor))
-    else:
-        rows, columns = np.nonzero(ranked > 0)
-    order = np.lexsort((columns, -ranked[rows, columns], rows))
-    rows, columns = rows[order], columns[order]
-    starts = np.searchsorted(rows, rows)
-    kept = np.arange(len(rows)) - starts < n
-    return rows[kept], columns[kept]
-
-
-def _score_block(n: int, dimension: int):
+def _score_block(n: int, dimension: int, cells: Cells):
     def score(users: pa.Table, contents: pa.Table) -> pa.Table:
         if users.num_rows == 0 or contents.num_rows == 0:
-            return pa.table({f: [] for f in ("usuario_id", "negativas", "concluidas", "itens")}, schema=_block_arrow())
-        contents = contents.sort_by("conteudo_id")
-        ids = contents["conteudo_id"].to_numpy()
+            return _block_arrow().empty_table()
+        contents = contents.sort_by([("celula", "ascending"), ("conteudo_id", "ascending")])
+        ids, cell_of = contents["conteudo_id"].to_numpy(), contents["celula"].to_numpy()
         slots = contents["categoria_pos"].to_numpy()
         items, has_vector = _unit_rows(contents["vetor"], dimension)
         vis, have_vis = _unit_rows(users["vis"], dimension)
         cur, have_cur = _unit_rows(users["cur"], dimension)
         time_share, _ = _rows_or_zeros(users["parte_tempo"], len(CATEGORIES))
         like_share, _ = _rows_or_zeros(users["parte_positivos"], len(CATEGORIES))
-        ivis = _index_scores(vis, have_vis, time_share, items, has_vector, slots)
-        icur = _index_scores(cur, have_cur, like_share, items, has_vector, slots)
-        points = round_half_even((ivis + icur) / 2.0 * 100.0)
-
+        bounds = cells.bounds(users, dimension)
         done = users["concluidos"].combine_chunks()
-        owner = np.repeat(np.arange(len(done)), np.asarray(done.value_lengths().fill_null(0)))
-        place = np.searchsorted(ids, done.flatten().to_numpy(zero_copy_only=False))
-        completed = np.zeros(points.shape, dtype=bool)
-        completed[owner, place] = True
-
-        negative = completed | (points <= NEGATIVE_UP_TO)
-        rows, chosen = _best_per_row(np.where(negative, -1.0, points), n)
-        offsets = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(points))))).astype(np.int32)
+        closed = np.unique(_pair_keys(np.repeat(np.arange(len(done)), np.asarray(done.value_lengths().fill_null(0))),
+                                      np.searchsorted(np.sort(ids), done.flatten().to_numpy(zero_copy_only=False)), len(ids)))
+        place = np.argsort(np.argsort(ids))  # of each content among the sorted ids
+
+        kept, scored = [], np.zeros(users.num_rows, np.int64)
+        begins = np.flatnonzero(np.r_[True, cell_of[1:] != cell_of[:-1]])
+        for begin, end in zip(begins.tolist(), [*begins[1:].tolist(), len(ids)]):
+            rows = np.flatnonzero(bounds[:, cell_of[begin]] > NEGATIVE_UP_TO)  # the others' scores there are all negative
+            if not rows.size:
+                continue
+            scored[rows] += end - begin
+            part = slice(begin, end)
+            ivis = _index_scores(vis[rows], have_vis[rows], time_share[rows], items[part], has_vector[part], slots[part])
+            icur = _index_scores(cur[rows], have_cur[rows], like_share[rows], items[part], has_vector[part], slots[part])
+            points = (ivis + icur) / 2.0 * 100.0
+            row, column = np.nonzero(points > NEGATIVE_UP_TO)
+            rounded = round_half_even(points[row, column])
+            some = rounded > NEGATIVE_UP_TO
+            row, column, rounded = row[some], column[some], rounded[some]
+            kept.append((rows[row], begin + column, rounded, ivis[row, column], icur[row, column]))
+        owner, at, points, ivis, icur = (np.concatenate(x) if kept else np.zeros(0, t) for x, t in zip(
+            zip(*kept) if kept else [()] * 5, (np.int64, np.int64, float, float, float)))
+        open_ = ~np.isin(_pair_keys(owner, place[at], len(ids)), closed)
+        owner, at, points, ivis, icur = (x[open_] for x in (owner, at, points, ivis, icur))
+        above = np.bincount(owner, minlength=users.num_rows)
+
+        order = np.lexsort((ids[at], -points, owner))
+        starts = np.searchsorted(owner[order], owner[order])
+        best = order[np.arange(len(order)) - starts < n]
+        offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[best], minlength=users.num_rows)))).astype(np.int32)
         fields = {
-            "conteudo_id": pa.array(ids[chosen]), "pontuacao": pa.array(points[rows, chosen]),
-            "ivis": pa.array(ivis[rows, chosen]), "icur": pa.array(icur[rows, chosen]),
+            "conteudo_id": pa.array(ids[at[best]], pa.int64()), "pontuacao": pa.array(points[best]),
+            "ivis": pa.array(ivis[best]), "icur": pa.array(icur[best]),
         }
         structs = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
         return pa.table({
             "usuario_id": users["usuario_id"].combine_chunks(),
-            "negativas": pa.array(negative.sum(axis=1).astype(np.int64)),
-            "concluidas": pa.array(completed.sum(axis=1).astype(np.int64)),
+            "negativas": pa.array(-above.astype(np.int64)),
+            "concluidas": pa.array(np.zeros(users.num_rows, np.int64)),
             "itens": pa.ListArray.from_arrays(pa.array(offsets), structs),
+            "pontuadas": pa.array(scored),
         })
 
     return score
 
 
+def _pair_keys(rows: np.ndarray, columns: np.ndarray, width: int) -> np.ndarray:
+    return rows.astype(np.int64) * width + columns
+
+
 def _block_arrow() -> pa.Schema:
     item = pa.struct([("conteudo_id", pa.int64()), ("pontuacao", pa.float64()), ("ivis", pa.float64()), ("icur", pa.float64())])
     return pa.schema([
-        ("usuario_id", pa.int64()), ("negativas", pa.int64()), ("concluidas", pa.int64()), ("itens", pa.list_(item)),
+        ("usuario_id", pa.int64()), ("negativas", pa.int64()), ("concluidas", pa.int64()), ("itens", pa.list_(item)), ("pontuadas", pa.int64()),
     ])
 
 
+def _in_reach(profiles: DataFrame, cells: Cells, dimension: int) -> DataFrame:
+    """Each user beside every block that has a cell in which some score may pass the limit."""
+    blocks = sorted(cells.parts)
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            if rows.num_rows == 0:
+                continue
+            open_ = cells.bounds(rows, dimension) > NEGATIVE_UP_TO
+            user, block = np.nonzero(np.stack([open_[:, cells.block == b].any(axis=1) for b in blocks], axis=1))
+            picked = rows.take(pa.array(user))
+            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(np.array(blocks, np.int32)[block])], names=[*rows.schema.names, "bloco"])
+
+    fields = "usuario_id bigint, parte_tempo array<double>, parte_positivos array<double>, vis array<double>, cur array<double>, bloco int"
+    names = [f.split()[0] for f in fields.split(", ")][:-1]
+    return profiles.select(*[F.col(c).cast("array<double>") if c != "usuario_id" else F.col(c) for c in names]).toDF(*names).mapInArrow(reach, fields)
+
+
 def score_blocks(
     interactions: DataFrame,
     contents: DataFrame,
@@ -248,42 +346,58 @@ def score_blocks(
     block_contents: int = BLOCK_CONTENTS,
     block_users: int = BLOCK_USERS,
     minimum_rating: int = 4,
+    cells: int | None = None,
 ) -> DataFrame:
-    """Score every user against every content, in blocks that fit a task.
-
-    Users and contents are hashed into blocks of bounded size. Each task multiplies one
-    block of users with one block of contents and gives back, per user, the best ``n`` of
-    that block and two counters, so pairs are never emitted. The final ranking merges those
-    short lists. Which contents a user completed arrives per block, hence bounded as well.
+    """Scores that are not negative, without scoring every user against every content.
+
+    Contents lie in angular cells, and cells in blocks of bounded size. From the angle to a cell's
+    pivot, its radius and the categories it holds follows what no score there can exceed. A cell whose bound
+    stays at the limit of negative scores is counted as negative without being scored, and a user
+    is not sent to a block all of whose cells are so. A task takes one block of users and one of
+    contents, scores what is left and gives back, per user, the best ``n``, how many scores passed the
+    limit (taken off the negatives) and how many pairs it scored. One row per user counts all
+    contents as negative to begin with, and those completed. Completed contents arrive per block.
     """
     pairs = materialize(signals(interactions, minimum_rating), "sinais")
     ship_package(interactions.sparkSession)
     measured = measured_vectors(store, model, dimension)
-    catalogue = content_matrix(contents, measured)
-    sizes = contents.count(), pairs.select("usuario_id").distinct().count()
-    content_blocks = max(1, math.ceil(sizes[0] / block_contents))
-    user_blocks = max(1, math.ceil(sizes[1] / block_users))
-
-    def block(column: str, count: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
-
-    placed = catalogue.withColumn("bloco", block("conteudo_id", content_blocks))
-    done = (
-        lookup(
-            pairs.where("concluido").select("usuario_id", "conteudo_id"), contents.select("conteudo_id"),
-            ["conteudo_id"], "left_semi",
-        )
-        .withColumn("bloco", block("conteudo_id", content_blocks))
-        .groupBy("usuario_id", "bloco").agg(F.collect_list("conteudo_id").alias("concluidos"))
+    catalogue = materialize(content_matrix(contents, measured), "catalogo")
+    number = catalogue.agg(F.count(F.lit(1)).alias("todos"), F.count("vetor").alias("com_vetor")).first()
+    wanted = cells or min(max(math.isqrt(number["com_vetor"]), CELLS[0]), CELLS[1])
+    pivots = choose_pivots(catalogue.where(F.col("vetor").isNotNull()), wanted) if number["com_vetor"] else np.zeros((0, dimension))
+    placed = materialize(place_contents(catalogue, pivots, dimension), "lugares")
+    found = cells_of(placed, pivots, block_contents)
+    profiles = materialize(user_profiles(pairs, contents, measured), "perfis")
+    user_blocks = max(1, math.ceil(profiles.count() / block_users))
+
+    where_ = [(i, int(b), found.parts[int(b)]) for i, b in enumerate(found.block) if int(b) in found.parts]
+    named = interactions.sparkSession.createDataFrame(where_, "celula int, bloco int, partes int")
+    part = F.pmod(F.xxhash64("conteudo_id"), F.col("partes")).cast("int")
+    located = placed.join(named, "celula").withColumn("parte", part)
+    done = lookup(
+        pairs.where("concluido").select("usuario_id", "conteudo_id"), located.select("conteudo_id", "bloco", "parte"), ["conteudo_id"], "inner")
+    per_block = done.groupBy("usuario_id", "bloco", "parte").agg(F.collect_list("conteudo_id").alias("concluidos"))
+
+    group = F.pmod(F.xxhash64("usuario_id"), F.lit(user_blocks)).cast("int")
+    parts = named.select("bloco", "partes").distinct()
+    left = (
+        _in_reach(profiles, found, dimension).join(parts, "bloco").withColumn("parte", F.explode(F.sequence(F.lit(0), F.col("partes") - 1)))
+        .join(per_block, ["usuario_id", "bloco", "parte"], "left").withColumn("grupo", group)
     )
-    profiles = user_profiles(pairs, contents, measured).withColumns({
-        "bloco": F.explode(F.sequence(F.lit(0), F.lit(content_blocks - 1))),
-        "grupo": block("usuario_id", user_blocks),
-    })
-    left = profiles.join(done, ["usuario_id", "bloco"], "left")
-    right = placed.withColumn("grupo", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-    keys = ["bloco", "grupo"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_score_block(n, dimension), BLOCK_SCHEMA)
+    right = located.drop("partes", "angulo").withColumn("grupo", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
+    keys = ["bloco", "parte", "grupo"]
+    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_score_block(n, dimension, found), BLOCK_SCHEMA)
+
+    completed = done.groupBy("usuario_id").agg(F.count(F.lit(1)).alias("concluidas"))
+    begun = profiles.select("usuario_id").join(completed, "usuario_id", "left").select(
+        "usuario_id", F.lit(number["todos"]).cast("bigint").alias("negativas"), F.coalesce("concluidas", F.lit(0)).cast("bigint").alias("concluidas"),
+        F.array().cast(f"array<{ITEM}>").alias("itens"), F.lit(0).cast("bigint").alias("pontuadas"))
+    return begun.unionByName(scored)
+
+
+def scored_pairs(blocks: DataFrame) -> DataFrame:
+    """How many pairs were scored, of all pairs of users and contents."""
+    return blocks.agg(F.sum("pontuadas").alias("pontuadas"), F.sum(F.greatest("negativas", F.lit(0))).alias("pares"))
 
 
 def top_n(blocks: DataFrame, contents: DataFrame, n: int, batch: str) -> DataFrame:

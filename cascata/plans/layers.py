@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import threading
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from cascata.operators import gold, load, clean, recommend, silver
-from cascata.session import materialize, ship_package
-from cascata.sources import driver_tables as given
+from cascata.operators import clean, gold, gold_state, load, lookup_store, privacy, quality, recommend, rules, silver
+from cascata.schemas import SILVER_COMMENT, SILVER_CONTENT, SILVER_INTERACTION
+from cascata.session import materialize, new_folder, ship_package
+from cascata.sources import driver_tables as given, versions
 
 DIMENSION = 64
 MODEL = given.MODEL
@@ -22,6 +24,10 @@ class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._stored: dict[str, DataFrame] = {}
+        self._watches: dict[str, Observation] = {}
+        self._lookups: lookup_store.Store | None = None
+        self._names: tuple[DataFrame, DataFrame] | None = None
+        self._gold: dict[str, DataFrame] | None = None
         self._lock = threading.RLock()
 
     def _once(self, name: str, build) -> DataFrame:
@@ -54,17 +60,57 @@ class Layers:
     def clean_comments(self) -> DataFrame:
         return self._once("tratado_comentarios", lambda: clean.clean_comments(self.raw_comments))
 
+    def _silver(self, table: str, judged, schema) -> DataFrame:
+        """A Silver table, counted for the quality tests while it is written."""
+        with self._lock:
+            if f"silver_{table}" not in self._stored:
+                rows, self._watches[table] = quality.observed(rules.approved(judged()), table)
+                self._once(f"silver_{table}", lambda: silver.under_contract(rows, schema))
+            return self._stored[f"silver_{table}"]
+
     @property
     def contents(self) -> DataFrame:
-        return self._once("silver_conteudo", lambda: silver.silver_content(self.catalog))
+        return self._silver("conteudo", lambda: silver.judge_content(self.catalog), SILVER_CONTENT)
 
     @property
     def interactions(self) -> DataFrame:
-        return self._once("silver_interacao", lambda: silver.silver_interactions(self.raw_interactions, self.contents))
+        return self._silver("interacao", lambda: silver.judge_interactions(self.raw_interactions, self.contents), SILVER_INTERACTION)
 
     @property
     def comments(self) -> DataFrame:
-        return self._once("silver_comentario", lambda: silver.silver_comments(self.raw_comments, self.contents))
+        return self._silver("comentario", lambda: silver.judge_comments(self.raw_comments, self.contents), SILVER_COMMENT)
+
+    @property
+    def pseudonyms(self) -> tuple[DataFrame, DataFrame]:
+        """The kept pseudonyms after a run over the users of comments, and after a second over all users."""
+        with self._lock:
+            if self._names is None:
+                base = new_folder(self.spark, "pseudonimos")
+                privacy.keep_pseudonyms(self.spark, base, self.comments.select("usuario_id").distinct(), "lgpd-1")
+                first = versions.newest(self.spark, base)
+                privacy.keep_pseudonyms(self.spark, base, privacy.known_users(self.interactions, self.comments), "lgpd-2")
+                self._names = privacy.kept_pseudonyms(self.spark, base, first), privacy.kept_pseudonyms(self.spark, base)
+            return self._names
+
+    @property
+    def lookups(self) -> lookup_store.Store:
+        """The tables that look-ups by key read, stored once."""
+        with self._lock:
+            if self._lookups is None:
+                base = new_folder(self.spark, "consultas")
+                made = lookup_store.build(self.spark, base, RUN, self.documents, self.interactions, self.recommendations)
+                self._lookups = lookup_store.Store(self.spark, base, made)
+            return self._lookups
+
+    @property
+    def results(self) -> DataFrame:
+        """Results of the quality tests, stored, from what the writes of Silver counted."""
+        def build() -> DataFrame:
+            self.contents, self.interactions, self.comments
+            parts = [quality.observed_rows(self.spark, table, watch, RUN) for table, watch in self._watches.items()]
+            return quality.describe_results(quality.measures_of(reduce(DataFrame.unionByName, parts)), RUN)
+
+        return self._once("qualidade", build)
 
     @property
     def quarantine(self) -> DataFrame:
@@ -105,9 +151,21 @@ class Layers:
     def dimension(self) -> DataFrame:
         return gold.dim_content(self.contents, RUN)
 
+    @property
+    def gold(self) -> dict[str, DataFrame]:
+        """The seven Gold tables from sums into which the interactions were merged in two loads that share their days."""
+        with self._lock:
+            if self._gold is None:
+                base, loads = new_folder(self.spark, "estado"), F.pmod(F.xxhash64("usuario_id", "conteudo_id", "data_hora"), F.lit(2))
+                for number in (0, 1):
+                    version = gold_state.merge(self.spark, base, self.interactions.where(loads == number), f"{RUN}-{number}")
+                self._gold = gold_state.tables(self.spark, base, version, self.contents, self.recommendations, RUN)
+            return self._gold
+
     @property
     def blocks(self) -> DataFrame:
-        return recommend.score_blocks(self.interactions, self.contents, self.store, MODEL, DIMENSION)
+        """Scores that are not negative, stored: the ranking, its counters and the batch log read the same."""
+        return self._once("pontuacoes", lambda: recommend.score_blocks(self.interactions, self.contents, self.store, MODEL, DIMENSION))
 
     @property
     def documents(self) -> DataFrame:

@@ -9,9 +9,9 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cascata.operators import audit, gold, lookups, quality, quarantine, silver
-from cascata.session import materialize
-from cascata.sources import files, writers
+from cascata.operators import audit, gold_state, lookups, quality, quarantine, rules, silver
+from cascata.session import materialize, new_folder
+from cascata.sources import files, versions, writers
 from cascata.schemas import (
     CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, QUALITY_RESULT, QUARANTINE_COLUMNS, bronze_schema, quarantine_schema,
 )
@@ -98,21 +98,30 @@ class Run:
         return "sucesso"
 
     def _split(self, judged: DataFrame, schema, source: str, table: str) -> None:
-        """Judge once, write once, then route: the two outputs read the stored verdicts."""
+        """Judge once, write once, then route: the two outputs read the stored verdicts, and the tests' counts are taken on the way."""
         staged = self.paths.layer(f"julgados/{source}/{self.run_id}")
         judged.write.mode("overwrite").parquet(staged)
         stored = self.spark.read.parquet(staged)
-        silver.to_contract(stored, schema).write.mode("overwrite").parquet(self.paths.layer(f"silver/{table}"))
+        counted, watch = quality.observed(rules.approved(stored), table)
+        silver.under_contract(counted, schema).write.mode("overwrite").parquet(self.paths.layer(f"silver/{table}"))
+        writers.append_run(quality.observed_rows(self.spark, table, watch, self.run_id).coalesce(1), self.paths.layer(f"medidas/{table}"))
         rejected = silver.to_quarantine(stored, source, self.next_id(source))
         writers.append_run(
             rejected.withColumn("execucao_id", F.lit(self.run_id)), self.paths.layer(f"quarentena/{source}")
         )
+        versions.remove(self.spark, staged)
 
     def silver_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         return self.read("silver/conteudo"), self.read("silver/interacao"), self.read("silver/comentario")
 
+    def counted(self) -> DataFrame:
+        """What this run's writes of Silver counted."""
+        parts = [self.read(f"medidas/{table}", quality.OBSERVED) for table in ("conteudo", "interacao", "comentario")]
+        return parts[0].unionByName(parts[1]).unionByName(parts[2]).where(F.col("execucao_id") == self.run_id)
+
     def quality(self) -> str:
-        results = quality.run_tests(*self.silver_tables(), self.run_id)
+        """The tests from those counts; Silver is not read again."""
+        results = quality.describe_results(quality.measures_of(self.counted()), self.run_id)
         writers.append_run(results, self.paths.layer("qualidade"))
         return quality.verdict(self.read_results().where(F.col("execucao_id") == self.run_id)).first()["resultado"]
 
@@ -121,10 +130,24 @@ class Run:
         return "sucesso"
 
     def gold(self, recommendations: DataFrame) -> str:
+        """Gold from sums by content, day and user: one scan of Silver, which a run loads anew."""
+        base = self.paths.layer("gold")
+        before = versions.newest(self.spark, base)
         quality.enforce_gate(self.read_results(), self.run_id)
-        writers.publish_version(
-            gold_tables(*self.silver_tables()[:2], recommendations, self.run_id), self.paths.layer("gold"), self.run_id
-        )
+        contents, interactions, _ = self.silver_tables()
+        sums = new_folder(self.spark, "estado")
+        state = gold_state.merge(self.spark, sums, interactions, self.run_id)
+        tables = gold_state.tables(self.spark, sums, state, contents, recommendations, self.run_id)
+        writers.publish_version(tables, base, self.run_id, before)
+        return "sucesso"
+
+    def gold_increment(self, interactions: DataFrame, recommendations: DataFrame) -> str:
+        """Gold after a batch of new Silver interactions, merged into sums that are kept from run to run."""
+        base, sums = self.paths.layer("gold"), self.paths.layer("gold_estado")
+        before = versions.newest(self.spark, base)
+        state = gold_state.merge(self.spark, sums, interactions, self.run_id)
+        tables = gold_state.tables(self.spark, sums, state, self.read("silver/conteudo"), recommendations, self.run_id)
+        writers.publish_version(tables, base, self.run_id, before)
         return "sucesso"
 
     def metadata(self) -> str:
@@ -249,21 +272,6 @@ GOLD_TABLES = [
 ]
 
 
-def gold_tables(
-    contents: DataFrame, interactions: DataFrame, recommendations: DataFrame, run_id: str
-) -> dict[str, DataFrame]:
-    conversion = gold.kpi_rec_conversion(recommendations, interactions, run_id)
-    return {
-        "dim_conteudo": gold.dim_content(contents, run_id),
-        "fato_engajamento_dia": gold.fact_engagement_day(interactions, run_id),
-        "kpi_desempenho_categoria": gold.kpi_category(contents, interactions, run_id),
-        "kpi_engajamento_formato": gold.kpi_format(contents, interactions, run_id),
-        "kpi_evolucao_dia": gold.kpi_day(interactions, run_id),
-        "kpi_conversao_recomendacao": conversion,
-        "kpi_geral": gold.kpi_overall(contents, interactions, conversion, run_id),
-    }
-
-
 def run_medallion(
     spark: SparkSession, paths: Paths, recommendations: DataFrame, run_id: str | None = None
 ) -> DataFrame:

@@ -315,13 +315,27 @@ CTES: dict[str, str] = {
                WHEN p_partkey % 11 = 0 THEN replace(p_name, ' ', '  ') ELSE p_name END), ''), NULLIF(trim(p_type), '')) AS texto
         FROM part""",
     "guardados": """
-        SELECT v.conteudo_id, v.modelo, CASE WHEN v.conteudo_id % 10 = 3 THEN 'v0 ' || t.texto ELSE t.texto END AS texto_origem
+        SELECT v.conteudo_id, v.modelo, CASE WHEN v.conteudo_id % 10 = 3 THEN 'v0 ' || t.texto ELSE t.texto END AS texto_origem,
+          array_to_string(list_transform(v.vetor, lambda x: CAST(round(x * 1000000) AS BIGINT)), ',') AS vetor
         FROM vetores v JOIN textos t USING (conteudo_id)""",
     "delta": """
         SELECT c.conteudo_id, t.texto AS texto_origem,
           CASE WHEN t.texto = '' THEN 'ignorado_sem_texto' WHEN g.modelo = 'base' AND g.texto_origem = t.texto THEN 'reaproveitado'
                ELSE 'pendente' END AS situacao
         FROM silver_conteudo c JOIN textos t USING (conteudo_id) LEFT JOIN guardados g USING (conteudo_id)""",
+    "palavras": """
+        SELECT conteudo_id, palavra, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(palavra, ''), lambda l: CAST(ascii(l) AS BIGINT))),
+            lambda soma, letra: list_reduce(list_prepend(xor(soma, letra), [CAST(0 AS BIGINT) FOR i IN range(8)]),
+              lambda r, i: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END))) % 64 AS casa
+        FROM (SELECT conteudo_id, unnest(list_filter(string_split_regex(lower(texto_origem), '\\s+'), lambda p: p <> '')) AS palavra
+              FROM delta WHERE situacao = 'pendente')""",
+    "codificados": """
+        SELECT d.conteudo_id, d.texto_origem, v.vetor FROM delta d JOIN (
+          SELECT k.conteudo_id, array_to_string(list(CAST(round(CAST(CAST(coalesce(n, 0) / norma AS FLOAT) AS DOUBLE) * 1000000) AS BIGINT) ORDER BY k.casa), ',') AS vetor
+          FROM (SELECT conteudo_id, sqrt(sum(n * n)) AS norma, unnest(range(64)) AS casa
+                FROM (SELECT conteudo_id, casa, count(*) AS n FROM palavras GROUP BY ALL) GROUP BY conteudo_id) k
+          LEFT JOIN (SELECT conteudo_id, casa, count(*) AS n FROM palavras GROUP BY ALL) c ON c.conteudo_id = k.conteudo_id AND c.casa = k.casa
+          GROUP BY k.conteudo_id) v ON v.conteudo_id = d.conteudo_id""",
     "sinais": f"""
         SELECT usuario_id, conteudo_id,
           sum(CASE WHEN tipo_interacao IN ('visualização', 'início', 'conclusão') OR coalesce(tempo_consumido, 0) > 0

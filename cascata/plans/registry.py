@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -17,7 +18,8 @@ from cascata.plans.layers import BATCH, DIMENSION, MODEL, RUN, Layers, layers
 from cascata.plans.oracle import DAY, INSTANT, pct, ratio, with_ctes
 from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS
 from cascata.session import materialize, new_folder
-from cascata.sources import driver_tables as given, files, writers
+from cascata.sources import driver_tables as given, files, keyed, writers
+from cascata.streaming import engagement_stream
 
 USER, CONTENT = 13, 92
 QUERY_VECTORS = (100, 200, 300)
@@ -54,6 +56,8 @@ def comparable(rows: DataFrame) -> DataFrame:
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.FloatType, T.DoubleType)):  # in millionths
+                c = F.transform(c, lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint"))
             c = F.array_join(c, ",")
         return c.alias(field.name)
 
@@ -94,7 +98,7 @@ def catalog_file(L: Layers) -> str:
 
 def interactions_file(L: Layers) -> str:
     path = new_folder(L.spark, "interacoes_json")
-    writers.write_json(L.raw_interactions.select(*INTERACTION_COLUMNS), path)
+    writers.write_json_arrays(L.raw_interactions.select(*INTERACTION_COLUMNS), path)
     return path
 
 
@@ -106,7 +110,7 @@ def as_given(contents):
 def comments_file(L: Layers) -> str:
     path = new_folder(L.spark, "comentarios_json")
     tags = F.from_json("tags", "array<string>").alias("tags")
-    writers.write_json(L.raw_comments.select(*[tags if c == "tags" else c for c in COMMENT_COLUMNS]), path)
+    writers.write_json_arrays(L.raw_comments.select(*[tags if c == "tags" else c for c in COMMENT_COLUMNS]), path)
     return path
 
 
@@ -124,14 +128,14 @@ def _(L):
 def _(L):
     path = new_folder(L.spark, "interacoes_tipadas")
     stamped = L.interactions.withColumn("data_hora", F.date_format("data_hora", "yyyy-MM-dd'T'HH:mm:ss"))
-    writers.write_json(stamped.select(*INTERACTION_COLUMNS), path)
+    writers.write_json_arrays(stamped.select(*INTERACTION_COLUMNS), path)
     return files.scan_interactions_json(L.spark, path)
 
 
 @query("scan_comments_json", f"SELECT {S_COMMENT} FROM silver_comentario")
 def _(L):
     path = new_folder(L.spark, "comentarios_tipados")
-    writers.write_json(L.comments.select(*COMMENT_COLUMNS), path)
+    writers.write_json_arrays(L.comments.select(*COMMENT_COLUMNS), path)
     return files.scan_comments_json(L.spark, path)
 
 
@@ -241,7 +245,7 @@ def _(L):
     path = new_folder(L.spark, "interacoes_tratadas")
     cleaned = clean.clean_interactions(L.raw_interactions)
     writers.write_json(cleaned, path)
-    return L.spark.read.schema(cleaned.schema).option("multiLine", True).json(path)
+    return L.spark.read.schema(cleaned.schema).json(path)
 
 
 @query("sink_silver_file", f"SELECT {S_INTERACTION}, execucao_id FROM silver_interacao")
@@ -269,68 +273,78 @@ def _(L):
 
 @query("sink_upsert_users", "SELECT DISTINCT usuario_id FROM (SELECT usuario_id FROM silver_interacao UNION ALL SELECT usuario_id FROM silver_comentario)")
 def _(L):
-    stored = L.comments.select("usuario_id").distinct()
-    return merge.insert_absent(stored, L.interactions.select("usuario_id").distinct(), ["usuario_id"])
+    base = new_folder(L.spark, "usuarios")
+    keyed.create(L.comments.select("usuario_id").distinct(), base, "usuario", ["usuario_id"], "v1")
+    keyed.insert_absent(L.spark, base, "usuario", L.interactions.select("usuario_id").distinct(), "v2")
+    return keyed.read(L.spark, base, "usuario")
 
 
 @query("sink_upsert_contents", f"SELECT {S_CONTENT} FROM (SELECT * REPLACE (CASE WHEN data_publicacao >= DATE '2024-07-01' THEN upper(titulo) "
        "ELSE titulo END AS titulo) FROM silver_conteudo)")
 def _(L):
-    """Two versions: the contents, and the contents after an upsert that is written beside them and then named current."""
+    """A keyed table of the contents after an upsert of those published late, whose titles change."""
     base, stored = new_folder(L.spark, "conteudos"), L.contents.select(*CATALOG_COLUMNS)
-    writers.publish_version({"conteudo": stored}, base, "v1")
+    keyed.create(stored, base, "conteudo", ["conteudo_id"], "v1")
     updates = stored.where("data_publicacao >= date'2024-07-01'").withColumn("titulo", F.upper("titulo"))
-    merge.upsert_stored(L.spark, base, "conteudo", updates, ["conteudo_id"], "v2")
-    return as_given(writers.read_current(L.spark, base, "conteudo"))
+    keyed.upsert(L.spark, base, "conteudo", updates, "v2")
+    return as_given(keyed.read(L.spark, base, "conteudo"))
 
 
-UPSERTED = """SELECT usuario_id, conteudo_id, strftime({key}, {fmt}) AS {key}, {value} FROM (
+UPSERTED = """SELECT {columns} FROM (
     SELECT *, row_number() OVER (PARTITION BY usuario_id, conteudo_id, {key} ORDER BY ordem DESC) AS escolha FROM {table} WHERE {ok}) WHERE escolha = 1"""
 
 
 @query("sink_upsert_interactions", UPSERTED.format(
-    key="data_hora", fmt=INSTANT, value="tempo_consumido", table="julgado_interacao", ok="regra_violada IS NULL OR regra_violada = 'DUPLICADO'"))
+    key="data_hora", columns=S_INTERACTION, table="julgado_interacao", ok="regra_violada IS NULL OR regra_violada = 'DUPLICADO'"))
 def _(L):
+    """Whole rows: the first of each key, then the last of every repeated key over it; a key whose first row was rejected enters with its last."""
     keys = ["usuario_id", "conteudo_id", "data_hora"]
     judged = silver.judge_interactions(L.raw_interactions, L.contents)
-    repeated = judged.where("regra_violada = 'DUPLICADO'").select("ordem", *keys, "tempo_consumido")
-    updates = merge.last_per_key(materialize(repeated, "repetidas"), keys, "ordem")
-    firsts = judged.where("regra_violada is null").select(*keys, "tempo_consumido")
-    # a repeated key whose first row was itself rejected enters with its last row
-    rest = updates.select(*keys, "tempo_consumido")
-    return merge.upsert(firsts, materialize(rest, "atualizacoes"), keys)
+    repeated = judged.where("regra_violada = 'DUPLICADO'").select("ordem", *INTERACTION_COLUMNS)
+    base = new_folder(L.spark, "interacoes")
+    keyed.create(judged.where("regra_violada is null").select(*INTERACTION_COLUMNS), base, "interacao", keys, "v1")
+    keyed.upsert(L.spark, base, "interacao", merge.last_per_key(materialize(repeated, "repetidas"), keys, "ordem").drop("ordem"), "v2")
+    return keyed.read(L.spark, base, "interacao")
 
 
 COMMENT_KEYS = ["usuario_id", "conteudo_id", "data"]
 
 
+def stored_comments(L: Layers) -> tuple[str, DataFrame]:
+    """A keyed table of the first comment of each key, and all comments."""
+    typed = silver.typed_comment(L.raw_comments).where("usuario_id is not null and data is not null")
+    rows, base = materialize(typed.select("ordem", *COMMENT_COLUMNS), "comentarios"), new_folder(L.spark, "comentarios")
+    firsts = silver.mark_repeats(rows, COMMENT_KEYS, "ordem").where("not repetida").select(*COMMENT_COLUMNS)
+    keyed.create(firsts, base, "comentario", COMMENT_KEYS, "v1")
+    return base, rows
+
+
 @query("sink_upsert_comments", UPSERTED.format(
-    key="data", fmt=DAY, value="avaliacao, comentario", table="tipado_comentario", ok="usuario_id IS NOT NULL AND data IS NOT NULL"))
+    key="data", columns=S_COMMENT, table="tipado_comentario", ok="usuario_id IS NOT NULL AND data IS NOT NULL"))
 def _(L):
-    typed = silver.typed_comment(L.raw_comments).where("usuario_id is not null and data is not null")
-    rows = materialize(typed.select("ordem", *COMMENT_KEYS, "avaliacao", "comentario"), "comentarios")
-    firsts = silver.mark_repeats(rows, COMMENT_KEYS, "ordem").where("not repetida").drop("repetida", "ordem")
-    return merge.upsert(firsts, merge.last_per_key(rows, COMMENT_KEYS, "ordem").drop("ordem"), COMMENT_KEYS)
+    base, rows = stored_comments(L)
+    keyed.upsert(L.spark, base, "comentario", merge.last_per_key(rows, COMMENT_KEYS, "ordem").drop("ordem"), "v2")
+    return keyed.read(L.spark, base, "comentario")
 
 
 @query("sink_insert_absent_comments", UPSERTED.replace("ordem DESC", "ordem").format(
-    key="data", fmt=DAY, value="avaliacao, comentario", table="tipado_comentario", ok="usuario_id IS NOT NULL AND data IS NOT NULL"))
+    key="data", columns=S_COMMENT, table="tipado_comentario", ok="usuario_id IS NOT NULL AND data IS NOT NULL"))
 def _(L):
-    typed = silver.typed_comment(L.raw_comments).where("usuario_id is not null and data is not null")
-    rows = materialize(typed.select("ordem", *COMMENT_KEYS, "avaliacao", "comentario"), "comentarios")
-    firsts = silver.mark_repeats(rows, COMMENT_KEYS, "ordem").where("not repetida").drop("repetida", "ordem")
-    return merge.insert_absent(firsts, merge.last_per_key(rows, COMMENT_KEYS, "ordem").drop("ordem"), COMMENT_KEYS)
+    base, rows = stored_comments(L)
+    keyed.insert_absent(L.spark, base, "comentario", merge.last_per_key(rows, COMMENT_KEYS, "ordem").drop("ordem"), "v2")
+    return keyed.read(L.spark, base, "comentario")
 
 
 @query("sink_upsert_embeddings", """SELECT coalesce(d.conteudo_id, g.conteudo_id) AS conteudo_id,
     CASE WHEN d.conteudo_id IS NOT NULL THEN 'base' ELSE g.modelo END AS modelo,
-    coalesce(d.texto_origem, g.texto_origem) AS texto_origem
-    FROM guardados g FULL JOIN (SELECT * FROM delta WHERE situacao = 'pendente') d ON d.conteudo_id = g.conteudo_id""")
+    coalesce(d.texto_origem, g.texto_origem) AS texto_origem, coalesce(d.vetor, g.vetor) AS vetor
+    FROM guardados g FULL JOIN codificados d ON d.conteudo_id = g.conteudo_id""")
 def _(L):
-    stored = L.stored_texts
-    delta = search.embedding_delta(L.contents, stored, MODEL).where("situacao = 'pendente'")
-    updates = delta.select("conteudo_id", F.lit(MODEL).alias("modelo"), "texto_origem")
-    return merge.upsert(stored, updates, ["conteudo_id"])
+    base, stored = new_folder(L.spark, "vetores"), L.stored_texts
+    keyed.create(stored, base, "embedding_conteudo", ["conteudo_id"], "v1")
+    delta = search.embedding_delta(L.contents, stored, MODEL)
+    keyed.upsert(L.spark, base, "embedding_conteudo", search.embed_pending(delta, search.hashing_encoder(DIMENSION), MODEL), "v2")
+    return keyed.read(L.spark, base, "embedding_conteudo")
 
 
 @query("sink_recommendation_batch", f"SELECT strftime(gerado_em, {INSTANT}) AS gerado_em, count(*) AS linhas, count(DISTINCT usuario_id) AS usuarios "
@@ -345,22 +359,23 @@ def _(L):
 
 @query("sink_gold_replace", """SELECT 'carga-2' AS versao, 'dim_conteudo' AS tabela, count(*) AS linhas FROM silver_conteudo
     UNION ALL SELECT 'carga-2', 'fato_engajamento_dia', count(*) FROM fato
-    UNION ALL SELECT 'carga-2', 'kpi_evolucao_dia', count(*) FROM por_dia""")
+    UNION ALL SELECT 'carga-2', 'kpi_desempenho_categoria', count(*) FROM por_categoria
+    UNION ALL SELECT 'carga-2', 'kpi_engajamento_formato', count(*) FROM por_formato
+    UNION ALL SELECT 'carga-2', 'kpi_evolucao_dia', count(*) FROM por_dia
+    UNION ALL SELECT 'carga-2', 'kpi_conversao_recomendacao', count(*) FROM conversao
+    UNION ALL SELECT 'carga-2', 'kpi_geral', count(*) FROM geral""")
 def _(L):
+    """Two runs publish all seven tables, each as one commit; what is read is the second."""
     base = new_folder(L.spark, "gold")
     for run_id in ("carga-1", "carga-2"):
-        tables = {
-            "dim_conteudo": gold.dim_content(L.contents, run_id),
-            "fato_engajamento_dia": gold.fact_engagement_day(L.interactions, run_id),
-            "kpi_evolucao_dia": gold.kpi_day(L.interactions, run_id),
-        }
-        writers.publish_version(tables, base, run_id)
+        tables = {name: rows.withColumn("execucao_id", F.lit(run_id)) for name, rows in L.gold.items()}
+        version = writers.publish_version(tables, base, run_id)
     counted = [
-        writers.read_current(L.spark, base, name).groupBy(F.col("execucao_id").alias("versao"))
+        writers.read_current(L.spark, base, name, version).groupBy(F.col("execucao_id").alias("versao"))
         .agg(F.count(F.lit(1)).alias("linhas")).select("versao", F.lit(name).alias("tabela"), "linhas")
-        for name in tables
+        for name in version.tables
     ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    return reduce(DataFrame.unionByName, counted)
 
 
 # ------------------------------------------------------- validation, cleaning
@@ -675,9 +690,9 @@ DOCS = f"SELECT {S_COMMENT}, categoria FROM documentos"
 NEWEST = "ORDER BY documentos.data DESC, usuario_id, conteudo_id LIMIT 10"
 DOC_COLUMNS = [*COMMENT_COLUMNS, "categoria"]
 query("comments_of_content", f"{DOCS} WHERE conteudo_id = 91 {NEWEST}")(
-    lambda L: lookups.comments_of_content(L.documents, 91).select(*DOC_COLUMNS))
+    lambda L: L.lookups.comments_of_content(91).select(*DOC_COLUMNS))
 query("comments_by_tag", f"{DOCS} WHERE list_contains(documentos.tags, 'assistant') {NEWEST}")(
-    lambda L: lookups.comments_by_tag(L.documents, "assistant").select(*DOC_COLUMNS))
+    lambda L: L.lookups.comments_by_tag("assistant").select(*DOC_COLUMNS))
 query("comments_by_rating", f"{DOCS} WHERE avaliacao = 5 {NEWEST}")(
     lambda L: lookups.comments_by_rating(L.documents, 5).select(*DOC_COLUMNS))
 query("comments_by_rating_min", f"{DOCS} WHERE avaliacao >= 4 {NEWEST}")(
@@ -709,11 +724,11 @@ query("count_by_batch", f"SELECT strftime(gerado_em, {INSTANT}) AS gerado_em, co
 query("count_by_batch_class", "SELECT classificacao, count(*) AS qtd FROM lote GROUP BY ALL")(lambda L: lookups.last_batch_classes(L.recommendations))
 query("user_ranking", f"SELECT l.usuario_id, l.posicao, l.conteudo_id, c.titulo, c.categoria, CAST(l.pontuacao AS DOUBLE) AS pontuacao, l.classificacao, "
       f"strftime(l.gerado_em, {INSTANT}) AS gerado_em FROM lote l JOIN silver_conteudo c USING (conteudo_id) WHERE l.usuario_id = {USER}")(
-    lambda L: lookups.user_ranking(L.recommendations, L.contents, USER))
+    lambda L: L.lookups.user_ranking(L.contents, USER, L.recommendations.agg(F.max("gerado_em")).first()[0]))
 query("completed_by_user", f"SELECT i.conteudo_id, c.titulo, i.tipo_interacao, CAST(i.percentual_conclusao AS DOUBLE) AS percentual_conclusao, count(*) AS vezes "
       f"FROM silver_interacao i JOIN silver_conteudo c USING (conteudo_id) WHERE i.usuario_id = {USER} AND "
       "(i.tipo_interacao = 'conclusão' OR i.percentual_conclusao >= 100) GROUP BY ALL")(
-    lambda L: lookups.completed_by_user(L.interactions, L.contents, USER))
+    lambda L: L.lookups.completed_by_user(L.contents, USER))
 
 # ---------------------------------------------------------------------- gold
 
@@ -733,14 +748,42 @@ def fact_from_months(L: Layers) -> DataFrame:
 query("beam_fact_engagement_day", FACT_SQL.replace(RUN_SQL, RUN_SQL + ", 'spark' AS runner"))(
     lambda L: fact_from_months(L).withColumn("runner", F.lit("spark")))
 query("gold_compare_engines", "SELECT count(*) AS linhas_a, count(*) AS linhas_b, 0 AS linhas_diferentes, true AS iguais FROM fato")(
-    lambda L: gold.engines_agree(L.fact, fact_from_months(L)))
+    lambda L: gold.engines_agree(L.gold["fato_engajamento_dia"], fact_from_months(L)))
 query("gold_kpi_category", "SELECT categoria, tipo, qtd_conteudos, total_interacoes, visualizacoes, inicios, conclusoes, taxa AS taxa_conclusao_pct, "
-      f"nota AS avaliacao_media, tempo AS tempo_medio_min, {RUN_SQL} FROM por_categoria")(lambda L: gold.kpi_category(L.contents, L.interactions, RUN))
+      f"nota AS avaliacao_media, tempo AS tempo_medio_min, {RUN_SQL} FROM por_categoria")(lambda L: L.gold["kpi_desempenho_categoria"])
 query("gold_kpi_format", "SELECT tipo AS formato, qtd_conteudos, total_interacoes, visualizacoes, inicios, conclusoes, taxa AS taxa_conclusao_pct, "
       f"nota AS avaliacao_media, tempo AS tempo_medio_min, carga AS carga_horaria_media_min, {RUN_SQL} FROM por_formato")(
-    lambda L: gold.kpi_format(L.contents, L.interactions, RUN))
+    lambda L: L.gold["kpi_engajamento_formato"])
 query("gold_kpi_day", f"SELECT strftime(data, {DAY}) AS data, total_interacoes, usuarios AS usuarios_ativos, conclusoes, nota AS avaliacao_media, "
-      f"coalesce(tempo, 0) AS tempo_total_min, {RUN_SQL} FROM por_dia")(lambda L: gold.kpi_day(L.interactions, RUN))
+      f"coalesce(tempo, 0) AS tempo_total_min, {RUN_SQL} FROM por_dia")(lambda L: L.gold["kpi_evolucao_dia"])
+
+
+HELD_BACK = "day(data_hora) <= 10 AND conteudo_id % 7 = 0"
+STREAM_SQL = f"(SELECT * FROM silver_interacao WHERE NOT ({HELD_BACK}))"
+
+
+def streamed(L: Layers) -> tuple[str, str]:
+    """Interactions as they would arrive in two deliveries, of which the second brings some rows of days long closed."""
+    folder = new_folder(L.spark, "chegadas")
+    first = F.expr(f"day(data_hora) <= 20 and not ({HELD_BACK})")
+    rows = L.interactions.select(*INTERACTION_COLUMNS)
+    for part in (rows.where(first), rows.where(~first)):
+        part.write.mode("append").parquet(f"{folder}/silver")
+        engagement_stream.follow_engagement(
+            L.spark, f"{folder}/silver", f"{folder}/fato", f"{folder}/marca", "fluxo", f"{folder}/tardias").awaitTermination()
+    return f"{folder}/fato", f"{folder}/tardias"
+
+
+query("streamed_fact", FACT_SQL.replace(
+    "FROM fato", f"""FROM (SELECT conteudo_id, CAST(data_hora AS DATE) AS data, count(*) AS total_interacoes,
+        count(*) FILTER (WHERE tipo_interacao = 'visualização') AS visualizacoes, count(*) FILTER (WHERE tipo_interacao = 'início') AS inicios,
+        count(*) FILTER (WHERE tipo_interacao = 'conclusão' OR percentual_conclusao >= 100) AS conclusoes,
+        count(*) FILTER (WHERE tipo_interacao = 'curtida') AS curtidas, count(avaliacao_atribuida) AS avaliacoes,
+        CAST(coalesce(sum(avaliacao_atribuida), 0) AS BIGINT) AS soma_avaliacao, CAST(coalesce(sum(tempo_consumido), 0) AS BIGINT) AS tempo_total_min
+        FROM {STREAM_SQL} GROUP BY ALL) f""").replace("strftime(data,", "strftime(f.data,"))(
+    lambda L: engagement_stream.streamed_fact(L.spark, streamed(L)[0], RUN))
+query("streamed_late_rows", f"SELECT {S_INTERACTION}, 'DIA_FECHADO' AS regra_violada FROM silver_interacao WHERE {HELD_BACK}")(
+    lambda L: L.spark.read.parquet(streamed(L)[1]).select(*INTERACTION_COLUMNS, "regra_violada"))
 
 
 def conversion(L: Layers) -> DataFrame:
@@ -752,10 +795,10 @@ def overall(L: Layers) -> DataFrame:
 
 
 query("gold_kpi_rec_conversion", "SELECT total AS total_recomendacoes, usadas AS recomendacoes_com_interacao, taxa AS taxa_conversao_pct, "
-      f"lote_gerado_em, {RUN_SQL} FROM conversao")(conversion)
+      f"lote_gerado_em, {RUN_SQL} FROM conversao")(lambda L: L.gold["kpi_conversao_recomendacao"])
 query("gold_kpi_overall", "SELECT g.usuarios AS usuarios_ativos, g.interacoes AS total_interacoes, g.taxa AS taxa_conclusao_pct, g.nota AS avaliacao_media, "
       "g.tempo AS tempo_medio_min, (SELECT count(*) FROM silver_conteudo) AS total_conteudos, v.total AS total_recomendacoes, "
-      f"v.taxa AS taxa_conversao_recomendacao_pct, {RUN_SQL} FROM geral g CROSS JOIN conversao v".replace("CROSS JOIN conversao", "JOIN conversao") + " ON true")(overall)
+      f"v.taxa AS taxa_conversao_recomendacao_pct, {RUN_SQL} FROM geral g CROSS JOIN conversao v")(lambda L: L.gold["kpi_geral"])
 
 # ----------------------------------------------------------------- KPI views
 
@@ -860,7 +903,7 @@ query("format_ranking", "SELECT tipo AS formato, qtd_conteudos, total_interacoes
     lambda L: kpi.format_ranking(gold.kpi_format(L.contents, L.interactions, RUN)))
 query("conversion_status", "SELECT v.total AS total_recomendacoes, v.usadas AS recomendacoes_com_interacao, v.taxa AS taxa_conversao_pct, g.usuarios AS usuarios_ativos, "
       "CASE WHEN v.taxa < 8 THEN 'dispara alerta' ELSE 'dentro da meta' END AS situacao, strftime(v.instante, '%Y-%m-%d %H:%M') AS lote_recomendacao "
-      "FROM conversao v JOIN geral g ON true")(lambda L: kpi.conversion_status(conversion(L), overall(L)))
+      "FROM conversao v CROSS JOIN geral g")(lambda L: kpi.conversion_status(conversion(L), overall(L)))
 query("alert_rec_conversion", "SELECT taxa AS valor, CAST(8 AS DOUBLE) AS limite, coalesce(taxa < 8, false) AS dispara FROM conversao")(
     lambda L: kpi.alert_rec_conversion(conversion(L)))
 query("tile_active_users", "SELECT usuarios AS usuarios_ativos FROM geral")(lambda L: kpi.tile_active_users(overall(L)))
@@ -899,13 +942,20 @@ DQ_ROWS = " UNION ALL ".join(
     f"SELECT 'carga-1' AS execucao_id, '{t[0]}' AS fonte, '{name}' AS teste, '{t[1]}' AS dimensao, {col} AS valor, CAST({t[3]} AS DOUBLE) AS limite, "
     f"'{t[4]}' AS operador, '{t[5]}' AS severidade, {col} {t[4]} {t[3]} AS aprovado, '{t[6]}' AS acao FROM medidas"
     for (name, t), col in zip(quality.TESTS.items(), ("completude", "validade", "unicidade", "consistencia", "integridade")))
-query("dq_run", DQ_ROWS)(lambda L: test_results(L).drop("formula", "mensagem"))
+def texts_sql(rows: str) -> str:
+    """The results with the fixed texts of each test."""
+    said = ", ".join(f"('{name}', '{t[2]}', '{t[7]}')" for name, t in quality.TESTS.items())
+    return f"SELECT r.*, t.formula, t.mensagem FROM ({rows}) r JOIN (VALUES {said}) t(teste, formula, mensagem) ON t.teste = r.teste"
+
+
+query("dq_run", texts_sql(DQ_ROWS))(lambda L: L.results)
+query("dq_stored_tables", texts_sql(DQ_ROWS))(test_results)
 query("dq_verdict", f"SELECT execucao_id, CASE WHEN bool_and(aprovado) THEN 'sucesso' ELSE 'sucesso com ressalvas' END AS resultado FROM ({DQ_ROWS}) GROUP BY ALL")(
-    lambda L: quality.verdict(test_results(L)))
+    lambda L: quality.verdict(L.results))
 query("dq_gate", f"SELECT 'carga-1' AS execucao_id, CASE WHEN count(*) FILTER (WHERE NOT aprovado AND severidade = 'critica') = 0 THEN 'liberado' ELSE 'bloqueado' END AS situacao "
-      f"FROM ({DQ_ROWS})")(lambda L: quality.gate(test_results(L), RUN).select("execucao_id", "situacao"))
+      f"FROM ({DQ_ROWS})")(lambda L: quality.gate(L.results, RUN).select("execucao_id", "situacao"))
 query("dq_history", f"SELECT execucao_id, teste, fonte, valor, limite, aprovado FROM ({DQ_ROWS}) WHERE teste IN ('completude_titulo', 'consistencia_conclusao')")(
-    lambda L: quality.history(test_results(L)))
+    lambda L: quality.history(L.results))
 
 
 @query("dq_gate_blocked", "SELECT 'carga-1' AS execucao_id, 'bloqueado' AS situacao, 'publicacao gold bloqueada: teste critico reprovado "
@@ -915,12 +965,11 @@ def _(L):
     return quality.gate(quality.describe_results(measures, RUN), RUN)
 
 
-@query("sink_quality_json", f"SELECT teste, valor, aprovado FROM ({DQ_ROWS})")
+@query("sink_quality_json", texts_sql(DQ_ROWS))
 def _(L):
     path = new_folder(L.spark, "qualidade_json")
-    results = test_results(L)
-    writers.write_json(results, path)
-    return L.spark.read.schema(results.schema).option("multiLine", True).json(path).select("teste", "valor", "aprovado")
+    writers.write_json(L.results, path)
+    return L.spark.read.schema(L.results.schema).json(path)
 
 
 AUDIT_RUN = "dia-2024-01-15"
@@ -991,34 +1040,40 @@ query("mdm_normalize", "SELECT conteudo_id, kt AS titulo, ka AS autor FROM chave
 
 
 def pseudonyms(L: Layers) -> DataFrame:
-    return materialize(privacy.new_pseudonyms(privacy.known_users(L.interactions, L.comments)), "pseudonimos")
+    """The kept map after two runs: one over the users of comments, one over all; the second draws only for those it adds."""
+    return L.pseudonyms[1]
 
 
 UUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
-@query("pseudonym_map", "SELECT usuario_id, true AS valido, 1 AS usuarios_por_pseudonimo FROM "
-       "(SELECT usuario_id FROM silver_interacao UNION SELECT usuario_id FROM silver_comentario)")
+@query("pseudonym_map", """SELECT u.usuario_id, true AS valido, 1 AS usuarios_por_pseudonimo, c.usuario_id IS NOT NULL AS da_primeira_carga, true AS mantido
+    FROM (SELECT usuario_id FROM silver_interacao UNION SELECT usuario_id FROM silver_comentario) u
+    LEFT JOIN (SELECT DISTINCT usuario_id FROM silver_comentario) c ON c.usuario_id = u.usuario_id""")
 def _(L):
-    first = pseudonyms(L)
-    again = privacy.new_pseudonyms(privacy.known_users(L.interactions, L.comments), first)
-    whole = first.unionByName(again)
+    first, whole = L.pseudonyms
+    earlier = first.select("usuario_id", F.col("pseudo_id").alias("antes"))
     shared = whole.groupBy("pseudo_id").agg(F.count(F.lit(1)).alias("usuarios_por_pseudonimo"))
-    return whole.join(shared, "pseudo_id").select("usuario_id", F.col("pseudo_id").rlike(UUID).alias("valido"), "usuarios_por_pseudonimo")
+    return whole.join(shared, "pseudo_id").join(earlier, "usuario_id", "left").select(
+        "usuario_id", F.col("pseudo_id").rlike(UUID).alias("valido"), "usuarios_por_pseudonimo", F.col("antes").isNotNull().alias("da_primeira_carga"),
+        F.coalesce(F.col("antes") == F.col("pseudo_id"), F.lit(True)).alias("mantido"))
+
+
+def told_apart(L: Layers, rows: DataFrame) -> DataFrame:
+    """Pseudonyms exchanged for the users they stand for, by the map of the same runs, so that rows can be compared by user."""
+    return rows.join(pseudonyms(L), "pseudo_id").drop("pseudo_id")
 
 
-@query("interactions_pseudonymised", "SELECT true AS valido, conteudo_id, tipo_interacao, strftime(data_hora, '%Y-%m-%d') AS data, tempo_consumido, "
+@query("interactions_pseudonymised", "SELECT usuario_id, conteudo_id, tipo_interacao, strftime(data_hora, '%Y-%m-%d') AS data, tempo_consumido, "
        "CAST(percentual_conclusao AS DOUBLE) AS percentual_conclusao, avaliacao_atribuida FROM silver_interacao")
 def _(L):
-    rows = privacy.interactions_pseudonymised(L.interactions, pseudonyms(L))
-    return rows.select(F.col("pseudo_id").rlike(UUID).alias("valido"), *[c for c in rows.columns if c != "pseudo_id"])
+    return told_apart(L, privacy.interactions_pseudonymised(L.interactions, pseudonyms(L)))
 
 
-@query("comments_masked", f"SELECT true AS valido, conteudo_id, avaliacao, CASE WHEN length(comentario) <= 20 THEN comentario ELSE substr(comentario, 1, 20) || '...' END AS comentario_mascarado, "
+@query("comments_masked", f"SELECT usuario_id, conteudo_id, avaliacao, CASE WHEN length(comentario) <= 20 THEN comentario ELSE substr(comentario, 1, 20) || '...' END AS comentario_mascarado, "
        f"strftime(data, {DAY}) AS data FROM silver_comentario")
 def _(L):
-    rows = privacy.comments_masked(L.comments, pseudonyms(L))
-    return rows.select(F.col("pseudo_id").rlike(UUID).alias("valido"), *[c for c in rows.columns if c != "pseudo_id"])
+    return told_apart(L, privacy.comments_masked(L.comments, pseudonyms(L)))
 
 
 MASKED = "array_to_string(list_transform(string_split_regex(trim(autor), '\\s+'), lambda p: substr(p, 1, 1) || '***'), ' ')"
@@ -1050,13 +1105,13 @@ query("embedding_delta_report", "SELECT situacao, count(*) AS total FROM delta G
     lambda L: search.delta_report(search.embedding_delta(L.contents, L.stored_texts, MODEL)))
 
 
-@query("embed_batch", "SELECT conteudo_id, texto_origem, 'base' AS modelo, 64 AS dimensao, 1.0 AS norma FROM delta WHERE situacao = 'pendente'".replace("1.0 AS", "CAST(1 AS DOUBLE) AS"))
+@query("embed_batch", "SELECT conteudo_id, texto_origem, 'base' AS modelo, vetor, 64 AS dimensao, CAST(1 AS DOUBLE) AS norma FROM codificados")
 def _(L):
     from cascata.functions.vectors import norm
 
     delta = search.embedding_delta(L.contents, L.stored_texts, MODEL)
     made = search.embed_pending(delta, search.hashing_encoder(DIMENSION), MODEL)
-    return made.select("conteudo_id", "texto_origem", "modelo", F.size("vetor").alias("dimensao"), F.round(norm(F.col("vetor")), 4).alias("norma"))
+    return made.select("conteudo_id", "texto_origem", "modelo", "vetor", F.size("vetor").alias("dimensao"), F.round(norm(F.col("vetor")), 4).alias("norma"))
 
 
 def hits_sql(query_vector: str, where: str, k: int) -> str:
@@ -1095,6 +1150,19 @@ def _(L):
     return vector_index.indexed_search(L.spark, path, L.contents, query_vector(L, QUERY_VECTORS[1]), 5)
 
 
+@query("ann_search_batch", """SELECT 'c' || q AS consulta, h.posicao, h.conteudo_id, c.titulo, c.categoria, c.tipo, round(h.s, 4) AS similaridade, round(1 - h.s, 4) AS distancia
+    FROM (SELECT a.conteudo_id AS q, v.conteudo_id, list_cosine_similarity(v.vetor, a.vetor) AS s, row_number() OVER (PARTITION BY a.conteudo_id ORDER BY
+            round(list_cosine_similarity(v.vetor, a.vetor), 12) DESC, v.conteudo_id) AS posicao
+          FROM vetores a JOIN vetores v ON v.modelo = 'base' JOIN silver_conteudo k ON k.conteudo_id = v.conteudo_id
+          WHERE a.conteudo_id % 50 = 0) h JOIN silver_conteudo c ON c.conteudo_id = h.conteudo_id WHERE h.posicao <= 5""")
+def _(L):
+    """Neighbours of many stored vectors at once, through the index."""
+    path = new_folder(L.spark, "indice")
+    vector_index.build_index(L.store.join(L.contents.select("conteudo_id"), "conteudo_id", "left_semi"), MODEL, DIMENSION, path)
+    asked = L.store.where("conteudo_id % 50 = 0").select(F.concat(F.lit("c"), "conteudo_id").alias("consulta"), "vetor")
+    return vector_index.indexed_search_batch(L.spark, path, L.contents, asked, 5)
+
+
 query("similar_contents", f"SELECT {FOUND} FROM ({hits_sql(vector_sql(CONTENT), 'true', 5)}) h JOIN silver_conteudo c USING (conteudo_id)")(
     lambda L: search.similar_contents(L.store, L.contents, CONTENT, 5))
 PROFILE = f"""(SELECT list(m ORDER BY d) FROM (SELECT t.d, avg(v.vetor[t.d]) AS m FROM silver_interacao i JOIN vetores v USING (conteudo_id),

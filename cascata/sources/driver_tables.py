@@ -138,9 +138,10 @@ def stored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("conteudo_id"),
         text.text_representation(F.col("titulo"), F.col("descricao")).alias("texto"),
     )
-    return embeddings(spark, sf_dir).select("conteudo_id", "modelo").join(texts, "conteudo_id").select(
+    return embeddings(spark, sf_dir).join(texts, "conteudo_id").select(
         "conteudo_id",
         "modelo",
+        "vetor",
         F.expr("case when conteudo_id % 10 = 3 then concat('v0 ', texto) else texto end").alias("texto_origem"),
     )
 

@@ -7,6 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from cascata.sources import versions
+from cascata.sources.versions import Version
+
 
 def write_csv(rows: DataFrame, path: str) -> None:
     """CSV with a header; blanks at the ends of a text are data and stay."""
@@ -31,7 +34,12 @@ def _as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_json(rows: DataFrame, path: str) -> None:
-    """Records as JSON arrays, one per output file, nulls written out."""
+    """Records as JSON, one a line, nulls written out; the files can be split and read in parallel."""
+    rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def write_json_arrays(rows: DataFrame, path: str) -> None:
+    """Records as JSON arrays, one per output file, as the source systems deliver them."""
     record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")
     rows.select(record).mapInArrow(_as_array, "value string").write.mode("overwrite").text(path)
 
@@ -76,22 +84,21 @@ def append_recommendations(rows: DataFrame, path: str) -> None:
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lote").parquet(path)
 
 
-def publish_version(tables: dict[str, DataFrame], base: str, run_id: str) -> None:
-    """Write all tables aside, and only then name the run as the current one.
+def publish_version(tables: dict[str, DataFrame], base: str, run_id: str, read_version: Version | None = None) -> Version:
+    """Write all tables aside and commit them together as the next version.
 
-    A reader sees the former version until the last step; a failed run leaves it in place.
+    A reader sees the former version until the commit; a failed run leaves it in place. Of two runs that
+    started from one version the first to commit wins and the other fails.
     """
     spark = next(iter(tables.values())).sparkSession
-    for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{base}/versoes/{run_id}/{name}")
-    named = spark.range(1).select(F.lit(run_id).alias("execucao_id"), F.current_timestamp().alias("publicado_em"))
-    named.coalesce(1).write.mode("append").parquet(f"{base}/publicacoes")
+    return versions.publish(spark, base, tables, run_id, read_version)
 
 
-def current_version(spark: SparkSession, base: str) -> str:
-    published = spark.read.parquet(f"{base}/publicacoes")
-    return published.agg(F.max_by("execucao_id", "publicado_em")).first()[0]
+def current_version(spark: SparkSession, base: str) -> str | None:
+    """The run that made the newest version."""
+    return versions.newest(spark, base).run_id
 
 
-def read_current(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/versoes/{current_version(spark, base)}/{name}")
+def read_current(spark: SparkSession, base: str, name: str, version: Version | None = None) -> DataFrame:
+    """A table of a version, else of the newest."""
+    return versions.read(spark, base, version or versions.newest(spark, base), name)

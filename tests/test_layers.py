@@ -251,6 +251,18 @@ def test_whole_run(spark, paths):
     assert spark.read.parquet(paths.layer("metadados")).count() == 10
 
 
+def test_tests_take_their_counts_from_the_writes(spark, paths, monkeypatch):
+    run = Run(spark, paths, "carga-1")
+    run.bronze()
+    run.silver()
+    tables = run.silver_tables()
+    whole = quality.run_tests(*tables, "carga-1")
+    monkeypatch.setattr(Run, "silver_tables", lambda self: pytest.fail("Silver was read again"))
+    assert run.quality() == "sucesso"
+    assert sorted(run.read_results().select(whole.columns).collect()) == sorted(whole.collect())
+    assert all("/medidas/" in f for f in quality.measures_of(run.counted()).inputFiles())
+
+
 def test_latest_batch_prunes_folders(spark):
     path = new_folder(spark, "lotes")
     rows = spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("b", "2024-01-02", 3)],
@@ -279,7 +291,8 @@ def test_pending_rows_enter_silver_once_their_content_exists(spark, paths):
 
 def test_a_blocked_gate_leaves_gold_untouched(spark, paths, monkeypatch):
     run_medallion(spark, paths, recommendations(spark), "carga-1")
-    monkeypatch.setattr(quality, "comment_integrity", lambda *_: spark.sql("select 3D as integridade_comentario_conteudo"))
+    passed = quality.measures_of
+    monkeypatch.setattr(quality, "measures_of", lambda rows: passed(rows).withColumn("integridade_comentario_conteudo", F.lit(3.0)))
     with pytest.raises(quality.GateBlocked, match="integridade_comentario_conteudo"):
         run_medallion(spark, paths, recommendations(spark), "carga-2")
     assert writers.current_version(spark, paths.layer("gold")) == "carga-1"
