@@ -35,7 +35,7 @@ def keyed(contents: DataFrame) -> DataFrame:
 def groups(contents: DataFrame) -> DataFrame:
     """One row per match group with its first and its most recent record's values."""
     registered = F.col("conteudo_id")
-    recency = F.struct(F.coalesce("data_publicacao", F.lit("0001-01-01").cast("date")))
+    recency = F.struct(F.coalesce("data_publicacao", F.lit("0001-01-01").cast("date")), "conteudo_id")
     first = {c: F.min_by(c, registered).alias(c) for c in ["titulo", "tipo", "categoria"]}
     return keyed(contents).groupBy("_chave").agg(
         F.min("conteudo_id").alias("_primeiro"),

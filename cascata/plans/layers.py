@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from cascata.operators import clean, gold, gold_state, load, lookup_store, privacy, quality, recommend, rules, silver
+from cascata.operators import clean, gold, gold_state, load, lookup_store, master_data_runs, privacy, quality, recommend, rules, silver
 from cascata.schemas import SILVER_COMMENT, SILVER_CONTENT, SILVER_INTERACTION
 from cascata.session import materialize, new_folder, ship_package
 from cascata.sources import driver_tables as given, versions
@@ -26,6 +26,7 @@ class Layers:
         self._stored: dict[str, DataFrame] = {}
         self._watches: dict[str, Observation] = {}
         self._lookups: lookup_store.Store | None = None
+        self._masters: str | None = None
         self._names: tuple[DataFrame, DataFrame] | None = None
         self._gold: dict[str, DataFrame] | None = None
         self._lock = threading.RLock()
@@ -102,6 +103,18 @@ class Layers:
                 self._lookups = lookup_store.Store(self.spark, base, made)
             return self._lookups
 
+    @property
+    def masters(self) -> str:
+        """Folder of the master data kept over two runs: the older half of the contents, then the others."""
+        with self._lock:
+            if self._masters is None:
+                base = new_folder(self.spark, "mestres")
+                half = self.contents.agg(F.percentile_approx("conteudo_id", 0.5)).first()[0] or 0
+                for number, part in enumerate((F.col("conteudo_id") <= half, F.col("conteudo_id") > half)):
+                    master_data_runs.run(self.spark, base, self.contents.where(part), f"2024-02-0{number + 1}T00:00:00", f"mdm-{number}")
+                self._masters = base
+            return self._masters
+
     @property
     def results(self) -> DataFrame:
         """Results of the quality tests, stored, from what the writes of Silver counted."""

@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from cascata.functions import casts, text
 from cascata.functions.vectors import scaled_to_unit
 from cascata.operators import (
-    audit, clean, governance, gold, kpi, load, lookups, master_data, merge, privacy, quality, quarantine,
+    audit, clean, column_lineage, governance, gold, kpi, load, lookups, master_data, master_data_runs, merge, privacy, quality, quarantine,
     recommend, search, silver, validate, vector_index,
 )
 from cascata.plans.layers import BATCH, DIMENSION, MODEL, RUN, Layers, layers
 from cascata.plans.oracle import DAY, INSTANT, pct, ratio, with_ctes
-from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS
+from cascata.schemas import AUDIT_COLUMNS, CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS
 from cascata.session import materialize, new_folder
 from cascata.sources import driver_tables as given, files, keyed, writers
 from cascata.streaming import engagement_stream
@@ -33,11 +33,13 @@ class Query:
 
 
 QUERIES: dict[str, Query] = {}
+BODIES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     def add(run: Callable[[Layers], DataFrame]):
         QUERIES[name] = Query(run, with_ctes(sql) if sql else None)
+        BODIES[name] = sql or ""
         return run
 
     return add
@@ -1013,6 +1015,81 @@ def _(L):
     return governance.classified_columns(tables)
 
 
+def same_columns(table: str, columns: list[str]) -> dict[str, list[str]]:
+    return {c: [f"{table}.{c}"] for c in columns}
+
+
+KIND, COMPLETED, RATED, MINUTES = (
+    ["silver.interacao.tipo_interacao"], ["silver.interacao.percentual_conclusao", "silver.interacao.tipo_interacao"],
+    ["silver.interacao.avaliacao_atribuida"], ["silver.interacao.tempo_consumido"])
+RATES = {"taxa_conclusao_pct": COMPLETED, "avaliacao_media": RATED, "tempo_medio_min": MINUTES}
+STARTED = {"visualizacoes": KIND, "inicios": KIND, "conclusoes": COMPLETED}
+# What each column of a table is made from, and the query that has the table's rows.
+MADE_FROM = {
+    "silver.conteudo": ("silver_conteudo", same_columns("bronze.catalogo", [*CATALOG_COLUMNS, *AUDIT_COLUMNS])),
+    "silver.interacao": ("silver_interacao", same_columns("bronze.interacoes", [*INTERACTION_COLUMNS, *AUDIT_COLUMNS])),
+    "silver.comentario": ("silver_comentario", same_columns("bronze.comentarios", [*COMMENT_COLUMNS, *AUDIT_COLUMNS])),
+    "gold.dim_conteudo": ("gold_dim_content", same_columns(
+        "silver.conteudo", [c for c in [*CATALOG_COLUMNS, *AUDIT_COLUMNS] if c not in ("descricao", "execucao_id")]) | {"execucao_id_silver": ["silver.conteudo.execucao_id"]}),
+    "gold.fato_engajamento_dia": ("gold_fact_engagement_day", STARTED | {
+        "conteudo_id": ["silver.interacao.conteudo_id"], "data": ["silver.interacao.data_hora"], "curtidas": KIND, "avaliacoes": RATED,
+        "soma_avaliacao": RATED, "tempo_total_min": MINUTES}),
+    "gold.kpi_desempenho_categoria": ("gold_kpi_category", STARTED | RATES | same_columns("silver.conteudo", ["categoria", "tipo"])),
+    "gold.kpi_engajamento_formato": ("gold_kpi_format", STARTED | RATES | {
+        "formato": ["silver.conteudo.tipo"], "carga_horaria_media_min": ["silver.conteudo.carga_horaria_min"]}),
+    "gold.kpi_evolucao_dia": ("gold_kpi_day", {
+        "data": ["silver.interacao.data_hora"], "usuarios_ativos": ["silver.interacao.usuario_id"], "conclusoes": COMPLETED, "avaliacao_media": RATED,
+        "tempo_total_min": MINUTES}),
+    "gold.kpi_conversao_recomendacao": ("gold_kpi_rec_conversion", {"lote_gerado_em": ["recomendacao.lotes.gerado_em"]}),
+    "gold.kpi_geral": ("gold_kpi_overall", RATES | {"usuarios_ativos": ["silver.interacao.usuario_id"]}),
+}
+EDGES_SQL = ", ".join(
+    "('{}', '{}', '{}', '{}')".format(*origin.rsplit(".", 1), table, column)
+    for table, (_, columns) in MADE_FROM.items() for column, origins in columns.items() for origin in origins)
+
+
+def filled_sql(table: str, source: str, columns: list[str]) -> str:
+    """How many values of each column are filled."""
+    rows = source if source not in BODIES else f"({BODIES[source]})"
+    counts = ", ".join(("count(*)" if c in AUDIT_COLUMNS else f"count(t.{c})") + f" AS {c}" for c in columns)
+    return f"SELECT '{table}' AS destino_tabela, destino_coluna, linhas FROM (UNPIVOT (SELECT {counts} FROM {rows} t) ON COLUMNS(*) INTO NAME destino_coluna VALUE linhas)"
+
+
+def lineage_tables(L: Layers) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, str]]:
+    """Tables as they are defined over stored ones, the same tables as they are stored, and the folder of each stored one."""
+    sources = {
+        "bronze.catalogo": L.catalog, "bronze.interacoes": L.raw_interactions, "bronze.comentarios": L.raw_comments, "silver.conteudo": L.contents,
+        "silver.interacao": L.interactions, "silver.comentario": L.comments, "recomendacao.lotes": L.recommendations}
+    rate = conversion(L)
+    made = {
+        "silver.conteudo": silver.silver_content(L.catalog), "silver.interacao": silver.silver_interactions(L.raw_interactions, L.contents),
+        "silver.comentario": silver.silver_comments(L.raw_comments, L.contents), "gold.dim_conteudo": L.dimension, "gold.fato_engajamento_dia": L.fact,
+        "gold.kpi_desempenho_categoria": gold.kpi_category(L.contents, L.interactions, RUN),
+        "gold.kpi_engajamento_formato": gold.kpi_format(L.contents, L.interactions, RUN), "gold.kpi_evolucao_dia": gold.kpi_day(L.interactions, RUN),
+        "gold.kpi_conversao_recomendacao": rate, "gold.kpi_geral": gold.kpi_overall(L.contents, L.interactions, rate, RUN)}
+    stored = {n: t for n, t in sources.items() if n.startswith("silver.")} | {f"gold.{n}": t for n, t in L.gold.items()}
+    return made, stored, {n: t.inputFiles()[0].rsplit("/", 1)[0] for n, t in sources.items() if t.inputFiles()}
+
+
+@query("column_lineage", f"SELECT e.*, f.linhas FROM (VALUES {EDGES_SQL}) e(origem_tabela, origem_coluna, destino_tabela, destino_coluna) JOIN ("
+       + " UNION ALL ".join(filled_sql(t, source, list(columns)) for t, (source, columns) in MADE_FROM.items())
+       + ") f ON f.destino_tabela = e.destino_tabela AND f.destino_coluna = e.destino_coluna")
+def _(L):
+    made, stored, folders = lineage_tables(L)
+    return column_lineage.carried(column_lineage.edges(L.spark, made, folders), stored)
+
+
+@query("lineage_closure", f"""SELECT s.*, (SELECT count(*) FROM bronze_catalogo) > 0 AS com_dados FROM (
+    WITH RECURSIVE e(origem_tabela, origem_coluna, destino_tabela, destino_coluna) AS (VALUES {EDGES_SQL}), r AS (
+      SELECT *, 1 AS distancia FROM e UNION
+      SELECT e.origem_tabela, e.origem_coluna, r.destino_tabela, r.destino_coluna, r.distancia + 1 FROM r JOIN e
+        ON e.destino_tabela = r.origem_tabela AND e.destino_coluna = r.origem_coluna)
+    SELECT origem_tabela, origem_coluna, destino_tabela, destino_coluna, min(distancia) AS distancia FROM r GROUP BY ALL) s""")
+def _(L):
+    made, _, folders = lineage_tables(L)
+    return column_lineage.closure(column_lineage.edges(L.spark, made, folders)).withColumn("com_dados", F.lit(not L.catalog.isEmpty()))
+
+
 # --------------------------------------------------------------- master data
 
 query("mdm_category_crosswalk", "SELECT trim(b.categoria) AS valor_origem, min(c.categoria) AS categoria_canonica FROM bronze_catalogo b "
@@ -1027,6 +1104,8 @@ query("mdm_master", f"SELECT mestre_id, titulo, tipo, categoria, nivel, carga_ho
     lambda L: master_data.master(L.contents))
 query("mdm_crosswalk", "SELECT g.conteudo_id, m.mestre_id, CASE WHEN g.tamanho = 1 THEN 'unico' ELSE 'titulo_normalizado+tipo+autor' END AS regra_match, "
       "g.cadastro = 1 AS sobrevivente FROM grupo g JOIN mestre m ON m.primeiro = g.primeiro")(lambda L: master_data.crosswalk(L.contents))
+query("mdm_kept_master", BODIES["mdm_master"])(lambda L: master_data_runs.master(L.spark, L.masters))
+query("mdm_kept_crosswalk", BODIES["mdm_crosswalk"])(lambda L: master_data_runs.crosswalk(L.spark, L.masters))
 query("mdm_conflicts", f"""SELECT m.mestre_id, g.conteudo_id, g.cadastro = 1 AS sobrevivente, g.titulo, g.tipo, g.categoria, g.nivel AS nivel_origem, m.nivel AS nivel_mestre,
     g.carga_horaria_min AS carga_origem, m.carga_horaria_min AS carga_mestre, strftime(g.data_publicacao, {DAY}) AS data_origem,
     strftime(m.data_publicacao, {DAY}) AS data_mestre FROM grupo g JOIN mestre m ON m.primeiro = g.primeiro WHERE g.tamanho > 1""")(

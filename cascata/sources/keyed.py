@@ -36,12 +36,24 @@ def _schema(table: Stored) -> T.StructType:
     return T.StructType([f for f in T.StructType.fromJson(table.schema).fields if f.name not in (COMMIT, FIRST)])
 
 
-def create(rows: DataFrame, base: str, name: str, keys: list[str], run_id: str, buckets: int = 16) -> Version:
+def begin(rows: DataFrame, base: str, before: Version, keys: list[str], buckets: int = 16, by: list[str] | None = None) -> Stored:
+    """A table to be committed on top of ``before``; its buckets go by the whole key, or by the columns ``by`` of it."""
+    notes = {"chaves": keys, "baldes": buckets, "por": by or keys}
+    return versions.stage(_marked(rows, before.number + 1, True), base, _bucket(notes["por"], buckets), notes)
+
+
+def create(rows: DataFrame, base: str, name: str, keys: list[str], run_id: str, buckets: int = 16, by: list[str] | None = None) -> Version:
     """A new table, or a new beginning of one; a bucket should hold about as much as a few tasks read."""
     spark = rows.sparkSession
     before = versions.newest(spark, base)
-    stored = versions.stage(_marked(rows, before.number + 1, True), base, _bucket(keys, buckets), {"chaves": keys, "baldes": buckets})
-    return versions.commit(spark, base, before, run_id, {name: stored})
+    return versions.commit(spark, base, before, run_id, {name: begin(rows, base, before, keys, buckets, by)})
+
+
+def buckets_of(table: Stored, keys: DataFrame) -> set[str]:
+    """The buckets in which the given keys (columns ``por`` of the table) lie."""
+    schema = _schema(table)
+    typed = keys.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in table.notes["por"]])
+    return {str(row[0]) for row in typed.select(_bucket(table.notes["por"], table.notes["baldes"])).distinct().collect()}
 
 
 def _merged(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -63,20 +75,23 @@ def read(spark: SparkSession, base: str, name: str, version: Version | None = No
     return rows.select(*_schema(table).names)
 
 
-def _add(spark: SparkSession, base: str, name: str, rows: DataFrame, before: Version, run_id: str) -> Version:
+def delta(spark: SparkSession, base: str, before: Version, name: str, rows: DataFrame) -> Stored:
+    """A table with rows inserted or replaced by key, to be committed on top of ``before``."""
     table = before.tables[name]
-    keys, buckets = table.notes["chaves"], table.notes["baldes"]
-    delta = versions.stage(_marked(rows, before.number + 1, False), base, _bucket(keys, buckets))
-    if not delta.parts:
-        return before
-    parts = table.parts | {p: table.parts.get(p, []) + folders for p, folders in delta.parts.items()}
-    return versions.commit(spark, base, before, run_id, {name: Stored(table.schema, parts, table.notes)})
+    given = _under(rows, _schema(table))
+    made = versions.stage(_marked(given, before.number + 1, False), base, _bucket(table.notes["por"], table.notes["baldes"]))
+    return Stored(table.schema, table.parts | {p: table.parts.get(p, []) + folders for p, folders in made.parts.items()}, table.notes)
+
+
+def _add(spark: SparkSession, base: str, name: str, rows: DataFrame, before: Version, run_id: str) -> Version:
+    changed = delta(spark, base, before, name, rows)
+    return before if changed == before.tables[name] else versions.commit(spark, base, before, run_id, {name: changed})
 
 
 def upsert(spark: SparkSession, base: str, name: str, updates: DataFrame, run_id: str, read_version: Version | None = None) -> Version:
     """Insert or replace by key; writes the given rows and nothing else."""
     before = read_version or versions.newest(spark, base)
-    return _add(spark, base, name, _under(updates, _schema(before.tables[name])), before, run_id)
+    return _add(spark, base, name, updates, before, run_id)
 
 
 def insert_absent(spark: SparkSession, base: str, name: str, rows: DataFrame, run_id: str, read_version: Version | None = None) -> Version:
@@ -98,5 +113,5 @@ def compact(spark: SparkSession, base: str, name: str, run_id: str, most: int =
     if not crowded:
         return before
     rows = _marked(read(spark, base, name, before, crowded), before.number + 1, True)
-    made = versions.stage(rows, base, _bucket(table.notes["chaves"], table.notes["baldes"]))
+    made = versions.stage(rows, base, _bucket(table.notes["por"], table.notes["baldes"]))
     return versions.commit(spark, base, before, run_id, {name: Stored(table.schema, table.parts | made.parts, table.notes)})

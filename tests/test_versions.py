@@ -5,10 +5,10 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from cascata.functions import metrics
-from cascata.operators import gold, gold_state, privacy
+from cascata.operators import column_lineage, gold, gold_state, master_data, master_data_runs, privacy
 from cascata.session import new_folder
 from cascata.sources import keyed, versions, writers
 
@@ -182,3 +182,65 @@ def test_pseudonyms_stay_whatever_runs_overlap(spark):
     privacy.keep_pseudonyms(spark, base, users(80, 100), "mais")
     after = {r["usuario_id"]: r["pseudo_id"] for r in privacy.kept_pseudonyms(spark, base).collect()}
     assert first.items() <= after.items() and len(after) == 100
+
+
+RECORDS = [(1, "Dados", "Curso", "A"), (2, "dados ", "Curso", "a"), (3, "Nuvem", "Curso", "B"), (5, "Redes", "Artigo", "C")]
+
+
+def catalogue(spark, rows):
+    full = [(i, t, k, "Cat", f"nivel{i}", None if i % 2 else i, dt.date(2024, 1, 1) + dt.timedelta(days=i), a) for i, t, k, a in rows]
+    return spark.createDataFrame(full, master_data_runs.RECORD)
+
+
+def test_runs_of_master_data_equal_one_full_run(spark):
+    base = new_folder(spark, "mestres")
+    master_data_runs.run(spark, base, catalogue(spark, RECORDS), "2024-01-01", "r1")
+    more = [(7, "DADOS", "Curso", "A"), (8, "Nova", "Curso", "D"), (3, "Redes", "Artigo", "C")]  # 3 was corrected and joins 5
+    master_data_runs.run(spark, base, catalogue(spark, more), "2024-02-01", "r2")
+    final = catalogue(spark, [r for r in RECORDS if r[0] != 3] + more)
+    full = {r["mestre_id"]: r for r in master_data.master(final).collect()}
+    made = {r["mestre_id"]: r for r in master_data_runs.master(spark, base).collect()}
+    # the group of 5 keeps its name when 3 joins it; a full run would name it after 3
+    assert made.pop("CNT-00005").asDict() == full.pop("CNT-00003").asDict() | {"mestre_id": "CNT-00005"}
+    assert made == full
+    assert {r["conteudo_id"]: r["mestre_id"] for r in master_data_runs.crosswalk(spark, base).collect()} == {
+        1: "CNT-00001", 2: "CNT-00001", 7: "CNT-00001", 8: "CNT-00008", 3: "CNT-00005", 5: "CNT-00005"}
+    assert {r["conteudo_id"]: r["mestre_id"] for r in master_data_runs.crosswalk(spark, base, at="2024-01-15").collect()} == {
+        1: "CNT-00001", 2: "CNT-00001", 3: "CNT-00003", 5: "CNT-00005"}
+    number = versions.newest(spark, base).number
+    again = master_data_runs.run(spark, base, catalogue(spark, more), "2024-03-01", "r2")
+    assert again.number == number + 1 and not master_data_runs.crosswalk(spark, base, at="2024-03-02").exceptAll(master_data_runs.crosswalk(spark, base)).count()
+    assert keyed.read(spark, base, "de_para").where("valido_de = '2024-03-01'").count() == 0
+
+
+def test_a_run_reads_the_members_of_touched_groups_only(spark, monkeypatch):
+    base = new_folder(spark, "mestres")
+    master_data_runs.run(spark, base, catalogue(spark, [(i, f"t{i}", "Curso", "A") for i in range(100)]), "2024-01-01", "r1")
+    asked = []
+    reading = keyed.read
+    monkeypatch.setattr(keyed, "read", lambda spark, base, name, version=None, parts=None: asked.append((name, parts)) or reading(spark, base, name, version, parts))
+    before = versions.newest(spark, base)
+    after = master_data_runs.run(spark, base, catalogue(spark, [(200, "T7", "Curso", "a")]), "2024-02-01", "r2")
+    assert all(parts is not None and len(parts) <= 2 for _, parts in asked) and {n for n, _ in asked} == set(master_data_runs.TABLES)
+    assert sum(before.tables["mestres"].parts[p] != after.tables["mestres"].parts[p] for p in before.tables["mestres"].parts) == 1
+
+
+def test_lineage_follows_unions_windows_generators_and_circles(spark):
+    base = new_folder(spark, "tabelas")
+    a, b = f"{base}/a", f"{base}/b"
+    spark.createDataFrame([(1, "x", ["p", "q"])], "k int, v string, l array<string>").write.parquet(a)
+    spark.createDataFrame([(1, 2.0)], "k int, w double").write.parquet(b)
+    left, right = spark.read.parquet(a), spark.read.parquet(b)
+    joined = left.join(right, "k").select("k", (F.col("w") + F.length("v")).alias("soma"), F.explode("l").alias("item"))
+    united = joined.select("k", F.col("soma").cast("string").alias("t")).union(left.select("k", "v"))
+    ranked = united.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("t")))
+    found = column_lineage.sources(ranked, {"a": a, "b": b})
+    assert found == {"k": {("a", "k")}, "t": {("a", "v"), ("b", "w")}, "pos": {("a", "k"), ("a", "v"), ("b", "w")}}
+    assert column_lineage.sources(joined, {"a": a})["item"] == {("a", "l")}
+    summed = left.groupingSets([[F.col("k")], [F.col("v")]], "k", "v").agg(F.count("l").alias("n"))
+    assert column_lineage.sources(summed, {"a": a})["n"] == {("a", "l")}
+    opaque = left.select("k", "v").mapInArrow(lambda it: it, "k int, v string")
+    assert column_lineage.sources(opaque, {"a": a})["k"] == {("a", "k"), ("a", "v")}
+    steps = [("t1", "c", "t2", "c"), ("t2", "c", "t3", "c"), ("t3", "c", "t1", "c"), ("t3", "c", "t4", "d"), ("t4", "d", "t5", "d"), ("t5", "d", "t6", "d"), ("t6", "d", "t7", "d")]
+    reached = {(r[0], r[2]): r[4] for r in column_lineage.closure(spark.createDataFrame(steps, column_lineage.EDGE)).collect()}
+    assert reached[("t1", "t7")] == 6 and reached[("t1", "t1")] == 3 and ("t7", "t1") not in reached
