@@ -6,10 +6,13 @@ the weights follow from the training counts, after which the model stays as it i
 text a probability (and so a code length). An end mark closes each text and stands before it.
 
 Documents lie in blocks of bounded size by their place in the files. Each block asks for the byte
-strings of ``DEPTH + 1`` and the words that occur in it; their counts are added up over all
-training documents, the trees are weighted in shards, each of which holds all that ends in certain
-two context bytes (only the counts of the top two levels, at most 65,536 nodes, meet on the driver),
-and the answers go back to the blocks.
+strings of ``DEPTH + 1`` that occur in it: a row for each pair of latest context bytes, with the strings'
+gaps and training counts squeezed into bytes. What ends in one pair is a unit; a pair that is asked for
+often is split by its third byte into units of their own. Per unit the counts of all blocks are
+merged one after another, and its trees weighted up to the level of the pair (or third byte); sums over the
+levels above meet on the driver (at most 65,536 nodes, and 255 more for each split pair). Then the
+same rows pass by the weighted unit again, and each goes back to its block with the answers in
+the order asked. Words are counted and answered as rows.
 
 Cases: a null text counts as empty and is scored as such (the end mark alone); a row with a null
 id is scored and never learnt from; repeated rows count and are scored each; with nothing to learn
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cascata.llm.arrays import byte_texts, slices, whole_groups
@@ -35,6 +39,11 @@ MARK = 0xFF  # no byte of UTF-8
 PART_BYTES = 1 << 20
 END_TOKEN = " "  # no word holds a blank
 _HALF = np.log(0.5)
+#: Bits of a key below its pair of latest context bytes, and below the third.
+PAIR_SHIFT, THIRD_SHIFT = 8 * (DEPTH - 1), 8 * (DEPTH - 2)
+WHOLE_PAIR = -1
+#: Strings asked for that a task takes on about, blocks that share one copy of a unit, and strings that are held unmerged.
+TASK_GRAMS, LOT_BLOCKS, PENDING_GRAMS = 2_000_000, 4096, 1 << 21
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -131,13 +140,23 @@ def chances_below(levels: list[Level]) -> np.ndarray:
 
 
 class Roots:
-    """Estimates of the two top levels, from sums over the level below them."""
+    """Estimates of the levels that units share: the two top ones, and that of the pair where a pair was split."""
 
-    def __init__(self, node: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> None:
-        """``node``: context byte times 256 plus decision; ``below``: summed weighted logs of its children."""
+    def __init__(self, node: np.ndarray, split: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> None:
+        """Sums by node: ``node`` is a context byte times 256 plus a decision, or a pair so if ``split``; ``below`` are
+        the summed weighted logs of its children."""
         table = [np.zeros(1 << 16) for _ in range(3)]
         for values, given in zip(table, (zeros, ones, below)):
-            values[node] = given
+            np.add.at(values, node[~split], given[~split])
+        self.pairs = np.unique(node[split] >> 8)
+        parts = [np.zeros((len(self.pairs), 256)) for _ in range(3)]
+        row, decision = np.searchsorted(self.pairs, node[split] >> 8), node[split] & 0xFF
+        for values, given in zip(parts, (zeros, ones, below)):
+            values[row, decision] = given[split]
+        self.pair_one, self.pair_own, weighted = self._level(*parts)
+        upper = (self.pairs[:, None] >> 8 << 8) + np.arange(256)[None, :]  # the latest context byte of each pair
+        for values, given in zip(table, (parts[0], parts[1], weighted)):
+            np.add.at(values, upper, given)
         zeros, ones, below = (t.reshape(256, 256) for t in table)
         self.one, self.own, weighted = self._level(zeros, ones, below)
         self.root_one, self.root_own, _ = self._level(zeros.sum(axis=0), ones.sum(axis=0), weighted.sum(axis=0))
@@ -148,19 +167,54 @@ class Roots:
         weighted = np.logaddexp(_HALF + alone, _HALF + below)
         return (ones + 0.5) / (zeros + ones + 1), np.exp(_HALF + alone - weighted), weighted
 
-    def log10(self, keys: np.ndarray, below: np.ndarray) -> np.ndarray:
+    def log10(self, keys: np.ndarray, below: np.ndarray, split: bool) -> np.ndarray:
         """Log probability of each key's byte, given that of its bits below these levels."""
         steps = np.arange(8, dtype=np.uint64)
         symbol = (keys & np.uint64(0xFF))[:, None]
         bits = ((symbol >> (np.uint64(7) - steps)) & np.uint64(1)).astype(bool)
         decision = ((np.uint64(1) << steps) | (symbol >> (np.uint64(8) - steps))).astype(np.int64)
         last = (keys >> np.uint64(8 * DEPTH)).astype(np.int64)[:, None]
+        levels = [(self.one[last, decision], self.own[last, decision]), (self.root_one[decision], self.root_own[decision])]
+        if split:
+            pair = np.searchsorted(self.pairs, (keys >> np.uint64(PAIR_SHIFT)).astype(np.int64))[:, None]
+            levels.insert(0, (self.pair_one[pair, decision], self.pair_own[pair, decision]))
         chance = below
-        for one, own in ((self.one[last, decision], self.own[last, decision]), (self.root_one[decision], self.root_own[decision])):
+        for one, own in levels:
             chance = own * np.where(bits, one, 1 - one) + (1 - own) * chance
         return np.log10(chance).sum(axis=1)
 
 
+# ------------------------------------------------- rows between blocks and units
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers as bytes: all first bytes, then all second ones, and so on, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1) if len(values) else b""
+
+
+def opened(stored: bytes, kind: str) -> np.ndarray:
+    if not stored:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(zstandard.decompress(stored), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys of one pair: the gaps between what they hold below it."""
+    low = (keys & np.uint64((1 << PAIR_SHIFT) - 1)).astype(np.uint32)
+    return squeezed(np.diff(low, prepend=np.uint32(0)))
+
+
+def unpacked_keys(pair: int, stored: bytes) -> np.ndarray:
+    return (np.uint64(pair) << np.uint64(PAIR_SHIFT)) | np.cumsum(opened(stored, "<u4").astype(np.uint64))
+
+
+def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each run of equal neighbours."""
+    begins = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, int)
+    return zip(begins.tolist(), [*begins[1:].tolist(), len(values)])
+
+
 def _parts(column: pa.ChunkedArray, rows: int = 1 << 30) -> Iterator[tuple[int, int, list[bytes]]]:
     """Row ranges of about a megabyte and their texts, made one after another."""
     sizes = pc.fill_null(pc.binary_length(column.cast(pa.large_binary())), 0).to_pylist()
@@ -189,13 +243,17 @@ def _requests(table: pa.Table) -> pa.RecordBatch:
     words.update({word: 0 for word in others if word not in words})
     words[END_TOKEN.encode()] = int(learn.sum())
     found, n = counted(np.concatenate(keys), np.concatenate(counts))
-    size = len(found) + len(words)
+    spans = list(runs(found >> np.uint64(PAIR_SHIFT)))
+    block, size = table.column("block")[0].as_py(), len(spans) + len(words)
+    rows = len(spans)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(size, table.column("block")[0].as_py(), np.int64)),
-        pa.array(np.r_[found.astype(np.int64), np.zeros(len(words), np.int64)], mask=np.r_[np.zeros(len(found), bool), np.ones(len(words), bool)]),
-        pa.concat_arrays([pa.nulls(len(found), pa.binary()), pa.array(list(words), pa.binary())]),
-        pa.array(np.r_[n, np.fromiter(words.values(), np.int64, len(words))]),
-    ], names=["block", "gram", "word", "n"])
+        pa.array(np.full(size, block, np.int64)),
+        pa.array([int(found[a]) >> PAIR_SHIFT for a, _ in spans] + [None] * len(words), pa.int32()),
+        pa.array(np.r_[np.array([b - a for a, b in spans], np.int64), np.fromiter(words.values(), np.int64, len(words))]),
+        pa.concat_arrays([pa.array([packed_keys(found[a:b]) for a, b in spans], pa.binary()), pa.nulls(len(words), pa.binary())]),
+        pa.concat_arrays([pa.array([squeezed(n[a:b].astype("<u4")) for a, b in spans], pa.binary()), pa.nulls(len(words), pa.binary())]),
+        pa.concat_arrays([pa.nulls(rows, pa.binary()), pa.array(list(words), pa.binary())]),
+    ], names=["block", "pair", "n", "grams", "counts", "word"])
 
 
 def _ask(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,18 +261,109 @@ def _ask(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table, starts in whole_groups(blocks, ["block"], 1):
         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
             made = _requests(table.slice(a, b - a))
-            for begin in range(0, made.num_rows, 1 << 16):
-                yield made.slice(begin, 1 << 16)
+            for begin in range(0, made.num_rows, 1 << 13):
+                yield made.slice(begin, 1 << 13)
+
+
+def _in_units(split_pairs: set[int]):
+    """Rows of pairs that are split become a row for each third byte."""
+    def units(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in blocks:
+            made: list[tuple] = []
+            for block, pair, grams, counts in zip(*(rows.column(c).to_pylist() for c in ("block", "pair", "grams", "counts"))):
+                if pair not in split_pairs:
+                    made.append((block, pair, WHOLE_PAIR, grams, counts))
+                    continue
+                keys, n = unpacked_keys(pair, grams), opened(counts, "<u4")
+                third = (keys >> np.uint64(THIRD_SHIFT)).astype(np.int64) & 0xFF
+                made += [(block, pair, int(third[a]), packed_keys(keys[a:b]), squeezed(n[a:b])) for a, b in runs(third)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(zip(*made) if made else [()] * 5, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))],
+                names=["block", "pair", "third", "grams", "counts"])
+
+    return units
+
+
+UNITS = "block long, pair int, third int, grams binary, counts binary"
+MERGED = "pair int, third int, grams binary, counts binary, node array<long>, zeros array<double>, ones array<double>, below array<double>"
+
+
+def _merge_unit(pair: int, third: int, keys: np.ndarray, counts: np.ndarray, last: bool) -> pa.RecordBatch:
+    """A unit's counts over all its blocks and, at the last merge, the sums of its topmost level."""
+    node, sums = np.zeros(0, np.int64), [np.zeros(0)] * 3
+    if last:
+        level = shard_levels(keys, counts, 2 if third == WHOLE_PAIR else 3)[0]
+        decision = (level.nodes & np.uint64(0xFF)).astype(np.int64)
+        upper = pair >> 8 if third == WHOLE_PAIR else pair
+        node, at = np.unique((upper << 8) + decision, return_inverse=True)
+        sums = [np.bincount(at, weights=x, minlength=len(node)) for x in (level.zeros, level.ones, level.weighted)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([pair], pa.int32()), pa.array([third], pa.int32()), pa.array([packed_keys(keys)], pa.binary()),
+         pa.array([squeezed(counts.astype("<u8"))], pa.binary()), pa.array([node], pa.list_(pa.int64())),
+         *(pa.array([x], pa.list_(pa.float64())) for x in sums)], names=[c.split()[0] for c in MERGED.split(", ")])
+
+
+def _merge(kind: str, last: bool):
+    """Counts of sorted rows, unit by unit; a unit's rows are merged as they come."""
+    def merge(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, keys, counts, pending = None, [], [], 0
+        for rows in blocks:
+            for pair, third, grams, n in zip(*(rows.column(c).to_pylist() for c in ("pair", "third", "grams", "counts"))):
+                if unit is not None and unit != (pair, third):
+                    yield _merge_unit(*unit, *counted(np.concatenate(keys), np.concatenate(counts)), last)
+                    keys, counts, pending = [], [], 0
+                unit = (pair, third)
+                keys.append(unpacked_keys(pair, grams))
+                counts.append(opened(n, kind).astype(np.int64))
+                pending += len(keys[-1])
+                if pending > PENDING_GRAMS:
+                    key, count = counted(np.concatenate(keys), np.concatenate(counts))
+                    keys, counts, pending = [key], [count], 0
+        if unit is not None:
+            yield _merge_unit(*unit, *counted(np.concatenate(keys), np.concatenate(counts)), last)
+
+    return merge
+
+
+ANSWERS = "block long, pair int, grams binary, value binary"
+
+
+def _answer(roots: Roots):
+    """Rows of blocks, each after the merged row of its unit, with the log probabilities of the strings they ask for."""
+    def answer(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values = np.zeros(0, np.uint64), np.zeros(0)
+        for rows in blocks:
+            made: list[tuple] = []
+            for block, pair, third, grams, n in zip(*(rows.column(c).to_pylist() for c in ("block", "pair", "third", "grams", "counts"))):
+                asked = unpacked_keys(pair, grams)
+                if block is None:
+                    split = third != WHOLE_PAIR
+                    levels = shard_levels(asked, opened(n, "<u8").astype(np.int64), 3 if split else 2)
+                    keys, values = asked, roots.log10(asked, chances_below(levels), split)
+                else:
+                    made.append((block, pair, grams, squeezed(values[np.searchsorted(keys, asked)])))
+            if made:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(zip(*made), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+                    names=["block", "pair", "grams", "value"])
+
+    return answer
 
 
 def _score_block(docs: pa.Table, answers: pa.Table, total: int, distinct: int, schema: pa.Schema) -> pa.Table:
-    words, value = answers.column("word"), answers.column("value").to_numpy()
-    is_gram = answers.column("gram").is_valid().to_numpy()
-    known = answers.column("gram").filter(pa.array(is_gram)).to_numpy().astype(np.uint64)
-    known, first = np.unique(known, return_index=True)  # a block that two tasks share has some twice
-    logs = value[is_gram][first]
-    number = {w: i for i, w in enumerate(words.filter(pa.array(~is_gram)).to_pylist())}
-    counts = value[~is_gram]
+    rows = [answers.column(c).to_pylist() for c in ("pair", "grams", "value", "word", "n")]
+    keys, logs = [np.zeros(0, np.uint64)], [np.zeros(0)]
+    number: dict[bytes, int] = {}
+    counts: list[int] = []
+    for pair, packed, value, word, n in zip(*rows):
+        if word is None:
+            keys.append(unpacked_keys(pair, packed))
+            logs.append(opened(value, "<f8"))
+        elif word not in number:
+            number[word] = len(counts)
+            counts.append(n)
+    known, first = np.unique(np.concatenate(keys), return_index=True)  # a block that two tasks share has some twice
+    logs, counts = np.concatenate(logs)[first], np.array(counts, np.int64)
     log_word = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
     end = number[END_TOKEN.encode()] if number else -1
     n = docs.num_rows
@@ -246,13 +395,14 @@ def score(
     text_column: str = "text",
     stored: bool = False,
     block_bytes: int = 24 << 20,
-    shard_rows: int = 100_000,
+    split_rows: int = 500_000,
 ) -> DataFrame:
     """One row per document, learning from those for which ``held_out`` (of the id column) is false.
 
     Columns: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of
     the text with its end mark) and bits_per_byte (its code length). With ``stored``, ``docs`` is a table
-    as it was read from files, which is read twice; otherwise a copy is stored first.
+    as it was read from files, which is read twice; otherwise a copy is stored first. Pairs of context
+    bytes that blocks ask for with more than ``split_rows`` strings in all are split by the third byte.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -266,33 +416,41 @@ def score(
     # Rows lie in a block by their place in the files, so that asking needs no shuffle of texts.
     block = F.xxhash64("_place.file_path", F.floor(F.col("_place.row_index") / rows))
     dealt = given.withColumn("block", block).drop("_place")
-    asked = materialize(dealt.select("text", "learn", "block").mapInArrow(_ask, "block long, gram long, word binary, n long"), "pedidos")
+    asked = materialize(dealt.select("text", "learn", "block").mapInArrow(
+        _ask, "block long, pair int, n long, grams binary, counts binary, word binary"), "pedidos")
 
-    words = materialize(asked.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "palavras")
+    asked_words = asked.where("word is not null")
+    words = materialize(asked_words.groupBy("word").agg(F.sum("n").alias("n")), "palavras")
     total, distinct = words.agg(F.sum("n"), F.sum((F.col("n") > 0).cast("long"))).first()
     total, distinct = total or 0, distinct or 0
-    trained = materialize(asked.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "contextos")
-    shards = max(1, trained.count() // shard_rows)
-    trained = trained.withColumn("shard", F.pmod(F.xxhash64(F.shiftright("gram", 8 * (DEPTH - 1))), F.lit(shards)))
-
-    def tops(table: pa.Table) -> pa.Table:
-        level = shard_levels(*_sorted(table), 2)[0]
-        return pa.table({"node": (level.nodes >> np.uint64(16) << np.uint64(8) | level.nodes & np.uint64(0xFF)).astype(np.int64),
-                         "zeros": level.zeros, "ones": level.ones, "below": level.weighted})
-
-    summed = trained.groupBy("shard").applyInArrow(tops, "node long, zeros double, ones double, below double").groupBy("node").agg(
-        *(F.sum(c).alias(c) for c in ("zeros", "ones", "below"))).toArrow()  # at most 256 * 256 nodes
-    roots = Roots(*(summed.column(c).to_numpy() for c in ("node", "zeros", "ones", "below")))
-
-    def weigh(table: pa.Table) -> pa.Table:
-        keys, counts = _sorted(table)
-        return pa.table({"gram": keys.astype(np.int64), "value": roots.log10(keys, chances_below(shard_levels(keys, counts, 2)))})
-
-    model = materialize(trained.groupBy("shard").applyInArrow(weigh, "gram long, value double"), "modelo")
-    of_grams = asked.where("gram is not null").select("block", "gram").join(model, "gram").select(
-        "block", "gram", F.lit(None).cast("binary").alias("word"), "value")
-    of_words = asked.where("word is not null").select("block", "word").join(words, "word").select(
-        "block", F.lit(None).cast("long").alias("gram"), "word", F.col("n").cast("double").alias("value"))
+
+    asked_grams = asked.where("word is null")
+    of_pairs = asked_grams.groupBy("pair").agg(F.sum("n").alias("n"), F.count_distinct("block").alias("blocks")).collect()  # 65,536 at most
+    tasks = max(1, sum(r["n"] for r in of_pairs) // TASK_GRAMS)
+    lots = max(1, -(-max((r["blocks"] for r in of_pairs), default=1) // LOT_BLOCKS))
+    units = asked_grams.select("block", "pair", "grams", "counts").mapInArrow(_in_units({r["pair"] for r in of_pairs if r["n"] > split_rows}), UNITS)
+    units = units.withColumn("lot", F.pmod(F.xxhash64("block"), F.lit(lots)))
+
+    def in_order(rows: DataFrame, *keys: str) -> DataFrame:
+        """Units as neighbours, each in one task; ``lot`` deals the blocks that ask for one among several."""
+        return rows.repartition(tasks, *keys).sortWithinPartitions(*keys, F.col("block").asc_nulls_first())
+
+    merged, counts_kind = units, "<u4"
+    if lots > 1:
+        merged = materialize(in_order(merged, "pair", "third", "lot").mapInArrow(_merge(counts_kind, False), MERGED), "somas")
+        merged, counts_kind = merged.select(F.lit(None).cast("long").alias("block"), "pair", "third", "grams", "counts"), "<u8"
+    model = materialize(in_order(merged, "pair", "third").mapInArrow(_merge(counts_kind, True), MERGED), "modelo")
+    nodes = model.select((F.col("third") != WHOLE_PAIR).alias("split"), F.explode(F.arrays_zip("node", "zeros", "ones", "below")).alias("_n"))
+    summed = nodes.groupBy("split", F.col("_n.node").alias("node")).agg(
+        *(F.sum(f"_n.{c}").alias(c) for c in ("zeros", "ones", "below"))).toArrow()  # at most 256 * 256 nodes, and 256 for each split pair
+    roots = Roots(*(summed.column(c).to_numpy() for c in ("node", "split", "zeros", "ones", "below")))
+
+    each_lot = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long"))).alias("lot")
+    weighted = model.select(F.lit(None).cast("long").alias("block"), "pair", "third", "grams", "counts", each_lot)
+    of_grams = in_order(weighted.unionByName(units), "pair", "third", "lot").mapInArrow(_answer(roots), ANSWERS).select(
+        "block", "pair", "grams", "value", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("n"))
+    of_words = asked_words.select("block", "word").join(words, "word").select(
+        "block", F.lit(None).cast("int").alias("pair"), F.lit(None).cast("binary").alias("grams"), F.lit(None).cast("binary").alias("value"), "word", "n")
     kind = docs.schema[id_column].dataType
     out = T.StructType([T.StructField("id", kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in (
         "n_tokens", "n_known", "train_tokens")), *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score", "bits_per_byte"))])
@@ -305,9 +463,3 @@ def score(
 
     scored = dealt.drop("learn").groupBy("block").cogroup(of_grams.unionByName(of_words).groupBy("block")).applyInArrow(finish, out)
     return scored.withColumnRenamed("id", id_column)
-
-
-def _sorted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = table.column("gram").to_numpy().astype(np.uint64), table.column("n").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], counts[order]

@@ -378,9 +378,12 @@ def test_log_gamma():
     assert np.allclose(ctw.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-13, atol=1e-11)
 
 
-def test_op3_scores(spark, docs, odd):
+@pytest.mark.parametrize("settings", [{}, {"split_rows": 200}, {"split_rows": 1, "LOT_BLOCKS": 2, "TASK_GRAMS": 5000, "PENDING_GRAMS": 100}])
+def test_op3_scores(spark, docs, odd, settings, monkeypatch):
+    for name in ("LOT_BLOCKS", "TASK_GRAMS", "PENDING_GRAMS"):
+        monkeypatch.setattr(ctw, name, settings.get(name, getattr(ctw, name)))
     some = docs.where("n_chars < 700").limit(60).unionByName(odd.where("doc_id >= 900001 and doc_id <> 900005").select(docs.columns))
-    rows = ctw.score(some, queries.id_remainder("doc_id", 10) == 0, block_bytes=4000).collect()
+    rows = ctw.score(some, queries.id_remainder("doc_id", 10) == 0, block_bytes=4000, split_rows=settings.get("split_rows", 500_000)).collect()
     given = [(r.doc_id, (r.text or "").encode()) for r in some.collect()]
     training = [t for k, t in given if crc(k, 10)]
     counts = Counter(w for t in training for w in [*t.lower().split(), b" "])
@@ -397,6 +400,26 @@ def test_op3_scores(spark, docs, odd):
         assert math.isclose(r.score, brute_score(text_of[r.doc_id], model, ctw.DEPTH), rel_tol=1e-9, abs_tol=1e-7)
 
 
+def test_a_dominating_context_is_split_and_changes_no_score(spark):
+    """Most of the text ends in one pair of bytes; its unit is cut by the third."""
+    rows = [(i, "the the the the then " * 20 + f"x{i}the the" * (i % 3)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held_out = F.col("doc_id") % 5 == 0
+    whole = {r.doc_id: r.score for r in ctw.score(docs, held_out, block_bytes=3000, split_rows=1 << 40).collect()}
+    split = {r.doc_id: r.score for r in ctw.score(docs, held_out, block_bytes=3000, split_rows=20).collect()}
+    assert whole.keys() == split.keys() and all(math.isclose(whole[i], split[i], rel_tol=1e-11) for i in whole)
+
+
+def test_squeezed_numbers_open_again():
+    rng = np.random.default_rng(1)
+    for kind in ("<u4", "<u8", "<f8"):
+        values = rng.integers(0, 1 << 31, 1000).astype(kind)
+        assert np.array_equal(ctw.opened(ctw.squeezed(values), kind), values)
+        assert len(ctw.opened(ctw.squeezed(values[:0]), kind)) == 0
+    keys = np.unique(rng.integers(0, 1 << 32, 500).astype(np.uint64)) + (np.uint64(77) << np.uint64(ctw.PAIR_SHIFT))
+    assert np.array_equal(ctw.unpacked_keys(77, ctw.packed_keys(keys)), keys)
+
+
 def test_scores_without_rows_and_without_training(spark, empty, docs):
     assert ctw.score(empty, F.lit(False)).count() == 0
     (row,) = ctw.score(docs.limit(1), F.lit(True)).collect()
