@@ -1,16 +1,18 @@
 """Nearest vectors by inner product over randomly rotated one-bit codes.
 
 Every vector is stored with the signs of its randomly rotated direction, packed 64 to a word,
-its length and the correction scalar <code, direction>. The product of a turned query with a code,
-divided by the scalar, estimates the product with the vector without bias, with an error bound
-that holds with high probability. Vectors whose upper
+its length and the correction scalar <code, direction>. A turned query is rounded to a few bits, whose
+planes lie packed as well, so that its product with a code is a sum of bit counts of words. Divided by the
+scalar it estimates the product with the vector, with an error bound that holds with high
+probability; what the rounding adds to it is known exactly. Vectors whose upper
 bound reaches the k-th best score known so far are reranked on the original vectors.
 
 Queries meet all vectors in blocks of bounded size; each block returns at most k rows a query.
 
 Cases: null, empty, zero and non-finite vectors and null ids take no part, neither as query nor as
 candidate; vectors of different lengths are not compared; rows that share the query's id are the
-query's own; ties go to the smaller id; fewer than k candidates are all returned; extra columns
+query's own; rows that repeat a query's id and vector ask once, different vectors under one id ask
+and are ranked each on its own; a candidate id on several rows is as many candidates; ties go to the smaller id; fewer than k candidates are all returned; extra columns
 are ignored; an empty table gives no rows.
 """
 
@@ -25,7 +27,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from cascata.llm.arrays import ragged, usable, vectors_of
 from cascata.session import materialize, ship_package
 
-QUERIES_AT_ONCE = 64
+QUERIES_AT_ONCE = 16
+#: Bits that the numbers of a turned query are rounded to.
+QUERY_BITS = 6
 
 
 def rotation(dimension: int, seed: int = 11) -> np.ndarray:
@@ -54,16 +58,30 @@ class Codes:
     """A block of coded vectors that estimates its products with queries."""
 
     def __init__(self, words: np.ndarray, lengths: np.ndarray, scalars: np.ndarray, dimension: int, certainty: float) -> None:
-        bits = np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1, bitorder="little")[:, :dimension]
-        self.signs = (2 * bits.astype(np.float32) - 1).T / np.float32(np.sqrt(dimension))
-        self.scale = (lengths / scalars).astype(np.float32)
+        self.words, self.dimension = np.ascontiguousarray(words), dimension
+        self.ones = np.bitwise_count(self.words).sum(axis=1, dtype=np.int32)
+        self.scale = (lengths / scalars / np.sqrt(dimension)).astype(np.float32)
         spread = np.sqrt(np.maximum(0.0, 1 - scalars**2)) / scalars
         self.slack = (lengths * spread * certainty / np.sqrt(max(1, dimension - 1)) + 1e-5 * lengths).astype(np.float32)
         self.turn = rotation(dimension)
 
-    def estimates(self, queries: np.ndarray) -> np.ndarray:
-        """Estimated product of every query with every vector; the true one may lie ``slack`` times the query's length above."""
-        return ((queries @ self.turn).astype(np.float32) @ self.signs) * self.scale
+    def estimates(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated product of every query with every vector, and by how much the true one may lie above it."""
+        turned = queries @ self.turn
+        low = turned.min(axis=1, keepdims=True)
+        step = np.maximum((turned.max(axis=1, keepdims=True) - low) / ((1 << QUERY_BITS) - 1), 1e-300)
+        levels = np.rint((turned - low) / step).astype(np.int64)
+        rounded = low + step * levels
+        summed = np.zeros((len(queries), len(self.words)), np.int32)
+        for bit in range(QUERY_BITS):
+            plane = pack_words((levels >> bit & 1).astype(bool))
+            for word in range(self.words.shape[1]):
+                summed += np.bitwise_count(self.words[None, :, word] & plane[:, word, None]).astype(np.int32) << bit
+        positive = low * self.ones[None, :] + step * summed  # what the set bits add up to; the others count against it
+        products = (2 * positive - rounded.sum(axis=1, keepdims=True)).astype(np.float32) * self.scale
+        missed = np.linalg.norm(turned - rounded, axis=1) * np.sqrt(self.dimension)
+        above = np.linalg.norm(queries, axis=1)[:, None].astype(np.float32) * self.slack + missed[:, None].astype(np.float32) * self.scale
+        return products, above
 
 
 def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, codes: Codes, k: int):
@@ -72,7 +90,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     rough, norms = vectors.astype(np.float32), np.linalg.norm(vectors, axis=1).astype(np.float32)
     for number, query in enumerate(queries):
         if number % QUERIES_AT_ONCE == 0:
-            estimates = codes.estimates(queries[number : number + QUERIES_AT_ONCE])
+            estimates, above = codes.estimates(queries[number : number + QUERIES_AT_ONCE])
         estimate = estimates[number % QUERIES_AT_ONCE]
         length = np.linalg.norm(query)
         own = np.flatnonzero(ids == query_ids[number])
@@ -82,7 +100,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
             sure = np.argpartition(estimate, -k)[-k:]
             products = rough[sure] @ query.astype(np.float32)
             products[np.isin(sure, own)] = -np.inf
-            mask = estimate + np.float32(length) * codes.slack >= products.min()
+            mask = estimate + above[number % QUERIES_AT_ONCE] >= products.min()
             mask[sure] = True
         mask[own] = False
         chosen = np.flatnonzero(mask)
@@ -140,7 +158,7 @@ def nearest(
     error bound: fewer true neighbours are missed and more vectors are reranked.
     """
     coded = materialize(index(vectors, id_column, vector_column), "codigos")
-    asked = coded.where(is_query)
+    asked = coded.where(is_query).select("id", "size", "vector").dropDuplicates(["id", "vector"]).withColumn("asked", F.xxhash64("vector"))
     n, m = coded.count(), asked.count()
     row_blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-m // block_queries))
 
@@ -148,11 +166,11 @@ def nearest(
         return rows.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
-    left = dealt(asked.select("id", "size", "vector"), "qb", query_blocks, "rb", row_blocks)
+    left = dealt(asked, "qb", query_blocks, "rb", row_blocks)
     right = dealt(coded, "rb", row_blocks, "qb", query_blocks)
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        out = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
+        out = pa.schema([("query_id", pa.int64()), ("asked", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
         if not queries.num_rows or not rows.num_rows:
             return out.empty_table()
         size = rows.column("size")[0].as_py()
@@ -161,10 +179,10 @@ def nearest(
         codes = Codes(words, rows.column("norm").to_numpy(), rows.column("scalar").to_numpy(), size, certainty)
         query_ids, ids = queries.column("id").to_numpy(), rows.column("id").to_numpy()
         q, r, score = search_block(asked_rows, query_ids, held, ids, codes, k)
-        return pa.table([pa.array(query_ids[q]), pa.array(ids[r]), pa.array(score)], schema=out)
+        return pa.table([pa.array(query_ids[q]), pa.array(queries.column("asked").to_numpy()[q]), pa.array(ids[r]), pa.array(score)], schema=out)
 
     keys = ["size", "qb", "rb"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id long, asked long, id long, score double")
+    order = Window.partitionBy("query_id", "asked").orderBy(F.desc("score"), "id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.col("id").alias(id_column), "score")

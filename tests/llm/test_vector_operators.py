@@ -144,8 +144,38 @@ def test_bounds_hold_and_estimates_are_close():
     vectors = rng.normal(size=(500, 128))
     codes = ann.Codes(*ann.encode(vectors), 128, 3.0)
     query = rng.normal(size=128)
-    gap = np.abs(codes.estimates(query[None])[0] - vectors @ query)
-    assert (gap <= np.linalg.norm(query) * codes.slack).mean() > 0.98
+    (estimate,), (above,) = codes.estimates(query[None])
+    assert (np.abs(estimate - vectors @ query) <= above).mean() > 0.98
+    # the products with rounded queries are those of the unpacked signs, and the rounding is small beside the rest
+    turned = query @ ann.rotation(128)
+    signs = np.where((vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ ann.rotation(128) > 0, 1.0, -1.0)
+    assert np.abs(estimate - (signs @ turned) * codes.scale).max() <= (above - np.linalg.norm(query) * codes.slack).max()
+    assert (above < 1.25 * np.linalg.norm(query) * codes.slack).all()
+
+
+def test_a_query_on_several_rows_has_the_neighbours_of_one(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(120, 16)))]
+    once = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 60 == 0, 10, block_rows=40)
+    again = rows + [rows[0], rows[60], rows[60], rows[60]]
+    twice = ann.nearest(spark.createDataFrame(again, "vec_id long, embedding array<double>"), F.col("id") % 60 == 0, 10, block_rows=40)
+    ranked = {(r.query_id, r["rank"]): r.vec_id for r in once.collect()}
+    seen = [(r.query_id, r["rank"]) for r in twice.collect()]
+    assert len(seen) == len(set(seen)) == 20
+    # an id with two vectors asks twice, and each is ranked on its own
+    other = rng.normal(size=16).tolist()
+    both = ann.nearest(spark.createDataFrame([*rows, (60, other)], "vec_id long, embedding array<double>"), F.col("id") == 60, 10, certainty=4.0).collect()
+    assert sorted(r["rank"] for r in both) == sorted([*range(1, 11)] * 2)
+    assert {r.vec_id for r in both} >= {v for (q, _), v in ranked.items() if q == 60}
+
+
+def test_vectors_with_names_that_clash(spark):
+    rng = np.random.default_rng(6)
+    names = "vec_id long, embedding array<double>, id string, size string, vector string, words string, norm string, scalar string, query_id string, score string, component_id string, kept string, asked string"
+    rows = [(k, v.tolist(), *["x"] * 11) for k, v in enumerate(rng.normal(size=(40, 8)))]
+    table = spark.createDataFrame(rows, names)
+    assert ann.nearest(table, F.col("id") % 20 == 0, 5).count() == 10
+    assert cap_filters.near_duplicates(table).count() == 40
 
 
 def test_empty_tables(vectors):
