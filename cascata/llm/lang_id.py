@@ -72,17 +72,18 @@ def document_frequencies(docs: DataFrame, text_column: str, ngrams: Ngrams) -> t
 
 
 def sampled(rows: DataFrame, group: str, id_column: str, most: int, in_all: int = 20_000) -> DataFrame:
-    """About ``most`` rows of each group at most, ``in_all`` in all, by a hash of the id.
+    """About ``most`` rows of each group at most, ``in_all`` in all, by a hash of the id; one row of each id.
 
     Ids are chosen before the other columns are read: each group is dealt into 64 parts by the hash,
     and each part gives its first rows, which Spark limits before the shuffle. The chosen ids are
-    bounded by ``in_all`` and so can be broadcast.
+    bounded by ``in_all`` and so can be broadcast. However many rows share an id, one of them is kept, within
+    each task before the shuffle; an id on very many rows costs its part of the 64 some of its places.
     """
     order = Window.partitionBy(group, "_part").orderBy("_h", id_column)
     hashed = rows.where(F.col(id_column).isNotNull()).select(id_column, group, F.xxhash64(id_column, F.lit(5)).alias("_h"))
     placed = hashed.withColumn("_part", F.pmod("_h", F.lit(64))).withColumn("_place", F.row_number().over(order))
     chosen = placed.where(F.col("_place") <= -(-most // 64)).orderBy("_place", "_h", id_column).limit(in_all).select(id_column).distinct()
-    return rows.join(F.broadcast(chosen), id_column, "left_semi")
+    return rows.join(F.broadcast(chosen), id_column, "left_semi").dropDuplicates([id_column])
 
 
 def sparse_rows(rows: DataFrame, text_column: str, target_column: str, ngrams: Ngrams) -> pa.Table:

@@ -199,19 +199,20 @@ class QualityModel:
         return self.weak.posterior(signals.votes()), np.where(blank, 0.0, 1 / (1 + np.exp(-np.clip(total, -50, 50))))
 
 
-def _sample(rows: DataFrame, text_column: str) -> pa.Table:
+def _sample(rows: DataFrame, id_column: str, text_column: str) -> pa.Table:
     """Vote pattern, features and values of a bounded sample, brought to the driver."""
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
             for a, b, texts in text_parts(block, 0):
-                owner, feature, value = vectors(texts, Signals.of(texts))
+                signals = Signals.of(texts)
+                owner, feature, value = vectors(texts, signals)
                 order = np.argsort(owner, kind="stable")
                 offsets = pa.array(np.searchsorted(owner[order], np.arange(b - a + 1)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (feature[order].astype(np.int32), value[order])]
-                yield pa.RecordBatch.from_arrays([block.column(1).slice(a, b - a), *lists], names=["pattern", "features", "values"])
+                yield pa.RecordBatch.from_arrays([pa.array(patterns(signals.votes())), *lists], names=["pattern", "features", "values"])
 
-    return rows.select(text_column, "pattern").mapInArrow(run, "pattern long, features array<int>, values array<double>").toArrow()
+    return rows.dropDuplicates([id_column]).select(text_column).mapInArrow(run, "pattern long, features array<int>, values array<double>").toArrow()
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", per_pattern: int = 400, most: int = 6000) -> QualityModel:
@@ -231,7 +232,8 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", p
     pattern, count = counted.column("pattern").to_numpy(), counted.column("count").to_numpy()
     weak = estimate(votes_of(pattern), count.astype(float)) if len(pattern) else WeakLabels(0.5, np.full((2, len(LABELLERS), 2), 0.5))
     chosen = sampled(voted, "pattern", id_column, per_pattern, most)
-    sample = _sample(given.join(F.broadcast(chosen), id_column), text_column)  # at most ``most`` rows
+    chosen = F.broadcast(chosen.select(id_column))
+    sample = _sample(given.join(chosen, id_column, "left_semi"), id_column, text_column)  # a row of each of at most ``most`` ids
     features, values = lists_of(sample.column("features")), lists_of(sample.column("values"))
     # Rows arrive in any order; sorted by their content, the same sample gives the same weights.
     order = sorted(range(len(features)), key=lambda i: (len(features[i]), features[i].tobytes(), values[i].tobytes()))

@@ -139,16 +139,18 @@ def fit(
     most_features: int = 1 << 16,
     least_strength: float = 4.0,
 ) -> SeverityModel:
-    """Learn from the texts of at most ``per_label`` rows of either label, chosen by a hash of the id.
+    """Learn from the texts of at most ``per_label`` ids of either label, chosen by a hash of the id.
 
-    Only ids and labels are looked at for that; the chosen ones are broadcast, so that no text but
-    theirs is shuffled.
+    Only ids and labels are looked at for that, of documents that have a text; the chosen ones are
+    broadcast, so that no text but theirs is shuffled. One text of each id counts.
     """
     ship_package(docs.sparkSession)
     marks = labels.where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).groupBy(id_column).agg(
         (F.max(F.col(label_column).cast("int")) > 0).cast("int").alias("_toxic"))
+    given = docs.select(id_column, text_column).where(F.col(text_column).isNotNull())
+    marks = marks.join(given.select(id_column).distinct(), id_column, "left_semi")
     ids = F.broadcast(sampled(marks, "_toxic", id_column, per_label))  # about twice per_label at most
-    labelled = docs.select(id_column, text_column).where(F.col(text_column).isNotNull()).join(ids, id_column)
+    labelled = given.join(ids, id_column).dropDuplicates([id_column])
     labelled = materialize(labelled.select(text_column, "_toxic").repartition(8), "rotulados")
     counts, rows = label_counts(labelled)
     place = np.zeros(PARTS.size, np.int32)

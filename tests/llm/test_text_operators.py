@@ -434,6 +434,79 @@ def test_op4_finds_the_labelled_quality(spark, docs):
     assert queries.op4_quality(spark, SF).count() == docs.count()
 
 
+def test_an_id_on_a_third_of_the_rows_counts_once_in_a_sample(spark, docs):
+    known = docs.where("lang is not null and text is not null").select("doc_id", "text", "lang")
+    hot = known.limit(1).withColumn("doc_id", F.lit(5_000_000).cast("long")).withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(100)))).drop("_")
+    both = known.unionByName(hot)
+    rows = lang_id.sampled(both, "lang", "doc_id", 1500).collect()
+    assert len(rows) == len({r.doc_id for r in rows}) <= known.count() + 1
+    model = quality.fit(both)
+    assert np.allclose(model.weights, quality.fit(both).weights) and 0 < model.weak.prior < 1
+
+
+def test_labels_without_a_document_take_no_place_in_the_sample(spark):
+    rng = random.Random(7)
+    rows = [(k, " ".join(rng.choices(["river", "house", "green"], k=30)) + (" idiot moron" if k % 4 == 0 else "")) for k in range(400)]
+    docs = spark.createDataFrame([*rows, *[(0, rows[0][1])] * 200], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k, _ in rows] + [(k, k % 2) for k in range(10_000, 60_000)], "doc_id long, toxic int")
+    found = {r.doc_id: r.toxic for r in toxicity.grade(docs, toxicity.fit(docs, labels, per_label=200, least_strength=2.0)).collect()}
+    assert sum(found[k] == (k % 4 == 0) for k, _ in rows) > 390
+
+
+def test_ordinal_gradient_is_that_of_finite_differences():
+    """One step of training moves the parameters against the slope that finite differences give."""
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.integers(0, 6, rng.integers(0, 5))) for _ in range(60)]
+    grades = rng.integers(0, 3, 60)
+
+    def loss(weights, thresholds):
+        total = np.array([weights[r].sum() for r in rows])
+        upto = np.concatenate([np.ones((60, 1)), 1 / (1 + np.exp(-(total[:, None] - thresholds))), np.zeros((60, 1))], axis=1)
+        return -np.log(upto[np.arange(60), grades] - upto[np.arange(60), grades + 1]).mean()
+
+    weights, thresholds = toxicity.train_ordinal(rows, grades, 6, 3, ridge=0.0, steps=3000, rate=0.05)
+    least = loss(weights, thresholds)
+    for i in range(6):
+        for step in (1e-3, -1e-3):
+            moved = weights.copy()
+            moved[i] += step
+            assert moved[i] < 0 or loss(moved, thresholds) > least - 1e-6
+    for i in range(2):
+        for step in (1e-3, -1e-3):
+            moved = thresholds.copy()
+            moved[i] += step
+            assert loss(weights, moved) > least - 1e-6
+    assert thresholds[0] < thresholds[1]
+
+
+def test_ftrl_against_a_loop_over_coordinates():
+    from cascata.llm.features import softmax, train_ftrl
+
+    rng = np.random.default_rng(4)
+    rows = [(f := np.unique(rng.integers(0, 12, 5)), rng.random(len(f)) + 0.1) for _ in range(40)]
+    targets = np.eye(3)[rng.integers(0, 3, 40)]
+    made = train_ftrl(rows, targets, 12, rate=0.5, smooth=1.0, lasso=0.05, ridge=0.02, passes=2)
+    z, n = [[0.0] * 3 for _ in range(12)], [[0.0] * 3 for _ in range(12)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= 0.05:
+            return 0.0
+        return (math.copysign(0.05, z[i][c]) - z[i][c]) / ((1.0 + math.sqrt(n[i][c])) / 0.5 + 0.02)
+
+    order = np.random.default_rng(3)
+    for _ in range(2):
+        for k in order.permutation(40):
+            features, values = rows[k]
+            held = [[weight(i, c) for c in range(3)] for i in features]
+            chance = softmax(np.array([sum(v * w[c] for v, w in zip(values, held)) for c in range(3)]))
+            for j, (i, v) in enumerate(zip(features, values)):
+                for c in range(3):
+                    g = v * (chance[c] - targets[k][c])
+                    z[i][c] += g - (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / 0.5 * held[j][c]
+                    n[i][c] += g * g
+    assert np.allclose(made, [[weight(i, c) for c in range(3)] for i in range(12)], atol=1e-12)
+
+
 def test_weak_labels_recover_accuracies():
     rng = np.random.default_rng(1)
     truth = rng.random(20_000) < 0.8
