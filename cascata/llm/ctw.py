@@ -12,7 +12,7 @@ often is split by its third byte into units of their own. Per unit the counts of
 merged one after another, and its trees weighted up to the level of the pair (or third byte); sums over the
 levels above meet on the driver (at most 65,536 nodes, and 255 more for each split pair). Then the
 same rows pass by the weighted unit again, and each goes back to its block with the answers in
-the order asked. Words are counted and answered as rows.
+the order asked. Words go the same way, in shards by their checksum.
 
 Cases: a null text counts as empty and is scored as such (the end mark alone); a row with a null
 id is scored and never learnt from; repeated rows count and are scored each; with nothing to learn
@@ -22,7 +22,8 @@ rows; of the other columns only the id is carried.
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,8 @@ PAIR_SHIFT, THIRD_SHIFT = 8 * (DEPTH - 1), 8 * (DEPTH - 2)
 WHOLE_PAIR = -1
 #: Strings asked for that a task takes on about, blocks that share one copy of a unit, and strings that are held unmerged.
 TASK_GRAMS, LOT_BLOCKS, PENDING_GRAMS = 2_000_000, 4096, 1 << 21
+#: Text for which there is a shard of words, and the fewest and most shards.
+SHARD_BYTES, WORD_SHARDS = 32 << 20, (16, 4096)
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -222,7 +225,7 @@ def _parts(column: pa.ChunkedArray, rows: int = 1 << 30) -> Iterator[tuple[int,
         yield a, b, byte_texts(column.slice(a, b - a))
 
 
-def _requests(table: pa.Table) -> pa.RecordBatch:
+def _requests(table: pa.Table, shards: int) -> pa.RecordBatch:
     """What a block of documents asks for, with how often its training documents hold it."""
     learn = table.column("learn").to_numpy()
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -244,25 +247,71 @@ def _requests(table: pa.Table) -> pa.RecordBatch:
     words[END_TOKEN.encode()] = int(learn.sum())
     found, n = counted(np.concatenate(keys), np.concatenate(counts))
     spans = list(runs(found >> np.uint64(PAIR_SHIFT)))
-    block, size = table.column("block")[0].as_py(), len(spans) + len(words)
-    rows = len(spans)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.full(size, block, np.int64)),
-        pa.array([int(found[a]) >> PAIR_SHIFT for a, _ in spans] + [None] * len(words), pa.int32()),
-        pa.array(np.r_[np.array([b - a for a, b in spans], np.int64), np.fromiter(words.values(), np.int64, len(words))]),
-        pa.concat_arrays([pa.array([packed_keys(found[a:b]) for a, b in spans], pa.binary()), pa.nulls(len(words), pa.binary())]),
-        pa.concat_arrays([pa.array([squeezed(n[a:b].astype("<u4")) for a, b in spans], pa.binary()), pa.nulls(len(words), pa.binary())]),
-        pa.concat_arrays([pa.nulls(rows, pa.binary()), pa.array(list(words), pa.binary())]),
-    ], names=["block", "pair", "n", "grams", "counts", "word"])
-
-
-def _ask(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    dealt: defaultdict[int, list[bytes]] = defaultdict(list)
+    for word in words:
+        dealt[zlib.crc32(word) % shards].append(word)
+    rows = [(int(found[a]) >> PAIR_SHIFT, None, b - a, packed_keys(found[a:b]), squeezed(n[a:b].astype("<u4"))) for a, b in spans]
+    rows += [(None, shard, len(held), zstandard.compress(b"\n".join(held), 1),
+              squeezed(np.fromiter(map(words.__getitem__, held), "<u4", len(held)))) for shard, held in dealt.items()]
+    block = pa.array(np.full(len(rows), table.column("block")[0].as_py(), np.int64))
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([block, *(pa.array(x, t) for x, t in zip(zip(*rows), kinds))], names=["block", "pair", "shard", "n", "grams", "counts"])
+
+
+def _ask(shards: int):
     """Requests of every run of rows of one block; a block that two tasks share asks twice."""
-    for table, starts in whole_groups(blocks, ["block"], 1):
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
-            made = _requests(table.slice(a, b - a))
-            for begin in range(0, made.num_rows, 1 << 13):
-                yield made.slice(begin, 1 << 13)
+    def ask(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(blocks, ["block"], 1):
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+                made = _requests(table.slice(a, b - a), shards)
+                for begin in range(0, made.num_rows, 1 << 13):
+                    yield made.slice(begin, 1 << 13)
+
+    return ask
+
+
+def words_of(stored: bytes) -> list[bytes]:
+    return zstandard.decompress(stored).split(b"\n")
+
+
+VOCABULARY = "shard int, grams binary, counts binary, total long, known long"
+
+
+def _count_words(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of sorted rows, shard by shard, with their training counts over all blocks."""
+    def row(shard: int, counts: Counter) -> pa.RecordBatch:
+        n = np.fromiter(counts.values(), "<u8", len(counts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), pa.array([zstandard.compress(b"\n".join(counts), 1)], pa.binary()), pa.array([squeezed(n)], pa.binary()),
+             pa.array([int(n.sum())], pa.int64()), pa.array([int(np.count_nonzero(n))], pa.int64())], names=[c.split()[0] for c in VOCABULARY.split(", ")])
+
+    current, counts = None, Counter()
+    for rows in blocks:
+        for shard, grams, n in zip(*(rows.column(c).to_pylist() for c in ("shard", "grams", "counts"))):
+            if current is not None and shard != current:
+                yield row(current, counts)
+                counts = Counter()
+            current = shard
+            for word, k in zip(words_of(grams), opened(n, "<u4").tolist()):
+                counts[word] += k
+    if current is not None:
+        yield row(current, counts)
+
+
+def _answer_words(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks, each after the counted row of its shard, with the counts of the words they ask for."""
+    counts: dict[bytes, int] = {}
+    for rows in blocks:
+        made: list[tuple] = []
+        for block, grams, n in zip(*(rows.column(c).to_pylist() for c in ("block", "grams", "counts"))):
+            asked = words_of(grams)
+            if block is None:
+                counts = dict(zip(asked, opened(n, "<u8").tolist()))
+            else:
+                made.append((block, None, grams, squeezed(np.fromiter(map(counts.__getitem__, asked), "<u8", len(asked)))))
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*made), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+                                             names=["block", "pair", "grams", "value"])
 
 
 def _in_units(split_pairs: set[int]):
@@ -351,19 +400,17 @@ def _answer(roots: Roots):
 
 
 def _score_block(docs: pa.Table, answers: pa.Table, total: int, distinct: int, schema: pa.Schema) -> pa.Table:
-    rows = [answers.column(c).to_pylist() for c in ("pair", "grams", "value", "word", "n")]
     keys, logs = [np.zeros(0, np.uint64)], [np.zeros(0)]
-    number: dict[bytes, int] = {}
-    counts: list[int] = []
-    for pair, packed, value, word, n in zip(*rows):
-        if word is None:
+    count_of: dict[bytes, int] = {}
+    for pair, packed, value in zip(*(answers.column(c).to_pylist() for c in ("pair", "grams", "value"))):
+        if pair is not None:
             keys.append(unpacked_keys(pair, packed))
             logs.append(opened(value, "<f8"))
-        elif word not in number:
-            number[word] = len(counts)
-            counts.append(n)
+        else:
+            count_of.update(zip(words_of(packed), opened(value, "<u8").tolist()))
     known, first = np.unique(np.concatenate(keys), return_index=True)  # a block that two tasks share has some twice
-    logs, counts = np.concatenate(logs)[first], np.array(counts, np.int64)
+    logs, counts = np.concatenate(logs)[first], np.fromiter(count_of.values(), np.int64, len(count_of))
+    number = {word: i for i, word in enumerate(count_of)}
     log_word = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
     end = number[END_TOKEN.encode()] if number else -1
     n = docs.num_rows
@@ -416,15 +463,17 @@ def score(
     # Rows lie in a block by their place in the files, so that asking needs no shuffle of texts.
     block = F.xxhash64("_place.file_path", F.floor(F.col("_place.row_index") / rows))
     dealt = given.withColumn("block", block).drop("_place")
+    shards = min(max((size or 0) // SHARD_BYTES, WORD_SHARDS[0]), WORD_SHARDS[1])
     asked = materialize(dealt.select("text", "learn", "block").mapInArrow(
-        _ask, "block long, pair int, n long, grams binary, counts binary, word binary"), "pedidos")
+        _ask(shards), "block long, pair int, shard int, n long, grams binary, counts binary"), "pedidos")
+    no_block = F.lit(None).cast("long").alias("block")
 
-    asked_words = asked.where("word is not null")
-    words = materialize(asked_words.groupBy("word").agg(F.sum("n").alias("n")), "palavras")
-    total, distinct = words.agg(F.sum("n"), F.sum((F.col("n") > 0).cast("long"))).first()
+    asked_words = asked.where("shard is not null").select("block", "shard", "grams", "counts")
+    vocabulary = materialize(asked_words.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_count_words, VOCABULARY), "palavras")
+    total, distinct = vocabulary.agg(F.sum("total"), F.sum("known")).first()
     total, distinct = total or 0, distinct or 0
 
-    asked_grams = asked.where("word is null")
+    asked_grams = asked.where("pair is not null")
     of_pairs = asked_grams.groupBy("pair").agg(F.sum("n").alias("n"), F.count_distinct("block").alias("blocks")).collect()  # 65,536 at most
     tasks = max(1, sum(r["n"] for r in of_pairs) // TASK_GRAMS)
     lots = max(1, -(-max((r["blocks"] for r in of_pairs), default=1) // LOT_BLOCKS))
@@ -438,7 +487,7 @@ def score(
     merged, counts_kind = units, "<u4"
     if lots > 1:
         merged = materialize(in_order(merged, "pair", "third", "lot").mapInArrow(_merge(counts_kind, False), MERGED), "somas")
-        merged, counts_kind = merged.select(F.lit(None).cast("long").alias("block"), "pair", "third", "grams", "counts"), "<u8"
+        merged, counts_kind = merged.select(no_block, "pair", "third", "grams", "counts"), "<u8"
     model = materialize(in_order(merged, "pair", "third").mapInArrow(_merge(counts_kind, True), MERGED), "modelo")
     nodes = model.select((F.col("third") != WHOLE_PAIR).alias("split"), F.explode(F.arrays_zip("node", "zeros", "ones", "below")).alias("_n"))
     summed = nodes.groupBy("split", F.col("_n.node").alias("node")).agg(
@@ -446,11 +495,10 @@ def score(
     roots = Roots(*(summed.column(c).to_numpy() for c in ("node", "split", "zeros", "ones", "below")))
 
     each_lot = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long"))).alias("lot")
-    weighted = model.select(F.lit(None).cast("long").alias("block"), "pair", "third", "grams", "counts", each_lot)
-    of_grams = in_order(weighted.unionByName(units), "pair", "third", "lot").mapInArrow(_answer(roots), ANSWERS).select(
-        "block", "pair", "grams", "value", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("n"))
-    of_words = asked_words.select("block", "word").join(words, "word").select(
-        "block", F.lit(None).cast("int").alias("pair"), F.lit(None).cast("binary").alias("grams"), F.lit(None).cast("binary").alias("value"), "word", "n")
+    weighted = model.select(no_block, "pair", "third", "grams", "counts", each_lot)
+    of_grams = in_order(weighted.unionByName(units), "pair", "third", "lot").mapInArrow(_answer(roots), ANSWERS)
+    counted_words = vocabulary.select(no_block, "shard", "grams", "counts").unionByName(asked_words)
+    of_words = counted_words.repartition(shards, "shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first()).mapInArrow(_answer_words, ANSWERS)
     kind = docs.schema[id_column].dataType
     out = T.StructType([T.StructField("id", kind), T.StructField("held_out", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in (
         "n_tokens", "n_known", "train_tokens")), *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score", "bits_per_byte"))])
