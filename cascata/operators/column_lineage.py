@@ -38,7 +38,7 @@ def _followed(plan, names: dict[str, str]) -> dict[int, frozenset[Source]]:
     known: dict[int, frozenset[Source]] = reduce(lambda a, b: a | b, below, {})
     output, kind = _each(plan.output()), plan.getClass().getSimpleName()
     if not children:
-        if kind != "LogicalRelation":
+        if kind != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
             return {}
         folders = [_plain(p.toString()) for p in _each(plan.relation().location().rootPaths())]
         table = next((name for root, name in names.items() for f in folders if f == root or f.startswith(root + "/")), None)

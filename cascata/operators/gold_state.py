@@ -46,11 +46,11 @@ def merge(spark: SparkSession, base: str, interactions: DataFrame, load: str) ->
     stored = before.tables.get(TABLE, Stored({}, {}, {"cargas": []}))
     if load in stored.notes["cargas"]:
         return before
-    fresh = materialize(partial_sums(interactions).withColumn("_em", _part()), "parciais")
-    touched = [row[0] for row in fresh.select("_em").distinct().collect()]  # days and buckets
-    rows = fresh.drop("_em")
-    if before.tables:
-        rows = rows.unionByName(versions.read(spark, base, before, TABLE, touched))
+    rows = partial_sums(interactions)
+    if stored.parts:
+        fresh = materialize(rows.withColumn("_em", _part()), "parciais")
+        touched = [row[0] for row in fresh.select("_em").distinct().collect()]  # days and buckets
+        rows = fresh.drop("_em").unionByName(versions.read(spark, base, before, TABLE, touched))
         rows = rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
     made = versions.stage(rows, base, _part())
     notes = {"cargas": [*stored.notes["cargas"], load]}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cascata.functions import metrics
@@ -272,3 +274,30 @@ def tile_rate_by_category(kpi_category: DataFrame, category: list[str] | None =
 
 def tile_sum_by_category(kpi_category: DataFrame) -> DataFrame:
     return kpi_category.groupBy("categoria").agg(F.sum("total_interacoes").alias("total_interacoes"))
+
+
+def _listed(section: str, rows: DataFrame, item: Column, measures: list[str]) -> DataFrame:
+    """One row per measure of each row: section, item, measure, value."""
+    entries = [F.struct(F.lit(section).alias("secao"), item.alias("item"), F.lit(m).alias("medida"), F.col(m).cast("double").alias("valor")) for m in measures]
+    return rows.select(F.inline(F.array(*entries)))
+
+
+# The sections of the report and the measures of each.
+OPERATIONAL = ["total_usuarios", "total_conteudos", "total_interacoes", "total_avaliacoes", "tempo_medio_consumo_min", "total_recomendacoes_lote"]
+STRATEGIC = ["taxa_conclusao_global_pct", "avaliacao_media_global", "taxa_recomendacoes_positivas_pct"]
+BY_CATEGORY = ["qtd_conteudos", "total_interacoes", "taxa_conclusao_pct", "avaliacao_media"]
+BY_DAY = ["total_interacoes", "visualizacoes", "conclusoes", "avaliacao_media_dia"]
+OF_BATCH = ["qtd_recomendacoes", "pontuacao_media"]
+
+
+def summary_report(contents: DataFrame, interactions: DataFrame, recommendations: DataFrame) -> DataFrame:
+    """The whole KPI report as rows: headline numbers, categories, the last ten days, the last batch."""
+    head = metrics_overall(contents, interactions, recommendations)
+    parts = [
+        _listed("metricas_operacionais", head, F.lit("geral"), OPERATIONAL),
+        _listed("kpis_estrategicos", head, F.lit("geral"), STRATEGIC),
+        _listed("desempenho_por_categoria", category_performance(contents, interactions), F.concat_ws(" / ", "categoria_nome", "tipo_conteudo"), BY_CATEGORY),
+        _listed("evolucao_temporal_recente", last_days(interactions), F.date_format("data", "yyyy-MM-dd"), BY_DAY),
+        _listed("distribuicao_recomendacoes", rec_summary(recommendations, contents), F.concat_ws(" / ", "categoria_nome", "classificacao"), OF_BATCH),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -70,3 +70,10 @@ def category_dimension(contents: DataFrame) -> DataFrame:
     labels = F.array(*[F.lit(c) for c in CATEGORIES])
     used = contents.select(F.col("categoria").alias("nome")).distinct()
     return used.select(F.array_position(labels, F.col("nome")).alias("categoria_id"), "nome")
+
+
+def ingestion_summary(log: DataFrame, loaded: dict[str, DataFrame]) -> DataFrame:
+    """The log of each source beside how many of its rows were fit to be loaded."""
+    counts = [rows.agg(F.count(F.lit(1)).alias("carregados")).withColumn("fonte", F.lit(source)) for source, rows in loaded.items()]
+    joined = log.join(reduce(DataFrame.unionByName, counts), "fonte")
+    return joined.select("fonte", "lidos", "validos", "invalidos", "incompletos", "duplicados", "corrigidos", "carregados")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.functions.text import padded_master_id
 from cascata.operators import master_data
-from cascata.session import materialize
+from cascata.session import materialize, scratch
 from cascata.sources import keyed, versions
 from cascata.sources.versions import Version
 
@@ -50,6 +50,11 @@ def run(spark: SparkSession, base: str, changes: DataFrame, instant: str, run_id
 
     Records that are as they were change nothing, so a run can be repeated.
     """
+    with scratch(spark):
+        return _taken_in(spark, base, changes, instant, run_id)
+
+
+def _taken_in(spark: SparkSession, base: str, changes: DataFrame, instant: str, run_id: str) -> Version:
     before = _begun(spark, base, run_id)
     given = master_data.keyed(changes).select(F.col("_chave").alias("chave"), "conteudo_id", *FIELDS, F.lit(False).alias("fora"))
     ids = given.select("conteudo_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.functions.text import mask_name, mask_text, salted_hash
 from cascata.operators.skew import lookup
-from cascata.session import materialize
+from cascata.session import materialize, scratch
 from cascata.sources import keyed, versions
 from cascata.sources.versions import CommitConflict, Version
 
@@ -43,12 +43,13 @@ def keep_pseudonyms(spark: SparkSession, base: str, users: DataFrame, run_id: st
             keyed.create(spark.createDataFrame([], PSEUDONYMS), base, table, ["usuario_id"], run_id)
         except CommitConflict:
             pass  # another run has begun the map
-    drawn = materialize(new_pseudonyms(users, kept_pseudonyms(spark, base)), table)
-    while True:
-        try:
-            return keyed.insert_absent(spark, base, table, drawn, run_id)
-        except CommitConflict:
-            continue
+    with scratch(spark):
+        drawn = materialize(new_pseudonyms(users, kept_pseudonyms(spark, base)), table)
+        while True:
+            try:
+                return keyed.insert_absent(spark, base, table, drawn, run_id)
+            except CommitConflict:
+                continue
 
 
 def kept_pseudonyms(spark: SparkSession, base: str, version: Version | None = None) -> DataFrame:

@@ -448,27 +448,38 @@ def batch_log(summed: DataFrame, batch: str) -> DataFrame:
     )
 
 
-def score_pairs(pairs: DataFrame, profiles: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Score given (user, content) pairs with column expressions; ``concluido`` closes a pair."""
-    users = profiles.withColumns({"_vis": vectors.norm(F.col("vis")), "_cur": vectors.norm(F.col("cur"))})
-    rows = lookup(pairs, catalogue, ["conteudo_id"], "inner")
-    rows = lookup(rows, users, ["usuario_id"], "inner")
-
-    def index(centroid: str, length: str, shares: str) -> Column:
-        share = F.coalesce(F.get(shares, F.col("categoria_pos")), F.lit(0.0))
-        both = F.col(length) * F.col("norma")
-        close = F.when(both > 0, vectors.dot(F.col(centroid), F.col("vetor")) / both)
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(close, share)))
-
-    scored = rows.withColumns({
-        "ivis": index("vis", "_vis", "parte_tempo"), "icur": index("cur", "_cur", "parte_positivos"),
-    })
-    open_flag = F.when(F.col("concluido"), 0).otherwise(1)
-    points = vectors.round_places((F.col("ivis") + F.col("icur")) / 2 * 100 * open_flag, 2)
+SCORED = "usuario_id bigint, conteudo_id bigint, pontuacao double, ivis double, icur double, iconc int"
+
+
+def score_pairs(pairs: DataFrame, profiles: DataFrame, catalogue: DataFrame, dimension: int) -> DataFrame:
+    """Score given (user, content) pairs a batch at a time, by the arithmetic of the blocks; ``concluido`` closes a pair."""
+    ship_package(pairs.sparkSession)
+    rows = lookup(pairs.select("usuario_id", "conteudo_id", "concluido"), catalogue.select("conteudo_id", "categoria_pos", "vetor"), ["conteudo_id"], "inner")
+    rows = lookup(rows, profiles.select("usuario_id", "vis", "cur", "parte_tempo", "parte_positivos"), ["usuario_id"], "inner")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in batches:
+            if block.num_rows == 0:
+                continue
+            items, has_vector = _unit_rows(block.column("vetor"), dimension)
+            slot = block.column("categoria_pos").to_numpy(zero_copy_only=False)
+            found = []
+            for centroid, shares in (("vis", "parte_tempo"), ("cur", "parte_positivos")):
+                direction, have = _unit_rows(block.column(centroid), dimension)
+                share, _ = _rows_or_zeros(block.column(shares), len(CATEGORIES))
+                close = (direction * items).sum(axis=1)
+                found.append(np.clip(np.where(have & has_vector, close, share[np.arange(len(slot)), slot]), 0.0, 1.0))
+            open_ = np.where(block.column("concluido").to_numpy(zero_copy_only=False).astype(bool), 0, 1)
+            points = round_half_even((found[0] + found[1]) / 2.0 * 100.0 * open_)
+            yield pa.RecordBatch.from_arrays(
+                [block.column("usuario_id"), block.column("conteudo_id"), pa.array(points), *(pa.array(f) for f in found), pa.array(open_.astype(np.int32))],
+                names=[c.split()[0] for c in SCORED.split(", ")])
+
+    lists = [F.col(c).cast("array<double>").alias(c) for c in ("vetor", "vis", "cur", "parte_tempo", "parte_positivos")]
+    scored = rows.select("usuario_id", "conteudo_id", "concluido", "categoria_pos", *lists).mapInArrow(score, SCORED)
     return scored.select(
-        "usuario_id", "conteudo_id", points.alias("pontuacao"),
-        vectors.round_places(F.col("ivis"), 4).alias("ivis"), vectors.round_places(F.col("icur"), 4).alias("icur"), open_flag.alias("iconc"),
-    ).withColumn("classificacao", classify(F.col("pontuacao"), F.col("iconc")))
+        "usuario_id", "conteudo_id", "pontuacao", vectors.round_places(F.col("ivis"), 4).alias("ivis"),
+        vectors.round_places(F.col("icur"), 4).alias("icur"), "iconc", classify(F.col("pontuacao"), F.col("iconc")).alias("classificacao"))
 
 
 def for_user(

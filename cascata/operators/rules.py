@@ -44,6 +44,6 @@ def record_id(source: str, parts: dict[str, str]) -> Column:
     return F.concat(F.lit(f"{source}:"), F.concat_ws(",", *pieces))
 
 
-def raw_payload(columns: list[str]) -> Column:
-    """The untouched raw row as JSON text, nulls included."""
-    return F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
+def raw_payload(columns: dict[str, Column]) -> Column:
+    """An untouched raw row as JSON text, nulls included."""
+    return F.to_json(F.struct(*[value.alias(name) for name, value in columns.items()]), {"ignoreNullFields": "false"})

@@ -75,7 +75,6 @@ def typed_content(raw: DataFrame) -> DataFrame:
     field = {c: text.blank_to_null(F.col(c)) for c in CATALOG_COLUMNS}
     return raw.withColumns({
         "_id_bruto": F.col("conteudo_id"),
-        "payload_original": rules.raw_payload(CATALOG_COLUMNS + AUDIT_COLUMNS),
         "conteudo_id": casts.digits_to_long(F.col("conteudo_id")),
         "titulo": field["titulo"],
         "tipo": text.official_label(field["tipo"], CONTENT_TYPES),
@@ -102,7 +101,6 @@ def typed_interaction(raw: DataFrame) -> DataFrame:
         "_usuario_bruto": F.col("usuario_id"),
         "_conteudo_bruto": F.col("conteudo_id"),
         "_data_bruta": field["data_hora"],
-        "payload_original": rules.raw_payload(INTERACTION_COLUMNS + AUDIT_COLUMNS),
         "usuario_id": casts.positive_id(F.col("usuario_id")),
         "conteudo_id": casts.digits_to_long(F.col("conteudo_id")),
         "tipo_interacao": text.official_label(field["tipo_interacao"], INTERACTION_TYPES),
@@ -144,7 +142,6 @@ def typed_comment(raw: DataFrame) -> DataFrame:
         "_conteudo_bruto": F.col("conteudo_id"),
         "_data_bruta": field["data"],
         "_nota_bruta": field["avaliacao"],
-        "payload_original": rules.raw_payload(COMMENT_COLUMNS + AUDIT_COLUMNS),
         "usuario_id": casts.positive_id(F.col("usuario_id")),
         "conteudo_id": casts.digits_to_long(F.col("conteudo_id")),
         "avaliacao": casts.rounded_long(field["avaliacao"]),
@@ -184,11 +181,21 @@ def to_contract(judged: DataFrame, schema) -> DataFrame:
     return under_contract(rules.approved(judged), schema)
 
 
-def to_quarantine(judged: DataFrame, source: str, first_id: int = 0) -> DataFrame:
-    """Rejected rows as entries numbered after ``first_id`` in the order of Bronze."""
-    return rules.rejected(judged).select(
+RAW_COLUMNS = {"catalogo": CATALOG_COLUMNS, "interacoes": INTERACTION_COLUMNS, "comentarios": COMMENT_COLUMNS}
+
+
+def to_quarantine(judged: DataFrame, source: str, raw: DataFrame, first_id: int = 0) -> DataFrame:
+    """Rejected rows as entries numbered after ``first_id`` in the order of Bronze.
+
+    The raw row is fetched from Bronze by its place, so that no judged row carries its payload along.
+    """
+    columns = [*RAW_COLUMNS[source], *AUDIT_COLUMNS]
+    given = raw.select(ORDER, *[F.col(c).alias(f"_bruto_{c}") for c in columns])
+    rejected = rules.rejected(judged).select(ORDER, "registro_id", "regra_violada", "mensagem", "execucao_id")
+    payload = rules.raw_payload({c: F.col(f"_bruto_{c}") for c in columns})
+    return rejected.join(given, ORDER).select(
         (F.col(ORDER) + first_id).alias("id"), "registro_id", F.lit(source).alias("origem"), "regra_violada",
-        "mensagem", "execucao_id", "payload_original", F.lit("pendente").alias("status"),
+        "mensagem", "execucao_id", payload.alias("payload_original"), F.lit("pendente").alias("status"),
     )
 
 

@@ -89,8 +89,8 @@ def with_known(rows: DataFrame, ids: DataFrame, key: str, flag: str) -> DataFram
     return lookup(rows, known, [key])
 
 
-def validate_interactions(raw: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Users are known by definition here: the known users are those of this same file."""
+def validate_interactions(raw: DataFrame, catalog: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """``users`` are the known ones; without them they are those of this same file, so that none is unknown."""
     read = raw.withColumns({
         "_tempo": casts.truncated_number(F.col("tempo_consumido")),
         "_nota": casts.truncated_number(F.col("avaliacao_atribuida")),
@@ -98,10 +98,12 @@ def validate_interactions(raw: DataFrame, catalog: DataFrame) -> DataFrame:
     })
     marked = mark_repeats(read, ["usuario_id", "conteudo_id", "data_hora"], ORDER)
     marked = with_known(marked, catalog, "conteudo_id", "_conteudo")
+    marked = marked.withColumn("_usuario", F.lit(True)) if users is None else with_known(marked, users, "usuario_id", "_usuario")
     required = ["usuario_id", "conteudo_id", "tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao"]
     percent = F.col("_percentual")
     complaints = [
         complaint(~F.col("tipo_interacao").isin(INTERACTION_TYPES), "tipo_interacao invalido", F.col("tipo_interacao")),
+        complaint(F.col("_usuario").isNull(), "usuario_id inexistente", F.col("usuario_id")),
         complaint(F.col("_conteudo").isNull(), "conteudo_id inexistente", F.col("conteudo_id")),
         *whole_number_complaints(F.col("_tempo"), F.col("tempo_consumido"), 0, None,
                                  "tempo_consumido nao-numerico", "tempo_consumido negativo"),

@@ -130,11 +130,11 @@ class Layers:
         """Quarantine of the run; ``id`` orders the entries of a source by arrival."""
         def build() -> DataFrame:
             parts = [
-                (silver.judge_content(self.catalog), "catalogo"),
-                (silver.judge_interactions(self.raw_interactions, self.contents), "interacoes"),
-                (silver.judge_comments(self.raw_comments, self.contents), "comentarios"),
+                (silver.judge_content(self.catalog), "catalogo", self.catalog),
+                (silver.judge_interactions(self.raw_interactions, self.contents), "interacoes", self.raw_interactions),
+                (silver.judge_comments(self.raw_comments, self.contents), "comentarios", self.raw_comments),
             ]
-            frames = [silver.to_quarantine(judged, source) for judged, source in parts]
+            frames = [silver.to_quarantine(judged, source, raw) for judged, source, raw in parts]
             return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
         return self._once("quarentena", build)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cascata.operators import audit, gold_state, lookups, quality, quarantine, rules, silver
-from cascata.session import materialize, new_folder
+from cascata.session import materialize, new_folder, scratch
 from cascata.sources import files, versions, writers
 from cascata.schemas import (
     CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, QUALITY_RESULT, QUARANTINE_COLUMNS, bronze_schema, quarantine_schema,
@@ -74,30 +74,30 @@ class Run:
     def bronze(self) -> str:
         p, s, run = self.paths, self.spark, self.run_id
         writers.append_run(files.bronze_catalog(s, p.catalog, run), p.layer("bronze/catalogo"))
-        writers.append_run(files.bronze_interactions(s, p.interactions, run), p.layer("bronze/interacoes"))
-        writers.append_run(files.bronze_comments(s, p.comments, run), p.layer("bronze/comentarios"))
-        corrupt = files.corrupt_files(s, p.interactions, "interacoes", INTERACTION_COLUMNS).unionByName(
-            files.corrupt_files(s, p.comments, "comentarios", COMMENT_COLUMNS)
-        )
-        entries = quarantine.corrupt_file_entries(corrupt, run)
+        corrupt = []
+        for source, path, columns in (("interacoes", p.interactions, INTERACTION_COLUMNS), ("comentarios", p.comments, COMMENT_COLUMNS)):
+            rows, broken = files.bronze_and_corrupt(s, path, source, columns, run)
+            writers.append_run(rows, p.layer(f"bronze/{source}"))
+            corrupt.append(broken)
+        entries = quarantine.corrupt_file_entries(corrupt[0].unionByName(corrupt[1]), run)
         writers.append_run(entries, p.layer("quarentena/arquivos"))
         return "sucesso"
 
     def silver(self) -> str:
         """Contents first: interactions and comments refer to them."""
         p = self.paths
-        judged_contents = silver.judge_content(self.read_bronze("catalogo"))
-        self._split(judged_contents, silver.SILVER_CONTENT, "catalogo", "conteudo")
+        catalogue = self.read_bronze("catalogo")
+        self._split(silver.judge_content(catalogue), catalogue, silver.SILVER_CONTENT, "catalogo", "conteudo")
         contents = self.read("silver/conteudo")
         for name, table, judge, schema in (
             ("interacoes", "interacao", silver.judge_interactions, silver.SILVER_INTERACTION),
             ("comentarios", "comentario", silver.judge_comments, silver.SILVER_COMMENT),
         ):
-            judged = judge(self.read_bronze(name), contents)
-            self._split(judged, schema, name, table)
+            raw = self.read_bronze(name)
+            self._split(judge(raw, contents), raw, schema, name, table)
         return "sucesso"
 
-    def _split(self, judged: DataFrame, schema, source: str, table: str) -> None:
+    def _split(self, judged: DataFrame, raw: DataFrame, schema, source: str, table: str) -> None:
         """Judge once, write once, then route: the two outputs read the stored verdicts, and the tests' counts are taken on the way."""
         staged = self.paths.layer(f"julgados/{source}/{self.run_id}")
         judged.write.mode("overwrite").parquet(staged)
@@ -105,7 +105,7 @@ class Run:
         counted, watch = quality.observed(rules.approved(stored), table)
         silver.under_contract(counted, schema).write.mode("overwrite").parquet(self.paths.layer(f"silver/{table}"))
         writers.append_run(quality.observed_rows(self.spark, table, watch, self.run_id).coalesce(1), self.paths.layer(f"medidas/{table}"))
-        rejected = silver.to_quarantine(stored, source, self.next_id(source))
+        rejected = silver.to_quarantine(stored, source, raw, self.next_id(source))
         writers.append_run(
             rejected.withColumn("execucao_id", F.lit(self.run_id)), self.paths.layer(f"quarentena/{source}")
         )
@@ -139,6 +139,7 @@ class Run:
         state = gold_state.merge(self.spark, sums, interactions, self.run_id)
         tables = gold_state.tables(self.spark, sums, state, contents, recommendations, self.run_id)
         writers.publish_version(tables, base, self.run_id, before)
+        versions.remove(self.spark, sums)
         return "sucesso"
 
     def gold_increment(self, interactions: DataFrame, recommendations: DataFrame) -> str:
@@ -154,8 +155,9 @@ class Run:
         contents, interactions, comments = self.silver_tables()
         tables = {"silver.conteudo": contents, "silver.interacao": interactions, "silver.comentario": comments}
         base = self.paths.layer("gold")
+        version = versions.newest(self.spark, base)
         for name in GOLD_TABLES:
-            tables[f"gold.{name}"] = writers.read_current(self.spark, base, name)
+            tables[f"gold.{name}"] = writers.read_current(self.spark, base, name, version)
         writers.append_run(lookups.table_snapshot(tables, self.run_id), self.paths.layer("metadados"))
         return "sucesso"
 
@@ -277,10 +279,11 @@ def run_medallion(
 ) -> DataFrame:
     """Run all stages in order and return the summary; a failed gate leaves Gold as it was."""
     run = Run(spark, paths, run_id)
-    run.stage("bronze", run.bronze)
-    run.stage("silver", run.silver)
-    run.stage("qualidade", run.quality)
-    run.stage("gate", run.gate)
-    run.stage("gold", lambda: run.gold(recommendations))
-    run.stage("metadados", run.metadata)
+    with scratch(spark):
+        run.stage("bronze", run.bronze)
+        run.stage("silver", run.silver)
+        run.stage("qualidade", run.quality)
+        run.stage("gate", run.gate)
+        run.stage("gold", lambda: run.gold(recommendations))
+        run.stage("metadados", run.metadata)
     return run.summary()

@@ -104,7 +104,7 @@ CTES: dict[str, str] = {
           CASE event_type WHEN 'view' THEN 'Visualizacao' WHEN 'click' THEN 'início' WHEN 'purchase' THEN 'conclusão'
                WHEN 'signup' THEN 'curtida ' ELSE event_type END AS tipo_interacao,
           CASE WHEN event_id % 97 = 0 THEN '2024-02-30' WHEN event_id % 89 = 0 THEN strftime(ts, '%Y-%m-%d 00:00:00')
-               ELSE strftime(ts, '%Y-%m-%dT00:00:00') END AS data_hora,
+               WHEN event_id % 4 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT00:00:00') END AS data_hora,
           CASE WHEN event_id % 59 = 0 THEN NULL WHEN event_id % 41 = 0 THEN '-' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
                ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS tempo_consumido,
           CASE WHEN event_id % 10 = 3 THEN CAST(event_id % 106 AS VARCHAR) || '.555' ELSE CAST(event_id % 106 AS VARCHAR) END

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cascata.functions import casts, text
 from cascata.functions.vectors import scaled_to_unit
@@ -182,15 +182,19 @@ def _(L):
     return files.latest_batch(batches).select("ordem", "usuario_id", "conteudo_id", "execucao_id")
 
 
-@query("scan_corrupt_file", "SELECT DISTINCT 'comentarios' AS origem, 'ARQUIVO_CORROMPIDO' AS regra_violada, 'JSON malformado' AS mensagem, "
-       "'{}' AS payload_original, 'pendente' AS status FROM bronze_comentarios")
+@query("scan_corrupt_file", """SELECT 'comentarios' AS origem, 'ARQUIVO_CORROMPIDO' AS regra_violada, 'Expecting '','' delimiter' AS mensagem, 2 AS linha,
+    '{}' AS payload_original, 'pendente' AS status, 'lote=' || (turn % 5) AS arquivo FROM conversations GROUP BY ALL HAVING count(*) > 1""")
 def _(L):
+    """Files of comments none of which is JSON: what the parser says of each."""
     path = new_folder(L.spark, "comentarios_quebrados")
     record = F.to_json(F.struct(*COMMENT_COLUMNS))
-    L.raw_comments.select(F.concat(F.lit("[{\"resto\": "), record).alias("value")).write.text(path)
-    broken = files.corrupt_files(L.spark, path, "comentarios", COMMENT_COLUMNS)
-    entries = quarantine.corrupt_file_entries(broken, RUN).where(F.startswith("registro_id", F.lit("arquivo:")))
-    return entries.select("origem", "regra_violada", "mensagem", "payload_original", "status").distinct()
+    broken = L.raw_comments.select(F.concat(F.lit("[{\"resto\": "), record).alias("value"), (F.col("ordem") % 100 % 5).alias("lote"))
+    broken = broken.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("lote"))).where("_n > 1").drop("_n")
+    broken.repartition("lote").write.partitionBy("lote").text(path)
+    entries = quarantine.corrupt_file_entries(files.corrupt_files(L.spark, path, "comentarios", COMMENT_COLUMNS), RUN)
+    return entries.select(
+        "origem", "regra_violada", F.split("mensagem", ": ")[0].alias("mensagem"), F.regexp_extract("mensagem", "line (\\d+)", 1).cast("bigint").alias("linha"),
+        "payload_original", "status", F.regexp_extract("registro_id", "(lote=\\d+)/", 1).alias("arquivo"))
 
 
 @query("scan_table", "SELECT usuario_id, conteudo_id, tipo_interacao, tempo_consumido FROM silver_interacao")
@@ -206,12 +210,9 @@ def month_folder(L: Layers) -> DataFrame:
     return writers.read_month_partitions(L.spark, path, L.interactions.schema)
 
 
-@query("sink_parquet_ym", "SELECT strftime(data_hora, '%Y') AS ano, strftime(data_hora, '%m') AS mes, count(*) AS linhas, "
-       "CAST(sum(tempo_consumido) AS BIGINT) AS tempo FROM silver_interacao GROUP BY ALL")
+@query("sink_parquet_ym", f"SELECT {S_INTERACTION}, strftime(data_hora, '%Y') AS ano, strftime(data_hora, '%m') AS mes, execucao_id FROM silver_interacao")
 def _(L):
-    return month_folder(L).groupBy("ano", "mes").agg(
-        F.count(F.lit(1)).alias("linhas"), F.sum("tempo_consumido").alias("tempo")
-    )
+    return month_folder(L).select(*INTERACTION_COLUMNS, "ano", "mes", "execucao_id")
 
 
 @query("scan_parquet_partitioned", f"SELECT {S_INTERACTION}, strftime(data_hora, '%Y') AS ano, strftime(data_hora, '%m') AS mes FROM silver_interacao")
@@ -258,11 +259,11 @@ def _(L):
     return L.spark.read.parquet(path).select(*INTERACTION_COLUMNS, "execucao_id")
 
 
-@query("sink_quarantine_file", "SELECT origem, regra_violada, count(*) AS linhas FROM rejeitados GROUP BY ALL")
+@query("sink_quarantine_file", "SELECT id, registro_id, origem, regra_violada, payload_original, 'pendente' AS status FROM rejeitados")
 def _(L):
     path = new_folder(L.spark, "quarentena_carga")
     writers.append_run(L.quarantine, path)
-    return L.spark.read.parquet(path).groupBy("origem", "regra_violada").agg(F.count(F.lit(1)).alias("linhas"))
+    return L.spark.read.parquet(path).select("id", "registro_id", "origem", "regra_violada", "payload_original", "status")
 
 
 @query("sink_parquet_fixed_schema", f"SELECT conteudo_id, strftime(data, {DAY}) AS data, total_interacoes, visualizacoes, inicios, conclusoes, "
@@ -349,14 +350,14 @@ def _(L):
     return keyed.read(L.spark, base, "embedding_conteudo")
 
 
-@query("sink_recommendation_batch", f"SELECT strftime(gerado_em, {INSTANT}) AS gerado_em, count(*) AS linhas, count(DISTINCT usuario_id) AS usuarios "
-       "FROM recomendacao GROUP BY ALL")
+@query("sink_recommendation_batch", f"SELECT usuario_id, conteudo_id, strftime(gerado_em, {INSTANT}) AS gerado_em, CAST(pontuacao AS DOUBLE) AS pontuacao, "
+       "posicao, classificacao FROM recomendacao")
 def _(L):
+    """Both batches, the last of them written twice."""
     path = new_folder(L.spark, "lotes")
     writers.append_recommendations(L.recommendations, path)
     writers.append_recommendations(recommend.batch_rows(gold.last_batch(L.recommendations)), path)
-    stored = L.spark.read.parquet(path)
-    return lookups.batch_totals(stored).select("gerado_em", F.col("qtd").alias("linhas"), "usuarios")
+    return L.spark.read.parquet(path).select("usuario_id", "conteudo_id", "gerado_em", "pontuacao", "posicao", "classificacao")
 
 
 @query("sink_gold_replace", """SELECT 'carga-2' AS versao, 'dim_conteudo' AS tabela, count(*) AS linhas FROM silver_conteudo
@@ -454,6 +455,12 @@ def validated(L: Layers) -> tuple[DataFrame, DataFrame, DataFrame]:
 query("validate_catalog", V_CATALOG)(lambda L: validate.validate_catalog(L.catalog))
 query("validate_interactions", V_INTERACTION)(lambda L: validate.validate_interactions(L.raw_interactions, L.catalog))
 query("validate_comments", V_COMMENT)(lambda L: validate.validate_comments(L.raw_comments, L.catalog, L.raw_interactions))
+query("validate_interactions_known", V_INTERACTION.replace(
+    "LEFT JOIN (SELECT DISTINCT conteudo_id FROM bronze_catalogo) k ON k.conteudo_id = b.conteudo_id)",
+    "LEFT JOIN (SELECT DISTINCT conteudo_id FROM bronze_catalogo) k ON k.conteudo_id = b.conteudo_id "
+    "LEFT JOIN (SELECT DISTINCT usuario_id AS conhecido FROM bronze_comentarios) u ON u.conhecido = b.usuario_id)").replace(
+    "CASE WHEN NOT existe THEN 'conteudo_id", "CASE WHEN conhecido IS NULL THEN 'usuario_id inexistente: ' || usuario_id END, CASE WHEN NOT existe THEN 'conteudo_id"))(
+    lambda L: validate.validate_interactions(L.raw_interactions, L.catalog, L.raw_comments))
 V_ALL = f"SELECT * FROM ({V_CATALOG}) UNION ALL SELECT * FROM ({V_INTERACTION}) UNION ALL SELECT * FROM ({V_COMMENT})"
 query("validation_report", f"SELECT fonte, classificacao, count(*) AS total FROM ({V_ALL}) GROUP BY ALL")(
     lambda L: validate.report_counts(*validated(L)))
@@ -522,12 +529,20 @@ CORRECTED = " UNION ALL ".join(
 query("count_corrected", CORRECTED)(corrected)
 
 
+MISSING = {
+    "catalogo": ("limpo_catalogo", {"titulo": "titulo", "tipo": "tipo", "categoria": "categoria", "nivel": "nivel", "carga_horaria_min": "carga",
+                                    "data_publicacao": "data_publicacao", "descricao": "descricao", "autor": "autor"}),
+    "interacoes": ("limpo_interacoes", {c: c for c in ("tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida")}),
+    "comentarios": ("limpo_comentarios", {c: c for c in ("avaliacao", "comentario", "data")}),
+}
+
+
 @query("count_missing", " UNION ALL ".join(
-    f"SELECT 'interacoes' AS fonte, '{c}' AS coluna, count(*) - count({c}) AS ausentes FROM limpo_interacoes WHERE vez = 1"
-    for c in ("tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida")))
+    f"SELECT '{source}' AS fonte, '{c}' AS coluna, count(*) - count({own}) AS ausentes FROM {table} WHERE vez = 1"
+    for source, (table, columns) in MISSING.items() for c, own in columns.items()))
 def _(L):
-    return clean.count_missing(L.clean_interactions, "interacoes",
-                               ["tipo_interacao", "data_hora", "tempo_consumido", "percentual_conclusao", "avaliacao_atribuida"])
+    cleaned = {"catalogo": L.clean_catalog, "interacoes": L.clean_interactions, "comentarios": L.clean_comments}
+    return reduce(DataFrame.unionByName, [clean.count_missing(cleaned[source], source, list(columns)) for source, (_, columns) in MISSING.items()])
 
 
 @query("dedupe_first", "SELECT usuario_id, conteudo_id, data_hora, min(ordem) AS ordem FROM limpo_interacoes GROUP BY ALL")
@@ -853,39 +868,28 @@ LOG_SQL = f"""(SELECT c.fonte, c.lidos, c.corrigidos, CAST(coalesce(sum(v.total)
     CAST(coalesce(sum(v.total) FILTER (WHERE classificacao = 'duplicados'), 0) AS BIGINT) AS duplicados
     FROM ({CORRECTED}) c JOIN (SELECT fonte, classificacao, count(*) AS total FROM ({V_ALL}) GROUP BY ALL) v ON v.fonte = c.fonte
     GROUP BY c.fonte, c.lidos, c.corrigidos)"""
-query("ingestion_summary", f"SELECT fonte, lidos, validos, invalidos, incompletos, duplicados, corrigidos FROM {LOG_SQL}")(
-    lambda L: ingestion_log(L).select("fonte", "lidos", "validos", "invalidos", "incompletos", "duplicados", "corrigidos"))
+query("ingestion_summary", f"""SELECT l.fonte, lidos, validos, invalidos, incompletos, duplicados, corrigidos, carregados FROM {LOG_SQL} l JOIN (
+    SELECT 'catalogo' AS fonte, count(*) AS carregados FROM ({BODIES["load_filter_catalog"]})
+    UNION ALL SELECT 'interacoes', count(*) FROM ({BODIES["load_filter_interactions"]})
+    UNION ALL SELECT 'comentarios', count(*) FROM ({BODIES["build_comment_docs"]})) c ON c.fonte = l.fonte""")(
+    lambda L: load.ingestion_summary(ingestion_log(L), {
+        "catalogo": loadable(L), "interacoes": load.loadable_interactions(L.clean_interactions, loadable(L)), "comentarios": L.documents}))
 query("vw_ingestion_quality", f"SELECT fonte, lidos, validos, corrigidos, invalidos, incompletos, duplicados, {pct('corrigidos', 'lidos')} AS taxa_correcao_pct, "
       f"{pct('validos', 'lidos')} AS taxa_conformidade_pct FROM {LOG_SQL}")(
     lambda L: kpi.ingestion_quality(ingestion_log(L).withColumn("id", F.lit(1))))
 
 
-@query("kpi_summary", """SELECT 'metricas_operacionais' AS secao, 'total_interacoes' AS item, CAST(interacoes AS DOUBLE) AS valor FROM geral
-    UNION ALL SELECT 'metricas_operacionais', 'total_usuarios', CAST(usuarios AS DOUBLE) FROM geral
-    UNION ALL SELECT 'kpis_estrategicos', 'taxa_conclusao_global_pct', taxa FROM geral
-    UNION ALL SELECT 'desempenho_por_categoria', categoria || ' / ' || tipo, taxa FROM por_categoria
-    UNION ALL SELECT 'evolucao_temporal_recente', strftime(data, '%Y-%m-%d'), CAST(total_interacoes AS DOUBLE)
-        FROM (SELECT * FROM por_dia ORDER BY por_dia.data DESC LIMIT 10)
-    UNION ALL SELECT 'distribuicao_recomendacoes', c.categoria || ' / ' || l.classificacao, CAST(count(*) AS DOUBLE)
-        FROM lote l JOIN silver_conteudo c USING (conteudo_id) GROUP BY ALL""")
-def _(L):
-    def item(section: str, name: Column, value: Column):
-        return [F.lit(section).alias("secao"), name.alias("item"), value.cast("double").alias("valor")]
-
-    head = kpi.metrics_overall(L.contents, L.interactions, L.recommendations)
-    picked = [("metricas_operacionais", "total_interacoes"), ("metricas_operacionais", "total_usuarios"),
-              ("kpis_estrategicos", "taxa_conclusao_global_pct")]
-    entries = [F.struct(*item(s, F.lit(c), F.col(c))) for s, c in picked]
-    parts = [
-        head.select(F.inline(F.array(*entries))),
-        kpi.category_performance(L.contents, L.interactions).select(
-            *item("desempenho_por_categoria", F.concat_ws(" / ", "categoria_nome", "tipo_conteudo"), F.col("taxa_conclusao_pct"))),
-        kpi.last_days(L.interactions).select(
-            *item("evolucao_temporal_recente", F.date_format("data", "yyyy-MM-dd"), F.col("total_interacoes"))),
-        kpi.rec_summary(L.recommendations, L.contents).select(
-            *item("distribuicao_recomendacoes", F.concat_ws(" / ", "categoria_nome", "classificacao"), F.col("qtd_recomendacoes"))),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+def listed_sql(section: str, name: str, item: str, measures: list[str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS secao, {item} AS item, '{m}' AS medida, CAST({m} AS DOUBLE) AS valor FROM ({BODIES[name]})" for m in measures)
+
+
+query("kpi_summary", " UNION ALL ".join([
+    listed_sql("metricas_operacionais", "vw_metrics_overall", "'geral'", kpi.OPERATIONAL),
+    listed_sql("kpis_estrategicos", "vw_metrics_overall", "'geral'", kpi.STRATEGIC),
+    listed_sql("desempenho_por_categoria", "vw_category_performance", "categoria_nome || ' / ' || tipo_conteudo", kpi.BY_CATEGORY),
+    listed_sql("evolucao_temporal_recente", "last_10_days", "data", kpi.BY_DAY),
+    listed_sql("distribuicao_recomendacoes", "vw_rec_summary", "categoria_nome || ' / ' || classificacao", kpi.OF_BATCH),
+]))(lambda L: kpi.summary_report(L.contents, L.interactions, L.recommendations))
 
 
 # ---------------------------------------------------------------- dashboards
@@ -994,25 +998,45 @@ def _(L):
     return audit.stage_summary(stages, L.quarantine, AUDIT_RUN)
 
 
+GOLD_QUERIES = {
+    "dim_conteudo": ("gold_dim_content", 13), "fato_engajamento_dia": ("gold_fact_engagement_day", 11), "kpi_desempenho_categoria": ("gold_kpi_category", 11),
+    "kpi_engajamento_formato": ("gold_kpi_format", 11), "kpi_evolucao_dia": ("gold_kpi_day", 7),
+    "kpi_conversao_recomendacao": ("gold_kpi_rec_conversion", 5), "kpi_geral": ("gold_kpi_overall", 9)}
+
+
 @query("table_metadata_snapshot", """SELECT 'carga-1' AS execucao_id, 'silver' AS esquema, 'conteudo' AS tabela, count(*) AS linhas, 13 AS colunas FROM silver_conteudo
     UNION ALL SELECT 'carga-1', 'silver', 'interacao', count(*), 11 FROM silver_interacao
-    UNION ALL SELECT 'carga-1', 'silver', 'comentario', count(*), 10 FROM silver_comentario
-    UNION ALL SELECT 'carga-1', 'gold', 'fato_engajamento_dia', count(*), 11 FROM fato""")
+    UNION ALL SELECT 'carga-1', 'silver', 'comentario', count(*), 10 FROM silver_comentario""" + "".join(
+    f" UNION ALL SELECT 'carga-1', 'gold', '{table}', count(*), {columns} FROM ({BODIES[name]})" for table, (name, columns) in GOLD_QUERIES.items()))
 def _(L):
-    return lookups.table_snapshot({
-        "silver.conteudo": L.contents, "silver.interacao": L.interactions, "silver.comentario": L.comments,
-        "gold.fato_engajamento_dia": L.fact}, RUN)
-
-
-@query("column_classification", """SELECT 'silver' AS esquema, 'interacao' AS tabela, 'usuario_id' AS coluna, count(usuario_id) AS preenchidos, 'IdentificadorIndireto' AS classificacao FROM silver_interacao
-    UNION ALL SELECT 'silver', 'comentario', 'usuario_id', count(usuario_id), 'IdentificadorIndireto' FROM silver_comentario
-    UNION ALL SELECT 'silver', 'comentario', 'comentario', count(comentario), 'Sensivel' FROM silver_comentario
-    UNION ALL SELECT 'silver', 'conteudo', 'autor', count(autor), 'DadoPessoal' FROM silver_conteudo
-    UNION ALL SELECT 'gold', 'dim_conteudo', 'autor', count(autor), 'DadoPessoal' FROM silver_conteudo""")
+    silver_tables = {"silver.conteudo": L.contents, "silver.interacao": L.interactions, "silver.comentario": L.comments}
+    return lookups.table_snapshot(silver_tables | {f"gold.{name}": rows for name, rows in L.gold.items()}, RUN)
+
+
+CLASSIFIED = [
+    ("bronze", "interacoes", "usuario_id", "bronze_interacoes", governance.INDIRECT), ("bronze", "comentarios", "usuario_id", "bronze_comentarios", governance.INDIRECT),
+    ("bronze", "comentarios", "comentario", "bronze_comentarios", governance.SENSITIVE), ("bronze", "catalogo", "autor", "bronze_catalogo", governance.PERSONAL),
+    ("silver", "interacao", "usuario_id", "silver_interacao", governance.INDIRECT), ("silver", "comentario", "usuario_id", "silver_comentario", governance.INDIRECT),
+    ("silver", "comentario", "comentario", "silver_comentario", governance.SENSITIVE), ("silver", "conteudo", "autor", "silver_conteudo", governance.PERSONAL),
+    ("gold", "dim_conteudo", "autor", "silver_conteudo", governance.PERSONAL),
+]
+
+
+@query("column_classification", " UNION ALL ".join(
+    f"SELECT '{schema}' AS esquema, '{table}' AS tabela, '{c}' AS coluna, count({c}) AS preenchidos, '{tag}' AS classificacao FROM {rows}"
+    for schema, table, c, rows, tag in CLASSIFIED) + f""" UNION ALL SELECT 'lgpd', 'vw_interacao_pseudonimizada', 'pseudo_id', count(*), 'Pseudonimizado' FROM silver_interacao
+    UNION ALL SELECT 'lgpd', 'vw_comentario_mascarado', 'pseudo_id', count(*), 'Pseudonimizado' FROM silver_comentario
+    UNION ALL SELECT 'lgpd', 'vw_comentario_mascarado', 'comentario_mascarado', count(comentario), 'Mascarado' FROM silver_comentario
+    UNION ALL SELECT 'lgpd', 'conteudo_publico', 'autor_mascarado', count(autor), 'Mascarado' FROM silver_conteudo
+    UNION ALL SELECT 'lgpd', 'conteudo_publico', 'autor_hash', count(autor), 'HashComSalt' FROM silver_conteudo""")
 def _(L):
-    tables = {"silver.interacao": L.interactions, "silver.comentario": L.comments, "silver.conteudo": L.contents,
-              "gold.dim_conteudo": L.dimension}
-    return governance.classified_columns(tables)
+    return governance.classified_columns({
+        "bronze.interacoes": L.raw_interactions, "bronze.comentarios": L.raw_comments, "bronze.catalogo": L.catalog,
+        "silver.interacao": L.interactions, "silver.comentario": L.comments, "silver.conteudo": L.contents,
+        **{f"gold.{name}": rows for name, rows in L.gold.items()},
+        "lgpd.vw_interacao_pseudonimizada": privacy.interactions_pseudonymised(L.interactions, pseudonyms(L)),
+        "lgpd.vw_comentario_mascarado": privacy.comments_masked(L.comments, pseudonyms(L)),
+        "lgpd.conteudo_publico": privacy.public_content(L.dimension, SALT)})
 
 
 def same_columns(table: str, columns: list[str]) -> dict[str, list[str]]:
@@ -1277,9 +1301,8 @@ query("rec_category_share", "SELECT usuario_id, categoria, round(parte_tempo, 9)
 @query("rec_score", "SELECT usuario_id, conteudo_id, CAST(pontuacao AS DOUBLE) AS pontuacao, round_even(ivis, 4) AS ivis, round_even(icur, 4) AS icur, iconc, classificacao FROM classes WHERE tocado")
 def _(L):
     pairs = materialize(recommend.signals(L.interactions), "sinais")
-    measured = recommend.measured_vectors(L.store, MODEL)
-    return recommend.score_pairs(pairs.select("usuario_id", "conteudo_id", "concluido"), recommend.user_profiles(pairs, L.contents, measured),
-                                 recommend.content_matrix(L.contents, measured))
+    measured = recommend.measured_vectors(L.store, MODEL, DIMENSION)
+    return recommend.score_pairs(pairs, recommend.user_profiles(pairs, L.contents, measured), recommend.content_matrix(L.contents, measured), DIMENSION)
 
 
 query("rec_classify", "SELECT event_id AS ordem, CASE WHEN event_id % 11 = 0 OR value / 5 <= 40 THEN 'Negativo' WHEN value / 5 >= 70 THEN 'Positivo' ELSE 'Estável' END AS classificacao FROM events")(
@@ -1292,3 +1315,18 @@ query("rec_top_n", TOP)(lambda L: recommend.top_n(L.blocks, L.contents, 5, BATCH
 query("rec_summary", "SELECT * FROM resumo_rec")(lambda L: recommend.summary(L.blocks, 5))
 query("rec_for_user", f"{TOP} WHERE usuario_id = {USER}")(
     lambda L: recommend.for_user(L.interactions, L.contents, L.store, USER, MODEL, DIMENSION, 5, BATCH))
+
+# ------------------------------------------------------------------ reports
+
+
+def as_json(L: Layers, rows: DataFrame, label: str) -> DataFrame:
+    """A report as it is read back from its JSON."""
+    path = new_folder(L.spark, label)
+    writers.write_json(rows, path)
+    return L.spark.read.schema(rows.schema).json(path)
+
+
+query("sink_kpi_json", BODIES["kpi_summary"])(lambda L: as_json(L, kpi.summary_report(L.contents, L.interactions, L.recommendations), "kpis_json"))
+query("sink_ingestion_json", BODIES["ingestion_summary"])(lambda L: as_json(L, QUERIES["ingestion_summary"].run(L), "resumo_json"))
+query("sink_search_json", BODIES["semantic_search_batch"])(lambda L: as_json(L, QUERIES["semantic_search_batch"].run(L), "busca_json"))
+query("sink_recommendation_json", BODIES["rec_top_n"])(lambda L: as_json(L, QUERIES["rec_top_n"].run(L), "recomendacoes_json"))

@@ -6,7 +6,10 @@ import os
 import re
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +59,44 @@ def materialize(rows: DataFrame, label: str) -> DataFrame:
     """
     path = new_folder(rows.sparkSession, label)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    stored._folder = path
+    for made in _jobs():
+        made.append(path)
+    return stored
+
+
+_at_work = threading.local()
+
+
+def _jobs() -> list[list[str]]:
+    """Folders that intermediates went to, of each job that is at work in this thread."""
+    if not hasattr(_at_work, "jobs"):
+        _at_work.jobs = []
+    return _at_work.jobs
+
+
+def discard(rows: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these rows; nothing may read them any more."""
+    _delete(rows.sparkSession, rows._folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediates stored within, by this thread, are deleted at the end; what a job returns must not read them."""
+    made: list[str] = []
+    _jobs().append(made)
+    try:
+        yield
+    finally:
+        _jobs().pop()
+        for folder in made:
+            _delete(spark, folder)
 
 
 _shipped: set[str] = set()

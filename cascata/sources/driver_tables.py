@@ -78,6 +78,7 @@ def _interaction_fields() -> list[Column]:
         .alias("tipo_interacao"),
         F.expr("""case when event_id % 97 = 0 then '2024-02-30'
                        when event_id % 89 = 0 then date_format(ts, 'yyyy-MM-dd 00:00:00')
+                       when event_id % 4 = 1 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
                        else concat(date_format(ts, 'yyyy-MM-dd'), 'T00:00:00') end""").alias("data_hora"),
         F.expr("""case when event_id % 59 = 0 then null when event_id % 41 = 0
                        then concat('-', cast(cast(floor(value) as bigint) as string))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS, INTERACTION_COLUMNS, text_schema
+from cascata.session import materialize, ship_package
 
 CORRUPT = "_corrompido"
 UNREADABLE = "JSON malformado"
@@ -112,21 +117,45 @@ def bronze_comments(spark: SparkSession, path: str, run_id: str, instant: str |
     return bronze_json(spark, path, "comentarios", COMMENT_COLUMNS, run_id, instant)
 
 
+def _parser_messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a JSON parser says of each text that Spark could not read."""
+    for rows in batches:
+        said = []
+        for text in rows.column("texto").to_pylist():
+            try:
+                json.loads(text or "")
+                said.append(UNREADABLE)  # JSON, but not an array of records
+            except ValueError as error:
+                said.append(str(error))
+        yield pa.RecordBatch.from_arrays([rows.column("arquivo"), rows.column("origem"), pa.array(said, pa.string())], names=["arquivo", "origem", "erro"])
+
+
+def _told(broken: DataFrame) -> DataFrame:
+    """Unreadable files (arquivo, origem, texto) with the parser's message, which names line and column; one file a row."""
+    return broken.mapInArrow(_parser_messages, "arquivo string, origem string, erro string").distinct()
+
+
 def corrupt_files(spark: SparkSession, path: str, source: str, columns: list[str]) -> DataFrame:
-    """One row per file whose JSON cannot be parsed."""
+    """One row per file whose JSON cannot be parsed, with what the parser says."""
+    ship_package(spark)
     rows = _json_rows(spark, path, columns).where(unreadable(columns))
-    return rows.select(
-        F.col("_metadata.file_path").alias("arquivo"),
-        F.lit(source).alias("origem"),
-        F.lit(UNREADABLE).alias("erro"),
-    ).distinct()
+    return _told(rows.select(F.col("_metadata.file_path").alias("arquivo"), F.lit(source).alias("origem"), F.col(CORRUPT).alias("texto")))
+
+
+def bronze_and_corrupt(spark: SparkSession, path: str, source: str, columns: list[str], run_id: str) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows and unreadable files of one source; the files are parsed once, and what was parsed is stored."""
+    ship_package(spark)
+    rows = _json_rows(spark, path, columns).withColumn("_arquivo", F.col("_metadata.file_path"))
+    parsed = materialize(with_audit(rows, source, run_id), f"lidos_{source}")
+    broken = parsed.where(unreadable(columns)).select(F.col("_arquivo").alias("arquivo"), F.lit(source).alias("origem"), F.col(CORRUPT).alias("texto"))
+    return parsed.where(~unreadable(columns)).drop(CORRUPT, "_arquivo"), _told(broken)
 
 
 def latest_batch(bronze: DataFrame) -> DataFrame:
-    """Rows of the newest batch.
+    """Rows of the newest batch; of batches of one instant, the one whose id is last.
 
     Its id, one value, is looked up first: as a constant it prunes the folders of a Bronze
     partitioned by run, which a join on the id would not.
     """
-    newest = bronze.agg(F.max_by("execucao_id", "data_hora_ingestao")).first()[0]
+    newest = bronze.agg(F.max_by("execucao_id", F.struct("data_hora_ingestao", "execucao_id"))).first()[0]
     return bronze.where(F.col("execucao_id") == F.lit(newest).cast("string"))

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cascata.functions import metrics
 from cascata.operators import gold
 from cascata.schemas import SILVER_INTERACTION
-from cascata.session import materialize
+from cascata.session import materialize, scratch
 from cascata.sources import versions
 from cascata.sources.versions import Stored, Version
 from cascata.sources.writers import append_run
@@ -43,13 +43,17 @@ def _days(rows: DataFrame) -> list[str]:
 def take_batch(spark: SparkSession, base: str, batch: DataFrame, number: int, prefix: str, quarantine_path: str, delay_days: int) -> Version:
     """Merge one batch of Silver interactions; the late ones are stored under ``quarantine_path``."""
     before = versions.newest(spark, base)
-    notes = _notes(before)
-    if number <= notes["lote"]:
+    if number <= _notes(before)["lote"]:
         return before
+    with scratch(spark):
+        return _merged(spark, base, before, batch, number, f"{prefix}-{number}", quarantine_path, delay_days)
+
+
+def _merged(spark: SparkSession, base: str, before: Version, batch: DataFrame, number: int, run: str, quarantine_path: str, delay_days: int) -> Version:
+    notes = _notes(before)
     rows = materialize(batch.withColumn("data", F.to_date("data_hora")), "lote")
     opened = notes["aberto_desde"]
     late = F.lit(False) if opened is None else F.col("data") < F.lit(opened).cast("date")
-    run = f"{prefix}-{number}"
     append_run(rows.where(late).withColumns({"regra_violada": F.lit(LATE), "execucao_id": F.lit(run)}), quarantine_path)
 
     given = rows.where(~late)

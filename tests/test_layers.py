@@ -263,6 +263,23 @@ def test_tests_take_their_counts_from_the_writes(spark, paths, monkeypatch):
     assert all("/medidas/" in f for f in quality.measures_of(run.counted()).inputFiles())
 
 
+def test_gold_follows_batches_without_reading_earlier_ones(spark, paths):
+    first = Run(spark, paths, "carga-1")
+    first.bronze()
+    first.silver()
+    batch = first.read("silver/interacao")
+    first.gold_increment(batch, recommendations(spark))
+    base = paths.layer("gold")
+    assert writers.read_current(spark, base, "kpi_geral").first()["usuarios_ativos"] == 1
+    more = batch.withColumn("usuario_id", F.col("usuario_id") + 10)
+    for _ in range(2):  # a repeated run merges its batch once
+        Run(spark, paths, "carga-2").gold_increment(more, recommendations(spark))
+    overall = writers.read_current(spark, base, "kpi_geral").first()
+    assert (overall["usuarios_ativos"], overall["total_interacoes"], overall["execucao_id"]) == (2, 2 * batch.count(), "carga-2")
+    day = writers.read_current(spark, base, "kpi_evolucao_dia")
+    assert {r["usuarios_ativos"] for r in day.collect()} == {2}
+
+
 def test_latest_batch_prunes_folders(spark):
     path = new_folder(spark, "lotes")
     rows = spark.createDataFrame([("a", "2024-01-01", 1), ("b", "2024-01-02", 2), ("b", "2024-01-02", 3)],

@@ -78,8 +78,10 @@ def test_comment_rules(spark, contents):
 
 
 def test_payload_keeps_the_raw_row(spark):
-    judged = silver.judge_content(frame(spark, CATALOG_COLUMNS, [content("x", titulo=None)]))
-    payload = silver.to_quarantine(judged, "catalogo").first()["payload_original"]
+    raw = frame(spark, CATALOG_COLUMNS, [content("x", titulo=None), content("1")])
+    judged = silver.judge_content(raw)
+    assert "payload_original" not in judged.columns
+    payload = silver.to_quarantine(judged, "catalogo", raw).first()["payload_original"]
     assert payload.startswith('{"conteudo_id":"x","titulo":null,')
 
 
