@@ -458,7 +458,7 @@ query("validate_comments", V_COMMENT)(lambda L: validate.validate_comments(L.raw
 query("validate_interactions_known", V_INTERACTION.replace(
     "LEFT JOIN (SELECT DISTINCT conteudo_id FROM bronze_catalogo) k ON k.conteudo_id = b.conteudo_id)",
     "LEFT JOIN (SELECT DISTINCT conteudo_id FROM bronze_catalogo) k ON k.conteudo_id = b.conteudo_id "
-    "LEFT JOIN (SELECT DISTINCT usuario_id AS conhecido FROM bronze_comentarios) u ON u.conhecido = b.usuario_id)").replace(
+    "LEFT JOIN (SELECT DISTINCT usuario_id AS conhecido FROM bronze_comentarios) u ON u.conhecido = b.usuario_id)").replace("k.conteudo_id IS NOT NULL AS existe", "k.conteudo_id IS NOT NULL AS existe, u.conhecido").replace(
     "CASE WHEN NOT existe THEN 'conteudo_id", "CASE WHEN conhecido IS NULL THEN 'usuario_id inexistente: ' || usuario_id END, CASE WHEN NOT existe THEN 'conteudo_id"))(
     lambda L: validate.validate_interactions(L.raw_interactions, L.catalog, L.raw_comments))
 V_ALL = f"SELECT * FROM ({V_CATALOG}) UNION ALL SELECT * FROM ({V_INTERACTION}) UNION ALL SELECT * FROM ({V_COMMENT})"
