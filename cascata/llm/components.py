@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from cascata.session import materialize
+from cascata.session import discard, materialize
 
 
 class Forest:
@@ -60,13 +60,14 @@ def connected(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the links ``a``, ``b``; a component's name is its least node.
 
     Alternating large and small stars; each round is stored in the shared folder, which cuts the
-    lineage. Links of a node to itself and nulls are ignored. Minima are taken in part before the
+    lineage, and the one before it deleted. Links of a node to itself and nulls are ignored. Minima are taken in part before the
     shuffle, and the joins are plain ones, which Spark's skew join can split at a hub.
     """
     now = materialize(edges.select("a", "b").where("a <> b").distinct(), "ligacoes")
     state = _state(now)
     while True:
-        now = materialize(_small_star(_large_star(now).distinct()).distinct(), "ligacoes")
+        former, now = now, materialize(_small_star(_large_star(now).distinct()).distinct(), "ligacoes")
+        discard(former)
         before, state = state, _state(now)
         if state == before:
             break

@@ -86,7 +86,8 @@ def judge(
     """``pages`` with ``host``, ``path``, ``canonical_url``, ``rule``, ``listed`` and ``verdict``.
 
     The filter has ``bits_per_url`` bits for each listed URL, up to ``most_blocks`` blocks of 32
-    bytes (16 MB at the default); a longer list raises the share of false positives that reach the
+    bytes: 16 MB of bits at the default, in at most 524,288 rows, which take some five times that as the
+    hashed relation of a broadcast join. A longer list raises the share of false positives that reach the
     join, and changes no result.
     """
     names = ["host", "path", "canonical_url", "rule", "listed", "verdict"]

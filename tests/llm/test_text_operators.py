@@ -276,6 +276,30 @@ def test_pairs_just_at_the_similarity_are_found(spark):
     assert found == components(near).tolist()
 
 
+def test_near_copies_of_the_given_documents_are_those_of_brute_force(spark, docs):
+    rows = docs.orderBy("doc_id").select("doc_id", "text").collect()
+    wanted = components(jaccard_pairs([r.text or "" for r in rows], 0.8))
+    found = {r.doc_id: r.component_id for r in simhash.similar(docs).collect()}
+    worded = [i for i, r in enumerate(rows) if len((r.text or "").split()) >= 5]
+    assert [found[rows[i].doc_id] for i in worded] == [rows[wanted[i]].doc_id for i in worded]
+
+
+def test_texts_from_one_template_stay_apart(spark):
+    """Half of each text is the same template; no two are alike, though each is near to hundreds."""
+    rng = random.Random(12)
+    words = ["w%d" % k for k in range(5000)]
+    template = rng.choices(words, k=150)
+    texts = [" ".join(template + rng.choices(words, k=150)) for _ in range(400)]
+    texts += [texts[7] + " and more", texts[8] + " and more"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in table.collect()} - {r.doc_id for r in simhash.keep_first(table).collect()} == {400, 401}
+
+
+def test_a_set_takes_part_in_as_many_groups_at_any_size(spark, docs):
+    few = simhash.set_fingerprints(docs.limit(20), "doc_id", "text", 5, 4)
+    assert {len(r.bands) for r in few.collect()} == {simhash.BANDS} == {len(r.bands) for r in simhash.set_fingerprints(docs, "doc_id", "text", 5, 4).collect()}
+
+
 @pytest.mark.parametrize("radius", (0, 3, 65))
 def test_counting_words_and_planes_finds_the_same(radius):
     rng = np.random.default_rng(radius)
