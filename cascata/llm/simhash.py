@@ -8,7 +8,8 @@ machine word; carry-save counters add up the differing planes of all of them at
 in which every count has passed the radius are abandoned.
 
 ``keep_first`` looks for a similarity rather than a few bits: its fingerprints have 256 bits, and as
-no choice of blocks is sure to agree at the larger radius, groups are made of sampled bits. What is
+no choice of blocks is sure to agree at the larger radius, fingerprints meet in groups whose sets share
+``BAND_ROWS`` least hashes, of which each set has ``BANDS`` at any size of the table. What is
 near by fingerprint is only a candidate: the candidates' shingle sets are compared, and a link needs
 the wanted Jaccard similarity.
 
@@ -40,6 +41,8 @@ SLICE_BYTES = 2 << 20
 #: Hashes of the shingle sets that one side of a tile holds, and what each set counts for besides them.
 TILE_HASHES, SET_WEIGHT = 1 << 20, 256
 QUERIES_AT_ONCE = 256
+#: Groups that each set takes part in, and least hashes that its members share: of pairs at 0.8 one in 1,600 shares no group.
+BANDS, BAND_ROWS = 40, 8
 _BIT_LANES = np.array([sum(((byte >> k) & 1) << (8 * k) for k in range(8)) for byte in range(256)], np.uint64)
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _WHITE = b" \t\n\r\x0b\x0c"
@@ -134,6 +137,23 @@ def set_digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=20).digest()
 
 
+def band_keys(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Per set (its hashes one set after another) and band, a key of its least hashes under the band's functions."""
+    keys = np.zeros((len(lengths), BANDS), np.uint64)
+    full = np.flatnonzero(lengths > 0)
+    if not full.size:
+        return keys
+    starts = (np.cumsum(lengths) - lengths)[full]
+    factors = np.random.default_rng(29).integers(0, 1 << 63, (BANDS, BAND_ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+    for band in range(BANDS):
+        key = np.zeros(len(full), np.uint64)
+        for factor in factors[band]:
+            key = (key ^ np.minimum.reduceat(hashes * factor, starts)) * np.uint64(0x94D049BB133111EB)
+            key ^= key >> np.uint64(31)
+        keys[full, band] = key
+    return keys
+
+
 def lane_names(lanes: int) -> list[str]:
     return [f"bits{k}" if k else "bits" for k in range(lanes)]
 
@@ -152,24 +172,27 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def set_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: int, lanes: int) -> DataFrame:
-    """(id, ``digest``, ``shingles``, ``bits``, ...): the shingle set's digest, size and fingerprint; a repeated shingle counts once."""
+    """(id, ``digest``, ``shingles``, ``bits``, ..., ``bands``): the shingle set's digest, size, fingerprint and band keys; a repeated shingle counts once."""
     ship_package(docs.sparkSession)
     fields = [T.StructField(id_column, docs.schema[id_column].dataType), T.StructField("digest", T.BinaryType()), T.StructField("shingles", T.LongType())]
-    schema = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in lane_names(lanes))])
+    schema = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in lane_names(lanes)), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
             texts = byte_texts(block.column(1))
             bits, digests, sizes = np.zeros((len(texts), lanes), np.uint64), [], np.zeros(len(texts), np.int64)
+            bands = np.zeros((len(texts), BANDS), np.uint64)
             for a, b in slices([len(t) for t in texts], SLICE_BYTES):
                 sets = [shingle_set(t, words) for t in texts[a:b]]
                 digests += map(set_digest, sets)
                 sizes[a:b] = [len(x) for x in sets]
+                bands[a:b] = band_keys(np.concatenate(sets), sizes[a:b])
                 if b - a == 1 and len(texts[a]) > SLICE_BYTES:
                     bits[a] = long_majority(sets, lanes)
                 else:
                     bits[a:b] = majority_bits(widened(np.concatenate(sets), lanes), sizes[a:b])
-            columns = [block.column(0), pa.array(digests, pa.binary()), pa.array(sizes), *(pa.array(x) for x in bits.view(np.int64).T)]
+            lists = pa.ListArray.from_arrays(pa.array(BANDS * np.arange(len(texts) + 1, dtype=np.int32)), pa.array(bands.view(np.int64).ravel()))
+            columns = [block.column(0), pa.array(digests, pa.binary()), pa.array(sizes), *(pa.array(x) for x in bits.view(np.int64).T), lists]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(id_column, text_column).mapInArrow(run, schema)
@@ -289,23 +312,10 @@ def links(distinct: DataFrame, radius: int = 3, group_rows: int = 2048, tile_row
     return _linked(_spread(distinct, keys, 1), radius, 1, tile_rows)
 
 
-def sampled_links(distinct: DataFrame, radius: int, lanes: int, missed: float = 0.01, group_rows: int = 512, tile_rows: int = 4096) -> DataFrame:
-    """The same for wide fingerprints, of which a pair just at the radius is missed with probability ``missed``, a nearer one less often.
-
-    Each group agrees in some sampled bits, as many as it takes for groups of ``group_rows``; how many
-    samples there are follows from the radius, so that ``missed`` holds for a table of any size.
-    """
-    bits = max(1, (max(1, distinct.count() // group_rows)).bit_length())
-    choices = math.ceil(math.log(missed) / math.log(1 - (1 - radius / (64 * lanes)) ** bits))
-    rng = np.random.default_rng(23)
-    keys = []
-    for number in range(choices):
-        masks = [0] * lanes
-        for bit in rng.choice(64 * lanes, min(bits, 64 * lanes), replace=False).tolist():
-            masks[bit // 64] |= 1 << (bit % 64)
-        agreed = [F.col(n).bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for n, m in zip(lane_names(lanes), masks) if m]
-        keys.append(F.struct(F.lit(number).alias("choice"), F.xxhash64(*agreed).alias("bucket")))
-    return _linked(_spread(distinct, F.array(*keys), lanes), radius, lanes, tile_rows)
+def banded_links(distinct: DataFrame, radius: int, lanes: int, tile_rows: int = 4096) -> DataFrame:
+    """The same for wide fingerprints, among those that share a band; each takes part in ``BANDS`` groups whatever the size of the table."""
+    keys = F.transform("bands", lambda key, number: F.struct(number.alias("choice"), key.alias("bucket")))
+    return _linked(_spread(distinct, keys, lanes), radius, lanes, tile_rows)
 
 
 def link_sets(sets: list[np.ndarray], values: np.ndarray, first: np.ndarray | None, radius: int, jaccard: float) -> tuple[np.ndarray, np.ndarray]:
@@ -415,13 +425,13 @@ def similar(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     names = lane_names(lanes)
     made = materialize(set_fingerprints(docs, id_column, text_column, words, lanes), "impressoes")
     classes = materialize(
-        made.groupBy("digest").agg(F.min(id_column).cast("long").alias("node"), F.any_value("shingles").alias("shingles"), *(F.any_value(n).alias(n) for n in names)), "distintas")
+        made.groupBy("digest").agg(F.min(id_column).cast("long").alias("node"), F.any_value("shingles").alias("shingles"), F.any_value("bands").alias("bands"), *(F.any_value(n).alias(n) for n in names)), "distintas")
     worded = classes.where("node is not null and shingles > 0")
-    candidates = connected(sampled_links(worded, radius, lanes))
-    wanted = worded.join(candidates, "node")
+    candidates = connected(banded_links(worded, radius, lanes))
+    wanted = worded.drop("bands").join(candidates, "node")
     found = connected(verified_links(docs, wanted, id_column, text_column, words, lanes, radius, jaccard))
-    named = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    return made.join(named, "digest").select(id_column, "component_id")
+    named = classes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    return made.select(id_column, "digest").join(named, "digest").select(id_column, "component_id")
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, jaccard: float = 0.8) -> DataFrame:
