@@ -3,7 +3,8 @@
 The filter directions form a product code: after a random rotation a vector is cut in two halves,
 each half has its own code of random directions, and a filter is a pair of them. A vector is list
 decoded to all filters whose direction it exceeds the cap's height with, vectors meet in the
-filters they share, and what meets is verified in double precision. The height is found by
+filters they share, and what meets is verified in double precision, after a look at signs of random
+projections has put the pairs aside that differ in far more of them than any near pair would. The height is found by
 simulation: it is the largest at which pairs just at the threshold share a filter with the wanted
 probability, which for random rotations does not depend on the data.
 
@@ -31,6 +32,8 @@ SMALL_GROUP = 48
 PAIRS_AT_ONCE = 1 << 17
 FILTERS_AT_ONCE = 1 << 22
 ROWS_AT_ONCE = 1024
+#: Signs by which pairs are put aside, and how many standard deviations beyond the mean at the threshold (one near pair in a billion).
+SCREEN_BITS, SCREEN_DEVIATIONS = 256, 6
 
 
 class CapFilters:
@@ -143,6 +146,18 @@ def _first_of_some(left: np.ndarray, right: np.ndarray, filters: np.ndarray, sta
     return keys[first] & 0xFFFFFFFF
 
 
+def screen_limit(cosine: float) -> int:
+    """In how many signs a pair at the threshold may differ."""
+    share = np.arccos(np.clip(cosine, -1.0, 1.0)) / np.pi
+    return int(SCREEN_BITS * share + SCREEN_DEVIATIONS * np.sqrt(SCREEN_BITS * share * (1 - share))) + 1
+
+
+def sign_codes(units: np.ndarray) -> np.ndarray:
+    """Signs of fixed random projections, packed into words."""
+    directions = np.random.default_rng([19, units.shape[1]]).normal(size=(units.shape[1], SCREEN_BITS)).astype(np.float32)
+    return np.packbits(units.astype(np.float32) @ directions > 0, axis=1).view(np.uint64)
+
+
 class _Group:
     """Verifies the pairs of sorted groups of rows; counts a link in the first filter that two rows share."""
 
@@ -151,6 +166,7 @@ class _Group:
         self.filters, self.starts, self.lengths = filters, starts, lengths
         self.links = np.zeros(len(units), np.int64)
         self.forest = Forest(len(units))
+        self.codes, self.limit = sign_codes(units), screen_limit(cosine)
 
     def _count(self, left: np.ndarray, right: np.ndarray, here: np.ndarray) -> None:
         np.add.at(self.links, left[here], self.copies[right[here]])
@@ -158,9 +174,11 @@ class _Group:
 
     def verify(self, left: np.ndarray, right: np.ndarray, filter_of: np.ndarray) -> None:
         for a in range(0, len(left), PAIRS_AT_ONCE):
-            i, j = left[a : a + PAIRS_AT_ONCE], right[a : a + PAIRS_AT_ONCE]
+            i, j, its = left[a : a + PAIRS_AT_ONCE], right[a : a + PAIRS_AT_ONCE], filter_of[a : a + PAIRS_AT_ONCE]
+            alike = np.bitwise_count(self.codes[i] ^ self.codes[j]).sum(axis=1, dtype=np.int32) <= self.limit
+            i, j, its = i[alike], j[alike], its[alike]
             near = np.einsum("ij,ij->i", self.units[i], self.units[j]) >= self.cosine
-            i, j, its = i[near], j[near], filter_of[a : a + PAIRS_AT_ONCE][near]
+            i, j, its = i[near], j[near], its[near]
             if i.size:
                 self.forest.link(i, j)
                 self._count(i, j, _first_common((i, j), self.filters, self.starts, self.lengths) == its)
@@ -294,8 +312,8 @@ def near_duplicates(
     # Filters that share a first direction lie together in bundles, so that a vector is sent to fewer places
     # than it has filters; with more vectors a bundle has fewer filters.
     share = directions
-    count = decoded.count()
-    while share > 1 and count * 20 // directions > tile_rows * (directions // share):
+    met = decoded.agg(F.sum(F.size(F.array_distinct(F.transform("filters", lambda f: F.floor(f / directions)))))).first()[0] or 0
+    while share > 1 and met // directions > tile_rows * (directions // share):
         share //= 2
     bundles = F.array_distinct(F.transform("filters", lambda f: F.floor(f / share).cast("int")))
     keys = ["size", "bundle", "_lo", "_hi"]
