@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -89,12 +90,17 @@ class Run:
         catalogue = self.read_bronze("catalogo")
         self._split(silver.judge_content(catalogue), catalogue, silver.SILVER_CONTENT, "catalogo", "conteudo")
         contents = self.read("silver/conteudo")
-        for name, table, judge, schema in (
-            ("interacoes", "interacao", silver.judge_interactions, silver.SILVER_INTERACTION),
-            ("comentarios", "comentario", silver.judge_comments, silver.SILVER_COMMENT),
-        ):
+
+        def split(name: str, table: str, judge, schema) -> None:
             raw = self.read_bronze(name)
             self._split(judge(raw, contents), raw, schema, name, table)
+
+        with ThreadPoolExecutor(max_workers=2) as pool:  # neither reads what the other writes
+            both = [pool.submit(split, *source) for source in (
+                ("interacoes", "interacao", silver.judge_interactions, silver.SILVER_INTERACTION),
+                ("comentarios", "comentario", silver.judge_comments, silver.SILVER_COMMENT))]
+            for work in both:
+                work.result()
         return "sucesso"
 
     def _split(self, judged: DataFrame, raw: DataFrame, schema, source: str, table: str) -> None:
