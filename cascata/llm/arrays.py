@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +78,16 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - ends + lengths, lengths)
 
 
+def give_back() -> None:
+    """Return freed memory to the machine: a Python worker is kept for later tasks, and with it all it ever held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+        if trim:
+            trim(0)
+
+
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, combinations, repeat
 
 import numpy as np
@@ -31,16 +31,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cascata.llm.arrays import byte_texts, ragged, slices
+from cascata.llm.arrays import byte_texts, give_back, ragged, slices
 from cascata.llm.components import Forest, connected
 from cascata.llm.hot_groups import in_tiles
 from cascata.session import materialize, ship_package
 
 SEED = 42
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Hashes of the shingle sets that one side of a tile holds, and what each set counts for besides them.
-TILE_HASHES, SET_WEIGHT = 1 << 20, 256
+TILE_HASHES, SET_WEIGHT = 1 << 19, 256
 QUERIES_AT_ONCE = 256
+#: From this many values on wide fingerprints are compared over bit planes; a plane of fewer is mostly the cost of its calls.
+PLANE_VALUES = 512
 #: Groups that each set takes part in, and least hashes that its members share: of pairs at 0.8 one in 1,600 shares no group.
 BANDS, BAND_ROWS = 40, 8
 _BIT_LANES = np.array([sum(((byte >> k) & 1) << (8 * k) for k in range(8)) for byte in range(256)], np.uint64)
@@ -194,6 +196,8 @@ def set_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: i
             lists = pa.ListArray.from_arrays(pa.array(BANDS * np.arange(len(texts) + 1, dtype=np.int32)), pa.array(bands.view(np.int64).ravel()))
             columns = [block.column(0), pa.array(digests, pa.binary()), pa.array(sizes), *(pa.array(x) for x in bits.view(np.int64).T), lists]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            del texts, bits, digests, bands, lists, columns
+        give_back()
 
     return docs.select(id_column, text_column).mapInArrow(run, schema)
 
@@ -251,6 +255,14 @@ def near_wide(queries: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.
     return i[within], j[within]
 
 
+def comparer(values: np.ndarray, radius: int) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Finds the pairs (query, value) within the radius, bit-sliced but for a few wide values."""
+    if values.shape[1] > 1 and len(values) < PLANE_VALUES:
+        return lambda queries: near_wide(queries, values, radius)
+    planes = bit_planes(values)
+    return lambda queries: near(queries, planes, len(values), radius)
+
+
 def link_tile(values: np.ndarray, first: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what is near within a tile: each member with the root of its tree.
 
@@ -260,11 +272,9 @@ def link_tile(values: np.ndarray, first: np.ndarray | None, radius: int) -> tupl
     left = np.arange(len(values)) if first is None else np.flatnonzero(first)
     right = left if first is None else np.flatnonzero(~first)
     if len(left) and len(right):
-        wide = values.shape[1] > 1
-        planes = values[right] if wide else bit_planes(values[right])
+        compare = comparer(values[right], radius)
         for a in range(0, len(left), QUERIES_AT_ONCE):
-            asked = values[left[a : a + QUERIES_AT_ONCE]]
-            i, j = near_wide(asked, planes, radius) if wide else near(asked, planes, len(right), radius)
+            i, j = compare(values[left[a : a + QUERIES_AT_ONCE]])
             forest.link(left[a + i], right[j])
     return forest.edges()
 
@@ -333,8 +343,9 @@ def link_sets(sets: list[np.ndarray], values: np.ndarray, first: np.ndarray | No
     starts = np.cumsum(lengths) - lengths
     known, numbers = np.unique(np.concatenate(sets), return_inverse=True)
     marked = np.zeros(len(known), bool)
+    compare = comparer(values[right], radius)
     for a in range(0, len(left), QUERIES_AT_ONCE):
-        i, j = near_wide(values[left[a : a + QUERIES_AT_ONCE]], values[right], radius)
+        i, j = compare(values[left[a : a + QUERIES_AT_ONCE]])
         i, j = left[a + i], right[j]
         low, high = np.minimum(lengths[i], lengths[j]), np.maximum(lengths[i], lengths[j])
         likely = (low >= jaccard * high - 1e-9) & ((i < j) if first is None else True)
@@ -382,6 +393,7 @@ def verified_links(docs: DataFrame, wanted: DataFrame, id_column: str, text_colu
                 lists = [pa.array([len(sets[k]) for k in mine], pa.int64()), pa.array([sets[k].tobytes() for k in mine], pa.binary())]
                 columns = [part.column(c) for c in ("component", "node", "_digest", *names)]
                 yield pa.RecordBatch.from_arrays([*columns, *lists], names=schema.names)
+        give_back()
 
     order = ["component", "node", *names, "n", "hashes"]
     sets = given.select("node", "text", "component", "_digest", *names).mapInArrow(read, schema)
@@ -393,6 +405,9 @@ def verified_links(docs: DataFrame, wanted: DataFrame, id_column: str, text_colu
         held = [np.frombuffer(x, np.uint64) for x in tile.column("hashes").to_pylist()]
         across = tile.column("_lo")[0].as_py() != tile.column("_hi")[0].as_py()
         a, b = link_sets(held, values, tile.column("_first").to_numpy() if across else None, radius, jaccard)
+        if sum(map(len, held)) > TILE_HASHES // 4:
+            del held
+            give_back()
         return pa.table({"a": nodes[a], "b": nodes[b]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     tiles = in_tiles(sets, ["component"], "digest", TILE_HASHES, weight=f"n + {SET_WEIGHT}")

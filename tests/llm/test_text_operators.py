@@ -645,3 +645,19 @@ def test_pipeline_keeps_clean_and_drops_planted(spark, docs):
     table = docs.unionByName(spark.createDataFrame(rows, docs.schema)).cache()
     kept = {r.doc_id for r in corpus_pipeline.good_text(spark, corpus_pipeline.language(spark, table, SF), SF).collect()}
     assert not kept & {6001, 6002, 6003} and len({r[0] for r in rows[:-4]} - kept) <= 1
+
+
+def test_wide_fingerprints_are_compared_over_planes(monkeypatch):
+    """From a word of values on, near copies go by bit planes and carry-save counters, as narrow fingerprints do."""
+    rng = np.random.default_rng(11)
+    values = rng.integers(0, 1 << 63, (simhash.PLANE_VALUES, 4)).astype(np.uint64)
+    values = np.concatenate([values, values ^ np.uint64(1)])
+    used, near = [], simhash.near
+    monkeypatch.setattr(simhash, "near", lambda *args: used.append(len(args[1])) or near(*args))
+    items, roots = simhash.link_tile(values, None, 65)
+    assert used and set(used) == {256}
+    assert items.tolist() == list(range(simhash.PLANE_VALUES, len(values))) and roots.tolist() == list(range(simhash.PLANE_VALUES))
+    used.clear()
+    sets = [np.sort(rng.integers(1, 1 << 62, 3).astype(np.uint64)) for _ in range(simhash.PLANE_VALUES)]
+    items, roots = simhash.link_sets(sets + sets, values, None, 65, 0.8)
+    assert used and items.tolist() == list(range(simhash.PLANE_VALUES, len(values)))
