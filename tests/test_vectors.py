@@ -128,3 +128,23 @@ def test_embedding_delta(spark, world):
     encoded = search.embed_pending(search.embedding_delta(contents, stored, "base"), search.hashing_encoder(16), "base").collect()
     assert sorted(r["conteudo_id"] for r in encoded) == [1, 2]
     assert all(abs(np.linalg.norm(r["vetor"]) - 1) < 1e-6 for r in encoded)
+
+
+def test_contents_without_a_vector_are_not_paired_with_users(spark):
+    """One score per user and category; a user who completed the first contents is given the next ones."""
+    contents = spark.createDataFrame([(i, f"t{i}", "Curso", CATEGORIES[i % 2]) for i in range(300)], "conteudo_id long, titulo string, tipo string, categoria string")
+    store = spark.createDataFrame([], "conteudo_id long, modelo string, vetor array<double>")
+    acts = [(u, 2 * k, "conclusão", 10, 100.0, 5) for u in range(4) for k in range(1, 3 * u + 1)] + [(9, 0, "visualização", 10, 20.0, None), (9, 1, "curtida", 0, 20.0, 5)]
+    interactions = spark.createDataFrame(acts, "usuario_id long, conteudo_id long, tipo_interacao string, tempo_consumido long, percentual_conclusao double, avaliacao_atribuida long")
+    blocks = recommend.score_blocks(interactions, contents, store, "base", DIM, 5).cache()
+    made = {}
+    for r in recommend.top_n(blocks, contents, 5, BATCH).orderBy("usuario_id", "posicao").collect():
+        made.setdefault(r["usuario_id"], []).append((r["conteudo_id"], float(r["pontuacao"])))
+    wanted = {u: [(i, 100.0) for i in [0, *range(6 * u + 2, 300, 2)][:5]] for u in (1, 2, 3)}
+    # user 9 spent all minutes in one category and liked only the other: 50 points in either, ties by id
+    assert made == wanted | {9: [(i, 50.0) for i in range(5)]}
+    counted = recommend.summary(blocks, 5).first()
+    assert counted["negativas_por_conclusao"] == 18
+    assert counted["negativas_descartadas"] == sum(150 + 3 * u for u in (1, 2, 3))
+    scored, pairs = recommend.scored_pairs(blocks).first()
+    assert pairs == 4 * 300 and scored <= 4 * 2
