@@ -142,3 +142,15 @@ def test_repeats_and_lookup_survive_a_hot_key(spark):
     joined = lookup(rows, dim, ["k"])
     assert joined.count() == 3000
     assert joined.where("nome = 'sete'").count() == rows.where("k = 7").count()
+
+
+def test_lookups_never_broadcast_what_grows(spark):
+    """Files of few bytes may hold many rows, so a dimension is not sent to the driver by the size of its files."""
+    from cascata.operators.skew import lookup
+
+    facts, dimension = spark.range(10).withColumnRenamed("id", "conteudo_id"), spark.range(5).withColumnRenamed("id", "conteudo_id")
+    for how, rows in (("left", 10), ("inner", 5), ("left_semi", 5), ("left_anti", 5)):
+        joined = lookup(facts, dimension, ["conteudo_id"], how)
+        assert joined.count() == rows
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
