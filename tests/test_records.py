@@ -154,3 +154,15 @@ def test_lookups_never_broadcast_what_grows(spark):
         assert joined.count() == rows
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_first_rows_are_not_broadcast(spark):
+    """There are as many firsts as keys, so they are not sent to the driver either."""
+    from cascata.operators.skew import mark_repeats, newest_per_key
+
+    rows = spark.createDataFrame([(0, 1), (1, 1), (2, None), (3, None), (4, 2)], "ordem long, chave long")
+    marked, newest = mark_repeats(rows, ["chave"], "ordem"), newest_per_key(rows, ["chave"], "ordem")
+    assert sorted((r.ordem, r.repetida) for r in marked.collect()) == [(0, False), (1, True), (2, False), (3, True), (4, False)]
+    assert sorted(r.ordem for r in newest.collect()) == [1, 3, 4]
+    for made in (marked, newest):
+        assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
