@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 EMPTY = np.uint64(0)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -95,6 +96,11 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def byte_lengths(column: pa.Array | pa.ChunkedArray) -> list[int]:
+    """How many UTF-8 bytes each text has, without a copy of the texts; null counts as empty."""
+    return pc.binary_length(column).fill_null(0).to_pylist()
+
+
 def slices(sizes: list[int], most: int, rows: int = 1 << 30) -> Iterator[tuple[int, int]]:
     """Cut a list into runs whose sizes add up to at most ``most``; a larger single item is a run of its own."""
     begin = total = 0

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from cascata.llm.arrays import HashIndex, byte_texts, ragged, slices
+from cascata.llm.arrays import HashIndex, byte_lengths, byte_texts, ragged, slices
 from cascata.session import ship_package
 
 # Code points with the White_Space property.
@@ -300,10 +300,9 @@ def encoder_of(vocabulary: Vocabulary, name: str, merge: Callable[[], Merge] | N
 def encode_blocks(blocks: Iterator[pa.RecordBatch], encoder: Encoder, column: str, ids: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Add a list column of ids to Arrow blocks, a few MB of text at a time."""
     for block in blocks:
-        place = block.schema.get_field_index(column)
-        texts = byte_texts(block.column(place))
-        for a, b in slices([len(t) for t in texts], most):
-            flat, lengths = encoder.encode([t.decode("utf-8", "replace") for t in texts[a:b]])
+        texts = block.column(block.schema.get_field_index(column))
+        for a, b in slices(byte_lengths(texts), most):
+            flat, lengths = encoder.encode([t.decode("utf-8", "replace") for t in byte_texts(texts.slice(a, b - a))])
             offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             part = block.slice(a, b - a)

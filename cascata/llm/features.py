@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from cascata.llm.arrays import byte_texts, slices
+from cascata.llm.arrays import byte_lengths, byte_texts, slices
 
 _STEP = np.uint32(0x9E3779B1)
 PART_CHARS = 1 << 20
@@ -57,9 +57,9 @@ class Ngrams:
 
 def text_parts(block: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[str]]]:
     """Row ranges of a block and their texts, about a million characters at a time; null counts as empty."""
-    texts = byte_texts(block.column(column))
-    for a, b in slices([len(t) for t in texts], PART_CHARS, 4096):
-        yield a, b, [t.decode("utf-8", "replace") for t in texts[a:b]]
+    texts = block.column(column)
+    for a, b in slices(byte_lengths(texts), PART_CHARS, 4096):
+        yield a, b, [t.decode("utf-8", "replace") for t in byte_texts(texts.slice(a, b - a))]
 
 
 def scaled(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from cascata.llm.arrays import give_back
 from cascata.llm.features import Ngrams, fit_temperature, scaled, softmax, text_parts, train_ftrl
 from cascata.session import ship_package
 
@@ -160,6 +161,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text", na
                 found, scores = shared.value.predict(texts)
                 part = block.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(scores)], names=[*part.schema.names, *names])
+        give_back()
 
     schema = T.StructType([*kept.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     return kept.mapInArrow(run, schema)

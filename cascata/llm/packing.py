@@ -13,6 +13,7 @@ columns only the id is carried, so clashing names do no harm; a null id is kept.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
@@ -22,10 +23,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cascata.llm.arrays import give_back
 from cascata.llm.bpe import Vocabulary, encode_blocks, encoder_of
 from cascata.session import materialize, ship_package
 
 
+#: Distinct pieces that go to the tokenizers library in one call.
+PIECES_AT_ONCE = 4096
+
+
 @dataclass
 class Piece:
     owner: Any
@@ -145,8 +151,12 @@ def library_merge(library):
     """Ids of distinct pieces by the tokenizers library, each piece as a text of its own."""
 
     def merge(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        return np.array([i for ids in found for i in ids], np.int32), np.array([len(ids) for ids in found], np.int64)
+        flat, counts = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for a in range(0, len(pieces), PIECES_AT_ONCE):  # what the library returns takes about a KB a piece
+            found = [e.ids for e in library.encode_batch_fast([p.decode() for p in pieces[a : a + PIECES_AT_ONCE]], add_special_tokens=False)]
+            flat.append(np.array([i for ids in found for i in ids], np.int32))
+            counts.append(np.array([len(ids) for ids in found], np.int64))
+        return np.concatenate(flat), np.concatenate(counts)
 
     return merge
 
@@ -178,11 +188,13 @@ def pack(
                            T.StructField("token_ids", T.ArrayType(T.IntegerType())), *extra])
 
     def merge():
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # there is a task for each core already
         from tokenizers import Tokenizer
 
         return library_merge(Tokenizer.from_str(shared.value[1]))
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what earlier tasks left in this worker, before the vocabulary takes its place
         rows, packer = None, None
         encoder = encoder_of(shared.value[0], f"library:{path}", merge)
         for block in encode_blocks(blocks, encoder, "text", "ids"):
@@ -199,6 +211,7 @@ def pack(
             for window in merge_windows(packer.open, capacity):
                 rows.add(window, window.filled < capacity)
             yield rows.block()
+        give_back()
 
     given = docs.select(F.col(id_column).alias("_owner"), F.col(text_column).alias("text"))
     placed = materialize(given.mapInArrow(run, schema), "pacotes")

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cascata.llm.arrays import give_back
 from cascata.llm.features import Ngrams, scaled, softmax, text_parts, train_ftrl
 from cascata.llm.lang_id import lists_of, sampled
 from cascata.session import materialize, ship_package
@@ -225,6 +226,7 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", p
             for a, b, texts in text_parts(block, 1):
                 found = patterns(Signals.of(texts).votes())
                 yield pa.RecordBatch.from_arrays([block.column(0).slice(a, b - a), pa.array(found)], names=[id_column, "pattern"])
+        give_back()
 
     given = docs.select(id_column, text_column)
     voted = materialize(given.mapInArrow(run, schema), "votos")
@@ -257,6 +259,7 @@ def score(docs: DataFrame, model: QualityModel, text_column: str = "text", least
                 part = block.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(posterior), pa.array(quality), pa.array(quality >= least)],
                                                  names=[*part.schema.names, *names])
+        give_back()
 
     schema = T.StructType([*kept.schema.fields, *(T.StructField(n, t) for n, t in zip(names, (T.DoubleType(), T.DoubleType(), T.BooleanType())))])
     return kept.mapInArrow(run, schema)

@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cascata.llm.arrays import byte_texts, give_back, ragged, slices
+from cascata.llm.arrays import byte_lengths, byte_texts, give_back, ragged, slices
 from cascata.llm.components import Forest, connected
 from cascata.llm.hot_groups import in_tiles
 from cascata.session import materialize, ship_package
@@ -181,15 +181,16 @@ def set_fingerprints(docs: DataFrame, id_column: str, text_column: str, words: i
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
-            texts = byte_texts(block.column(1))
+            texts = block.column(1)
+            lengths = byte_lengths(texts)
             bits, digests, sizes = np.zeros((len(texts), lanes), np.uint64), [], np.zeros(len(texts), np.int64)
             bands = np.zeros((len(texts), BANDS), np.uint64)
-            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
-                sets = [shingle_set(t, words) for t in texts[a:b]]
+            for a, b in slices(lengths, SLICE_BYTES):
+                sets = [shingle_set(t, words) for t in byte_texts(texts.slice(a, b - a))]
                 digests += map(set_digest, sets)
                 sizes[a:b] = [len(x) for x in sets]
                 bands[a:b] = band_keys(np.concatenate(sets), sizes[a:b])
-                if b - a == 1 and len(texts[a]) > SLICE_BYTES:
+                if b - a == 1 and lengths[a] > SLICE_BYTES:
                     bits[a] = long_majority(sets, lanes)
                 else:
                     bits[a:b] = majority_bits(widened(np.concatenate(sets), lanes), sizes[a:b])
@@ -383,9 +384,9 @@ def verified_links(docs: DataFrame, wanted: DataFrame, id_column: str, text_colu
 
     def read(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
-            texts = byte_texts(block.column("text"))
-            for a, b in slices([len(t) for t in texts], SLICE_BYTES):
-                sets = [shingle_set(t, words) for t in texts[a:b]]
+            texts = block.column("text")
+            for a, b in slices(byte_lengths(texts), SLICE_BYTES):
+                sets = [shingle_set(t, words) for t in byte_texts(texts.slice(a, b - a))]
                 part = block.slice(a, b - a)
                 # an id may have rows of other texts
                 mine = [k for k, (x, digest) in enumerate(zip(sets, part.column("_digest").to_pylist())) if set_digest(x) == digest]

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from public_tokenizers import path as vocabulary_path
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cascata.llm import bpe, ctw, lang_id, packing, quality, queries, simhash, toxicity, url_filter
+from cascata.llm import bpe, ctw, features, lang_id, packing, quality, queries, simhash, toxicity, url_filter
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = vocabulary_path("byte_bpe_50k.json")
@@ -661,3 +662,37 @@ def test_wide_fingerprints_are_compared_over_planes(monkeypatch):
     sets = [np.sort(rng.integers(1, 1 << 62, 3).astype(np.uint64)) for _ in range(simhash.PLANE_VALUES)]
     items, roots = simhash.link_sets(sets + sets, values, None, 65, 0.8)
     assert used and items.tolist() == list(range(simhash.PLANE_VALUES, len(values)))
+
+
+class CountingLibrary:
+    """The tokenizers library, noting how many pieces it is given at once."""
+
+    def __init__(self, library):
+        self.library, self.sizes = library, []
+
+    def encode_batch_fast(self, pieces, **options):
+        self.sizes.append(len(pieces))
+        return self.library.encode_batch_fast(pieces, **options)
+
+
+def test_packing_hands_the_library_bounded_numbers_of_pieces(library):
+    """What it returns takes about a KB a piece, and a block of texts may have any number of new ones."""
+    pieces = [f" w{k}".encode() for k in range(3 * packing.PIECES_AT_ONCE + 5)]
+    counted = CountingLibrary(library)
+    ids, counts = packing.library_merge(counted)(pieces)
+    whole = [e.ids for e in library.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+    assert max(counted.sizes) <= packing.PIECES_AT_ONCE and sum(counted.sizes) == len(pieces)
+    assert ids.tolist() == [i for x in whole for i in x] and counts.tolist() == [len(x) for x in whole]
+    assert packing.library_merge(counted)([])[0].size == 0
+
+
+def test_texts_of_a_block_are_read_part_by_part(monkeypatch):
+    """A whole block as Python texts beside the block itself doubles what a worker holds."""
+    read = []
+    whole = features.byte_texts
+    monkeypatch.setattr(features, "byte_texts", lambda column: read.append(len(column)) or whole(column))
+    monkeypatch.setattr(features, "PART_CHARS", 10)
+    block = pa.RecordBatch.from_pydict({"text": pa.array(["aaaa", None, "ção", "", "b" * 30, "cc"], pa.string())}).slice(1)
+    parts = list(features.text_parts(block, 0))
+    assert [t for _, _, texts in parts for t in texts] == ["", "ção", "", "b" * 30, "cc"] and max(read) < 5
+    assert [(a, b) for a, b, _ in parts] == [(0, 3), (3, 4), (4, 5)]
