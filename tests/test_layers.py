@@ -371,3 +371,16 @@ def test_no_dimension_is_repeated(spark):
     big = spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("nome"))
     plan = lookup(spark.range(10).select(F.col("id").alias("k")), big, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_pending_payloads_are_parsed_once(spark):
+    """Filters on the parsed fields would otherwise be moved below the parser, which then runs once for each of them."""
+    payload = '{"usuario_id":"7","conteudo_id":"1","tipo_interacao":"Curtida","data_hora":"2024-01-02","percentual_conclusao":"10"}'
+    rows = queue(spark, [entry(1, "a", "interacoes", payload), entry(2, "b", "interacoes", None), entry(3, "c", "interacoes", "{oops"),
+                         entry(4, "a", "interacoes", payload.replace('"7"', '"8"')), entry(5, "d", "interacoes", "[]")])
+    found = quarantine.pending_interactions(rows)
+    fit = found.where(F.col("usuario_id").isNotNull() & F.col("data_hora").isNotNull() & F.col("percentual_conclusao").between(0, 100))
+    assert fit._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert [(r["quarentena_id"], r["usuario_id"]) for r in fit.collect()] == [(4, 8)]
+    kept = {r["quarentena_id"]: (r["registro_id"], r["_payload"], r["usuario_id"], r["origem"]) for r in found.collect()}
+    assert kept == {4: ("a", payload.replace('"7"', '"8"'), 8, None), 2: ("b", None, None, None), 3: ("c", "{oops", None, None), 5: ("d", "[]", None, None)}
