@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from cascata.operators import audit, gold, governance, kpi, master_data, merge, privacy, quality, quarantine, silver
 from cascata.operators.skew import lookup
+from cascata.plans import registry
+from cascata.plans.layers import Layers
 from cascata.plans.medallion import GOLD_TABLES, Paths, Run, run_medallion
 from cascata.schemas import CATALOG_COLUMNS, COMMENT_COLUMNS
 from cascata.session import new_folder
@@ -384,3 +386,20 @@ def test_pending_payloads_are_parsed_once(spark):
     assert [(r["quarentena_id"], r["usuario_id"]) for r in fit.collect()] == [(4, 8)]
     kept = {r["quarentena_id"]: (r["registro_id"], r["_payload"], r["usuario_id"], r["origem"]) for r in found.collect()}
     assert kept == {4: ("a", payload.replace('"7"', '"8"'), 8, None), 2: ("b", None, None, None), 3: ("c", "{oops", None, None), 5: ("d", "[]", None, None)}
+
+
+def test_quarantine_is_written_once_under_its_run(spark, tmp_path):
+    """The layer is stored as its sink stores it, so that the entries are not written a second time."""
+    for name, columns, rows in (
+        ("part", "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int", [(i, f"n {i}", "m", "t", i % 5) for i in range(1, 60)]),
+        ("events", "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+         [(i, DAY, i % 7, "view", 1.5, '{"k": %d}' % (i % 60)) for i in range(200)]),
+        ("conversations", "conv_id bigint, turn bigint, role string, text string", [(i, 1, "user", "oi") for i in range(20)]),
+    ):
+        spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    made = registry.QUERIES["sink_quarantine_file"].run(Layers(spark, str(tmp_path)))
+    held = Layers(spark, str(tmp_path)).quarantine
+    assert all("/quarentena-" in f and "/execucao_id=carga-1/" in f for f in [*made.inputFiles(), *held.inputFiles()])
+    assert held.columns == ["id", "registro_id", "origem", "regra_violada", "mensagem", "execucao_id", "payload_original", "status"]
+    assert {r[0] for r in held.select("execucao_id").distinct().collect()} == {"carga-1"}
+    assert sorted(map(tuple, made.collect()), key=repr) == sorted(map(tuple, held.select(made.columns).collect()), key=repr) and made.count() > 0

@@ -166,3 +166,36 @@ def test_first_rows_are_not_broadcast(spark):
     assert sorted(r.ordem for r in newest.collect()) == [1, 3, 4]
     for made in (marked, newest):
         assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+WHOLE_OR_ROUNDED = [
+    ("12", 12, 12), ("007", 7, 7), ("-5", None, -5), ("-0", 0, 0), ("-0.4", 0, 0), ("2.5", 3, 3), ("-2.5", None, -3), ("1.", None, None), ("+5", None, None), ("1e3", None, None),
+    ("9223372036854775807", 9223372036854775807, 9223372036854775807), ("9223372036854775808", None, None), ("9223372036854775807.4", 9223372036854775807, 9223372036854775807),
+    ("12\n", 12, 12), ("", None, None), ("٣", None, None), (None, None, None), ("9" * 40, None, None),
+]
+
+
+def test_whole_numbers_are_read_without_decimals_and_mean_the_same(spark):
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(WHOLE_OR_ROUNDED)], "i int, v string, positivo bigint, inteiro bigint")
+    v = F.col("v")
+    made = rows.select("*", casts.rounded_not_negative(v).alias("p"), casts.rounded_long(v).alias("n"))
+    assert made.where("not (p <=> positivo and n <=> inteiro)").collect() == []
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("coalesce(try_cast(v") == 2  # the decimals are asked only where that gives nothing
+
+
+def test_ids_and_instants_ignore_blanks_at_their_ends(spark):
+    rows = spark.createDataFrame([("  42 ", "2024-01-02 03:04:05"), ("0", "2024-01-02T03:04:05"), (" 0001", "2024-01-02"), ("4 2", "2024-02-30"), ("-1", "2024-01-02  03:04:05")], "i string, t string")
+    made = rows.select(casts.digits_to_long(F.col("i")), casts.positive_id(F.col("i")), F.date_format(casts.iso_timestamp(F.col("t")), "dd HH:mm:ss"))
+    assert [tuple(r) for r in made.collect()] == [
+        (42, 42, "02 03:04:05"), (0, None, "02 03:04:05"), (1, 1, "02 00:00:00"), (None, None, None), (None, None, None)]
+
+
+def test_an_interaction_field_is_trimmed_once(spark):
+    rows = frame(spark, INTERACTION_COLUMNS, [("1", "1", " Curtida ", " 2024-01-02 ", " 3 ", " 4.5 ", " 5 ")])
+    typed = silver.typed_interaction(rows.localCheckpoint())
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert all(plan.count(f"trim({c}#") == 1 for c in INTERACTION_COLUMNS[2:])
+    found = typed.first().asDict()
+    assert found["tipo_interacao"] == "curtida" and found["_data_bruta"] == "2024-01-02" and found["avaliacao_atribuida"] == 5
+    assert not [c for c in typed.columns if c.startswith("_campo")]
