@@ -388,6 +388,32 @@ def test_pending_payloads_are_parsed_once(spark):
     assert kept == {4: ("a", payload.replace('"7"', '"8"'), 8, None), 2: ("b", None, None, None), 3: ("c", "{oops", None, None), 5: ("d", "[]", None, None)}
 
 
+def test_former_batches_are_scored_in_whole_numbers(spark, tmp_path):
+    """The best of each user and content is found before decimals are made of it."""
+    from cascata.sources import driver_tables
+
+    rows = [(i, i % 4, '{"k": %d}' % (i % 9)) for i in range(-40, 160)] + [(7, 1, None), (None, 2, '{"k": 1}')]
+    spark.createDataFrame(rows, "event_id long, user_id long, props string").write.parquet(str(tmp_path / "events.parquet"))
+    made = driver_tables.recommendations(spark, str(tmp_path))
+    aggregate = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
+    assert len(aggregate) == 1 and "max(centesimos" in aggregate[0]
+    best = {}
+    for event, user, props in rows:
+        turn = None if event is None else abs(event) % 2 * (1 if event > 0 else -1)
+        content = None if None in (event, props) else int(props[6:-1]) + turn
+        score = None if event is None else 41 + (abs(event) * 37 % 5900 * (1 if event > 0 else -1)) / 100
+        key = (user, content, turn)
+        best[key] = max((s for s in (best.get(key), score) if s is not None), default=None)
+    groups = {}
+    for (user, content, turn), score in best.items():
+        groups.setdefault((user, turn), []).append((-1 if score is None else score, content))
+    wanted = sorted((user, str(turn), place, score) for (user, turn), found in groups.items()
+                    for place, score in enumerate(sorted((s for s, _ in found), reverse=True)[:5], 1))
+    got = [(r["usuario_id"], str(None if r["gerado_em"] is None else (r["gerado_em"] - dt.datetime(2024, 2, 1)).days), r["posicao"],
+            -1 if r["pontuacao"] is None else float(r["pontuacao"])) for r in made.collect()]
+    assert sorted(got) == [(u, t, p, pytest.approx(s)) for u, t, p, s in wanted]
+
+
 def test_quarantine_is_written_once_under_its_run(spark, tmp_path):
     """The layer is stored as its sink stores it, so that the entries are not written a second time."""
     for name, columns, rows in (

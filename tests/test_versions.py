@@ -144,6 +144,26 @@ def test_two_loads_that_share_days_equal_a_full_rebuild(spark, silver_tables):
         assert rows_of(made[name]) == rows_of(wanted[name].select(made[name].columns)), name
 
 
+def test_a_load_writes_its_own_sums_beside_the_stored_ones(spark, silver_tables):
+    contents, interactions, batch = silver_tables
+    base, loads = new_folder(spark, "estado"), gold_state.MOST_LOADS + 2
+    timed = interactions.where("tempo_consumido is not null")
+    timed = timed.unionByName(timed.withColumn("tempo_consumido", F.col("tempo_consumido") + 1))  # every key is in two loads
+    states = [gold_state.merge(spark, base, timed.where(F.pmod("tempo_consumido", F.lit(loads)) == i), f"carga-{i}").tables["estado"].parts
+              for i in range(loads)]
+    shared = [p for p in states[1] if p in states[0] and len(states[1][p]) > 1]
+    assert {p.split("-")[0] for p in shared} == {gold_state.CONTENT_DAY, gold_state.USER_DAY, gold_state.PAIR}
+    assert all(states[1][p][:1] == states[0][p] for p in states[0])  # what was stored is neither read nor written again
+    assert max(len(folders) for parts in states for folders in parts.values()) == gold_state.MOST_LOADS  # crowded parts are added up
+    version = versions.newest(spark, base)
+    made, wanted = gold_state.tables(spark, base, version, contents, batch, "r"), rebuilt(contents, timed, batch, "r")
+    for name in wanted:
+        assert rows_of(made[name]) == rows_of(wanted[name].select(made[name].columns)), name
+    for grain in (gold_state.CONTENT_DAY, gold_state.USER_DAY, gold_state.PAIR):
+        once, written = (f(spark, base, version, grain) for f in (gold_state.read, gold_state.read_loads))
+        assert once.count() == once.select(*gold_state.KEYS).distinct().count() < written.count()
+
+
 def test_gold_from_sums_reads_no_interactions(spark, silver_tables):
     contents, interactions, batch = silver_tables
     base, silver = new_folder(spark, "estado"), new_folder(spark, "silver")
