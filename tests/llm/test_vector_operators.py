@@ -1,5 +1,9 @@
 """Vector operators against brute force, on small tables."""
 
+import contextlib
+import os
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +70,68 @@ def test_dense_groups_and_tiles_count_each_link_once(spark):
     assert {r.vec_id: r.n_links for r in found} == dict(enumerate((near.sum(axis=1) - 1).tolist()))
 
 
+def test_filters_are_compared_in_rounds_that_free_their_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(cap_filters, "ROUND_ROWS", 1, raising=False)
+    rng = np.random.default_rng(14)
+    units = np.concatenate([rng.normal(size=(2400, 64)), rng.normal(size=64) + 0.2 * rng.normal(size=(200, 64))])
+    units = np.concatenate([units, units[:400] + 0.3 * rng.normal(size=(400, 64))])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(units)], "vec_id long, embedding array<double>").cache()
+    table.count()
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def held():
+        sizes = {}
+        for folder in folders:
+            for at, _, names in os.walk(folder):
+                for name in names:
+                    if name.startswith("shuffle_") and os.path.exists(path := os.path.join(at, name)):
+                        with contextlib.suppress(FileNotFoundError):
+                            sizes[name] = os.path.getsize(path)
+        return sizes
+
+    former, most, over = set(held()), [0], threading.Event()
+
+    def watch():
+        while not over.wait(0.1):
+            most.append(sum(size for name, size in held().items() if name not in former))
+
+    watching = threading.Thread(target=watch)
+    watching.start()
+    try:
+        found = cap_filters.near_duplicates(table, tile_rows=70)
+    finally:
+        over.set()
+        watching.join()
+    assert max(most) < 4 * units.nbytes
+    near = units @ units.T >= 0.9
+    wrong = sum(r.n_links != near[r.vec_id].sum() - 1 for r in found.collect())
+    assert near.sum() > 20_000 and wrong <= 4
+
+
+def test_rounds_hold_each_tile_once_and_bounded_rows(monkeypatch):
+    monkeypatch.setattr(cap_filters, "ROUND_ROWS", 500)
+    rng = np.random.default_rng(9)
+    counts = rng.integers(0, 60, 5000)
+    counts[[7, 1200]] = 900, 350
+    rounds = cap_filters.rounds_of(counts, [0, 1000], 100, 100, 8)
+    assert len(rounds) > 50 and all(r.rows <= 500 + 4096 for r in rounds)
+    assert [r.first for r in rounds[1:]] == [r.last for r in rounds[:-1]]
+    tiles = {}
+    for r in rounds:
+        for k, (start, stop, parts) in enumerate(zip(r.starts, r.stops, r.parts)):
+            assert not start < 1000 < stop and (parts == 1 or stop == start + 1)
+            every = [int(r.tile(np.array(k), np.array(low), np.array(high))) for low in range(parts) for high in range(low, parts)]
+            assert len(set(every)) == len(every)
+            for tile in every:
+                if r.first <= tile < r.last:
+                    assert tile not in tiles
+                    tiles[tile] = (start, stop)
+    assert sorted(tiles) == list(range(len(tiles)))
+    covered = {f for start, stop in tiles.values() for f in range(start, stop)}
+    assert covered >= set(np.flatnonzero(counts > 1).tolist())
+
+
 def test_shared_filters_by_product_and_by_list_agree():
     rng = np.random.default_rng(2)
     lists = [np.sort(rng.choice(40, rng.integers(1, 8), replace=False)) for _ in range(60)]
