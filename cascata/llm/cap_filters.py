@@ -10,7 +10,7 @@ projections or at products in single precision has put the pairs aside that are
 simulation: it is the largest at which pairs just at the threshold share a filter of any code with the wanted
 probability, which for random rotations does not depend on the data.
 
-Vectors are sent to the filters in rounds, each of which ships little more rows than there are vectors, and
+Vectors are sent to the filters in rounds, each of which ships about as many rows as there are vectors, and
 frees its shuffle before the next; so the disk it takes is a few times the vectors, however many filters they pass.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing
@@ -50,8 +50,10 @@ HEADS = 8
 #: Bytes of a digest.
 DIGEST = 20
 NO_FILTER = np.int32(-(1 << 31))
-#: What a round ships: so many rows at least, and so many times the number of vectors.
-ROUND_ROWS, ROUND_TIMES = 1 << 20, 1.25
+#: What a round ships: so many rows at least, or as many as there are vectors.
+ROUND_ROWS = 1 << 20
+#: Into how many parts vectors are cut, one after the other, for equal ones to meet, if there are over ROUND_ROWS.
+MEETINGS = 4
 #: Bytes of vectors that are stored in one row, that are dealt to a round's units at once, that are sent in one block, and that a partition of a round is meant to hold.
 STORED_AT_ONCE, DEALT_AT_ONCE, SENT_AT_ONCE, PARTITION_BYTES = 1 << 18, 16 << 20, 8 << 20, 16 << 20
 #: Filters whose counts lie in one row.
@@ -366,7 +368,7 @@ def rounds_of(counts: np.ndarray, bases: list[int], tile_rows: int, vectors: int
     counts = counts.astype(np.int64)
     heavy = counts > tile_rows
     weight = np.where(heavy | (counts < 2), 0, counts + counts * counts // (2 * FILTER_ROWS))
-    most = max(2 * ROUND_ROWS, 2 * ROUND_TIMES * vectors)
+    most = 2 * max(ROUND_ROWS, vectors)
     unit = min(max(int(weight.sum() / share / max(1, counts.sum() / most)), 1 << 12), 1 << 16)
     border = np.zeros(len(counts), np.int64)
     border[bases] = 1
@@ -381,7 +383,7 @@ def rounds_of(counts: np.ndarray, bases: list[int], tile_rows: int, vectors: int
     tiles = parts * (parts + 1) // 2
     units = np.cumsum(tiles) - tiles
     shipped = np.repeat(-(-rows * parts // np.maximum(tiles, 1)), tiles)  # each row goes to as many tiles as there are parts
-    at = (np.cumsum(shipped) - shipped) // max(ROUND_ROWS, int(ROUND_TIMES * vectors))
+    at = (np.cumsum(shipped) - shipped) // max(ROUND_ROWS, vectors)
     cuts = np.r_[np.flatnonzero(np.r_[True, at[1:] != at[:-1]]), len(at)] if len(at) else np.zeros(0, int)
     out = []
     for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -532,13 +534,13 @@ def _counts(decoded: DataFrame, total: int) -> np.ndarray:
     return counts
 
 
-def _classes(rows: DataFrame, width: int, cosine: float, recall: float, directions: int) -> tuple[DataFrame, list[int], int]:
-    """Distinct vectors with the filters they exceed, stored many to a row; where the filters of each length begin, and how many there are in all."""
+def _classes(rows: DataFrame, width: int, cosine: float, recall: float, directions: int) -> tuple[list[DataFrame], list[int], int]:
+    """Distinct vectors with the filters they exceed, stored many to a row in parts; where the filters of each length begin, and how many there are in all."""
     taking = rows.where("digest is not null and id is not null")
     size = F.floor(F.length("vector") / width).cast("int")
-    about = sorted(tuple(r) for r in taking.groupBy(size).agg(F.approx_count_distinct("digest")).collect())  # the lengths of vectors, most often one
+    about = sorted(tuple(r) for r in taking.groupBy(size).agg(F.approx_count_distinct("digest"), F.count("*")).collect())  # the lengths of vectors, most often one
     keys, base, total = {}, {}, 0
-    for length, count in about:
+    for length, count, _ in about:
         its = directions_for(count, directions)
         filters = CapFilters(length, its, codes=CODES)
         keys[length], base[length] = (length, its, filters.height_for(cosine, recall)), total
@@ -565,8 +567,13 @@ def _classes(rows: DataFrame, width: int, cosine: float, recall: float, directio
                     _binary((both & 0xFFFFFFFF).astype(np.int32), np.add.reduceat(lengths, begins)),
                 ], names=names)
 
-    grouped = taking.groupBy("digest").agg(F.min("id").cast("long").alias("node"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"))
-    return materialize(grouped.withColumn("size", size).mapInArrow(decode, STORED), "filtros"), list(base.values()), total
+    meetings = MEETINGS if sum(x[2] for x in about) > ROUND_ROWS else 1
+    stored = []
+    for k in range(meetings):
+        some = taking.where(F.pmod(F.xxhash64("digest"), F.lit(meetings)) == k)
+        grouped = some.groupBy("digest").agg(F.min("id").cast("long").alias("node"), F.count("*").alias("copies"), F.any_value("vector").alias("vector"))
+        stored.append(materialize(grouped.withColumn("size", size).mapInArrow(decode, STORED), "filtros"))
+    return stored, list(base.values()), total
 
 
 def _named(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -595,12 +602,14 @@ def near_duplicates(
     with shuffles_freed(spark):
         width = 4 if vectors.schema[vector_column].dataType.elementType == T.FloatType() else 8
         checked = materialize(_checked(vectors, id_column, vector_column), "vetores")
-        decoded, bases, total = _classes(checked, width, cosine, recall, directions)
+        stored, bases, total = _classes(checked, width, cosine, recall, directions)
+        decoded = spark.read.schema(STORED).parquet(*(x._folder for x in stored))
         rows = materialize(checked.select("id", "digest"), "digests")
         discard(checked)
         links, parts = _linked(decoded, bases, total, cosine, tile_rows, np.dtype(f"f{width}"))
         classes = materialize(decoded.select("digests", "nodes", "copies").mapInArrow(_named, "digest binary, node long, copies long"), "classes")
-        discard(decoded)
+        for part in stored:
+            discard(part)
         parts = connected(parts)
     named = (
         classes.join(links, F.col("node") == F.col("a"), "left").drop("a").join(parts, "node", "left")
